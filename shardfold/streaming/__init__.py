@@ -1,0 +1,8 @@
+"""Streaming: the reference has no streams, watermarks or state.
+
+Nothing stream-specific is built.  A sub tenant arriving as a stream of
+change batches is merged with the same batch operators: inside
+``writeStream.foreachBatch`` each micro-batch is one ``merge_replace`` of the
+batch into the current published version, written as the next version (see
+``shardfold.sources.sinks.write_tenant``).
+"""
