@@ -68,7 +68,7 @@ def merge_replace(main: DataFrame, sub: DataFrame, keys, order_by=None,
     kept = main
     for ks in key_sets:
         kept = kept.join(sub.select(*ks), list(ks), "left_anti")
-    return kept.unionByName(sub)
+    return kept.select(*main.columns).unionByName(sub)
 
 
 def merge_append(main: DataFrame, sub: DataFrame, keys=None, on_conflict: str = "error",
@@ -119,7 +119,7 @@ def merge_absent(main: DataFrame, sub: DataFrame, keys, allow_missing: bool = Fa
     sub = align(sub, main, allow_missing)
     for ks in _key_sets(keys):
         sub = sub.join(main.select(*ks), list(ks), "left_anti")
-    return main.unionByName(sub)
+    return main.unionByName(sub.select(*main.columns))
 
 
 def merge_filtered(main: DataFrame, sub: DataFrame, keys, where, mode: str = "replace",
