@@ -187,7 +187,7 @@ def _shift_token(tok: Column, offset: int) -> Column:
 
 
 def shift_tokens(df: DataFrame, c: str, offset: int, delimiter: str = ",",
-                 valid_ids: DataFrame | None = None) -> DataFrame:
+                 valid_ids: DataFrame | None = None, row_key: Sequence[str] | str | None = None) -> DataFrame:
     """K7 ``teshudb_field``: shift the ids written inside a delimited text column.
 
     Token-wise (H6): ``1,12`` with +10 is ``11,22``, never ``11,112``.  Without
@@ -195,15 +195,22 @@ def shift_tokens(df: DataFrame, c: str, offset: int, delimiter: str = ",",
     shuffle).  With ``valid_ids`` (one-column DataFrame of the attribution
     ids) only tokens naming one of them move: tokens are exploded with their
     position, joined to the distinct ids and re-assembled per row, so each
-    group is one row's own tokens.
+    group is one row's own tokens.  Rows are re-assembled by ``row_key`` (a
+    unique key of ``df``); without one, rows are numbered and the numbered
+    table is checkpointed so both uses see the same numbers.
     """
     if not offset or c not in df.columns:
         return df
     if valid_ids is None:
         return df.withColumn(c, F.array_join(F.transform(_split(F.col(c), delimiter),
                                                          lambda x: _shift_token(x, offset)), delimiter))
-    base = df.withColumn("__rid", F.monotonically_increasing_id())
-    toks = base.select("__rid", F.posexplode(_split(F.col(c), delimiter)).alias("__pos", "__tok")) \
+    if row_key:
+        keys = [row_key] if isinstance(row_key, str) else list(row_key)
+        base = df.withColumn("__rid", F.struct(*[F.col(k) for k in keys]))
+    else:
+        base = cut_lineage(df.withColumn("__rid", F.monotonically_increasing_id()))
+    toks = base.where(F.col(c).isNotNull()) \
+        .select("__rid", F.posexplode(_split(F.col(c), delimiter)).alias("__pos", "__tok")) \
         .withColumn("__num", F.col("__tok").try_cast("bigint"))
     ids = valid_ids.select(F.col(valid_ids.columns[0]).cast("bigint").alias("__num")) \
         .where(F.col("__num") > 0).distinct().withColumn("__hit", F.lit(True))

@@ -45,10 +45,22 @@ def align(sub: DataFrame, main: DataFrame, allow_missing: bool = False) -> DataF
 
 
 def last_per_key(df: DataFrame, keys: Sequence[str], order_by) -> DataFrame:
-    """Resolve duplicate incoming keys: keep the last row by ``order_by`` (REPLACE order)."""
+    """Resolve duplicate incoming keys: keep the last row by ``order_by`` (REPLACE order).
+
+    A grouped ``max(struct(order, row))`` with map-side partial aggregation, so
+    many copies of one key are reduced before the shuffle.  NULL keys never
+    clash and are kept as they are.
+    """
+    from ..functions.columns import first_by
+
     order = [order_by] if isinstance(order_by, str) else list(order_by)
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
-    return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
+    null_key = F.lit(False)
+    for k in keys:
+        null_key = null_key | F.col(k).isNull()
+    payload = F.struct(*[F.col(c) for c in df.columns])
+    last = df.where(~null_key).groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]) \
+        .agg(first_by(df, [(c, "desc") for c in order], payload).alias("__s")).select("__s.r.*")
+    return last.unionByName(df.where(null_key))
 
 
 def merge_replace(main: DataFrame, sub: DataFrame, keys, order_by=None,
@@ -205,13 +217,14 @@ def merge_all_table(frames: Sequence[DataFrame], keys, allow_missing: bool = Fal
     for t in tagged[1:]:
         u = u.unionByName(t)
     ks = list(key_sets[0])
-    w = Window.partitionBy(*ks).orderBy(F.col("__ord").desc())
-    # NULL keys never clash: keep them all.
+    # NULL keys never clash: those rows bypass the window (they would all
+    # share one window partition otherwise).
     null_key = F.lit(False)
     for k in ks:
         null_key = null_key | F.col(k).isNull()
-    ranked = u.withColumn("__rn", F.when(null_key, F.lit(1)).otherwise(F.row_number().over(w)))
-    return ranked.where("__rn = 1").drop("__rn", "__ord")
+    w = Window.partitionBy(*ks).orderBy(F.col("__ord").desc())
+    ranked = u.where(~null_key).withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn", "__ord")
+    return ranked.unionByName(u.where(null_key).drop("__ord"))
 
 
 def merge_all(main: Tenant, subs: Sequence[Tenant], exclude: Iterable[str] = (),

@@ -304,7 +304,7 @@ def shift_tokens(spark, d):
     main, sub = T.main_tenant(spark, d, ("customer",)), T.sub_tenant(spark, d, ("customer",))
     off = K.group_offset(main, sub, [("customer", "c_custkey")])
     c = sub.table("customer")
-    c = K.shift_tokens(c, "c_name", off, "#", valid_ids=c.select("c_custkey"))
+    c = K.shift_tokens(c, "c_name", off, "#", valid_ids=c.select("c_custkey"), row_key="c_custkey")
     return K.shift(c, "c_custkey", off)
 
 

@@ -3,9 +3,10 @@ reference's per-game scripts.  Each returns the merged tenant (lazy
 DataFrames); writing it is :func:`shardfold.sources.sinks.write_tenant`.
 
 Several subs are applied in list order and each sees main as left by the
-previous sub (H25).  When a rule reads main (conflict names N2, account
-relink I1) the merged tables are checkpointed between subs so lineage does
-not grow with the number of subs.
+previous sub (H25).  Every sub's offsets (and conflict names N2, account
+relink I1) read the main left by the previous sub, so with several subs the
+merged tables are checkpointed between subs: lineage and recomputation stay
+linear in the number of subs instead of quadratic.
 """
 
 from __future__ import annotations
@@ -137,10 +138,8 @@ def run_rules(main: Tenant, subs: Sequence[SubTenant], rules: Mapping, main_acco
     """R1 rule-driven merge: per sub remap -> names -> stamp -> merge -> accounts."""
     res = JobResult(main, main_accounts)
     exclude = [i["db_table"] for i in rules.get("un_merge") or []]
-    reads_main = str((rules.get("prefix_setting") or {}).get("repeat_modify")) == "1" or \
-        str((rules.get("prefix_setting") or {}).get("account_change")) == "999"
     if checkpoint_between is None:
-        checkpoint_between = reads_main and len(subs) > 1
+        checkpoint_between = len(subs) > 1
     for k, s in enumerate(subs):
         r = _with_overrides(rules, s)
         rm = remap(res.main, s.tenant, r)
@@ -163,12 +162,21 @@ def run_rules(main: Tenant, subs: Sequence[SubTenant], rules: Mapping, main_acco
 
 def exclusion_merge(main: Tenant, subs: Sequence[Tenant], exclude: Iterable[str] = (),
                     on_missing: str = "skip") -> JobResult:
-    """R2: every table but ``exclude``, subs in order (M6/M7)."""
-    exclude = list(exclude)
-    res = JobResult(main)
+    """R2: every table but ``exclude``, subs in order (M6/M7).
+
+    All subs go in one many-tenant merge (one shuffle per table whatever the
+    number of subs, the last sub wins per key) instead of one chained
+    anti join per sub.
+    """
+    exclude = set(exclude)
+    res = JobResult(M.merge_all(main, subs, exclude=exclude, on_missing=on_missing))
     for s in subs:
-        res.main, actions = M.merge_tenant(res.main, s, exclude=exclude, on_missing=on_missing)
-        res.actions.extend((s.name, t, a) for t, a in actions)
+        for t in s.names():
+            action = "excluded" if t in exclude else "merged" if main.has(t) else \
+                ("copied" if on_missing == "copy" else "missing")
+            if action == "missing" and on_missing == "error":
+                raise KeyError(f"main tenant {main.name!r} has no table {t!r}")
+            res.actions.append((s.name, t, action))
     return res
 
 

@@ -109,8 +109,9 @@ def remap_type2(main: Tenant, sub: Tenant, rules: Mapping) -> RemapResult:
             t, at = item["db_table"], item["db_table_attribution"]
             if res.sub.has(t) and original_sub.has(at):
                 valid = original_sub.table(at).select(item["db_field_attribution"])
+                key = res.sub.spec(t).primary or None
                 res.sub = res.sub.replace(**{t: K.shift_tokens(res.sub.table(t), item["db_field"], off,
-                                                               item.get("delimiter", ","), valid)})
+                                                               item.get("delimiter", ","), valid, key)})
     if (rules.get("simple_process") or {}).get("deal_with"):
         res.ignored.append("simple_process.deal_with")  # H23
     return res
