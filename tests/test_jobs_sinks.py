@@ -166,3 +166,25 @@ def test_parquet_tenant_reads_driver_tables(spark):
     t = parquet_tenant(spark, "t", 1, d, ["customer", "orders"], {"customer": "c_custkey"})
     assert t.spec("customer").primary == ("c_custkey",)
     assert t.table("orders").where(F.col("o_orderkey") == 0).count() == 1
+
+
+def test_catalog_tenant_and_bucketed_merge_without_shuffle(spark):
+    from shardfold.operators.merge import merge_replace
+    from shardfold.sources.catalog import catalog_tenant, list_tables
+    from shardfold.sources.sinks import save_bucketed
+
+    main, sub = f1_tenant(spark, "main", 1), f1_tenant(spark, "sub", 2)
+    save_bucketed(main, "tm_main", 4, ["players", "log"])
+    save_bucketed(sub, "tm_sub", 4, ["players"])
+    spark.sql("CREATE OR REPLACE VIEW tm_main.players_v AS SELECT * FROM tm_main.players")
+    assert list_tables(spark, "tm_main") == ["log", "players"]  # S5: the view is left out
+    m = catalog_tenant(spark, "tm_main", 1, specs={"players": "dbid"})
+    s = catalog_tenant(spark, "tm_sub", 2, specs={"players": "dbid"})
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = merge_replace(m.table("players"), s.table("players"), "dbid")
+        assert rows(out, "dbid", "serverid") == [(1, 2), (2, 2), (12, 2)]
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and "Exchange" not in plan, plan
