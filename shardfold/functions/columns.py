@@ -138,10 +138,17 @@ def first_by(df, order, payload: Column) -> Column:
     if len(fixed) > 1:
         raise TypeError("string order columns must all be ascending or all descending")
     use_max = fixed == {"desc"}
+    # NULLs sort first ascending and last descending (MySQL order).  Under min
+    # a NULL struct field is smallest, under max it is largest-last; where the
+    # flipped key would put NULLs on the wrong end a null flag goes first.
     parts = []
     for i, (c, dt, d) in enumerate(items):
         flip = (d == "desc") != use_max
-        parts.append((descending(c, dt) if flip else c).alias(f"o{i}"))
+        if flip:
+            parts.append(c.isNull().alias(f"n{i}"))
+            parts.append(descending(c, dt).alias(f"o{i}"))
+        else:
+            parts.append(c.alias(f"o{i}"))
     agg = F.max if use_max else F.min
     return agg(F.struct(F.struct(*parts).alias("o"), payload.alias("r")))
 

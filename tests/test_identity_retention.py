@@ -171,3 +171,15 @@ def test_reset_and_final_zone(spark):
     assert rows(out.table("auction")) == [(2, 9, 3)]
     fz = R.final_zone(out.table("auction").withColumn("zoneid", F.lit(3)), ["zoneid"], 1)
     assert fz.columns == ["id", "duetime", "zoneid"] and rows(fz, "zoneid") == [(1,)]
+
+
+def test_survivor_null_order_like_mysql(spark):
+    df = spark.createDataFrame([(1, 1, None, "b"), (2, 1, 5, "a"), (3, 2, None, None), (4, 2, 3, "c")],
+                               "id bigint, k bigint, lvl int, s string")
+    # DESC puts NULL last: the row with a level wins
+    assert rows(I.survivors(df, "k", [("lvl", "desc"), "id"]), "k", "id") == [(1, 2), (2, 4)]
+    # ASC puts NULL first
+    assert rows(I.survivors(df, "k", [("lvl", "asc"), "id"]), "k", "id") == [(1, 1), (2, 3)]
+    # string descending (max path) with a numeric ascending tiebreak
+    assert rows(I.survivors(df, "k", [("s", "desc"), "id"]), "k", "id") == [(1, 1), (2, 4)]
+    assert rows(I.survivors(df, "k", [("s", "desc"), ("lvl", "asc")]), "k", "id") == [(1, 1), (2, 4)]

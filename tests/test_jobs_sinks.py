@@ -188,3 +188,65 @@ def test_catalog_tenant_and_bucketed_merge_without_shuffle(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in plan and "Exchange" not in plan, plan
+
+
+SENT = 4294967295
+
+
+def f2_tenant(spark, name, base, roles):
+    t = {
+        "roledata": spark.createDataFrame([(base + i, base + 1, 300 if i == 1 else SENT, n, 0)
+                                           for i, n in enumerate(roles, start=1)],
+                                          "RoleID bigint, AccountID bigint, GuildID bigint, RoleName string, RoleNameCrc bigint"),
+        "item": spark.createDataFrame([(1, base + 1, base + 1), (2, SENT, 300), (3, SENT, SENT)],
+                                      "SerialNum bigint, OwnerID bigint, AccountID bigint"),
+        "guild": spark.createDataFrame([(300, base + 1, base + 1)], "ID bigint, FounderNameID bigint, LeaderID bigint"),
+        "guild_member": spark.createDataFrame([(300, base + 1)], "GuildID bigint, RoleID bigint"),
+        "operatoractive": spark.createDataFrame([(1, 1), (2, 0)], "id bigint, opened int"),
+        "chat": spark.createDataFrame([(1,)], "id bigint"),
+    }
+    return Tenant(name, 1, t, {"roledata": "RoleID", "item": "SerialNum", "guild": "ID", "operatoractive": "id"})
+
+
+RULES_F2 = {
+    "type": "2",
+    "restructure_state": "1",
+    "restructure_tool": [{"group": [
+        {"db_table": "guild", "db_field": "ID", "conditions": ""},
+        {"db_table": "guild_member", "db_field": "GuildID", "conditions": ""},
+        {"db_table": "roledata", "db_field": "GuildID", "conditions": " AND GuildID != 4294967295"},
+        {"db_table": "item", "db_field": "AccountID", "conditions": " AND OwnerID = 4294967295 AND AccountID != 4294967295"}]}],
+    "same": [{"group": [{"db_table": "roledata", "db_field": "RoleID"}, {"db_table": "guild_member", "db_field": "RoleID"},
+                        {"db_table": "guild", "db_field": "LeaderID"}]},
+             {"group": [{"db_table": "guild", "db_field": "ID"}, {"db_table": "guild_member", "db_field": "GuildID"}]}],
+    "other_identity": [{"db_table": "item", "db_field": "SerialNum"}],
+    "special_option": {"special_field_open": "1", "special_field": [
+        {"db_table": "item", "db_field": "OwnerID", "group": "1", "type": "1", "conditions": "where OwnerID != 4294967295"},
+        {"db_table": "item", "db_field": "AccountID", "group": "1", "type": "2",
+         "conditions": "where OwnerID = 4294967295 AND AccountID != 4294967295"}]},
+    "simple_process": {"character_types": "1"},
+    "empty_table": [{"db_table": "chat"}],
+    "modify_table": [{"db_table": "operatoractive", "db_field": "opened", "results": "0", "conditions": "1"}],
+    "un_merge": [],
+    "prefix_setting": {"account_change": "1", "account_suffix": "_s2"},
+}
+
+
+def test_polymorphic_owner_rules(spark):
+    main = f2_tenant(spark, "main", 0, ["ann", "bob"])
+    sub = f2_tenant(spark, "sub", 10, ["cy"])
+    acc_m = Tenant("am", 1, {"account": spark.createDataFrame([(1, "ann")], "id bigint, name string")}, {"account": "id"})
+    acc_s = Tenant("as", 2, {"account": spark.createDataFrame([(1, "zed"), (2, "y_s2")], "id bigint, name string")},
+                   {"account": "id"})
+    res = J.run_rules(main, [J.SubTenant(sub, accounts=acc_s)], RULES_F2, main_accounts=acc_m, declared_tables=True)
+    item = rows(res.main.table("item"))
+    # main: guild 300 renumbered to 1 (sentinels untouched); sub serials shifted by 3, owner by role offset 11,
+    # account (guild-typed, sentinel owner) renumbered then shifted by the guild offset 1
+    assert item == [(1, 1, 1), (2, SENT, 1), (3, SENT, SENT), (4, 22, 11), (5, SENT, 2), (6, SENT, SENT)]
+    assert rows(res.main.table("guild")) == [(1, 1, 1), (2, 11, 22)]
+    # roledata.GuildID is renumbered (restructure group) but in no "same" group, so it is not shifted
+    assert rows(res.main.table("roledata"), "RoleID", "GuildID") == [(1, 1), (2, SENT), (22, 1)]
+    assert rows(res.main.table("operatoractive")) == [(1, 0), (2, 0)]
+    assert res.main.table("chat").count() == 0
+    assert rows(res.accounts.table("account")) == [(1, "zed_s2"), (2, "y_s2")]  # suffix only once
+    assert dict(res.main.table("guild_member").dtypes)["RoleID"] == "bigint"
