@@ -95,8 +95,11 @@ def descending(c: Column, dtype: DataType) -> Column:
     """
     if isinstance(dtype, BooleanType):
         return ~c
-    if isinstance(dtype, (TimestampType, TimestampNTZType)):
-        return F.bitwise_not(F.unix_micros(c.cast("timestamp")))
+    if isinstance(dtype, TimestampNTZType):
+        # micros since the epoch read as wall time: independent of the session zone
+        return F.bitwise_not(F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c))
+    if isinstance(dtype, TimestampType):
+        return F.bitwise_not(F.unix_micros(c))
     if isinstance(dtype, DateType):
         return F.bitwise_not(F.unix_date(c))
     if isinstance(dtype, NumericType):

@@ -9,7 +9,7 @@ child column: no id ever reaches the driver and there is no 5,000-id
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,7 +62,7 @@ def inactive_player(as_of: datetime | int, deletetime: str = "deletetime", savet
     under 24 h online, never paid.  ``as_of`` is explicit (epoch seconds or a
     datetime): never the wall clock, so reruns give the same answer.
     """
-    now = int(as_of.timestamp()) if isinstance(as_of, datetime) else int(as_of)
+    now = _epoch(as_of) if isinstance(as_of, datetime) else int(as_of)
     return ((F.col(deletetime) == 0)
             & (F.col(savetime_ms) / 1000 + INACTIVE_DAYS * 24 * 3600 < F.lit(now))
             & (F.col(level) < INACTIVE_MAX_LEVEL)
@@ -70,11 +70,16 @@ def inactive_player(as_of: datetime | int, deletetime: str = "deletetime", savet
             & (F.col(paid) == 0))
 
 
+def _epoch(t: datetime) -> int:
+    """Epoch seconds of ``t``; a naive datetime is read as UTC (never the machine's zone)."""
+    return int((t if t.tzinfo else t.replace(tzinfo=timezone.utc)).timestamp())
+
+
 def _older_than(c: str, days: int, as_of: datetime, time_format: str) -> Column:
-    """``time_format`` 1 = timestamp column, 2 = epoch seconds."""
-    limit = F.lit(as_of.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz") - F.expr(f"INTERVAL {int(days)} DAYS")
+    """``time_format`` 1 = timestamp column (wall time), 2 = epoch seconds."""
     if str(time_format) == "2":
-        return F.timestamp_seconds(F.col(c)).cast("timestamp_ntz") < limit
+        return F.col(c) < F.lit(_epoch(as_of - timedelta(days=int(days))))
+    limit = F.lit((as_of - timedelta(days=int(days))).strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
     return F.col(c).cast("timestamp_ntz") < limit
 
 

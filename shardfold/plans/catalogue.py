@@ -570,6 +570,7 @@ def max_to_first(spark, d):
 
 
 _ORD_ZONE = "CAST(CASE WHEN o_orderdate < TIMESTAMP '1998-01-01 00:00:00' THEN 1 ELSE 2 END AS INTEGER)"
+_ORD_ZONE_SPARK = _ORD_ZONE.replace("TIMESTAMP '", "TIMESTAMP_NTZ '")
 
 
 @query("tie_classes", _with(f"a AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority, {_ORD_ZONE} AS zone "
@@ -586,7 +587,7 @@ SELECT o_orderkey FROM ka UNION ALL SELECT o_orderkey FROM kb""")
 def tie_classes(spark, d):
     """Duplicates that agree keep the main-zone row, the rest keep the best row."""
     a = T.read(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority",
-                                          F.expr(_ORD_ZONE).alias("zone"))
+                                          F.expr(_ORD_ZONE_SPARK).alias("zone"))
     return I.tie_classes(a, "o_custkey", ["o_orderstatus", "o_orderpriority"], "zone", 1, "o_orderkey")
 
 

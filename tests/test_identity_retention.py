@@ -183,3 +183,15 @@ def test_survivor_null_order_like_mysql(spark):
     # string descending (max path) with a numeric ascending tiebreak
     assert rows(I.survivors(df, "k", [("s", "desc"), "id"]), "k", "id") == [(1, 1), (2, 4)]
     assert rows(I.survivors(df, "k", [("s", "desc"), ("lvl", "asc")]), "k", "id") == [(1, 1), (2, 4)]
+
+
+def test_survivor_by_latest_timestamp(spark):
+    df = spark.createDataFrame([(1, 1, datetime(2024, 3, 10, 2, 30)), (2, 1, datetime(2024, 3, 10, 3, 30)),
+                                (3, 2, datetime(1969, 12, 31, 23, 0)), (4, 2, None)],
+                               "id bigint, k bigint, t timestamp_ntz")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        s = rows(I.survivors(df, "k", [("t", "desc"), "id"]), "k", "id")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert s == [(1, 2), (2, 3)]
