@@ -96,8 +96,13 @@ def descending(c: Column, dtype: DataType) -> Column:
     if isinstance(dtype, BooleanType):
         return ~c
     if isinstance(dtype, TimestampNTZType):
-        # micros since the epoch read as wall time: independent of the session zone
-        return F.bitwise_not(F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c))
+        # wall-time micros built from date and time-of-day parts: no session
+        # zone is involved, so DST gaps and overlaps cannot reorder rows
+        micros = (F.unix_date(F.to_date(c)).cast("bigint") * F.lit(86_400_000_000)
+                  + F.hour(c).cast("bigint") * F.lit(3_600_000_000)
+                  + F.minute(c).cast("bigint") * F.lit(60_000_000)
+                  + (F.date_part(F.lit("SECOND"), c) * F.lit(1_000_000)).cast("bigint"))
+        return F.bitwise_not(micros)
     if isinstance(dtype, TimestampType):
         return F.bitwise_not(F.unix_micros(c))
     if isinstance(dtype, DateType):
