@@ -153,6 +153,28 @@ def reset(tenant: Tenant, rules: Mapping[str, Sequence[tuple]]) -> Tenant:
     return tenant.with_tables(out)
 
 
+#: fixed values: post-merge resets of the append-and-reconcile job, in the order they run
+APPEND_RECONCILE_RESETS = {
+    "t_auction_new": [("set", "duetime", 0, None)],
+    "t_counter": [
+        ("set", "value", 10, "name = 'jar_buy_dis_remain_501'"),
+        ("set", "value", 50, "name IN ('jar_buy_dis_remain_601', 'jar_buy_dis_remain_602', 'jar_buy_dis_remain_603', "
+                             "'jar_buy_dis_remain_604', 'jar_buy_dis_remain_605', 'jar_buy_dis_remain_606', "
+                             "'jar_buy_dis_remain_607')"),
+        ("set", "value", 0, "name = 'buy_mall_fashion_num'"),
+    ],
+    "t_blackmarket_auction": [("set", "off_sale", 1, "is_settled = 0")],
+    "t_blackmarket_transaction": [("set", "off_sale", 1, "state = 0")],
+    "t_sortlist": [("delete", "sorttype = 17")],
+    "t_guild": [("set", "enroll_terrid", 0, None), ("set", "battle_score", 0, None),
+                ("set", "occupy_terrid", 0, None), ("set", "inspire", 0, None)],
+    "t_figure_statue": [("delete", "statuetype IN (1, 2, 3)")],
+    "t_account": [("set", "adventure_team_grade_id", 0, None), ("set", "all_role_value_score", 0, None),
+                  ("set", "unlocked_new_occus", "", None), ("set", "query_new_occus_time", 0, None)],
+    "t_player_info": [("set", "add_preferences_time", 0, None), ("set", "del_preferences_time", 0, None)],
+}
+
+
 def final_zone(df: DataFrame, zone_cols: Iterable[str], main_zone: int, drop: Iterable[str] = ("zone_id",)) -> DataFrame:
     """Every row to the main zone, lineage column(s) dropped."""
     df = df.withColumns({c: F.lit(main_zone).cast(df.schema[c].dataType) for c in zone_cols if c in df.columns})

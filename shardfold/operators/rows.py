@@ -50,6 +50,15 @@ def with_zone(df: DataFrame, zone: int, name: str = "zone_id") -> DataFrame:
     return df.withColumn(name, F.lit(int(zone)).cast("int"))
 
 
+def zone_of(df: DataFrame, c: str) -> int | None:
+    """P5's scalar subquery ``(SELECT zoneid FROM t_player_info LIMIT 1)``.
+
+    One tiny aggregate job; ``min`` instead of an arbitrary first row so the
+    answer does not depend on file order.
+    """
+    return df.agg(F.min(c)).first()[0]
+
+
 def widen(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     """P6 ``MODIFY COLUMN c BIGINT``."""
     return df.withColumns({c: F.col(c).cast("bigint") for c in cols if c in df.columns})

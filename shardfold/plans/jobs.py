@@ -215,33 +215,70 @@ def relabel_merge(main: Tenant, subs: Sequence[Tenant], exclude: Iterable[str] =
     return res
 
 
+#: fixed values: the append modes of the append-and-reconcile job that differ from a plain append
+APPEND_RECONCILE_TABLES = {
+    "t_activity_op": {"mode": "empty"},
+    "t_jar_record": {"mode": "empty"},
+    "t_player_info_name": {"mode": "absent"},
+    "t_abnormal_transaction": {"mode": "surrogate"},
+    "t_account_counter": {"mode": "error", "where": "counter_type IN (1, 2, 3, 4, 5, 6, 10)"},
+    "t_account_shop_acc_buy_record": {"mode": "error", "where": "shop_id IN (51, 52, 70, 34)"},
+}
+
+
+def _append_table(main_df: DataFrame, main_zone: int, subs: Sequence[tuple[Tenant, DataFrame]], keys,
+                  how: Mapping, zone_col: str | None) -> DataFrame:
+    mode = how.get("mode", "error")
+    acc = main_df if zone_col is None else P.with_zone(main_df, main_zone, zone_col)
+    if mode == "empty":  # the destination is cleared and nothing is appended
+        return P.empty(acc)
+    for s, src in subs:
+        if how.get("where") is not None:
+            src = src.where(how["where"])
+        if zone_col is not None:
+            src = P.with_zone(src, s.zone, zone_col)
+        if mode == "surrogate":
+            acc = M.append_new_surrogate(acc, src, keys[0][0])
+        elif mode == "absent":
+            acc = M.merge_absent(acc, src, keys)
+        else:
+            acc = M.merge_append(acc, src, keys, on_conflict=mode)
+    return acc
+
+
 def append_reconcile(main: Tenant, subs: Sequence[Tenant], spec: Mapping, zone_col: str = "zone_id") -> JobResult:
     """R5 append every sub, then reconcile identities once.
 
     ``spec`` keys (all optional):
 
-    * ``append``: tables appended (``on_conflict`` per table, default error);
-      a ``zone_col`` lineage column is added on both sides and dropped at the end;
+    * ``append``: table -> mode (``"error"`` default | ``"replace"`` | ``"ignore"``)
+      or ``{"mode": …, "where": predicate}`` with modes ``error``, ``replace``,
+      ``ignore``, ``absent`` (insert if the key is absent), ``surrogate``
+      (new primary key after main's max, S6) and ``empty`` (main's table
+      cleared, nothing appended); see :data:`APPEND_RECONCILE_TABLES`;
+    * ``append_rest``: also append every other table main and a sub share;
     * ``names``: ``[{table, name, id, cascade: [(table, on_col, name_col)], ledger_type}]`` (N5-N7);
     * ``accounts``: ``{table, key, id, order, folds, repoint: [(table, set_col, on_col)]}`` (I2, I3, I8);
-    * ``resets``: per-table reset steps (I17);
+    * ``resets``: per-table reset steps (I17), e.g. ``APPEND_RECONCILE_RESETS``;
     * ``final_zone``: ``[(table, column)]`` stamped with main's zone (I18).
 
-    Returns the reconciled tenant; the compensation ledger is its
-    ``ledger`` table.
+    A ``zone_col`` lineage column (the tenant a row came from) is added to
+    appended tables on both sides and dropped at the end.  The compensation
+    ledger is returned as the ``ledger`` table.
     """
     main_zone = main.zone
-    tables = dict(spec.get("append") or {})
+    tables = {t: ({"mode": h} if isinstance(h, str) or h is None else dict(h))
+              for t, h in (spec.get("append") or {}).items()}
+    if spec.get("append_rest"):
+        for t in main.names():
+            if t not in tables and any(s.has(t) for s in subs):
+                tables[t] = {"mode": "error"}
     out = {}
-    for t, conflict in tables.items():
+    for t, how in tables.items():
         if not main.has(t):
             continue
-        acc = P.with_zone(main.table(t), main_zone, zone_col)
-        for s in subs:
-            if s.has(t):
-                acc = M.merge_append(acc, P.with_zone(s.table(t), s.zone, zone_col), main.spec(t).keys,
-                                     on_conflict=conflict or "error")
-        out[t] = acc
+        srcs = [(s, s.table(t)) for s in subs if s.has(t)]
+        out[t] = _append_table(main.table(t), main_zone, srcs, main.spec(t).keys, how, zone_col)
     cur = main.with_tables(out)
     ledgers = []
     for nm in spec.get("names") or []:

@@ -101,6 +101,16 @@ def merge_report(main: Tenant, sub: Tenant, merged: Tenant, actions: Iterable[tu
         for s in ("main", "sub", "out")])
 
 
+def action_summary(spark: SparkSession, actions: Iterable[tuple[str, str, str]]) -> DataFrame:
+    """Per sub: tables merged, skipped (excluded or missing) and total, from a job's actions."""
+    rows = [(str(sub), str(t), str(a)) for sub, t, a in actions]
+    df = spark.createDataFrame(rows, "sub string, table_name string, action string")
+    return df.groupBy("sub").agg(
+        F.count(F.when(F.col("action").isin("merged", "copied"), 1)).alias("merged"),
+        F.count(F.when(F.col("action").isin("excluded", "missing"), 1)).alias("skipped"),
+        F.count(F.lit(1)).alias("total"))
+
+
 def lineage_rows(spark: SparkSession, records: Iterable[Mapping[str, object]]) -> DataFrame:
     """One merge record per merged sub ``(from_tenant, to_tenant, zone)``."""
     rows = [(str(r["from_tenant"]), str(r["to_tenant"]), int(r["zone"])) for r in records]

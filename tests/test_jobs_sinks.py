@@ -250,3 +250,51 @@ def test_polymorphic_owner_rules(spark):
     assert res.main.table("chat").count() == 0
     assert rows(res.accounts.table("account")) == [(1, "zed_s2"), (2, "y_s2")]  # suffix only once
     assert dict(res.main.table("guild_member").dtypes)["RoleID"] == "bigint"
+
+
+def test_action_summary_and_zone_of(spark):
+    from shardfold.operators.rows import zone_of
+    from shardfold.sources.sinks import action_summary, lineage_rows
+
+    main, sub = f1_tenant(spark, "main", 1), f1_tenant(spark, "sub", 2)
+    res = J.run_rules(main, [J.SubTenant(sub)], {"type": "1", "un_merge": [{"db_table": "log"}]})
+    assert rows(action_summary(spark, res.actions)) == [("sub", 3, 1, 4)]
+    assert zone_of(sub.table("players"), "serverid") == 2
+    lin = lineage_rows(spark, [{"from_tenant": "sub", "to_tenant": "main", "zone": 1}])
+    assert rows(lin) == [("sub", "main", 1)]
+
+
+def test_append_reconcile_resets_preset(spark):
+    from shardfold.operators.retention import APPEND_RECONCILE_RESETS, reset
+
+    t = Tenant("t", 1, {
+        "t_counter": spark.createDataFrame([(1, "jar_buy_dis_remain_501", 3), (1, "jar_buy_dis_remain_607", 3),
+                                            (1, "buy_mall_fashion_num", 4), (1, "other", 5)],
+                                           "owner bigint, name string, value bigint"),
+        "t_sortlist": spark.createDataFrame([(1, 17), (2, 3)], "id bigint, sorttype int"),
+        "t_blackmarket_auction": spark.createDataFrame([(0, 0), (0, 1)], "off_sale int, is_settled int")})
+    out = reset(t, APPEND_RECONCILE_RESETS)
+    assert rows(out.table("t_counter"), "name", "value") == [
+        ("buy_mall_fashion_num", 0), ("jar_buy_dis_remain_501", 10), ("jar_buy_dis_remain_607", 50), ("other", 5)]
+    assert rows(out.table("t_sortlist")) == [(2, 3)]
+    assert rows(out.table("t_blackmarket_auction")) == [(0, 1), (1, 0)]
+
+
+def test_append_reconcile_modes(spark):
+    def t(zone, names, tx, counters, op):
+        return Tenant(f"z{zone}", zone, {
+            "t_player_info_name": spark.createDataFrame([(n,) for n in names], "name string"),
+            "t_abnormal_transaction": spark.createDataFrame(tx, "guid bigint, payload string"),
+            "t_account_counter": spark.createDataFrame(counters, "acc_guid bigint, counter_type int"),
+            "t_activity_op": spark.createDataFrame(op, "id bigint"),
+            "t_mail": spark.createDataFrame([(zone * 10,)], "owner bigint"),
+        }, {"t_player_info_name": "name", "t_abnormal_transaction": "guid"})
+    main = t(1, ["ann", "bob"], [(1, "a"), (5, "b")], [(1, 1)], [(1,)])
+    sub = t(2, ["bob", "cy"], [(1, "c"), (2, "d")], [(2, 7), (3, 10)], [(2,)])
+    res = J.append_reconcile(main, [sub], {"append": J.APPEND_RECONCILE_TABLES, "append_rest": True})
+    m = res.main
+    assert rows(m.table("t_player_info_name")) == [("ann",), ("bob",), ("cy",)]
+    assert rows(m.table("t_abnormal_transaction")) == [(1, "a"), (5, "b"), (6, "c"), (7, "d")]
+    assert rows(m.table("t_account_counter")) == [(1, 1), (3, 10)]
+    assert m.table("t_activity_op").count() == 0 and m.table("t_activity_op").columns == ["id"]
+    assert rows(m.table("t_mail")) == [(10,), (20,)]
