@@ -9,6 +9,8 @@ while the join side is one row per name and AQE splits a skewed probe side.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,13 +58,15 @@ def duplicate_names(df: DataFrame, c: str, where=None) -> DataFrame:
 
 
 def rename_duplicates(df: DataFrame, c: str, zone: str | Column, main_zone: int, id_col: str | None = None,
-                      template: str = "s%d.%s", where=None) -> tuple[DataFrame, DataFrame]:
+                      template: str = "s%d.%s", where=None, only=None,
+                      extra: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Rows whose name is duplicated and whose zone is not main's become ``s<zone>.<name>``.
 
     Comparison is binary (case-sensitive, H16).  Rows with id 0 are left as
     they are (the reference skips them).  ``where`` narrows the rows that
-    count as holders of a name (e.g. ``adventure_team_name <> ''``).
-    Returns ``(renamed table, renames(id, old_name, new_name, zone))``.
+    count as holders of a name (e.g. ``adventure_team_name <> ''``); ``only``
+    is an extra condition on the renamed rows (e.g. ``accid <> 0``).
+    Returns ``(renamed table, renames(id, old_name, new_name, zone, *extra))``.
     """
     zone_c = F.col(zone) if isinstance(zone, str) else zone
     where = None if where is None else as_column(where)
@@ -71,6 +75,8 @@ def rename_duplicates(df: DataFrame, c: str, zone: str | Column, main_zone: int,
     hit = F.coalesce(F.col("__dup"), F.lit(False)) & (zone_c != F.lit(main_zone))
     if where is not None:
         hit = hit & F.coalesce(where, F.lit(False))
+    if only is not None:
+        hit = hit & F.coalesce(as_column(only), F.lit(False))
     if id_col is not None:
         hit = hit & (F.col(id_col) != 0)
     j = j.withColumn("__ren", hit).withColumn("__old", F.col(c)) \
@@ -78,7 +84,8 @@ def rename_duplicates(df: DataFrame, c: str, zone: str | Column, main_zone: int,
                     .otherwise(F.col(c)))
     renamed = j.drop("__dup", "__ren", "__old").select(*df.columns)
     cols = ([F.col(id_col).alias("id")] if id_col else []) + [
-        F.col("__old").alias("old_name"), F.col(c).alias("new_name"), zone_c.cast("int").alias("zone")]
+        F.col("__old").alias("old_name"), F.col(c).alias("new_name"), zone_c.cast("int").alias("zone")] + [
+        F.col(e) for e in extra]
     renames = j.where("__ren").select(*cols)
     return renamed, renames
 
@@ -101,17 +108,21 @@ def rename_ledger(renames: DataFrame, kind: int, id_col: str = "id", id_name: st
 
 
 def guild_ledger(renames: DataFrame, members: DataFrame, guild_col: str = "guildid",
-                 member_id: str = "guid", leader=None, kind: int = 2) -> DataFrame:
-    """N7 for guilds: the ledger row goes to the guild's leader (``post = 13``).
+                 member_id: str = "guid", member_name: str = "name", leader=None, kind: int = 2) -> DataFrame:
+    """N7 for guilds: one ledger row per renamed guild, addressed to its leader.
 
-    One row per renamed guild: the leader with the smallest id; a guild
-    without a leader gets no row.
+    The row carries the leader's guid and the leader's own name (``post = 13``);
+    with several leaders the smallest guid is taken, a guild without a leader
+    gets no row.
     """
+    from ..functions.columns import first_by
+
     leader = F.col("post") == 13 if leader is None else leader
-    lead = members.where(F.coalesce(leader, F.lit(False))).groupBy(guild_col) \
-        .agg(F.min(member_id).alias("__leader"))
+    lead = members.where(F.coalesce(leader, F.lit(False))).groupBy(guild_col).agg(
+        first_by(members, [member_id], F.struct(F.col(member_id).alias("g"), F.col(member_name).alias("n")))
+        .alias("__l"))
     j = renames.join(lead, renames["id"] == lead[guild_col], "inner")
-    return j.select(F.col("__leader").cast("bigint").alias("guid"), F.col("new_name").alias("name"),
+    return j.select(F.col("__l.r.g").cast("bigint").alias("guid"), F.col("__l.r.n").alias("name"),
                     F.lit(kind).cast("int").alias("type"))
 
 

@@ -175,7 +175,8 @@ def test_guild_rename_and_ledger(spark):
     renamed, renames = N.rename_guilds(guilds)
     assert sorted(r.name for r in renamed.collect()) == ["blue", "red", "s2.red"]
     gid = [r.guid for r in guilds.collect() if r.name == "red" and r.guid >> 54 == 2][0]
-    members = spark.createDataFrame([(50, gid, 13), (51, gid, 13), (52, gid, 2)], "guid bigint, guildid bigint, post int")
+    members = spark.createDataFrame([(50, gid, 13, "boss"), (51, gid, 13, "vice"), (52, gid, 2, "x")],
+                                    "guid bigint, guildid bigint, post int, name string")
     led = N.guild_ledger(renames, members)
-    assert rows(led) == [(50, "s2.red", 2)]
+    assert rows(led) == [(50, "boss", 2)]
     assert N.guild_ledger(renames, members.where("post <> 13")).count() == 0
