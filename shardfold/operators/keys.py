@@ -89,6 +89,18 @@ def group_offset(main: Tenant, sub: Tenant, group: Sequence[Col]) -> int:
     return max_ids([main, sub], [first])[first]
 
 
+def group_overflow(tenants: Sequence[Tenant], group: Sequence[Col]) -> dict[Col, int]:
+    """H5 check: members whose max exceeds the first member's max.
+
+    The group offset comes from the first member only, so a foreign key above
+    that max (an orphan) can collide after the shift.  Returns the offending
+    members with their max (empty = safe); one aggregate job.
+    """
+    maxes = max_ids(tenants, [tuple(m) for m in group])
+    first = maxes[tuple(group[0])]
+    return {m: v for m, v in maxes.items() if v > first}
+
+
 def shift_group(sub: Tenant, group: Sequence[Col], offset: int) -> Tenant:
     """K3 ``same``: every member column shifted by the group's one offset."""
     return shift_columns(sub, {tuple(m): offset for m in group})

@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import as_column
 from ..model import Tenant
 from ..operators import identity as I
 from ..operators import merge as M
@@ -182,15 +183,29 @@ def exclusion_merge(main: Tenant, subs: Sequence[Tenant], exclude: Iterable[str]
 
 def filtered_merge(main: Tenant, subs: Sequence[Tenant], filters: Mapping[str, object],
                    mode: str = "replace") -> JobResult:
-    """Only the listed tables, each with its row filter (M5)."""
+    """Only the listed tables, each with its row filter (M5).
+
+    The filters do not read main, so in ``replace`` mode all subs of a table
+    go in one many-tenant merge (one shuffle whatever the number of subs).
+    """
     res = JobResult(main)
-    for s in subs:
-        out = {}
-        for t, pred in filters.items():
-            if s.has(t) and res.main.has(t):
-                out[t] = M.merge_filtered(res.main.table(t), s.table(t), res.main.spec(t).keys, pred, mode)
-                res.actions.append((s.name, t, "merged"))
-        res.main = res.main.with_tables(out)
+    out = {}
+    for t, pred in filters.items():
+        if not main.has(t):
+            continue
+        frames = [s.table(t).where(as_column(pred)) for s in subs if s.has(t)]
+        res.actions.extend((s.name, t, "merged") for s in subs if s.has(t))
+        if not frames:
+            continue
+        if mode == "replace":
+            out[t] = M.merge_all_table([main.table(t)] + frames, main.spec(t).keys) if main.spec(t).keys \
+                else M._union_all([main.table(t)] + frames)
+        else:
+            acc = main.table(t)
+            for f in frames:
+                acc = M.merge_filtered(acc, f, main.spec(t).keys, F.lit(True), mode)
+            out[t] = acc
+    res.main = main.with_tables(out)
     return res
 
 
@@ -199,8 +214,9 @@ def relabel_merge(main: Tenant, subs: Sequence[Tenant], exclude: Iterable[str] =
                   prefix_template: str = "s{zone}", stamp: str = "main") -> JobResult:
     """Prefix each sub's names with ``s<zone>`` (N4), re-label its zone
     columns (P4; ``stamp='main'`` writes main's zone, ``'sub'`` the sub's, H22),
-    then merge all but ``exclude`` (M6)."""
-    res = JobResult(main)
+    then merge all but ``exclude`` (M6/M7).  The rewrites do not read main,
+    so all subs go in one many-tenant merge per table."""
+    relabeled = []
     for s in subs:
         out = {}
         for t, c in name_cols:
@@ -210,8 +226,8 @@ def relabel_merge(main: Tenant, subs: Sequence[Tenant], exclude: Iterable[str] =
         for t, c in zone_cols:
             if s.has(t):
                 out[t] = P.stamp_tenant(out.get(t, s.table(t)), [c], zone)
-        res.main, actions = M.merge_tenant(res.main, s.with_tables(out), exclude=exclude)
-        res.actions.extend((s.name, t, a) for t, a in actions)
+        relabeled.append(s.with_tables(out))
+    res = exclusion_merge(main, relabeled, exclude=exclude)
     return res
 
 
