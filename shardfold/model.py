@@ -51,8 +51,11 @@ class Tenant:
     zone: int
     tables: Mapping[str, DataFrame] = field(default_factory=dict)
     specs: Mapping[str, TableSpec] = field(default_factory=dict)
+    #: maxima already known for (table, column): K1 uses them instead of scanning
+    known_max: Mapping[tuple[str, str], int] = field(default_factory=dict)
 
     def __post_init__(self):
+        object.__setattr__(self, "known_max", MappingProxyType(dict(self.known_max)))
         object.__setattr__(self, "tables", MappingProxyType(dict(self.tables)))
         object.__setattr__(self, "specs", MappingProxyType(
             {t: s if isinstance(s, TableSpec) else TableSpec.of(s) for t, s in self.specs.items()}))
@@ -74,13 +77,19 @@ class Tenant:
         return self.with_tables(tables)
 
     def with_tables(self, tables: Mapping[str, DataFrame], drop: Iterable[str] = ()) -> "Tenant":
+        """A new tenant with tables swapped; known maxima of swapped tables are forgotten."""
         merged = {**self.tables, **tables}
+        drop = set(drop)
         for t in drop:
             merged.pop(t, None)
-        return Tenant(self.name, self.zone, merged, self.specs)
+        known = {k: v for k, v in self.known_max.items() if k[0] not in tables and k[0] not in drop}
+        return Tenant(self.name, self.zone, merged, self.specs, known)
 
     def with_specs(self, specs: Mapping[str, object]) -> "Tenant":
-        return Tenant(self.name, self.zone, self.tables, {**self.specs, **specs})
+        return Tenant(self.name, self.zone, self.tables, {**self.specs, **specs}, self.known_max)
+
+    def with_known_max(self, known: Mapping[tuple[str, str], int]) -> "Tenant":
+        return Tenant(self.name, self.zone, self.tables, self.specs, known)
 
     def columns_named(self, column: str) -> list[str]:
         """Tables that have a column called ``column`` (schema probe, no job)."""

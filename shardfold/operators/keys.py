@@ -39,7 +39,7 @@ def max_ids_frame(tenants: Sequence[Tenant], cols: Iterable[Col]) -> DataFrame |
             if not ten.has(t):
                 continue
             df = ten.table(t)
-            present = [c for c in cs if c in df.columns]
+            present = [c for c in cs if c in df.columns and (t, c) not in ten.known_max]
             if not present:
                 continue
             agg = df.agg(*[F.coalesce(F.max(F.col(c)).cast("bigint"), F.lit(0).cast("bigint")).alias(c)
@@ -57,6 +57,10 @@ def max_ids(tenants: Sequence[Tenant], cols: Iterable[Col]) -> dict[Col, int]:
     """K1: ``max(IFNULL(MAX(c), 0))`` over all ``tenants`` per (table, column); one job."""
     cols = list(cols)
     out = {tc: 0 for tc in cols}
+    for ten in tenants:
+        for tc in cols:
+            if tc in ten.known_max:
+                out[tc] = max(out[tc], int(ten.known_max[tc]))
     frame = max_ids_frame(tenants, cols)
     if frame is None:
         return out

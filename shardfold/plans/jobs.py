@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import as_column
 from ..model import Tenant
 from ..operators import identity as I
+from ..operators import keys as K
 from ..operators import merge as M
 from ..operators import names as N
 from ..operators import retention as R
@@ -134,13 +135,77 @@ def _materialise(t: Tenant) -> Tenant:
     return t.with_tables({n: cut_lineage(df) for n, df in t.tables.items()})
 
 
+def rule_columns(rules: Mapping, tenant: Tenant) -> list[tuple[str, str]]:
+    """Every (table, column) whose maximum a rule document asks for (a group's first member only)."""
+    cols = []
+    for grp in rules.get("same") or []:
+        cols += [(g["db_table"], g["db_field"]) for g in (grp.get("group") or [])[:1]]
+    cols += [(i["db_table"], i["db_field"]) for i in rules.get("other_identity") or []]
+    sp = rules.get("simple_process") or {}
+    cols += [(d["db_table"], d["db_field"]) for d in sp.get("deal_with") or []]
+    for p in sp.get("primary_key") or []:
+        cols += [(t, p["db_field"]) for t in tenant.columns_named(p["db_field"])]
+    return list(dict.fromkeys(c for c in cols if c[0] and c[1]))
+
+
+def _renumbered(rules: Mapping) -> set[tuple[str, str]]:
+    if str(rules.get("restructure_state")) != "1":
+        return set()
+    return {(g["db_table"], g["db_field"]) for tool in rules.get("restructure_tool") or []
+            for g in tool.get("group") or []}
+
+
+def _fold_known(prev: Tenant, merged: Tenant, sub: Tenant, rules: Mapping, exclude: set[str],
+                cols: Sequence[tuple[str, str]], declared: bool = False) -> Tenant:
+    """Known maxima of main after one sub, where they follow exactly from main's and the sub's.
+
+    A column that is its table's only key (clashing rows share the key
+    value), or lives in a keyless table (plain append), has
+    ``max(main, rewritten sub)``; an excluded table keeps main's.  Columns of
+    a renumbered group, or any other column, are left unknown and scanned
+    when next needed.
+    """
+    renum = _renumbered(rules)
+    if declared:  # emptied or modified destination tables: values no longer follow
+        renum |= {(t, c) for t, c in cols for item in (rules.get("empty_table") or []) + (rules.get("modify_table") or [])
+                  if item.get("db_table") == t}
+    wanted = [c for c in cols if c not in renum and c in prev.known_max and c[0] not in exclude]
+    sub_max = K.max_ids([sub], wanted) if wanted else {}
+    known = {}
+    for t, c in cols:
+        if (t, c) in renum or (t, c) not in prev.known_max:
+            continue
+        if t in exclude or not sub.has(t):
+            known[(t, c)] = prev.known_max[(t, c)]
+            continue
+        keys = merged.spec(t).keys
+        if not keys or keys == ((c,),):
+            known[(t, c)] = max(prev.known_max[(t, c)], sub_max.get((t, c), 0))
+    return merged.with_known_max(known)
+
+
 def run_rules(main: Tenant, subs: Sequence[SubTenant], rules: Mapping, main_accounts: Tenant | None = None,
               declared_tables: bool = False, checkpoint_between: bool | None = None) -> JobResult:
-    """R1 rule-driven merge: per sub remap -> names -> stamp -> merge -> accounts."""
+    """R1 rule-driven merge: per sub remap -> names -> stamp -> merge -> accounts.
+
+    With several subs, main's maxima are tracked on the driver where they are
+    exact (see :func:`_fold_known`), so a sub's offsets never re-run the
+    merges before it: one small job per sub over the sub's own tables.  Rules
+    that read main's names (conflict-only affixes N2, account relink I1)
+    would reference main twice per sub and double the plan with every sub,
+    so for them the merged tables are checkpointed between subs instead.
+    """
     res = JobResult(main, main_accounts)
     exclude = [i["db_table"] for i in rules.get("un_merge") or []]
+    ps0 = rules.get("prefix_setting") or {}
+    reads_main = (str(ps0.get("repeat_modify")) == "1" and str(ps0.get("role_is")) in ("1", "2")) or \
+        str(ps0.get("account_change")) == "999"
     if checkpoint_between is None:
-        checkpoint_between = len(subs) > 1
+        checkpoint_between = reads_main and len(subs) > 1
+    track = len(subs) > 1 and not checkpoint_between
+    cols = rule_columns(rules, main) if track else []
+    if track and cols:
+        res.main = main.with_known_max(K.max_ids([main], cols))
     for k, s in enumerate(subs):
         r = _with_overrides(rules, s)
         rm = remap(res.main, s.tenant, r)
@@ -155,8 +220,11 @@ def run_rules(main: Tenant, subs: Sequence[SubTenant], rules: Mapping, main_acco
         ps = r.get("prefix_setting") or {}
         if str(ps.get("account_change")) == "1" and res.accounts is not None and s.accounts is not None:
             res.accounts = M.merge_accounts(res.accounts, s.accounts, ps.get("account_suffix") or "")
-        if checkpoint_between and k < len(subs) - 1:
-            merged = _materialise(merged)
+        if k < len(subs) - 1:
+            if checkpoint_between:
+                merged = _materialise(merged)
+            elif track and cols:
+                merged = _fold_known(res.main, merged, sub, r, set(exclude), cols, declared_tables)
         res.main = merged
     return res
 

@@ -298,3 +298,17 @@ def test_append_reconcile_modes(spark):
     assert rows(m.table("t_account_counter")) == [(1, 1), (3, 10)]
     assert m.table("t_activity_op").count() == 0 and m.table("t_activity_op").columns == ["id"]
     assert rows(m.table("t_mail")) == [(10,), (20,)]
+
+
+def test_many_subs_tracked_offsets_equal_checkpointed(spark, monkeypatch):
+    main = f1_tenant(spark, "main", 1)
+    subs = [f1_tenant(spark, f"s{z}", z, (f"a{z}", f"b{z}")) for z in (2, 3, 4)]
+    rules = {k: v for k, v in RULES2.items() if k != "prefix_setting"}
+    exact = J.run_rules(main, [J.SubTenant(s, server_id=s.zone) for s in subs], rules, checkpoint_between=True)
+    calls = []
+    monkeypatch.setattr(J, "cut_lineage", lambda df: calls.append(1) or df)
+    tracked = J.run_rules(main, [J.SubTenant(s, server_id=s.zone) for s in subs], rules)
+    assert not calls  # no checkpoint of main between subs
+    for t in ("players", "roles", "guild", "log"):
+        assert rows(tracked.main.table(t)) == rows(exact.main.table(t))
+    assert len(rows(tracked.main.table("players"))) == 12
