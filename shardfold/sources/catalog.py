@@ -7,7 +7,6 @@ pushdown reach the parquet scan).
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,25 +19,41 @@ def has_column(df: DataFrame, c: str) -> bool:
     return c in df.columns
 
 
-def list_parquet_tables(path: str) -> list[str]:
-    """S3 for a folder: every ``<name>.parquet`` file or folder is a table."""
+def _fs(spark: SparkSession, path: str):
+    """The Hadoop FileSystem of ``path`` (local, HDFS, object store alike) and its Path."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
+def list_parquet_tables(spark: SparkSession, path: str) -> list[str]:
+    """S3 for a folder: every ``<name>.parquet`` file or folder, or plain folder, is a table."""
+    fs, p = _fs(spark, path)
     out = []
-    for entry in sorted(os.listdir(path)):
+    for st in fs.listStatus(p):
+        entry = st.getPath().getName()
+        if entry.startswith(("_", ".")):
+            continue
         if entry.endswith(".parquet"):
             out.append(entry[: -len(".parquet")])
-        elif os.path.isdir(os.path.join(path, entry)) and not entry.startswith(("_", ".")):
+        elif st.isDirectory():
             out.append(entry)
-    return out
+    return sorted(out)
 
 
 def parquet_tenant(spark: SparkSession, name: str, zone: int, path: str,
                    tables: Iterable[str] | None = None, specs: Mapping | None = None) -> Tenant:
     """S1 a tenant stored as one parquet dataset per table under ``path``."""
-    names = list(tables) if tables is not None else list_parquet_tables(path)
+    names = list(tables) if tables is not None else list_parquet_tables(spark, path)
     frames = {}
     for t in names:
-        p = os.path.join(path, f"{t}.parquet")
-        frames[t] = spark.read.parquet(p if os.path.exists(p) else os.path.join(path, t))
+        p = f"{path.rstrip('/')}/{t}.parquet"
+        frames[t] = spark.read.parquet(p if path_exists(spark, p) else f"{path.rstrip('/')}/{t}")
     return Tenant(name, zone, frames, specs or {})
 
 

@@ -11,7 +11,6 @@ pass over the data.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
@@ -35,14 +34,14 @@ def write_tenant(tenant: Tenant, out: str, version: str, threads: int = 4,
     Returns ``{table: rows_written}``.  ``out`` is a shared folder (HDFS/S3/…)
     on a cluster; ``version`` must be new.
     """
-    base = os.path.join(out, f"v={version}")
+    base = f"{out.rstrip('/')}/v={version}"
     names = list(tables) if tables is not None else tenant.names()
     with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
-        counts = dict(zip(names, pool.map(lambda t: write_table(tenant.table(t), os.path.join(base, t)), names)))
+        counts = dict(zip(names, pool.map(lambda t: write_table(tenant.table(t), f"{base}/{t}"), names)))
     spark = next(iter(tenant.tables.values())).sparkSession if tenant.tables else None
     if spark is not None:
         spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite") \
-            .text(os.path.join(base, "_PUBLISHED"))
+            .text(f"{base}/_PUBLISHED")
     return counts
 
 
@@ -72,10 +71,12 @@ def save_bucketed(tenant: Tenant, database: str, buckets: int, tables: Iterable[
 def read_published(spark: SparkSession, out: str, version: str, name: str, zone: int,
                    tables: Iterable[str]) -> Tenant:
     """Re-open a published version as a tenant (fails if it was never published)."""
-    base = os.path.join(out, f"v={version}")
-    if not os.path.exists(os.path.join(base, "_PUBLISHED")):
+    from .catalog import path_exists
+
+    base = f"{out.rstrip('/')}/v={version}"
+    if not path_exists(spark, f"{base}/_PUBLISHED"):
         raise FileNotFoundError(f"version {version} under {out} is not published")
-    return Tenant(name, zone, {t: spark.read.parquet(os.path.join(base, t)) for t in tables})
+    return Tenant(name, zone, {t: spark.read.parquet(f"{base}/{t}") for t in tables})
 
 
 def merge_report(main: Tenant, sub: Tenant, merged: Tenant, actions: Iterable[tuple[str, str]]) -> DataFrame:

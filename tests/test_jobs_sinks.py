@@ -161,7 +161,7 @@ def test_write_tenant_versioned(spark):
 
 def test_parquet_tenant_reads_driver_tables(spark):
     d = "/root/testdata/sf0.001"
-    names = list_parquet_tables(d)
+    names = list_parquet_tables(spark, d)
     assert {"customer", "orders", "lineitem"} <= set(names)
     t = parquet_tenant(spark, "t", 1, d, ["customer", "orders"], {"customer": "c_custkey"})
     assert t.spec("customer").primary == ("c_custkey",)
