@@ -762,9 +762,11 @@ def resets(spark, d):
 @query("relabel_merge", _with(T.CM, T.CS) + """
 SELECT * FROM cm WHERE NOT EXISTS (SELECT 1 FROM cs WHERE cs.c_custkey = cm.c_custkey)
 UNION ALL
-SELECT c_custkey, 's2' || c_name, CAST(1 AS INTEGER), c_acctbal, c_mktsegment FROM cs""")
+SELECT c_custkey, 's2' || c_name, CASE WHEN c_nationkey = 2 THEN 1 ELSE c_nationkey END, c_acctbal, c_mktsegment
+FROM cs""")
 def relabel_merge(spark, d):
-    """Sub names prefixed s<zone>, zone column re-labelled, then merged."""
+    """Sub names prefixed s<zone>, the sub's zone re-labelled to main's
+    in the zone column (here c_nationkey), then merged."""
     res = J.relabel_merge(T.main_tenant(spark, d, ("customer",)), [T.sub_tenant(spark, d, ("customer",))],
                           name_cols=[("customer", "c_name")], zone_cols=[("customer", "c_nationkey")])
     return res.main.table("customer")

@@ -47,6 +47,7 @@ class JobResult:
     accounts: Tenant | None = None
     actions: list[tuple[str, str, str]] = field(default_factory=list)  # (sub, table, action)
     ignored: list[str] = field(default_factory=list)
+    extra: dict[str, object] = field(default_factory=dict)  # side outputs (login tenant, merge records, ...)
 
 
 def _with_overrides(rules: Mapping, sub: SubTenant) -> dict:
@@ -279,23 +280,58 @@ def filtered_merge(main: Tenant, subs: Sequence[Tenant], filters: Mapping[str, o
 
 def relabel_merge(main: Tenant, subs: Sequence[Tenant], exclude: Iterable[str] = (),
                   name_cols: Sequence[tuple[str, str]] = (), zone_cols: Sequence[tuple[str, str]] = (),
-                  prefix_template: str = "s{zone}", stamp: str = "main") -> JobResult:
-    """Prefix each sub's names with ``s<zone>`` (N4), re-label its zone
-    columns (P4; ``stamp='main'`` writes main's zone, ``'sub'`` the sub's, H22),
-    then merge all but ``exclude`` (M6/M7).  The rewrites do not read main,
-    so all subs go in one many-tenant merge per table."""
+                  prefix_template: str = "s{zone}", relabel: str = "map", stamp: str = "main",
+                  login: tuple[Tenant, str, str] | None = None, merge_record: bool = False,
+                  server_config: tuple[Tenant, str, Mapping[str, object]] | None = None) -> JobResult:
+    """Relabel each sub, then merge all but ``exclude`` (M6/M7).
+
+    * names: prefixed with ``s<zone>`` (N4);
+    * zone columns: ``relabel="map"`` sets ``c = main zone WHERE c = sub zone``
+      (P3); ``"stamp"`` sets every row to main's (``stamp="main"``) or the
+      sub's own zone (``"sub"``, H22) (P4);
+    * ``login=(tenant, table, column)``: that other database's server column
+      is re-pointed from every sub zone to main's (P3), returned as
+      ``extra["login"]``;
+    * ``merge_record``: one row ``(platform, fromServerId, toServerId,
+      finalServerId)`` per sub in ``extra["t_merge_record"]`` (S8);
+    * ``server_config=(tenant, table, values)``: ``SET values WHERE
+      serverType = 0 AND serverId = <sub zone>`` (P2), in ``extra["server_config"]``.
+
+    The rewrites do not read main, so all subs go in one many-tenant merge
+    per table.
+    """
     relabeled = []
     for s in subs:
         out = {}
         for t, c in name_cols:
             if s.has(t):
                 out[t] = N.tenant_prefix(out.get(t, s.table(t)), c, s.zone, prefix_template)
-        zone = main.zone if stamp == "main" else s.zone
         for t, c in zone_cols:
             if s.has(t):
-                out[t] = P.stamp_tenant(out.get(t, s.table(t)), [c], zone)
+                df = out.get(t, s.table(t))
+                if relabel == "map":
+                    out[t] = P.map_values(df, c, {s.zone: main.zone})
+                else:
+                    out[t] = P.stamp_tenant(df, [c], main.zone if stamp == "main" else s.zone)
         relabeled.append(s.with_tables(out))
     res = exclusion_merge(main, relabeled, exclude=exclude)
+    spark = next(iter(main.tables.values())).sparkSession if main.tables else None
+    if login is not None:
+        lt, table, col = login
+        df = lt.table(table)
+        for s in subs:
+            df = P.map_values(df, col, {s.zone: main.zone})
+        res.extra["login"] = lt.replace(**{table: df})
+    if merge_record and spark is not None:
+        res.extra["t_merge_record"] = spark.createDataFrame(
+            [(1, s.zone, main.zone, main.zone) for s in subs],
+            "platform int, fromServerId int, toServerId int, finalServerId int")
+    if server_config is not None:
+        ct, table, values = server_config
+        df = ct.table(table)
+        for s in subs:
+            df = P.set_where(df, (F.col("serverType") == 0) & (F.col("serverId") == s.zone), dict(values))
+        res.extra["server_config"] = ct.replace(**{table: df})
     return res
 
 

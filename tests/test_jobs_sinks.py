@@ -129,6 +129,17 @@ def test_exclusion_filtered_relabel_append(spark):
     r4 = J.relabel_merge(main, [sub], exclude=["log"], name_cols=[("players", "name")],
                          zone_cols=[("players", "serverid")])
     assert rows(r4.main.table("players"), "dbid", "name", "serverid")[0] == (1, "s2ann", 1)
+    login = Tenant("login", 0, {"srv": spark.createDataFrame([(1, 2), (2, 3), (3, 1)], "uid bigint, loginserver_id int")})
+    cfg = Tenant("cfg", 0, {"t_server": spark.createDataFrame(
+        [(2, 0, "p", "r", "db2"), (2, 1, "p", "r", "db2"), (1, 0, "p", "r", "db1")],
+        "serverId int, serverType int, serverPort string, serverRemotePort string, serverDBName string")})
+    r4b = J.relabel_merge(main, [sub, f1_tenant(spark, "s3", 3)], exclude=["log"], login=(login, "srv", "loginserver_id"),
+                          merge_record=True, server_config=(cfg, "t_server", {"serverPort": "9000",
+                                                                             "serverDBName": "main"}))
+    assert rows(r4b.extra["login"].table("srv")) == [(1, 1), (2, 1), (3, 1)]
+    assert rows(r4b.extra["t_merge_record"]) == [(1, 2, 1, 1), (1, 3, 1, 1)]
+    assert rows(r4b.extra["server_config"].table("t_server")) == [
+        (1, 0, "p", "r", "db1"), (2, 0, "9000", "r", "main"), (2, 1, "p", "r", "db2")]
     acc = lambda z, rows_: Tenant(f"z{z}", z, {"account": spark.createDataFrame(
         rows_, "guid bigint, accid bigint, level int, point bigint, name string")}, {"account": "guid"})
     t1 = acc(1, [(1, 100, 5, 1, "ann"), (2, 200, 9, 1, "bob")])
