@@ -136,8 +136,9 @@ def merge_absent(main: DataFrame, sub: DataFrame, keys, allow_missing: bool = Fa
 
 def merge_filtered(main: DataFrame, sub: DataFrame, keys, where, mode: str = "replace",
                    allow_missing: bool = False) -> DataFrame:
-    """M5: M1/M3/M4 over ``sub WHERE cond`` (the filter reaches the sub's scan)."""
-    sub = sub.where(as_column(where))
+    """M5: M1/M3/M4 over ``sub WHERE cond`` (the filter reaches the sub's scan); an empty condition keeps every row."""
+    if where is not None and not (isinstance(where, str) and not where.strip()):
+        sub = sub.where(as_column(where))
     if mode == "replace":
         return merge_replace(main, sub, keys, allow_missing=allow_missing)
     if mode == "append":

@@ -262,7 +262,8 @@ def filtered_merge(main: Tenant, subs: Sequence[Tenant], filters: Mapping[str, o
     for t, pred in filters.items():
         if not main.has(t):
             continue
-        frames = [s.table(t).where(as_column(pred)) for s in subs if s.has(t)]
+        no_filter = pred is None or (isinstance(pred, str) and not pred.strip())
+        frames = [s.table(t) if no_filter else s.table(t).where(as_column(pred)) for s in subs if s.has(t)]
         res.actions.extend((s.name, t, "merged") for s in subs if s.has(t))
         if not frames:
             continue

@@ -124,8 +124,9 @@ def test_exclusion_filtered_relabel_append(spark):
     main, sub = f1_tenant(spark, "main", 1), f1_tenant(spark, "sub", 2)
     r2 = J.exclusion_merge(main, [sub], exclude=["log"])
     assert rows(r2.main.table("players"), "dbid", "serverid") == [(1, 2), (2, 2), (12, 2)]
-    r3 = J.filtered_merge(main, [sub], {"players": "dbid = 12", "nope": "TRUE"})
+    r3 = J.filtered_merge(main, [sub], {"players": "dbid = 12", "nope": "TRUE", "roles": ""})
     assert rows(r3.main.table("players"), "dbid", "serverid") == [(1, 1), (2, 1), (12, 2)]
+    assert r3.main.table("roles").count() == 2
     r4 = J.relabel_merge(main, [sub], exclude=["log"], name_cols=[("players", "name")],
                          zone_cols=[("players", "serverid")])
     assert rows(r4.main.table("players"), "dbid", "name", "serverid")[0] == (1, "s2ann", 1)
