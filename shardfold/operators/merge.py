@@ -260,28 +260,36 @@ ACCOUNT_TABLES = ("account", "user", "accounts", "users", "login")
 ACCOUNT_NAME_COLUMNS = ("username", "account", "account_name", "name", "user_name")
 
 
-def account_table(tenant: Tenant) -> tuple[str, str] | None:
-    """First existing candidate account table and its first existing name column."""
+def account_tables(tenant: Tenant) -> list[tuple[str, str]]:
+    """Every candidate account table present, each with its first existing name column."""
+    out = []
     for t in ACCOUNT_TABLES:
         if tenant.has(t):
             cols = tenant.table(t).columns
             for c in ACCOUNT_NAME_COLUMNS:
                 if c in cols:
-                    return t, c
-    return None
+                    out.append((t, c))
+                    break
+    return out
+
+
+def account_table(tenant: Tenant) -> tuple[str, str] | None:
+    """The first candidate account table and its name column."""
+    found = account_tables(tenant)
+    return found[0] if found else None
 
 
 def merge_accounts(main_acc: Tenant, sub_acc: Tenant, suffix: str, exclude: Iterable[str] = ()) -> Tenant:
     """M8 account-database merge.
 
-    The sub's account table gets ``suffix`` on its name column unless the name
-    already ends with it; then every table is merged as in M6.
+    Every candidate account table of the sub gets ``suffix`` on its first
+    existing name column unless the name already ends with it; then every
+    table is merged as in M6.
     """
     from .names import affix  # local import: names depends on merge helpers
 
-    found = account_table(sub_acc)
-    if found and suffix:
-        t, c = found
-        sub_acc = sub_acc.replace(**{t: affix(sub_acc.table(t), c, suffix, side="suffix", idempotent=True)})
+    if suffix:
+        sub_acc = sub_acc.with_tables({t: affix(sub_acc.table(t), c, suffix, side="suffix", idempotent=True)
+                                       for t, c in account_tables(sub_acc)})
     merged, _ = merge_tenant(main_acc, sub_acc, exclude=exclude)
     return merged

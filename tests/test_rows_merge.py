@@ -148,7 +148,10 @@ def test_merge_accounts(spark):
     main = Tenant("ma", 1, {"users": spark.createDataFrame([(1, "bob")], "id bigint, user_name string")},
                   {"users": "id"})
     sub = Tenant("sa", 2, {"users": spark.createDataFrame([(2, "amy"), (3, "joe_s2")], "id bigint, user_name string"),
-                           "login": spark.createDataFrame([(2,)], "id bigint")}, {"users": "id"})
+                           "login": spark.createDataFrame([(2, "amy", "x")], "id bigint, account string, name string")},
+                 {"users": "id"})
+    main = main.with_tables({"login": spark.createDataFrame([(1, "bob", "y")], "id bigint, account string, name string")})
     out = M.merge_accounts(main, sub, "_s2")
     assert rows(out.table("users")) == [(1, "bob"), (2, "amy_s2"), (3, "joe_s2")]
-    assert M.account_table(sub) == ("users", "user_name")
+    assert rows(out.table("login")) == [(1, "bob", "y"), (2, "amy_s2", "x")]  # every candidate table, first name column
+    assert M.account_tables(sub) == [("users", "user_name"), ("login", "account")]
