@@ -213,7 +213,8 @@ def run_rules(main: Tenant, subs: Sequence[SubTenant], rules: Mapping, main_acco
         res.ignored.extend(rm.ignored)
         cur_main, sub = rm.main, rm.sub
         sub = apply_names(cur_main, sub, r, res.accounts)
-        sub = apply_server_info(sub, r, s.server_id)
+        # the sub's own id, else the rule document's default slave server id
+        sub = apply_server_info(sub, r, s.server_id if s.server_id is not None else r.get("slave_server"))
         if declared_tables:
             cur_main, sub = apply_declared_tables(cur_main, r), apply_declared_tables(sub, r)
         merged, actions = M.merge_tenant(cur_main, sub, exclude=exclude)

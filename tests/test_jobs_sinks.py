@@ -50,6 +50,8 @@ def test_rule_type2_end_to_end(spark):
     before = copy.deepcopy(RULES2)
     res = J.run_rules(main, [J.SubTenant(sub, server_id=7, prefix="S2.")], RULES2)
     assert RULES2 == before  # H9: never mutated
+    dflt = J.run_rules(main, [J.SubTenant(sub)], {**RULES2, "slave_server": "5"})
+    assert {r.serverid for r in dflt.main.table("players").collect()} == {1, 5}
     p = rows(res.main.table("players"), "dbid", "name", "guildid", "serverid", "friend_data")
     assert p == [(1, "ann", 1, 1, "2"), (2, "bob", None, 1, "1,12"), (12, "skip", 1, 1, "1"),
                  (13, "S2.bob", 2, 7, "14"), (14, "cy", None, 7, "13,24"), (24, "skip", 2, 7, "13")]
