@@ -28,8 +28,21 @@ STATUS_SUB = ("O", "P")
 STATUS_THIRD = ("P", "F")
 
 
+_READS: dict[tuple[int, str], DataFrame] = {}
+
+
 def read(spark: SparkSession, d: str, t: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{t}.parquet")
+    """One read per (session, path): listing and schema inference happen once, plans reuse it.
+
+    The cached object is a lazy plan, not data; the driver tables are
+    read-only, so reusing their file listing is safe.
+    """
+    path = f"{d}/{t}.parquet"
+    key = (id(spark._jsparkSession), path)
+    df = _READS.get(key)
+    if df is None:
+        df = _READS[key] = spark.read.parquet(path)
+    return df
 
 
 def _in(values) -> str:
