@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import as_column, is_true, shifted
+from ..functions.columns import is_true, shifted
 from ..model import Tenant
 from ..session import cut_lineage
 

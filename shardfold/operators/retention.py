@@ -14,7 +14,7 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import as_column, is_true
+from ..functions.columns import is_true
 from ..model import Tenant
 from .rows import apply_rules, delete_where
 
