@@ -197,11 +197,16 @@ def merge_tenant(main: Tenant, sub: Tenant, exclude: Iterable[str] = (), on_miss
 def merge_all_table(frames: Sequence[DataFrame], keys, allow_missing: bool = False) -> DataFrame:
     """M7 fast path for one table: tenants in list order, the last one wins per key.
 
-    One shuffle on the key: union with the tenant ordinal, keep the row with
-    the highest ordinal.  A key occurs at most once per tenant, so no group is
-    larger than the tenant count (no hot key is possible).  Several key sets
-    or keyless tables fall back to the sequential fold.
+    One shuffle on the key: union with the tenant ordinal, then one grouped
+    ``first_by`` (highest ordinal first) with map-side partial aggregation.
+    A key normally occurs once per tenant; even if dirty data repeats one key
+    in a third of all rows, the copies are reduced before the shuffle and
+    the pick stays deterministic (no window sorts a hot key in one task).
+    NULL keys never clash and pass through.  Several key sets or keyless
+    tables fall back to the sequential fold.
     """
+    from ..functions.columns import first_by
+
     key_sets = _key_sets(keys)
     if len(frames) == 1:
         return frames[0]
@@ -218,14 +223,13 @@ def merge_all_table(frames: Sequence[DataFrame], keys, allow_missing: bool = Fal
     for t in tagged[1:]:
         u = u.unionByName(t)
     ks = list(key_sets[0])
-    # NULL keys never clash: those rows bypass the window (they would all
-    # share one window partition otherwise).
     null_key = F.lit(False)
     for k in ks:
         null_key = null_key | F.col(k).isNull()
-    w = Window.partitionBy(*ks).orderBy(F.col("__ord").desc())
-    ranked = u.where(~null_key).withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn", "__ord")
-    return ranked.unionByName(u.where(null_key).drop("__ord"))
+    payload = F.struct(*[F.col(c) for c in base.columns])
+    last = u.where(~null_key).groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(ks)]) \
+        .agg(first_by(u, [("__ord", "desc")], payload).alias("__s")).select("__s.r.*")
+    return last.unionByName(u.where(null_key).drop("__ord"))
 
 
 def merge_all(main: Tenant, subs: Sequence[Tenant], exclude: Iterable[str] = (),

@@ -48,13 +48,14 @@ def test_dense_ids_no_single_partition(spark):
     assert rows(m.where("user_id < 3"), "user_id", "new_id") == [(0, 1), (1, 2), (2, 3)]
 
 
-def test_many_tenant_window_is_hash_partitioned(spark):
+def test_many_tenant_merge_is_partial_aggregate(spark):
     a = spark.range(100).select(F.col("id").alias("k"), F.lit("a").alias("v"))
     b = spark.range(50, 150).select(F.col("id").alias("k"), F.lit("b").alias("v"))
     out = M.merge_all_table([a, b], "k")
     p = plan(out)
-    assert "hashpartitioning(k" in p and "SinglePartition" not in p, p
+    assert "Window" not in p and "partial_min" in p and "SinglePartition" not in p, p
     assert out.count() == 150
+    assert rows(out.where("k IN (49, 50)")) == [(49, "a"), (50, "b")]
 
 
 def test_catalogue_scans_are_pruned(spark):
