@@ -10,7 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+import logging
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import as_column
@@ -163,12 +166,15 @@ def merge_table(main: DataFrame, sub: DataFrame, spec: TableSpec, mode: str = "r
 
 def merge_tenant(main: Tenant, sub: Tenant, exclude: Iterable[str] = (), on_missing: str = "skip",
                  where: Mapping[str, object] | None = None, mode: str = "replace",
-                 allow_missing: bool = False) -> tuple[Tenant, list[tuple[str, str]]]:
+                 allow_missing: bool = False, on_error: str = "skip") -> tuple[Tenant, list[tuple[str, str]]]:
     """M6 whole-tenant merge: every sub table except ``exclude``.
 
     Returns the merged tenant (lazy) and the action per table: ``merged``,
     ``excluded`` (never read), ``missing`` (main lacks it; ``on_missing`` =
-    ``skip`` | ``copy`` | ``error``).  Tables only in main pass through.
+    ``skip`` | ``copy`` | ``error``), ``failed`` (the table cannot be merged,
+    e.g. its column set differs; ``on_error="skip"`` keeps main's rows, logs
+    it and goes on, as the reference does; ``"raise"`` stops).  Tables only
+    in main pass through.
     """
     exclude = set(exclude)
     where = dict(where or {})
@@ -188,7 +194,14 @@ def merge_tenant(main: Tenant, sub: Tenant, exclude: Iterable[str] = (), on_miss
                 actions.append((t, "missing"))
             continue
         spec = main.spec(t) if main.spec(t).keys else sub.spec(t)
-        out[t] = merge_table(main.table(t), sub.table(t), spec, mode, where.get(t), allow_missing)
+        try:
+            out[t] = merge_table(main.table(t), sub.table(t), spec, mode, where.get(t), allow_missing)
+        except (ValueError, AnalysisException) as e:
+            if on_error != "skip":
+                raise
+            logging.getLogger(__name__).warning("table %s of %s not merged: %s", t, sub.name, e)
+            actions.append((t, "failed"))
+            continue
         actions.append((t, "merged"))
     specs = {**sub.specs, **main.specs}
     return Tenant(main.name, main.zone, out, specs), actions

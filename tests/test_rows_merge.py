@@ -131,6 +131,11 @@ def test_merge_tenant_actions(spark, pair):
     assert merged.table("new").count() == 4
     with pytest.raises(KeyError):
         M.merge_tenant(main, sub, on_missing="error")
+    drift = sub.with_tables({"t": sub_df.withColumn("extra", F.lit(1))})
+    merged, actions = M.merge_tenant(main, drift, exclude=["ex"])
+    assert dict(actions)["t"] == "failed" and merged.table("t") is main_df
+    with pytest.raises(ValueError):
+        M.merge_tenant(main, drift, exclude=["ex"], on_error="raise")
 
 
 def test_merge_all_last_wins(spark):
