@@ -47,3 +47,18 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["zone_id", "c_mktsegment", "revenue", "n_lines"]
     assert df.count() > 0
+
+
+DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+                 "TIMESTAMP": "timestamp_ntz", "BOOLEAN": "boolean", "DATE": "date"}
+
+
+def test_column_types_match_oracle(spark, con):
+    bad = {}
+    for name, fn in E.queries().items():
+        st = dict(fn(spark, SF).dtypes)
+        rel = con.sql(E.oracle_sql()[name])
+        ot = {c: DUCK_TO_SPARK.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
+        if st != ot:
+            bad[name] = (st, ot)
+    assert not bad
