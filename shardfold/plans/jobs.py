@@ -62,8 +62,15 @@ def _with_overrides(rules: Mapping, sub: SubTenant) -> dict:
     return r
 
 
-def apply_names(main: Tenant, sub: Tenant, rules: Mapping, main_accounts: Tenant | None = None) -> Tenant:
-    """Role/guild affixes (N1/N2), account suffix (N3) and relink (I1) on the sub."""
+def apply_names(main: Tenant, sub: Tenant, rules: Mapping, main_accounts: Tenant | None = None,
+                main_names: Mapping[tuple[str, str], DataFrame] | None = None) -> Tenant:
+    """Role/guild affixes (N1/N2), account suffix (N3) and relink (I1) on the sub.
+
+    ``main_names``: snapshots of main's name columns ``{(table, column): df}``
+    (and user tables ``{(table, "*users"): df}``) to read instead of main's
+    whole tables; see :func:`run_rules`.
+    """
+    main_names = main_names or {}
     ps = rules.get("prefix_setting") or {}
     side = "prefix" if str(ps.get("additional_string")) == "1" else "suffix"
     text = ps.get("prefix") or ""
@@ -74,7 +81,8 @@ def apply_names(main: Tenant, sub: Tenant, rules: Mapping, main_accounts: Tenant
                 continue
             skip = item.get("not_equal", "")
             if str(ps.get("repeat_modify")) == "1" and main.has(t):
-                sub = sub.replace(**{t: N.affix_conflicts(sub.table(t), main.table(t), c, text, side, skip)})
+                names = main_names.get((t, c), main.table(t))
+                sub = sub.replace(**{t: N.affix_conflicts(sub.table(t), names, c, text, side, skip)})
             else:
                 sub = sub.replace(**{t: N.affix(sub.table(t), c, text, side, skip)})
     if str(ps.get("guild_is")) in ("1", "2"):
@@ -96,8 +104,9 @@ def apply_names(main: Tenant, sub: Tenant, rules: Mapping, main_accounts: Tenant
             pt, pfk = conf["db_table_player"], conf["db_field_player_user_id"]
             if not (sub.has(ut) and users_src.has(ut) and sub.has(pt)):
                 continue
-            users, kids = I.relink_accounts(users_src.table(ut), sub.table(ut), uid, uname,
-                                            {pt: (sub.table(pt), pfk)})
+            main_users = users_src.table(ut) if main_accounts is not None else \
+                main_names.get((ut, "*users"), users_src.table(ut))
+            users, kids = I.relink_accounts(main_users, sub.table(ut), uid, uname, {pt: (sub.table(pt), pfk)})
             sub = sub.replace(**kids)
             if i == len(confs) - 1:  # duplicate sub users go after the last rule
                 sub = sub.replace(**{ut: users})
@@ -185,34 +194,59 @@ def _fold_known(prev: Tenant, merged: Tenant, sub: Tenant, rules: Mapping, exclu
     return merged.with_known_max(known)
 
 
+def _name_snapshots(merged: Tenant, rules: Mapping, main_accounts: Tenant | None) -> dict:
+    """Checkpointed projections of main that the next sub's name rules read.
+
+    Conflict-only affixes (N2) need main's distinct names; the account
+    relink (I1) needs main's (id, name) user pairs when the users live in
+    main.  These columns are all that is materialised between subs.
+    """
+    ps = rules.get("prefix_setting") or {}
+    out = {}
+    if str(ps.get("repeat_modify")) == "1" and str(ps.get("role_is")) in ("1", "2"):
+        for item in ps.get("role_name") or []:
+            t, c = item["db_table"], item["db_field"]
+            if merged.has(t) and (t, c) not in out:
+                out[(t, c)] = cut_lineage(merged.table(t).select(c).distinct())
+    if str(ps.get("account_change")) == "999" and main_accounts is None:
+        for conf in ps.get("account_change_new") or []:
+            ut = conf["db_table_user"]
+            if merged.has(ut) and (ut, "*users") not in out:
+                out[(ut, "*users")] = cut_lineage(
+                    merged.table(ut).select(conf["db_field_user_id"], conf["db_field_user_name"]))
+    return out
+
+
 def run_rules(main: Tenant, subs: Sequence[SubTenant], rules: Mapping, main_accounts: Tenant | None = None,
-              declared_tables: bool = False, checkpoint_between: bool | None = None) -> JobResult:
+              declared_tables: bool = False, checkpoint_between: bool = False) -> JobResult:
     """R1 rule-driven merge: per sub remap -> names -> stamp -> merge -> accounts.
 
-    With several subs, main's maxima are tracked on the driver where they are
-    exact (see :func:`_fold_known`), so a sub's offsets never re-run the
-    merges before it: one small job per sub over the sub's own tables.  Rules
-    that read main's names (conflict-only affixes N2, account relink I1)
-    would reference main twice per sub and double the plan with every sub,
-    so for them the merged tables are checkpointed between subs instead.
+    Several subs are applied in order, each against main as left by the
+    previous one (H25), without materialising main between subs:
+
+    * main's id maxima are tracked on the driver where they are exact (see
+      :func:`_fold_known`), so a sub's offsets never re-run the merges
+      before it: one small job per sub over the sub's own tables;
+    * name rules that read main (conflict-only affixes N2, account relink
+      I1) read checkpointed snapshots of just the name columns, so the
+      merged plan references main once per sub and grows linearly.
+
+    ``checkpoint_between=True`` materialises the whole merged tenant
+    between subs instead.
     """
     res = JobResult(main, main_accounts)
     exclude = [i["db_table"] for i in rules.get("un_merge") or []]
-    ps0 = rules.get("prefix_setting") or {}
-    reads_main = (str(ps0.get("repeat_modify")) == "1" and str(ps0.get("role_is")) in ("1", "2")) or \
-        str(ps0.get("account_change")) == "999"
-    if checkpoint_between is None:
-        checkpoint_between = reads_main and len(subs) > 1
     track = len(subs) > 1 and not checkpoint_between
     cols = rule_columns(rules, main) if track else []
     if track and cols:
         res.main = main.with_known_max(K.max_ids([main], cols))
+    snapshots: dict = {}
     for k, s in enumerate(subs):
         r = _with_overrides(rules, s)
         rm = remap(res.main, s.tenant, r)
         res.ignored.extend(rm.ignored)
         cur_main, sub = rm.main, rm.sub
-        sub = apply_names(cur_main, sub, r, res.accounts)
+        sub = apply_names(cur_main, sub, r, res.accounts, snapshots)
         # the sub's own id, else the rule document's default slave server id
         sub = apply_server_info(sub, r, s.server_id if s.server_id is not None else r.get("slave_server"))
         if declared_tables:
@@ -225,8 +259,10 @@ def run_rules(main: Tenant, subs: Sequence[SubTenant], rules: Mapping, main_acco
         if k < len(subs) - 1:
             if checkpoint_between:
                 merged = _materialise(merged)
-            elif track and cols:
-                merged = _fold_known(res.main, merged, sub, r, set(exclude), cols, declared_tables)
+            else:
+                if cols:
+                    merged = _fold_known(res.main, merged, sub, r, set(exclude), cols, declared_tables)
+                snapshots = _name_snapshots(merged, r, main_accounts)
         res.main = merged
     return res
 
