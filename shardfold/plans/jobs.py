@@ -390,11 +390,16 @@ def _append_table(main_df: DataFrame, main_zone: int, subs: Sequence[tuple[Tenan
     acc = main_df if zone_col is None else P.with_zone(main_df, main_zone, zone_col)
     if mode == "empty":  # the destination is cleared and nothing is appended
         return P.empty(acc)
+    prepared = []
     for s, src in subs:
         if how.get("where") is not None:
             src = src.where(how["where"])
         if zone_col is not None:
             src = P.with_zone(src, s.zone, zone_col)
+        prepared.append((s, src))
+    if mode == "error":  # one clash check for every sub, then one union
+        return M.merge_append_all(acc, [src for _, src in prepared], keys)
+    for s, src in prepared:
         if mode == "surrogate":
             acc = M.append_new_surrogate(acc, src, keys[0][0])
         elif mode == "absent":

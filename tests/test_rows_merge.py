@@ -95,6 +95,17 @@ def test_append_conflict_and_modes(pair):
     assert rows(ign, "k", "v") == rows(main.unionByName(sub.where("k = 3 OR k IS NULL")), "k", "v")
 
 
+def test_append_all_one_check(spark):
+    main = spark.createDataFrame([(1, "m"), (None, "mn")], "k bigint, v string")
+    a = spark.createDataFrame([(2, "a"), (None, "an")], "k bigint, v string")
+    b = spark.createDataFrame([(3, "b")], "k bigint, v string")
+    assert rows(M.merge_append_all(main, [a, b], "k")) == [(1, "m"), (2, "a"), (3, "b"), (None, "an"), (None, "mn")]
+    with pytest.raises(M.MergeConflict):
+        M.merge_append_all(main, [a, b, spark.createDataFrame([(2, "c")], "k bigint, v string")], "k")
+    with pytest.raises(M.MergeConflict):  # a key twice inside one sub fails too
+        M.merge_append_all(main, [spark.createDataFrame([(7, "x"), (7, "y")], "k bigint, v string")], "k")
+
+
 def test_align_by_name_and_missing(spark):
     main = spark.createDataFrame([(1, "a")], "k bigint, v string")
     sub = spark.createDataFrame([("b", 2)], "v string, k int")
