@@ -236,7 +236,8 @@ def merge_tenant(main: Tenant, sub: Tenant, exclude: Iterable[str] = (), on_miss
     return Tenant(main.name, main.zone, out, specs), actions
 
 
-def merge_all_table(frames: Sequence[DataFrame], keys, allow_missing: bool = False) -> DataFrame:
+def merge_all_table(frames: Sequence[DataFrame], keys, allow_missing: bool = False,
+                    first_wins: bool = False) -> DataFrame:
     """M7 fast path for one table: tenants in list order, the last one wins per key.
 
     One shuffle on the key: union with the tenant ordinal, then one grouped
@@ -245,7 +246,8 @@ def merge_all_table(frames: Sequence[DataFrame], keys, allow_missing: bool = Fal
     in a third of all rows, the copies are reduced before the shuffle and
     the pick stays deterministic (no window sorts a hot key in one task).
     NULL keys never clash and pass through.  Several key sets or keyless
-    tables fall back to the sequential fold.
+    tables fall back to the sequential fold.  ``first_wins``: the earliest
+    source keeps the key (insert-if-absent over many subs, M4).
     """
     from ..functions.columns import first_by
 
@@ -255,7 +257,8 @@ def merge_all_table(frames: Sequence[DataFrame], keys, allow_missing: bool = Fal
     if len(key_sets) != 1:
         acc = frames[0]
         for f in frames[1:]:
-            acc = merge_replace(acc, f, key_sets, allow_missing=allow_missing)
+            acc = merge_absent(acc, f, key_sets, allow_missing) if first_wins else \
+                merge_replace(acc, f, key_sets, allow_missing=allow_missing)
         return acc
     base = frames[0]
     tagged = [base.withColumn("__ord", F.lit(0))]
@@ -270,7 +273,7 @@ def merge_all_table(frames: Sequence[DataFrame], keys, allow_missing: bool = Fal
         null_key = null_key | F.col(k).isNull()
     payload = F.struct(*[F.col(c) for c in base.columns])
     last = u.where(~null_key).groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(ks)]) \
-        .agg(first_by(u, [("__ord", "desc")], payload).alias("__s")).select("__s.r.*")
+        .agg(first_by(u, [("__ord", "asc" if first_wins else "desc")], payload).alias("__s")).select("__s.r.*")
     return last.unionByName(u.where(null_key).drop("__ord"))
 
 

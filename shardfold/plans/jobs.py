@@ -399,6 +399,8 @@ def _append_table(main_df: DataFrame, main_zone: int, subs: Sequence[tuple[Tenan
         prepared.append((s, src))
     if mode == "error":  # one clash check for every sub, then one union
         return M.merge_append_all(acc, [src for _, src in prepared], keys)
+    if mode == "absent" and len(prepared) > 1 and len(keys) == 1:  # first source keeps the key: one shuffle
+        return M.merge_all_table([acc] + [src for _, src in prepared], keys, first_wins=True)
     for s, src in prepared:
         if mode == "surrogate":
             acc = M.append_new_surrogate(acc, src, keys[0][0])

@@ -160,6 +160,15 @@ def test_merge_all_last_wins(spark):
     assert rows(t.table("t")) == rows(seq)
 
 
+def test_absent_many_first_wins(spark):
+    a = spark.createDataFrame([(1, "a1"), (2, "a2")], "k bigint, v string")
+    b = spark.createDataFrame([(2, "b2"), (3, "b3"), (None, "bn")], "k bigint, v string")
+    c = spark.createDataFrame([(3, "c3"), (4, "c4")], "k bigint, v string")
+    one = M.merge_all_table([a, b, c], "k", first_wins=True)
+    seq = M.merge_absent(M.merge_absent(a, b, "k"), c, "k")
+    assert rows(one) == rows(seq) == [(1, "a1"), (2, "a2"), (3, "b3"), (4, "c4"), (None, "bn")]
+
+
 def test_merge_accounts(spark):
     main = Tenant("ma", 1, {"users": spark.createDataFrame([(1, "bob")], "id bigint, user_name string")},
                   {"users": "id"})
