@@ -45,3 +45,38 @@ def test_dense_ids_match_sorted_rank(spark, ids):
     df = spark.createDataFrame([(i,) for i in ids], "x bigint")
     got = {r.x: r.new_id for r in K.dense_ids(df, "x", partitions=3).collect()}
     assert got == {v: i + 1 for i, v in enumerate(sorted(set(ids)))}
+
+
+names = st.lists(st.tuples(st.sampled_from(["a", "b", "a.b", "c", "A"]), st.integers(1, 3)), min_size=1, max_size=20)
+
+
+@SETTINGS
+@given(names)
+def test_rename_injective_on_name_zone(spark, data):
+    from shardfold.operators import names as N
+    df = spark.createDataFrame([(i + 1, n, z) for i, (n, z) in enumerate(data)], "id bigint, name string, zone int")
+    renamed, _ = N.rename_duplicates(df, "name", "zone", 1, id_col="id")
+    new = {r.id: r.name for r in renamed.collect()}
+    pairs = {}
+    for i, (n, z) in enumerate(data):
+        pairs.setdefault(new[i + 1], set()).add((n, z) if new[i + 1] != n else ("same", n))
+    # every new name comes from exactly one (old name, zone) pair; zone-1 rows keep their names
+    assert all(len(v) == 1 for v in pairs.values())
+    assert all(new[i + 1] == n for i, (n, z) in enumerate(data) if z == 1)
+
+
+@SETTINGS
+@given(st.lists(st.integers(1, 30), min_size=1, max_size=15, unique=True),
+       st.lists(st.integers(1, 30), min_size=1, max_size=15, unique=True))
+def test_group_shift_keeps_fks(spark, main_ids, sub_ids):
+    from shardfold.model import Tenant
+    def t(ids, name):
+        return Tenant(name, 1, {"p": spark.createDataFrame([(i,) for i in ids], "id bigint"),
+                                "c": spark.createDataFrame([(i, ids[i % len(ids)]) for i in range(len(ids))],
+                                                           "cid bigint, ref bigint")})
+    main, sub = t(main_ids, "m"), t(sub_ids, "s")
+    grp = [("p", "id"), ("c", "ref")]
+    s2 = K.shift_group(sub, grp, K.group_offset(main, sub, grp))
+    parents = {r.id for r in s2.table("p").collect()}
+    assert {r.ref for r in s2.table("c").collect()} <= parents
+    assert not parents & set(main_ids)
