@@ -125,32 +125,39 @@ def shift_when(df: DataFrame, c: str, offset: int, pred=None) -> DataFrame:
 
 
 # --------------------------------------------------------------- K5 renumber
-def dense_ids(ids: DataFrame, c: str, partitions: int | None = None) -> DataFrame:
-    """Mapping ``(c, new_id)``: distinct non-null ``c`` ranked 1..n in ascending order.
-
-    Two-level rank without a single-partition window: distinct ids are range
-    partitioned (balanced by sampling, ids are distinct so there is no hot
-    key), sorted inside each partition and numbered locally; the per-partition
-    counts (one number per partition) give each partition's base.  The numbered
-    ids are checkpointed so counting and ranking see the same partitioning.
+def number_rows(df: DataFrame, order: Sequence[str], partitions: int | None = None, name: str = "__row") -> DataFrame:
+    """Number the rows of ``df`` 1..n in ``order`` (NULLs last), without a single-partition window.
+
+    Rows are range partitioned on ``order`` (equal values share a
+    partition; the bounds are sampled, so partitions are balanced), sorted
+    inside each partition and numbered locally; per-partition counts (one
+    number per partition) give each partition's base.  The numbered rows are
+    checkpointed so the counting and numbering jobs see the same
+    partitioning, also after an executor loss.
     """
-    spark = ids.sparkSession
+    spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    d = ids.select(F.col(c)).where(F.col(c).isNotNull()).distinct()
-    local = (d.repartitionByRange(n, F.col(c)).sortWithinPartitions(F.col(c))
+    keys = [F.col(c).asc_nulls_last() for c in order]
+    local = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
              .withColumn("__mid", F.monotonically_increasing_id()))
-    local = cut_lineage(local.select(
-        F.col(c), F.shiftright("__mid", 33).cast("int").alias("__p"),
-        F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1)).alias("__i")))
+    local = cut_lineage(local.withColumn("__p", F.shiftright("__mid", 33).cast("int"))
+                        .withColumn("__i", F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1))).drop("__mid"))
     counts = dict((r["__p"], r["n"]) for r in local.groupBy("__p").agg(F.count(F.lit(1)).alias("n")).collect())
     bases, acc = [], 0
     for p in range(max(counts, default=-1) + 1):
         bases.append(acc)
         acc += counts.get(p, 0)
     if not bases:
-        return local.select(F.col(c), F.lit(None).cast("bigint").alias("new_id"))
+        return local.drop("__p", "__i").withColumn(name, F.lit(None).cast("bigint"))
     base = F.array(*[F.lit(b).cast("bigint") for b in bases])
-    return local.select(F.col(c), (F.element_at(base, F.col("__p") + 1) + F.col("__i") + 1).alias("new_id"))
+    return local.withColumn(name, F.element_at(base, F.col("__p") + 1) + F.col("__i") + 1).drop("__p", "__i")
+
+
+def dense_ids(ids: DataFrame, c: str, partitions: int | None = None) -> DataFrame:
+    """Mapping ``(c, new_id)``: distinct non-null ``c`` ranked 1..n in ascending order
+    (:func:`number_rows` over the distinct values)."""
+    d = ids.select(F.col(c)).where(F.col(c).isNotNull()).distinct()
+    return number_rows(d, [c], partitions, "new_id").select(F.col(c), "new_id")
 
 
 def apply_mapping(df: DataFrame, c: str, mapping: DataFrame, pred=None) -> DataFrame:

@@ -91,8 +91,9 @@ def merge_append(main: DataFrame, sub: DataFrame, keys=None, on_conflict: str =
     """M3 ``INSERT INTO main SELECT * FROM sub``.
 
     ``on_conflict``: ``"error"`` (default; the reference's failing INSERT, H12)
-    checks for a clash on the key columns with one small job that stops at the
-    first hit; ``"replace"`` = M1; ``"ignore"`` = M4 (``INSERT IGNORE``).
+    fails when a key clashes with main or repeats inside the sub (one grouped
+    check, see :func:`merge_append_all`); ``"replace"`` = M1; ``"ignore"`` =
+    M4 (``INSERT IGNORE``).
     """
     key_sets = _key_sets(keys)
     if on_conflict == "replace":
@@ -101,12 +102,7 @@ def merge_append(main: DataFrame, sub: DataFrame, keys=None, on_conflict: str =
         return merge_absent(main, sub, key_sets, allow_missing=allow_missing)
     if on_conflict != "error":
         raise ValueError(f"on_conflict must be error|replace|ignore, not {on_conflict!r}")
-    sub = align(sub, main, allow_missing)
-    for ks in key_sets:
-        clash = sub.select(*ks).join(main.select(*ks), list(ks), "left_semi").limit(1)
-        if clash.count():
-            raise MergeConflict(f"incoming rows clash with existing rows on key {list(ks)}")
-    return main.unionByName(sub)
+    return merge_append_all(main, [sub], key_sets, allow_missing)
 
 
 def merge_append_all(main: DataFrame, subs: Sequence[DataFrame], keys, allow_missing: bool = False) -> DataFrame:
@@ -141,20 +137,19 @@ def merge_append_all(main: DataFrame, subs: Sequence[DataFrame], keys, allow_mis
 def append_new_surrogate(main: DataFrame, sub: DataFrame, key: str, allow_missing: bool = False) -> DataFrame:
     """S6 insert without the surrogate column so new ids are assigned.
 
-    Incoming rows get ``max(main.key) + rank`` in ascending order of their old
-    key (the auto-increment continues after main's max).  The rank is the
-    two-level dense numbering of :func:`shardfold.operators.keys.dense_ids`
-    (no single-partition window); the old key must be unique in ``sub``
-    (it is that tenant's primary key).  main's max is one scalar job.
+    Every incoming row gets ``max(main.key) + n`` with ``n`` = 1, 2, ... in
+    ascending order of its old key (NULL old keys last), as an
+    auto-increment continuing after main's max would: duplicate or NULL old
+    keys still get ids of their own.  The numbering is the two-level
+    :func:`shardfold.operators.keys.number_rows` (no single-partition
+    window); main's max is one scalar job.
     """
-    from .keys import dense_ids
+    from .keys import number_rows
 
     sub = align(sub, main, allow_missing)
     base = main.agg(F.coalesce(F.max(key), F.lit(0)).cast("bigint")).first()[0]
-    ranks = dense_ids(sub.select(key), key).select(F.col(key).alias("__old"), "new_id")
-    renum = sub.join(ranks, sub[key] == ranks["__old"], "left") \
-        .withColumn(key, (F.lit(base) + F.col("new_id")).cast(main.schema[key].dataType)) \
-        .select(*main.columns)
+    renum = number_rows(sub, [key], name="__n") \
+        .withColumn(key, (F.lit(base) + F.col("__n")).cast(main.schema[key].dataType)).select(*main.columns)
     return main.unionByName(renum)
 
 

@@ -123,6 +123,14 @@ def test_filtered_merge(pair):
     assert rows(out, "k", "v") == rows(main.unionByName(sub.where("v = 's3'")), "k", "v")
 
 
+def test_append_new_surrogate_dirty_keys(spark):
+    main = spark.createDataFrame([(4, "a")], "guid bigint, v string")
+    sub = spark.createDataFrame([(2, "x"), (2, "y"), (None, "z"), (1, "w")], "guid bigint, v string")
+    out = rows(M.append_new_surrogate(main, sub, "guid"))
+    assert [g for g, _ in out] == [4, 5, 6, 7, 8]  # every row its own id
+    assert dict((v, g) for g, v in out)["w"] == 5 and dict((v, g) for g, v in out)["z"] == 8
+
+
 def test_append_new_surrogate(spark):
     main = spark.createDataFrame([(1, "a"), (7, "b")], "guid bigint, v string")
     sub = spark.createDataFrame([(1, "c"), (3, "d"), (2, "e")], "guid bigint, v string")
