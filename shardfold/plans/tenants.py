@@ -28,20 +28,22 @@ STATUS_SUB = ("O", "P")
 STATUS_THIRD = ("P", "F")
 
 
-_READS: dict[tuple[int, str], DataFrame] = {}
+_READS: dict[str, tuple[SparkSession, DataFrame]] = {}
 
 
 def read(spark: SparkSession, d: str, t: str) -> DataFrame:
-    """One read per (session, path): listing and schema inference happen once, plans reuse it.
+    """One read per (live session, path): listing and schema inference happen once, plans reuse it.
 
     The cached object is a lazy plan, not data; the driver tables are
-    read-only, so reusing their file listing is safe.
+    read-only, so reusing their file listing is safe.  A plan is reused only
+    by the same, still running session.
     """
     path = f"{d}/{t}.parquet"
-    key = (id(spark._jsparkSession), path)
-    df = _READS.get(key)
-    if df is None:
-        df = _READS[key] = spark.read.parquet(path)
+    hit = _READS.get(path)
+    if hit is not None and hit[0] is spark and not spark.sparkContext._jsc.sc().isStopped():
+        return hit[1]
+    df = spark.read.parquet(path)
+    _READS[path] = (spark, df)
     return df
 
 
