@@ -166,7 +166,8 @@ def _renumbered(rules: Mapping) -> set[tuple[str, str]]:
 
 
 def _fold_known(prev: Tenant, merged: Tenant, sub: Tenant, rules: Mapping, exclude: set[str],
-                cols: Sequence[tuple[str, str]], declared: bool = False) -> Tenant:
+                cols: Sequence[tuple[str, str]], declared: bool = False,
+                merged_tables: set[str] | None = None) -> Tenant:
     """Known maxima of main after one sub, where they follow exactly from main's and the sub's.
 
     A column that is its table's only key (clashing rows share the key
@@ -185,8 +186,8 @@ def _fold_known(prev: Tenant, merged: Tenant, sub: Tenant, rules: Mapping, exclu
     for t, c in cols:
         if (t, c) in renum or (t, c) not in prev.known_max:
             continue
-        if t in exclude or not sub.has(t):
-            known[(t, c)] = prev.known_max[(t, c)]
+        if t in exclude or not sub.has(t) or (merged_tables is not None and t not in merged_tables):
+            known[(t, c)] = prev.known_max[(t, c)]  # main's table passed through unchanged
             continue
         keys = merged.spec(t).keys
         if not keys or keys == ((c,),):
@@ -261,7 +262,8 @@ def run_rules(main: Tenant, subs: Sequence[SubTenant], rules: Mapping, main_acco
                 merged = _materialise(merged)
             else:
                 if cols:
-                    merged = _fold_known(res.main, merged, sub, r, set(exclude), cols, declared_tables)
+                    merged = _fold_known(res.main, merged, sub, r, set(exclude), cols, declared_tables,
+                                         {t for t, a in actions if a == "merged"})
                 snapshots = _name_snapshots(merged, r, main_accounts)
         res.main = merged
     return res
