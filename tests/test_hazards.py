@@ -49,3 +49,20 @@ def test_h24_quotes_in_values_are_data(spark):
     dup = main.withColumn("zone", F.lit(1)).unionByName(sub.withColumn("zone", F.lit(2)))
     renamed, _ = N.rename_duplicates(dup, "name", "zone", 1, id_col="id")
     assert "s2.o'brien" in [r.name for r in renamed.collect()]
+
+
+def test_empty_tables_everywhere(spark):
+    from shardfold.operators import identity as I
+    e = spark.createDataFrame([], "id bigint, name string, zone int")
+    one = spark.createDataFrame([(1, "a", 1)], "id bigint, name string, zone int")
+    assert M.merge_replace(e, one, "id").count() == 1 and M.merge_replace(one, e, "id").count() == 1
+    assert rows(M.append_new_surrogate(e, one, "id")) == [(1, "a", 1)]
+    assert M.append_new_surrogate(one, e, "id").count() == 1
+    assert K.dense_ids(e, "id").count() == 0
+    assert K.renumber(Tenant("t", 1, {"x": e}), [("x", "id")]).table("x").count() == 0
+    assert I.fold(e, "id", ["id"], {"zone": "sum"}).count() == 0
+    assert I.survivors(e, "name", ["id"]).count() == 0
+    renamed, renames = N.rename_duplicates(e, "name", "zone", 1, id_col="id")
+    assert renamed.count() == 0 and renames.count() == 0
+    assert M.merge_all_table([e, one, e], "id").count() == 1
+    assert K.max_ids([Tenant("t", 1, {"x": e})], [("x", "id")]) == {("x", "id"): 0}
