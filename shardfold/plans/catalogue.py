@@ -115,6 +115,16 @@ def insert_absent(spark, d):
     return M.merge_absent(T.om(spark, d), T.os_(spark, d), "o_orderkey")
 
 
+@query("insert_absent_many", _with(T.OM, T.OS, T.OT) + f"""
+SELECT {OCOLS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY ord) AS rn FROM (
+    SELECT *, 0 AS ord FROM om UNION ALL SELECT *, 1 FROM os UNION ALL SELECT *, 2 FROM ot) u) r
+WHERE rn = 1""")
+def insert_absent_many(spark, d):
+    """M4 over several subs in one pass: the earliest tenant keeps each key."""
+    return M.merge_all_table([T.om(spark, d), T.os_(spark, d), T.ot(spark, d)], "o_orderkey", first_wins=True)
+
+
 @query("filtered_merge", _with(T.OM, T.OS, "osf AS (SELECT * FROM os WHERE o_totalprice > 100000)") + """
 SELECT * FROM om WHERE NOT EXISTS (SELECT 1 FROM osf WHERE osf.o_orderkey = om.o_orderkey)
 UNION ALL SELECT * FROM osf""")
