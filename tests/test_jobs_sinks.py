@@ -329,3 +329,23 @@ def test_many_subs_tracked_offsets_equal_checkpointed(spark, monkeypatch, names)
     for t in ("players", "roles", "guild", "log"):
         assert rows(tracked.main.table(t)) == rows(exact.main.table(t))
     assert len(rows(tracked.main.table("players"))) == 12
+
+
+def test_command_line_run(spark):
+    import json
+    from shardfold.plans import run as R
+
+    base = tempfile.mkdtemp(prefix="shardfold-cli-", dir="/tmp")
+    for name, zone in (("main", 1), ("sub", 2)):
+        t = f1_tenant(spark, name, zone)
+        for tb in ("players", "roles", "guild"):
+            t.table(tb).write.parquet(f"{base}/{name}/{tb}.parquet")
+    rules = {"script": {k: v for k, v in RULES2.items() if k not in ("un_merge",)}}
+    with open(f"{base}/rules.json", "w") as fh:
+        json.dump(rules, fh)
+    counts = R.main(["--rules", f"{base}/rules.json", "--main", f"{base}/main", "--sub", f"{base}/sub:2:S2.",
+                     "--keys", "players=dbid", "--keys", "roles=dbid", "--keys", "guild=dbid",
+                     "--out", f"{base}/out", "--version", "1"], spark=spark)
+    assert counts == {"guild": 2, "players": 6, "roles": 4}
+    back = read_published(spark, f"{base}/out", "1", "m", 1, ["players"])
+    assert "S2.bob" in [r.name for r in back.table("players").collect()]
