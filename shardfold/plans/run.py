@@ -1,14 +1,18 @@
-"""Command-line entry: run a rule-driven merge over parquet tenants and publish it.
+"""Command-line entry: run a merge job over parquet tenants and publish it.
 
     python -m shardfold.plans.run --rules rules.json --main /data/s1 --main-zone 1 \
         --sub /data/s2:2 --sub /data/s3:3:s3.:_s3 --keys players=dbid --keys guild=dbid \
         --out /data/merged --version 2026-12-02
 
-``--sub`` is ``path:zone[:prefix[:account_suffix]]`` and may repeat (applied in
-order); ``--keys`` declares a table's unique key (``table=col[,col]``, repeat
-per table; tables without keys are appended).  The rule file is a JSON rule
-document (its ``script`` object, or the document itself).  Nothing is
-interactive; the merged tenant is written as a new version and published last.
+``--job``: ``rules`` (default, R1, needs ``--rules``), ``exclusion`` (R2,
+``--exclude t``), ``filtered`` (R3, ``--filter table=predicate``), ``relabel``
+(R4, ``--name-col table.col``, ``--zone-col table.col``, ``--exclude``) or
+``reconcile`` (R5 account/player/guild preset).  ``--sub`` is
+``path:zone[:prefix[:account_suffix]]`` and may repeat (applied in order);
+``--keys`` declares a table's unique key (``table=col[,col]``; tables
+without keys are appended).  A rule file is a JSON rule document (its
+``script`` object, or the document itself).  Nothing is interactive; the
+merged tenant is written as a new version and published last.
 """
 
 from __future__ import annotations
@@ -20,12 +24,18 @@ import sys
 from ..session import ensure_checkpoint_dir
 from ..sources.catalog import parquet_tenant
 from ..sources.sinks import write_tenant
+from . import jobs as J
 from .jobs import SubTenant, run_rules
 
 
 def parse_args(argv=None):
     p = argparse.ArgumentParser(prog="shardfold-run", description=__doc__.split("\n\n")[0])
-    p.add_argument("--rules", required=True, help="JSON rule document")
+    p.add_argument("--job", default="rules", choices=["rules", "exclusion", "filtered", "relabel", "reconcile"])
+    p.add_argument("--rules", help="JSON rule document (job rules)")
+    p.add_argument("--exclude", action="append", default=[], help="table left out of the merge")
+    p.add_argument("--filter", action="append", default=[], help="table=predicate (job filtered)")
+    p.add_argument("--name-col", action="append", default=[], help="table.column prefixed s<zone> (job relabel)")
+    p.add_argument("--zone-col", action="append", default=[], help="table.column re-labelled (job relabel)")
     p.add_argument("--main", required=True, help="folder of the main tenant's parquet tables")
     p.add_argument("--main-zone", type=int, default=1)
     p.add_argument("--sub", action="append", required=True, help="path:zone[:prefix[:account_suffix]]")
@@ -41,9 +51,6 @@ def main(argv=None, spark=None) -> dict[str, int]:
         from pyspark.sql import SparkSession
         spark = SparkSession.builder.appName("shardfold-run").getOrCreate()
     ensure_checkpoint_dir(spark)
-    with open(args.rules, encoding="utf-8") as fh:
-        doc = json.load(fh)
-    rules = doc.get("script", doc)
     specs = {}
     for k in args.keys:
         table, cols = k.split("=", 1)
@@ -57,7 +64,24 @@ def main(argv=None, spark=None) -> dict[str, int]:
         suffix = parts[3] if len(parts) > 3 and parts[3] else None
         subs.append(SubTenant(parquet_tenant(spark, f"sub{i + 1}", zone, path, specs=specs),
                               server_id=zone, prefix=prefix, account_suffix=suffix))
-    res = run_rules(main_t, subs, rules)
+    tenants = [s.tenant for s in subs]
+    if args.job == "rules":
+        if not args.rules:
+            raise SystemExit("--rules is required for --job rules")
+        with open(args.rules, encoding="utf-8") as fh:
+            doc = json.load(fh)
+        res = run_rules(main_t, subs, doc.get("script", doc))
+    elif args.job == "exclusion":
+        res = J.exclusion_merge(main_t, tenants, exclude=args.exclude)
+    elif args.job == "filtered":
+        res = J.filtered_merge(main_t, tenants, dict(f.split("=", 1) for f in args.filter))
+    elif args.job == "relabel":
+        split = lambda items: [tuple(i.split(".", 1)) for i in items]
+        res = J.relabel_merge(main_t, tenants, exclude=args.exclude, name_cols=split(args.name_col),
+                              zone_cols=split(args.zone_col))
+    else:
+        from .reconcile import reconcile
+        res = reconcile(main_t, tenants)
     counts = write_tenant(res.main, args.out, args.version)
     for sub, table, action in res.actions:
         if action != "merged":

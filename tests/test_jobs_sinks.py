@@ -349,3 +349,22 @@ def test_command_line_run(spark):
     assert counts == {"guild": 2, "players": 6, "roles": 4}
     back = read_published(spark, f"{base}/out", "1", "m", 1, ["players"])
     assert "S2.bob" in [r.name for r in back.table("players").collect()]
+
+
+def test_command_line_other_jobs(spark):
+    from shardfold.plans import run as R
+
+    base = tempfile.mkdtemp(prefix="shardfold-cli2-", dir="/tmp")
+    for name, zone in (("main", 1), ("sub", 2)):
+        t = f1_tenant(spark, name, zone)
+        for tb in ("players", "log"):
+            t.table(tb).write.parquet(f"{base}/{name}/{tb}.parquet")
+    common = ["--main", f"{base}/main", "--sub", f"{base}/sub:2", "--keys", "players=dbid"]
+    c = R.main(["--job", "relabel", *common, "--name-col", "players.name", "--zone-col", "players.serverid",
+                "--exclude", "log", "--out", f"{base}/out", "--version", "r"], spark=spark)
+    assert c == {"log": 1, "players": 3}
+    back = read_published(spark, f"{base}/out", "r", "m", 1, ["players"]).table("players")
+    assert rows(back, "name", "serverid")[0] == ("s2ann", 1)
+    c = R.main(["--job", "filtered", *common, "--filter", "players=dbid = 12", "--out", f"{base}/out",
+                "--version", "f"], spark=spark)
+    assert c["players"] == 3
