@@ -805,6 +805,39 @@ def append_reconcile(spark, d):
     return res.main.table("account").withColumn("value", F.col("value").cast("double"))
 
 
+_ACCT_EXPRS = ["event_id AS guid", "user_id AS accid", "event_type AS adventure_team_name",
+               "CAST(floor(value / 100) AS INTEGER) AS adventure_team_level",
+               "CAST(floor(value / 10) AS BIGINT) AS adventure_team_exp", "CAST(floor(value) AS BIGINT) AS point",
+               "CAST(day(ts) AS BIGINT) AS reg_time"]
+_ACCT_COLS = ", ".join(_ACCT_EXPRS)
+
+
+@query("reconcile_accounts", _with(
+    f"a AS (SELECT {_ACCT_COLS}, {T.EVENT_ZONE_SQL} AS zone_id FROM events)",
+    "dup AS (SELECT adventure_team_name FROM a WHERE adventure_team_name <> '' GROUP BY adventure_team_name "
+    "HAVING count(adventure_team_name) > 1)",
+    "r AS (SELECT guid, accid, CASE WHEN adventure_team_name IN (SELECT adventure_team_name FROM dup) "
+    "AND adventure_team_name <> '' AND accid <> 0 AND zone_id <> 1 AND guid <> 0 "
+    "THEN 's' || CAST(zone_id AS VARCHAR) || '.' || adventure_team_name ELSE adventure_team_name END "
+    "AS adventure_team_name, adventure_team_level, adventure_team_exp, point, reg_time, zone_id FROM a)",
+    "s AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY accid ORDER BY CASE WHEN zone_id = 1 THEN 0 "
+    "ELSE 1 END, adventure_team_level DESC, adventure_team_exp DESC, guid) AS rn FROM r) x WHERE rn = 1)",
+    "g AS (SELECT accid, count(*) AS n, COALESCE(SUM(point), 0) AS sp, MIN(reg_time) AS mr FROM r GROUP BY accid)") + """
+SELECT s.guid, s.accid, s.adventure_team_name, s.adventure_team_level, s.adventure_team_exp,
+       CAST(CASE WHEN g.n > 1 THEN g.sp ELSE s.point END AS BIGINT) AS point,
+       CASE WHEN g.n > 1 THEN g.mr ELSE s.reg_time END AS reg_time
+FROM s JOIN g ON g.accid = s.accid""")
+def reconcile_accounts(spark, d):
+    """R5 account/player/guild preset on three day-shards of accounts: append with lineage,
+    duplicate team names renamed outside the main zone, accounts folded into one survivor."""
+    from .reconcile import reconcile
+
+    e = T.events_zoned(spark, d).selectExpr(*_ACCT_EXPRS, "zone")
+    tenants = [Tenant(f"z{z}", z, {"t_account": e.where(F.col("zone") == z).drop("zone")}, {"t_account": "guid"})
+               for z in (1, 2, 3)]
+    return reconcile(tenants[0], tenants[1:]).main.table("t_account")
+
+
 def _slice(spark, d) -> tuple[Tenant, Tenant]:
     """Minimum slice: two tenants of customer/orders/lineitem remapped, renamed, stamped."""
     main = T.main_tenant(spark, d, ("customer", "orders", "lineitem"))
