@@ -134,7 +134,8 @@ def reconcile(main: Tenant, subs: Sequence[Tenant], zid: int | None = None, appe
         ledgers.append(_ledger(ren.select("accid", F.col("new_name").alias("name"), F.lit(3).alias("type")),
                                accid="accid"))
     # 3. team data: children of accounts that lose the tie classes are deleted
-    if has("t_account") and {"adventure_team_level", "adventure_team_exp"} <= set(cur.table("t_account").columns):
+    if has("t_account") and {"adventure_team_level", "adventure_team_exp"} <= set(cur.table("t_account").columns) \
+            and any(cur.has(tb) for tb in TEAM_DATA_CHILDREN):
         keep = cut_lineage(I.tie_classes(cur.table("t_account"), "accid",
                                          ["adventure_team_level", "adventure_team_exp"], ZONE, zid, "guid"))
         cur = cur.with_tables({tb: I.delete_orphans(cur.table(tb), "acc_guid", keep, only=only)
