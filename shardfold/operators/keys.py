@@ -173,6 +173,54 @@ def apply_mapping(df: DataFrame, c: str, mapping: DataFrame, pred=None) -> DataF
         .drop("__old", "__new")
 
 
+def dense_ids_many(frames: Sequence[DataFrame], c: str, partitions: int | None = None) -> list[DataFrame]:
+    """:func:`dense_ids` for several tenants at once: one numbering pass, one checkpoint.
+
+    Distinct ids are tagged with their tenant, numbered in (tenant, id)
+    order, and each tenant's count (one number per tenant) turns the global
+    number into that tenant's own 1..n rank.
+    """
+    if len(frames) == 1:
+        return [dense_ids(frames[0], c, partitions)]
+    tagged = None
+    for i, f in enumerate(frames):
+        d = f.select(F.lit(i).alias("__t"), F.col(c)).where(F.col(c).isNotNull()).distinct()
+        tagged = d if tagged is None else tagged.unionByName(d)
+    numbered = number_rows(tagged, ["__t", c], partitions, "__g")
+    counts = dict((r["__t"], r["n"]) for r in numbered.groupBy("__t").agg(F.count(F.lit(1)).alias("n")).collect())
+    out, acc = [], 0
+    for i in range(len(frames)):
+        out.append(numbered.where(F.col("__t") == i).select(F.col(c), (F.col("__g") - F.lit(acc)).alias("new_id")))
+        acc += counts.get(i, 0)
+    return out
+
+
+def renumber_many(tenants: Sequence[Tenant], group: Sequence, partitions: int | None = None) -> list[Tenant]:
+    """K5 over several tenants (each renumbered 1..n on its own) with one numbering pass."""
+    first = group[0]
+    t0, c0 = first[0], first[1]
+    cond0 = first[2] if len(first) > 2 else None
+    live = [i for i, t in enumerate(tenants) if t.has(t0)]
+    srcs = []
+    for i in live:
+        src = tenants[i].table(t0)
+        srcs.append((src.where(is_true(cond0)) if cond0 else src).select(c0))
+    maps = dict(zip(live, dense_ids_many(srcs, c0, partitions))) if live else {}
+    out = []
+    for i, t in enumerate(tenants):
+        if i not in maps:
+            out.append(t)
+            continue
+        upd = {}
+        for m in group:
+            tb, col = m[0], m[1]
+            cond = m[2] if len(m) > 2 else None
+            if t.has(tb):
+                upd[tb] = apply_mapping(upd.get(tb, t.table(tb)), col, maps[i], cond)
+        out.append(t.with_tables(upd))
+    return out
+
+
 def renumber(tenant: Tenant, group: Sequence, partitions: int | None = None) -> Tenant:
     """K5 ``restructure_tool``: renumber a group's ids 1..n in ascending order.
 

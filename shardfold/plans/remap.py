@@ -61,9 +61,8 @@ def remap_type2(main: Tenant, sub: Tenant, rules: Mapping) -> RemapResult:
         for tool in rules.get("restructure_tool") or []:
             grp = [(g["db_table"], g["db_field"], g.get("conditions") or None) for g in tool.get("group") or []]
             grp = [g for g in grp if g[0] and g[1]]
-            if grp:
-                res.main = K.renumber(res.main, grp)
-                res.sub = K.renumber(res.sub, grp)
+            if grp:  # main and sub each renumbered 1..n, in one numbering pass
+                res.main, res.sub = K.renumber_many([res.main, res.sub], grp)
     original_sub = res.sub
     groups = [[(g["db_table"], g["db_field"]) for g in grp.get("group") or []] for grp in rules.get("same") or []]
     groups = [g for g in groups if g]

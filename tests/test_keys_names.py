@@ -72,6 +72,14 @@ def test_dense_ids_many_partitions(spark):
     assert got == expected
 
 
+def test_dense_ids_many_equals_separate(spark):
+    a = spark.createDataFrame([(5,), (9,), (5,), (None,)], "x bigint")
+    b = spark.createDataFrame([(100,), (2,)], "x bigint")
+    e = spark.createDataFrame([], "x bigint")
+    got = [rows(m) for m in K.dense_ids_many([a, e, b], "x", partitions=3)]
+    assert got == [[(5, 1), (9, 2)], [], [(2, 1), (100, 2)]]
+
+
 def test_renumber_applies_to_every_member_with_condition(spark):
     guild = spark.createDataFrame([(100,), (40,), (7000,)], "ID bigint")
     member = spark.createDataFrame([(1, 40), (2, 7000), (3, 5)], "RoleID bigint, GuildID bigint")
