@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterable, Sequence
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +25,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def scratch_folder(spark: SparkSession, label: str) -> str:
+    """A new folder's name in the checkpoint folder that all executors share."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{label}-{uuid.uuid4().hex}"
+
+
 def scratch_table(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared checkpoint folder and read it back.
 
@@ -29,16 +37,29 @@ def scratch_table(df: DataFrame, label: str) -> DataFrame:
     costs no recomputation, and the planner knows the table's size.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{label}-{uuid.uuid4().hex}"
+    path = scratch_folder(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bound_arrow_batches(spark: SparkSession, max_bytes: int = 8 << 20) -> None:
-    """Limit Arrow batches by bytes, unless the session already does."""
+def prepare_python(spark: SparkSession, max_bytes: int = 8 << 20) -> None:
+    """Limit Arrow batches by bytes, unless the session's limit is lower, and ship this package to the executors."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if int(str(spark.conf.get(key, "-1")).rstrip("bB") or -1) in (-1, 2**31 - 1, 2**63 - 1):
+    now = str(spark.conf.get(key)).lower().rstrip("b")
+    if not now.isdigit() or int(now) > max_bytes:
         spark.conf.set(key, str(max_bytes))
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        top = Path(__file__).resolve().parents[1]
+        folder = tempfile.mkdtemp(prefix="shardfold-ship-")  # the driver's own; Spark's file server hands it out
+        with zipfile.ZipFile(f"{folder}/{top.name}.zip", "w") as z:
+            for f in sorted(top.rglob("*.py")):
+                z.write(f, f.relative_to(top.parent))
+        context.addPyFile(f"{folder}/{top.name}.zip")
+        _SHIPPED.add(context.applicationId)
+
+
+_SHIPPED: set[str] = set()
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

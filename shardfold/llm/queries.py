@@ -6,14 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import chat_format, line_dedup
+from . import bpe, chat_format, line_dedup, token_counts, token_store
 from . import quality_rules as qr
-from .common import read
+from .common import read, scratch_folder
 
 QUERIES = {}
 ORACLE = {}
 
 
+def tokenizer_file(name: str) -> str:
+    """Where a public tokenizer's file is; every executor has the same installation."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def query(fn):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ensure_checkpoint_dir(spark)
@@ -127,3 +134,25 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT
   sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
+
+
+@query
+def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents and the text decoded from them, as digests."""
+    return bpe.round_trip(read(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
+@query
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of all documents."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    out = token_counts.count_tokens(docs, tokenizer_file("word_bpe_49k.json"))
+    return out.withColumn("over_limit", F.col("n_tokens") > token_counts.MAX_TOKENS)
+
+
+@query
+def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' ids written to a store, and what is read back from it."""
+    folder = scratch_folder(spark, "token-store")
+    token_store.write_store(read(spark, sf_dir, "documents"), folder, tokenizer_file("byte_bpe_50k.json"), end_id=2)
+    return token_store.read_digests(spark, folder)
