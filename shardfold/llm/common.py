@@ -94,3 +94,41 @@ def sized_slices(sizes: Sequence[int], max_bytes: int) -> Iterable[tuple[int, in
         total += n
     if start < len(sizes):
         yield start, len(sizes)
+
+
+def attach(left: DataFrame, right: DataFrame, key: str, weight: str, spread: Column) -> DataFrame:
+    """``left`` with the other columns of ``right`` (one row per ``key``), null where no row matches.
+
+    ``weight`` is the number of ``left``'s rows with that key.  The HEAVY
+    heaviest rows of ``right`` are broadcast; no other key holds more than
+    1/HEAVY of the rows, and those are joined by key.  Rows that need no
+    second match are dealt by ``spread``, so no key gathers in one task.
+    """
+    values = [c for c in right.columns if c not in (key, weight)]
+    light = right.select(F.col(key).alias("__at_r"), F.xxhash64(key).alias("__at_j"), F.struct(*values).alias("__at_v"))
+    heavy = right.orderBy(F.desc(weight), key).limit(HEAVY).select(F.col(key).alias("__at_k"), F.struct(*values).alias("__at_h"))
+    out = left.join(F.broadcast(heavy), F.col(key) == F.col("__at_k"), "left")
+    out = out.withColumn("__at_s", F.when(F.col("__at_h").isNull() & F.col(key).isNotNull(), F.xxhash64(key)).otherwise(spread))
+    out = out.join(light, (F.col("__at_s") == F.col("__at_j")) & (F.col(key) == F.col("__at_r")), "left")
+    return out.select(*left.columns, *[F.coalesce(F.col("__at_h")[v], F.col("__at_v")[v]).alias(v) for v in values])
+
+
+def connected(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """(node, label): the least node that each node of ``edges`` is connected with.
+
+    Each round takes the least label among a node's neighbours and then the
+    label's own label, so the rounds grow with the logarithm of the longest
+    path.  Every round is a written table; nothing is collected but a count.
+    """
+    both = scratch_table(edges.select(F.col(a).alias("x"), F.col(b).alias("y")).union(edges.select(b, a)).where("x <> y").distinct(), "edges")
+    labels = scratch_table(both.groupBy(F.col("x").alias("node")).agg(F.min("y").alias("m"))
+                           .select("node", F.least("node", "m").alias("label")), "labels")
+    while True:
+        near = both.join(labels.select(F.col("node").alias("y"), "label"), "y").groupBy("x").agg(F.min("label").alias("m"))
+        step = labels.join(near, labels["node"] == near["x"]).select("node", F.col("label").alias("old"), F.least("label", "m").alias("label"))
+        step = scratch_table(step, "labels")
+        up = step.select(F.col("node").alias("u"), F.col("label").alias("top"))
+        jumped = scratch_table(step.join(up, step["label"] == up["u"]).select("node", "old", F.col("top").alias("label")), "labels")
+        if jumped.where("label <> old").isEmpty():
+            return jumped.select("node", "label")
+        labels = jumped.select("node", "label")
