@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import bpe, chat_format, line_dedup, ngram_jaccard, token_counts, token_store
+from . import bpe, chat_format, decontaminate, line_dedup, ngram_jaccard, token_counts, token_store
 from . import quality_rules as qr
 from .common import read, scratch_folder
 
@@ -163,3 +163,9 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class and links of all documents, on five-word shingles at a similarity of 0.8."""
     found = ngram_jaccard.classes(read(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "class_id", F.lower(F.hex("text")).alias("text_id"), "n_copies", "n_linked_texts", "n_links")
+
+
+@query
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The places of all documents that hold a benchmark item with at most 8 edits per 100 characters."""
+    return decontaminate.find(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
