@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import bpe, chat_format, decontaminate, line_dedup, ngram_jaccard, token_counts, token_store
+from . import bpe, chat_format, decontaminate, language_id, line_dedup, ngram_jaccard, token_counts, token_store
 from . import quality_rules as qr
 from .common import read, scratch_folder
 
@@ -169,3 +169,11 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The places of all documents that hold a benchmark item with at most 8 edits per 100 characters."""
     return decontaminate.find(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents, learned from three quarters of them."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", (language_id.fold(F.col("doc_id")) == 2).alias("held_out"), "text", "lang")
+    model = language_id.train(docs.where(~F.col("held_out")))
+    return language_id.predict(docs.select("doc_id", "held_out", "text"), model)
