@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import bpe, chat_format, decontaminate, language_id, line_dedup, ngram_jaccard, token_counts, token_store
+from . import bpe, chat_format, decontaminate, language_id, licence_scan, line_dedup, ngram_jaccard, token_counts, token_store
 from . import quality_rules as qr
-from .common import read, scratch_folder
+from .common import let, read, scratch_folder
 
 QUERIES = {}
 ORACLE = {}
@@ -177,3 +177,17 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", (language_id.fold(F.col("doc_id")) == 2).alias("held_out"), "text", "lang")
     model = language_id.train(docs.where(~F.col("held_out")))
     return language_id.predict(docs.select("doc_id", "held_out", "text"), model)
+
+
+@query
+def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licence of all documents, as files of a tree: source, then thousands, hundreds and tens of ids.
+
+    A document of which a notice is a tenth of the lines or more states the licence of its directory.
+    """
+    docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    steps = [F.floor(F.col("doc_id") / n).cast("string") for n in (1000, 100, 10, 1)]
+    files = docs.select("doc_id", F.concat_ws("/", F.coalesce("source", F.lit("none")), *steps).alias("path"), "text")
+    lines = F.filter(F.split("text", "\n", -1), lambda x: F.trim(x) != "")
+    states = let(lines, lambda ls: 10 * F.size(F.filter(ls, lambda x: x.rlike(licence_scan.NOTICE))) >= F.size(ls)) & F.col("text").rlike(licence_scan.NOTICE)
+    return licence_scan.scan(files, is_licence_file=states).drop("path")
