@@ -11,7 +11,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
-    BooleanType, DataType, DateType, NumericType, StringType, TimestampNTZType, TimestampType,
+    BooleanType, DataType, DateType, DoubleType, FloatType, MapType, NumericType, TimestampNTZType, TimestampType,
 )
 
 _LEADING = re.compile(r"^\s*(where|and)\s+", re.IGNORECASE)
@@ -91,7 +91,7 @@ def descending(c: Column, dtype: DataType) -> Column:
     """A key whose ascending order is the descending order of ``c``.
 
     Integers use bitwise NOT (order-reversing, never overflows); doubles are
-    negated; booleans negated; timestamps go through their microseconds.
+    negated (NaN first); booleans negated; timestamps go through their microseconds.
     """
     if isinstance(dtype, BooleanType):
         return ~c
@@ -111,6 +111,8 @@ def descending(c: Column, dtype: DataType) -> Column:
         name = dtype.typeName()
         if name in ("byte", "short", "integer", "long"):
             return F.bitwise_not(c)
+        if isinstance(dtype, (DoubleType, FloatType)):  # NaN is the largest value, so it comes first
+            return F.struct(~F.isnan(c), -c)
         return -c
     raise TypeError(f"descending order on {dtype.simpleString()} is not supported; "
                     "order such columns ascending or map them to a number")
@@ -124,7 +126,7 @@ def first_by(df, order, payload: Column) -> Column:
     """Aggregate picking ``payload`` of the first row in ``order`` within a group.
 
     ``order``: list of ``"col"`` / ``("col", "asc"|"desc")`` / ``(Column, dir)``.
-    Built as ``min`` (or ``max``) of ``struct(order key, payload)``: one grouped
+    Built as ``min_by`` (or ``max_by``) of the payload by (order key, whole row): one grouped
     aggregate with map-side partial aggregation, so a key holding a third of
     all rows is reduced before the shuffle (a ``row_number`` window would
     sort that key in one task).  Numeric, boolean and time columns are flipped
@@ -157,9 +159,8 @@ def first_by(df, order, payload: Column) -> Column:
             parts.append(descending(c, dt).alias(f"o{i}"))
         else:
             parts.append(c.alias(f"o{i}"))
-    agg = F.max if use_max else F.min
-    return agg(F.struct(F.struct(*parts).alias("o"), payload.alias("r")))
-
-
-def string_type(df, c: str) -> bool:
-    return isinstance(df.schema[c].dataType, StringType)
+    # ties are broken by the whole row; maps can't be ordered, so they go by their sorted entries
+    ties = [F.array_sort(F.map_entries(f.name)) if isinstance(f.dataType, MapType) else F.col(f.name) for f in df.schema.fields]
+    key = F.struct(F.struct(*parts), F.struct(*ties))
+    chosen = F.struct(F.struct(*parts).alias("o"), payload.alias("r"))
+    return (F.max_by if use_max else F.min_by)(chosen, key)

@@ -128,17 +128,19 @@ def shift_when(df: DataFrame, c: str, offset: int, pred=None) -> DataFrame:
 def number_rows(df: DataFrame, order: Sequence[str], partitions: int | None = None, name: str = "__row") -> DataFrame:
     """Number the rows of ``df`` 1..n in ``order`` (NULLs last), without a single-partition window.
 
-    Rows are range partitioned on ``order`` (equal values share a
-    partition; the bounds are sampled, so partitions are balanced), sorted
-    inside each partition and numbered locally; per-partition counts (one
-    number per partition) give each partition's base.  The numbered rows are
+    Rows are range partitioned on ``order`` and then on a hash of the whole
+    row, so one key (or NULL) on many rows is spread over partitions, and
+    sorted by ``order``, that hash and the row's text inside each partition:
+    ties are numbered in one fixed order.  Rows are numbered locally;
+    per-partition counts (one number per partition) give each partition's base.  The numbered rows are
     checkpointed so the counting and numbering jobs see the same
     partitioning, also after an executor loss.
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = [F.col(c).asc_nulls_last() for c in order]
-    local = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    row = F.to_json(F.struct(*[F.col(c) for c in df.columns]), {"ignoreNullFields": "false"})
+    keys = [*[F.col(c).asc_nulls_last() for c in order], F.xxhash64(row)]
+    local = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys, row)
              .withColumn("__mid", F.monotonically_increasing_id()))
     local = cut_lineage(local.withColumn("__p", F.shiftright("__mid", 33).cast("int"))
                         .withColumn("__i", F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1))).drop("__mid"))
@@ -285,8 +287,11 @@ def shift_tokens(df: DataFrame, c: str, offset: int, delimiter: str = ",",
         .withColumn("__num", F.col("__tok").try_cast("bigint"))
     ids = valid_ids.select(F.col(valid_ids.columns[0]).cast("bigint").alias("__num")) \
         .where(F.col("__num") > 0).distinct().withColumn("__hit", F.lit(True))
-    toks = toks.join(ids, "__num", "left").withColumn(
+    # only positive numbers can name an id; the other tokens need no join (their NULL key would gather them)
+    moved = toks.where("__num > 0").join(ids, "__num", "left").withColumn(
         "__new", F.when(F.col("__hit"), (F.col("__num") + F.lit(offset)).cast("string")).otherwise(F.col("__tok")))
+    rest = toks.where("__num IS NULL OR __num <= 0").withColumn("__new", F.col("__tok"))
+    toks = moved.select("__rid", "__pos", "__new").unionByName(rest.select("__rid", "__pos", "__new"))
     rebuilt = toks.groupBy("__rid").agg(F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct("__pos", "__new"))), lambda x: x["__new"]), delimiter).alias("__txt"))
     return base.join(rebuilt, "__rid", "left") \
@@ -295,6 +300,14 @@ def shift_tokens(df: DataFrame, c: str, offset: int, delimiter: str = ",",
 
 
 # ------------------------------------------------ K8 / K9 name-based shifts
+def associated_columns(sub: Tenant, rule: Mapping[str, str]) -> list[Col]:
+    """The columns that one ``deal_with`` rule shifts: the declared one and every column named ``associated``."""
+    out = [(rule["db_table"], rule["db_field"])]
+    if rule.get("associated"):
+        out += [(t, rule["associated"]) for t in sub.columns_named(rule["associated"])]
+    return out
+
+
 def shift_associated(main: Tenant, sub: Tenant, rules: Sequence[Mapping[str, str]]) -> tuple[Tenant, dict[Col, int]]:
     """K8 ``deal_with``: shift ``table.field`` and every column named ``associated``.
 
@@ -307,12 +320,8 @@ def shift_associated(main: Tenant, sub: Tenant, rules: Sequence[Mapping[str, str
     offs = max_ids([main, sub], decl)
     plan: dict[Col, int] = {}
     for r in rules:
-        off = offs[(r["db_table"], r["db_field"])]
-        plan.setdefault((r["db_table"], r["db_field"]), off)
-        assoc = r.get("associated")
-        if assoc:
-            for t in sub.columns_named(assoc):
-                plan.setdefault((t, assoc), off)
+        for c in associated_columns(sub, r):
+            plan.setdefault(c, offs[(r["db_table"], r["db_field"])])
     return shift_columns(sub, plan), plan
 
 

@@ -1,9 +1,14 @@
 """Merge operators: replace ("incoming wins"), append, insert-if-absent, filtered,
 whole-tenant and many-tenant merges (M1-M8).
 
-Plans are anti-joins on the key columns plus a by-name union: the only shuffle
-is of the key columns on the side being removed (AQE turns it into a broadcast
-when the incoming key set is small), and the union itself moves no data.
+Two sources merge by an anti join of main with the incoming keys plus a
+by-name union: main is shuffled on its key unless the incoming keys are small
+enough to broadcast.  Any number of sources merge in one pass
+(:func:`merge_all_table`), whose rows equal those of merging one by one.
+
+Rows of one source that share a key are never chosen among: they win or lose
+together, for any number of sources and key sets.  :func:`last_per_key`
+resolves them where an order is declared.
 """
 
 from __future__ import annotations
@@ -47,19 +52,24 @@ def align(sub: DataFrame, main: DataFrame, allow_missing: bool = False) -> DataF
     return sub.select(*out)
 
 
+def _any_null(keys: Sequence[str]):
+    out = F.lit(False)
+    for k in keys:
+        out = out | F.col(k).isNull()
+    return out
+
+
 def last_per_key(df: DataFrame, keys: Sequence[str], order_by) -> DataFrame:
     """Resolve duplicate incoming keys: keep the last row by ``order_by`` (REPLACE order).
 
-    A grouped ``max(struct(order, row))`` with map-side partial aggregation, so
-    many copies of one key are reduced before the shuffle.  NULL keys never
-    clash and are kept as they are.
+    A grouped ``max_by`` with map-side partial aggregation, so many copies of
+    one key are reduced before the shuffle.  Rows need not be orderable.
+    NULL keys never clash and are kept as they are.
     """
     from ..functions.columns import first_by
 
     order = [order_by] if isinstance(order_by, str) else list(order_by)
-    null_key = F.lit(False)
-    for k in keys:
-        null_key = null_key | F.col(k).isNull()
+    null_key = _any_null(keys)
     payload = F.struct(*[F.col(c) for c in df.columns])
     last = df.where(~null_key).groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]) \
         .agg(first_by(df, [(c, "desc") for c in order], payload).alias("__s")).select("__s.r.*")
@@ -161,6 +171,11 @@ def merge_absent(main: DataFrame, sub: DataFrame, keys, allow_missing: bool = Fa
     return main.unionByName(sub.select(*main.columns))
 
 
+def merge_absent_all(main: DataFrame, subs: Sequence[DataFrame], keys, allow_missing: bool = False) -> DataFrame:
+    """M4 for any number of subs: the first source that holds a key keeps all its rows with that key."""
+    return merge_all_table([main, *subs], keys, allow_missing, first_wins=True)
+
+
 def merge_filtered(main: DataFrame, sub: DataFrame, keys, where, mode: str = "replace",
                    allow_missing: bool = False) -> DataFrame:
     """M5: M1/M3/M4 over ``sub WHERE cond`` (the filter reaches the sub's scan); an empty condition keeps every row."""
@@ -190,15 +205,15 @@ def merge_table(main: DataFrame, sub: DataFrame, spec: TableSpec, mode: str = "r
 
 def merge_tenant(main: Tenant, sub: Tenant, exclude: Iterable[str] = (), on_missing: str = "skip",
                  where: Mapping[str, object] | None = None, mode: str = "replace",
-                 allow_missing: bool = False, on_error: str = "skip") -> tuple[Tenant, list[tuple[str, str]]]:
+                 allow_missing: bool = False, on_error: str = "raise") -> tuple[Tenant, list[tuple[str, str]]]:
     """M6 whole-tenant merge: every sub table except ``exclude``.
 
     Returns the merged tenant (lazy) and the action per table: ``merged``,
     ``excluded`` (never read), ``missing`` (main lacks it; ``on_missing`` =
-    ``skip`` | ``copy`` | ``error``), ``failed`` (the table cannot be merged,
-    e.g. its column set differs; ``on_error="skip"`` keeps main's rows, logs
-    it and goes on, as the reference does; ``"raise"`` stops).  Tables only
-    in main pass through.
+    ``skip`` | ``copy`` | ``error``), ``failed`` (only with ``on_error="skip"``:
+    the table cannot be merged, e.g. its column set differs; main's rows are
+    kept, it is logged and the rest goes on; by default it raises).  Tables
+    only in main pass through.
     """
     exclude = set(exclude)
     where = dict(where or {})
@@ -233,43 +248,36 @@ def merge_tenant(main: Tenant, sub: Tenant, exclude: Iterable[str] = (), on_miss
 
 def merge_all_table(frames: Sequence[DataFrame], keys, allow_missing: bool = False,
                     first_wins: bool = False) -> DataFrame:
-    """M7 fast path for one table: tenants in list order, the last one wins per key.
-
-    One shuffle on the key: union with the tenant ordinal, then one grouped
-    ``first_by`` (highest ordinal first) with map-side partial aggregation.
-    A key normally occurs once per tenant; even if dirty data repeats one key
-    in a third of all rows, the copies are reduced before the shuffle and
-    the pick stays deterministic (no window sorts a hot key in one task).
-    NULL keys never clash and pass through.  Several key sets or keyless
-    tables fall back to the sequential fold.  ``first_wins``: the earliest
-    source keeps the key (insert-if-absent over many subs, M4).
+    """M7 for one table: tenants in list order, the last one wins per key.
+
+    Each key belongs to the last source that holds it, and all of that
+    source's rows with the key stay; so the result equals merging the sources
+    one by one, for one source or many.  The owner of a key is one grouped
+    ``max`` of the tenant ordinal over the key columns alone (map-side
+    partial, so a hot key is reduced before the shuffle); the rows follow by
+    a semi join on key and ordinal.  NULL keys never clash and pass through.
+    Several key sets are merged one source after another, as a row can clash
+    on each; a keyless table is a union.  ``first_wins``: the earliest source
+    keeps the key (insert-if-absent over many subs, M4).
     """
-    from ..functions.columns import first_by
-
     key_sets = _key_sets(keys)
-    if len(frames) == 1:
-        return frames[0]
-    if len(key_sets) != 1:
-        acc = frames[0]
+    base = frames[0]
+    if len(key_sets) > 1:
+        acc = base
         for f in frames[1:]:
             acc = merge_absent(acc, f, key_sets, allow_missing) if first_wins else \
                 merge_replace(acc, f, key_sets, allow_missing=allow_missing)
         return acc
-    base = frames[0]
-    tagged = [base.withColumn("__ord", F.lit(0))]
+    tagged = base.withColumn("__ord", F.lit(0))
     for i, f in enumerate(frames[1:], start=1):
-        tagged.append(align(f, base, allow_missing).withColumn("__ord", F.lit(i)))
-    u = tagged[0]
-    for t in tagged[1:]:
-        u = u.unionByName(t)
+        tagged = tagged.unionByName(align(f, base, allow_missing).withColumn("__ord", F.lit(i)))
+    if not key_sets or len(frames) == 1:
+        return tagged.drop("__ord")
     ks = list(key_sets[0])
-    null_key = F.lit(False)
-    for k in ks:
-        null_key = null_key | F.col(k).isNull()
-    payload = F.struct(*[F.col(c) for c in base.columns])
-    last = u.where(~null_key).groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(ks)]) \
-        .agg(first_by(u, [("__ord", "asc" if first_wins else "desc")], payload).alias("__s")).select("__s.r.*")
-    return last.unionByName(u.where(null_key).drop("__ord"))
+    null_key = _any_null(ks)
+    owner = tagged.where(~null_key).groupBy(*ks).agg((F.min if first_wins else F.max)("__ord").alias("__ord"))
+    kept = tagged.where(~null_key).join(owner, [*ks, "__ord"], "left_semi")
+    return kept.select(*base.columns).unionByName(tagged.where(null_key).select(*base.columns))
 
 
 def merge_all(main: Tenant, subs: Sequence[Tenant], exclude: Iterable[str] = (),

@@ -30,39 +30,54 @@ def tenant_prefix(df: DataFrame, c: str, zone: int, template: str = "s{zone}") -
     return affix(df, c, template.format(zone=zone), "prefix")
 
 
-def name_marker(df: DataFrame, c: str, names: DataFrame, marker: str = "__hit") -> DataFrame:
+def name_marker(df: DataFrame, c: str, names: DataFrame, marker: str = "__hit", case_insensitive: bool = False) -> DataFrame:
     """Left-join a ``True`` marker for rows whose ``c`` is in ``names`` (semi-join as a column)."""
-    n = names.select(F.col(names.columns[0]).alias("__name")).where(F.col("__name").isNotNull()) \
+    fold = F.lower if case_insensitive else F.col
+    n = names.select(fold(names.columns[0]).alias("__name")).where(F.col("__name").isNotNull()) \
         .distinct().withColumn(marker, F.lit(True))
-    return df.join(n, df[c] == n["__name"], "left").drop("__name")
+    return _spread_join(df, fold(c), n, "__name")
+
+
+def _spread_join(df: DataFrame, key: Column, names: DataFrame, name_col: str) -> DataFrame:
+    """Left join on a name; rows whose ``key`` is NULL are dealt by a hash of the row instead of one NULL key."""
+    h = F.coalesce(F.xxhash64(F.when(key.isNotNull(), F.struct(key))), F.lit(0))
+    left = df.withColumn("__nk", key).withColumn("__nh", F.when(key.isNotNull(), h).otherwise(_row_hash(df)))
+    right = names.withColumn("__rh", F.coalesce(F.xxhash64(F.struct(F.col(name_col))), F.lit(0)))
+    return left.join(right, (left["__nh"] == right["__rh"]) & (left["__nk"] == right[name_col]), "left") \
+        .drop("__nk", "__nh", "__rh", name_col)
+
+
+def _row_hash(df: DataFrame) -> Column:
+    return F.xxhash64(F.to_json(F.struct(*[F.col(c) for c in df.columns])))
 
 
 def affix_conflicts(sub: DataFrame, main: DataFrame, c: str, text: str, side: str = "prefix",
-                    skip: str | None = None, main_col: str | None = None) -> DataFrame:
+                    skip: str | None = None, main_col: str | None = None, case_insensitive: bool = False) -> DataFrame:
     """N2 ``repeat_modify``: affix only names that also exist in main's table.
 
     ``UPDATE sub SET c = CONCAT(..) WHERE c IN (SELECT c FROM main) AND c <> skip``.
     """
     if not text or c not in sub.columns:
         return sub
-    j = name_marker(sub, c, main.select(main_col or c))
+    j = name_marker(sub, c, main.select(main_col or c), case_insensitive=case_insensitive)
     return j.withColumn(c, affixed(c, text, side, skip, only=F.coalesce(F.col("__hit"), F.lit(False)))) \
         .drop("__hit").select(*sub.columns)
 
 
-def duplicate_names(df: DataFrame, c: str, where=None) -> DataFrame:
-    """Names held by more than one row (``GROUP BY BINARY c HAVING COUNT(c) > 1``)."""
+def duplicate_names(df: DataFrame, c: str, where=None, case_insensitive: bool = False) -> DataFrame:
+    """Names held by more than one row (``GROUP BY BINARY c HAVING COUNT(c) > 1``); lower-cased if ``case_insensitive``."""
     src = df if where is None else df.where(where)
-    return src.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("__n")) \
+    name = F.lower(c) if case_insensitive else F.col(c)
+    return src.where(F.col(c).isNotNull()).groupBy(name.alias(c)).agg(F.count(F.lit(1)).alias("__n")) \
         .where("__n > 1").select(c)
 
 
 def rename_duplicates(df: DataFrame, c: str, zone: str | Column, main_zone: int, id_col: str | None = None,
                       template: str = "s%d.%s", where=None, only=None,
-                      extra: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+                      extra: Sequence[str] = (), case_insensitive: bool = False) -> tuple[DataFrame, DataFrame]:
     """Rows whose name is duplicated and whose zone is not main's become ``s<zone>.<name>``.
 
-    Comparison is binary (case-sensitive, H16).  Rows with id 0 are left as
+    Comparison is binary unless ``case_insensitive`` (H16).  Rows with id 0 are left as
     they are (the reference skips them).  ``where`` narrows the rows that
     count as holders of a name (e.g. ``adventure_team_name <> ''``); ``only``
     is an extra condition on the renamed rows (e.g. ``accid <> 0``).
@@ -70,8 +85,10 @@ def rename_duplicates(df: DataFrame, c: str, zone: str | Column, main_zone: int,
     """
     zone_c = F.col(zone) if isinstance(zone, str) else zone
     where = None if where is None else as_column(where)
-    dups = duplicate_names(df, c, where).withColumn("__dup", F.lit(True)).withColumnRenamed(c, "__dname")
-    j = df.join(dups, df[c] == dups["__dname"], "left").drop("__dname")
+    dups = duplicate_names(df, c, where, case_insensitive).withColumn("__dup", F.lit(True)).withColumnRenamed(c, "__dname")
+    # rows that can't be renamed (no name, outside ``where``) never meet a name
+    name = F.lower(c) if case_insensitive else F.col(c)
+    j = _spread_join(df, name if where is None else F.when(where, name), dups, "__dname")
     hit = F.coalesce(F.col("__dup"), F.lit(False)) & (zone_c != F.lit(main_zone))
     if where is not None:
         hit = hit & F.coalesce(where, F.lit(False))

@@ -25,6 +25,7 @@ from ..operators import rows as P
 from ..sources.sinks import merge_report
 from . import jobs as J
 from . import tenants as T
+from .reconcile import ACCOUNT_FOLDS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -125,6 +126,18 @@ def insert_absent_many(spark, d):
     return M.merge_all_table([T.om(spark, d), T.os_(spark, d), T.ot(spark, d)], "o_orderkey", first_wins=True)
 
 
+@query("insert_absent_names", _with(*(T.customer_cut_sql(f"x{k}", (s,)) for k, s in enumerate(("AUTOMOBILE", "BUILDING", "FURNITURE"))),
+                                    *(f"n{k} AS (SELECT c_custkey AS id, CAST(c_nationkey AS BIGINT) * {k + 2} % 11 AS name FROM x{k})" for k in range(3))) + """
+SELECT id, name FROM n0
+UNION ALL SELECT id, name FROM n1 WHERE name NOT IN (SELECT name FROM n0)
+UNION ALL SELECT id, name FROM n2 WHERE name NOT IN (SELECT name FROM n0) AND name NOT IN (SELECT name FROM n1)""")
+def insert_absent_names(spark, d):
+    """M4 over two subs whose names repeat: all rows of the first tenant that holds a name stay."""
+    frames = [T.customer_cut(spark, d, (s,)).select(F.col("c_custkey").alias("id"), (F.col("c_nationkey").cast("long") * (k + 2) % 11).alias("name"))
+              for k, s in enumerate(("AUTOMOBILE", "BUILDING", "FURNITURE"))]
+    return M.merge_absent_all(frames[0], frames[1:], "name")
+
+
 @query("filtered_merge", _with(T.OM, T.OS, "osf AS (SELECT * FROM os WHERE o_totalprice > 100000)") + """
 SELECT * FROM om WHERE NOT EXISTS (SELECT 1 FROM osf WHERE osf.o_orderkey = om.o_orderkey)
 UNION ALL SELECT * FROM osf""")
@@ -166,14 +179,15 @@ def exclude_merge(spark, d):
     return out
 
 
-@query("merge_lineage", _with(*_EXCL_CTES) + """
-SELECT 'customer' AS table_name, 'merged' AS action, (SELECT CAST(count(*) AS BIGINT) FROM cm) AS main_rows,
-       (SELECT CAST(count(*) AS BIGINT) FROM cs) AS sub_rows, (SELECT CAST(count(*) AS BIGINT) FROM cmerged) AS out_rows
-UNION ALL SELECT 'orders', 'merged', (SELECT CAST(count(*) AS BIGINT) FROM om), (SELECT CAST(count(*) AS BIGINT) FROM os),
-       (SELECT CAST(count(*) AS BIGINT) FROM omerged)
-UNION ALL SELECT 'part', 'excluded', (SELECT CAST(count(*) AS BIGINT) FROM pm), (SELECT CAST(count(*) AS BIGINT) FROM ps),
-       (SELECT CAST(count(*) AS BIGINT) FROM pm)
-UNION ALL SELECT 'nation', 'missing', CAST(0 AS BIGINT), (SELECT CAST(count(*) AS BIGINT) FROM nation), CAST(0 AS BIGINT)""")
+@query("merge_lineage", _with(*_EXCL_CTES, "r AS (" + """
+SELECT 'customer' AS table_name, 'merged' AS action, (SELECT count(*) FROM cm) AS main_rows,
+       (SELECT count(*) FROM cs) AS sub_rows, (SELECT count(*) FROM cmerged) AS out_rows
+UNION ALL SELECT 'orders', 'merged', (SELECT count(*) FROM om), (SELECT count(*) FROM os), (SELECT count(*) FROM omerged)
+UNION ALL SELECT 'part', 'excluded', (SELECT count(*) FROM pm), (SELECT count(*) FROM ps), (SELECT count(*) FROM pm)
+UNION ALL SELECT 'nation', 'missing', 0, (SELECT count(*) FROM nation), 0)""") + """
+SELECT 'sub' AS tenant, table_name, action, CAST(main_rows AS BIGINT) AS main_rows, CAST(sub_rows AS BIGINT) AS sub_rows,
+       CAST(out_rows AS BIGINT) AS out_rows,
+       CAST(CASE WHEN action = 'merged' THEN main_rows + sub_rows - out_rows ELSE 0 END AS BIGINT) AS rows_replaced FROM r""")
 def merge_lineage(spark, d):
     """Per-table report of a whole-tenant merge."""
     main, sub = _exclusion_setup(spark, d)
@@ -355,19 +369,19 @@ def zone_of_guid_q(spark, d):
 
 
 # ===================================================================== rows
-@query("set_const", _with(T.OS) + """
-SELECT o_orderkey, o_custkey, 'M' AS o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM os""")
+@query("set_const", """
+SELECT o_orderkey, o_custkey, 'M' AS o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders""")
 def set_const(spark, d):
     """A column set on every row."""
-    return P.set_const(T.os_(spark, d), {"o_orderstatus": "M"})
+    return P.set_const(T.read(spark, d, "orders"), {"o_orderstatus": "M"})
 
 
-@query("set_where", _with(T.OS) + """
+@query("set_where", """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
-       CASE WHEN o_totalprice < 50000 THEN '3-MEDIUM' ELSE o_orderpriority END AS o_orderpriority FROM os""")
+       CASE WHEN o_totalprice < 50000 THEN '3-MEDIUM' ELSE o_orderpriority END AS o_orderpriority FROM orders""")
 def set_where(spark, d):
     """A column set where a predicate holds."""
-    return P.set_where(T.os_(spark, d), "o_totalprice < 50000", {"o_orderpriority": "3-MEDIUM"})
+    return P.set_where(T.read(spark, d, "orders"), "o_totalprice < 50000", {"o_orderpriority": "3-MEDIUM"})
 
 
 @query("map_values", _with(T.OM, T.OS) + """
@@ -383,11 +397,11 @@ def map_values(spark, d):
     return out[0].unionByName(out[1])
 
 
-@query("stamp_zone", _with(T.CS) + """
-SELECT c_custkey, c_name, CAST(99 AS INTEGER) AS c_nationkey, c_acctbal, c_mktsegment, 2 AS zone_id FROM cs""")
+@query("stamp_zone", """
+SELECT c_custkey, c_name, CAST(99 AS INTEGER) AS c_nationkey, c_acctbal, c_mktsegment, 2 AS zone_id FROM customer""")
 def stamp_zone(spark, d):
     """Server-id column stamped with the tenant id, lineage column added."""
-    return P.with_zone(P.stamp_tenant(T.cs(spark, d), ["c_nationkey"], 99), 2)
+    return P.with_zone(P.stamp_tenant(T.read(spark, d, "customer"), ["c_nationkey"], 99), 2)
 
 
 @query("widen", """
@@ -397,26 +411,28 @@ def widen(spark, d):
     return P.widen(T.read(spark, d, "customer"), ["c_nationkey"])
 
 
-@query("delete_where", _with(T.OM) + """
-SELECT * FROM om WHERE COALESCE(NOT (o_totalprice > 300000), TRUE)""")
+@query("delete_where", """
+SELECT * FROM orders WHERE COALESCE(NOT (o_totalprice > 300000), TRUE)""")
 def delete_where(spark, d):
     """Rows matching a predicate deleted (a NULL predicate keeps the row)."""
-    return P.delete_where(T.om(spark, d), "o_totalprice > 300000")
+    return P.delete_where(T.read(spark, d, "orders"), "o_totalprice > 300000")
 
 
-@query("empty_table", _with(T.OS) + "SELECT * FROM os WHERE FALSE")
+@query("empty_table", _with(T.OT) + f"SELECT {OCOLS} FROM ot")
 def empty_table(spark, d):
-    """Truncated table keeps its schema."""
-    return P.empty(T.os_(spark, d))
+    """main's table emptied by the append job, a third tenant's rows appended to what is left."""
+    main = Tenant("main", 1, {"orders": T.om(spark, d).unionByName(T.os_(spark, d))}, T.SPECS)
+    emptied = J.append_reconcile(main, [T.sub_tenant(spark, d, ("orders",))], {"append": {"orders": "empty"}}).main
+    return M.merge_append(emptied.table("orders"), T.ot(spark, d), "o_orderkey")
 
 
 # ==================================================================== names
-@query("affix_all", _with(T.CS) + """
+@query("affix_all", """
 SELECT c_custkey, CASE WHEN c_name <> 'Customer#000000007' THEN 's2_' || c_name ELSE c_name END AS c_name,
-       c_nationkey, c_acctbal, c_mktsegment FROM cs""")
+       c_nationkey, c_acctbal, c_mktsegment FROM customer""")
 def affix_all(spark, d):
     """Prefix on every name except the skip value."""
-    return N.affix(T.cs(spark, d), "c_name", "s2_", "prefix", skip="Customer#000000007")
+    return N.affix(T.read(spark, d, "customer"), "c_name", "s2_", "prefix", skip="Customer#000000007")
 
 
 @query("affix_conflicts", _with(T.CM, T.CS) + """
@@ -428,19 +444,19 @@ def affix_conflicts(spark, d):
     return N.affix_conflicts(T.cs(spark, d), T.cm(spark, d), "c_name", "_2", "suffix", skip="")
 
 
-@query("affix_idempotent", _with(T.CS) + """
+@query("affix_idempotent", """
 SELECT c_custkey, CASE WHEN c_name LIKE '%0' THEN c_name ELSE c_name || '0' END AS c_name,
-       c_nationkey, c_acctbal, c_mktsegment FROM cs""")
+       c_nationkey, c_acctbal, c_mktsegment FROM customer""")
 def affix_idempotent(spark, d):
     """Account suffix unless the name already ends with it."""
-    return N.affix(T.cs(spark, d), "c_name", "0", "suffix", idempotent=True)
+    return N.affix(T.read(spark, d, "customer"), "c_name", "0", "suffix", idempotent=True)
 
 
-@query("tenant_prefix", _with(T.CS) + """
-SELECT c_custkey, 's2' || c_name AS c_name, c_nationkey, c_acctbal, c_mktsegment FROM cs""")
+@query("tenant_prefix", """
+SELECT c_custkey, 's2' || c_name AS c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer""")
 def tenant_prefix(spark, d):
     """Names prefixed with s<zone>."""
-    return N.tenant_prefix(T.cs(spark, d), "c_name", 2)
+    return N.tenant_prefix(T.read(spark, d, "customer"), "c_name", 2)
 
 
 def _parts_appended(spark, d) -> DataFrame:
@@ -809,6 +825,17 @@ _ACCT_EXPRS = ["event_id AS guid", "user_id AS accid", "event_type AS adventure_
                "CAST(floor(value / 100) AS INTEGER) AS adventure_team_level",
                "CAST(floor(value / 10) AS BIGINT) AS adventure_team_exp", "CAST(floor(value) AS BIGINT) AS point",
                "CAST(day(ts) AS BIGINT) AS reg_time"]
+#: the other columns that are folded, each from the event's value in a way of its own
+_ACCT_FOLDS = {c: kind for c, kind in ACCOUNT_FOLDS.items() if c not in ("point", "reg_time")}
+_ACCT_EXPRS += [f"CAST(floor(value * {k}) % {90 + k} AS BIGINT) AS {c}" for k, c in enumerate(_ACCT_FOLDS, 2)]
+
+
+def _fold_sql(c: str, kind) -> str:
+    if isinstance(kind, tuple):
+        return f"LEAST(COALESCE(SUM({c}), 0), {kind[1]})"
+    return f"COALESCE(SUM({c}), 0)" if kind == "sum" else f"{kind.upper()}({c})"
+
+
 _ACCT_COLS = ", ".join(_ACCT_EXPRS)
 
 
@@ -819,11 +846,13 @@ _ACCT_COLS = ", ".join(_ACCT_EXPRS)
     "r AS (SELECT guid, accid, CASE WHEN adventure_team_name IN (SELECT adventure_team_name FROM dup) "
     "AND adventure_team_name <> '' AND accid <> 0 AND zone_id <> 1 AND guid <> 0 "
     "THEN 's' || CAST(zone_id AS VARCHAR) || '.' || adventure_team_name ELSE adventure_team_name END "
-    "AS adventure_team_name, adventure_team_level, adventure_team_exp, point, reg_time, zone_id FROM a)",
+    "AS adventure_team_name, adventure_team_level, adventure_team_exp, point, reg_time, " + ", ".join(_ACCT_FOLDS) + ", zone_id FROM a)",
     "s AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY accid ORDER BY CASE WHEN zone_id = 1 THEN 0 "
     "ELSE 1 END, adventure_team_level DESC, adventure_team_exp DESC, guid) AS rn FROM r) x WHERE rn = 1)",
-    "g AS (SELECT accid, count(*) AS n, COALESCE(SUM(point), 0) AS sp, MIN(reg_time) AS mr FROM r GROUP BY accid)") + """
-SELECT s.guid, s.accid, s.adventure_team_name, s.adventure_team_level, s.adventure_team_exp,
+    "g AS (SELECT accid, count(*) AS n, COALESCE(SUM(point), 0) AS sp, MIN(reg_time) AS mr, "
+    + ", ".join(f"{_fold_sql(c, k)} AS f_{c}" for c, k in _ACCT_FOLDS.items()) + " FROM r GROUP BY accid)") + "SELECT "
+    + ", ".join(f"CAST(CASE WHEN g.n > 1 THEN g.f_{c} ELSE s.{c} END AS BIGINT) AS {c}" for c in _ACCT_FOLDS) + """,
+       s.guid, s.accid, s.adventure_team_name, s.adventure_team_level, s.adventure_team_exp,
        CAST(CASE WHEN g.n > 1 THEN g.sp ELSE s.point END AS BIGINT) AS point,
        CASE WHEN g.n > 1 THEN g.mr ELSE s.reg_time END AS reg_time
 FROM s JOIN g ON g.accid = s.accid""")
@@ -909,6 +938,57 @@ def rule_type1(spark, d):
     return res.main.table("customer")
 
 
+def _three_subs_sql() -> str:
+    shifted = lambda k: (f"o{k} AS (SELECT CASE WHEN o_orderkey > 0 THEN o_orderkey + (SELECT v FROM m{k}) ELSE o_orderkey END AS o_orderkey, "
+                         f"o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, {k} AS src FROM s{k})")
+    ctes = [T.OM.replace("om AS", "o0 AS", 1).replace("SELECT", "SELECT 0 AS src,", 1), T.OS.replace("os AS", "s1 AS", 1), T.OT.replace("ot AS", "s2 AS", 1),
+            T.OS.replace("os AS", "s3 AS", 1)]
+    for k in (1, 2, 3):
+        before = [f"o{j}" for j in range(k)]
+        ctes += [f"m{k} AS (SELECT {_max_sql('o_orderkey', *before, f's{k}')} AS v)", shifted(k)]
+    both = " UNION ALL ".join(f"SELECT {OCOLS}, src FROM o{k}" for k in range(4))
+    # ids that aren't positive aren't shifted, so they meet: the last source keeps them
+    return _with(*ctes) + f"SELECT {OCOLS} FROM ({both}) u QUALIFY src = max(src) OVER (PARTITION BY o_orderkey) OR o_orderkey IS NULL"
+
+
+@query("rule_three_subs", _three_subs_sql())
+def rule_three_subs(spark, d):
+    """R1 over three subs: each is shifted past what main holds by then, all are merged in one pass."""
+    rules = {"type": "1", "other_identity": [{"db_table": "orders", "db_field": "o_orderkey"}]}
+    subs = [Tenant(f"sub{k}", k + 1, {"orders": df}, T.SPECS) for k, df in enumerate((T.os_(spark, d), T.ot(spark, d), T.os_(spark, d)), 1)]
+    return J.run_rules(T.main_tenant(spark, d, ("orders",)), [J.SubTenant(t) for t in subs], rules).main.table("orders")
+
+
+@query("rule_type3_wide", _with(T.OM, T.OS) + """
+SELECT CAST(1500000000 AS BIGINT) + o_custkey AS o_custkey, o_orderkey FROM om
+UNION ALL SELECT CAST(1400000000 AS BIGINT) + o_custkey
+  + GREATEST((SELECT max(o_custkey) FROM om) + 1500000000, (SELECT max(o_custkey) FROM os) + 1400000000), o_orderkey FROM os""")
+def rule_type3_wide(spark, d):
+    """K10 type 3: int ids near the type's limit are widened before they are shifted."""
+    def tenant(name, zone, orders, base):
+        ids = orders.select((F.col("o_custkey") + base).cast("int").alias("o_custkey"), "o_orderkey")
+        return Tenant(name, zone, {"orders": ids})
+    rules = {"type": "3", "simple_process": {"character_types": "1", "deal_with": [{"db_table": "orders", "db_field": "o_custkey", "associated": ""}]}}
+    main, sub = tenant("main", 1, T.om(spark, d), 1500000000), tenant("sub", 2, T.os_(spark, d), 1400000000)
+    return J.run_rules(main, [J.SubTenant(sub)], rules).main.table("orders")
+
+
+@query("write_reopen", _with(T.OM, T.OS) + f"""
+SELECT {OCOLS} FROM om WHERE NOT EXISTS (SELECT 1 FROM os WHERE os.o_orderkey = om.o_orderkey)
+UNION ALL SELECT {OCOLS} FROM os""")
+def write_reopen(spark, d):
+    """A merged tenant is written, its published version found and opened again, and scanned."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    from ..sources.sinks import read_published, write_tenant
+
+    merged, _ = M.merge_tenant(T.main_tenant(spark, d, ("orders",)), T.sub_tenant(spark, d, ("orders",)))
+    out = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tenant-{uuid.uuid4().hex}"
+    write_tenant(merged, out, "1")
+    return read_published(spark, out, "1", "main", 1, ["orders"]).table("orders").select(*ORDER_COLS)
+
+
 RULES_TYPE2 = {
     "type": "2",
     "restructure_state": "1",

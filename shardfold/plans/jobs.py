@@ -4,9 +4,8 @@ DataFrames); writing it is :func:`shardfold.sources.sinks.write_tenant`.
 
 Several subs are applied in list order and each sees main as left by the
 previous sub (H25).  Every sub's offsets (and conflict names N2, account
-relink I1) read the main left by the previous sub, so with several subs the
-merged tables are checkpointed between subs: lineage and recomputation stay
-linear in the number of subs instead of quadratic.
+relink I1) read the main left by the previous sub: from tracked maxima and
+name snapshots, while the merge itself is one pass per table over all subs.
 """
 
 from __future__ import annotations
@@ -220,7 +219,7 @@ def _name_snapshots(merged: Tenant, rules: Mapping, main_accounts: Tenant | None
 
 def run_rules(main: Tenant, subs: Sequence[SubTenant], rules: Mapping, main_accounts: Tenant | None = None,
               declared_tables: bool = False, checkpoint_between: bool = False) -> JobResult:
-    """R1 rule-driven merge: per sub remap -> names -> stamp -> merge -> accounts.
+    """R1 rule-driven merge: per sub remap -> names -> stamp, then one merge per table, and accounts.
 
     Several subs are applied in order, each against main as left by the
     previous one (H25), without materialising main between subs:
@@ -229,19 +228,24 @@ def run_rules(main: Tenant, subs: Sequence[SubTenant], rules: Mapping, main_acco
       :func:`_fold_known`), so a sub's offsets never re-run the merges
       before it: one small job per sub over the sub's own tables;
     * name rules that read main (conflict-only affixes N2, account relink
-      I1) read checkpointed snapshots of just the name columns, so the
-      merged plan references main once per sub and grows linearly.
-
-    ``checkpoint_between=True`` materialises the whole merged tenant
-    between subs instead.
+      I1) read checkpointed snapshots of just the name columns;
+    * the rewritten subs are merged into main at the end, all subs of a table
+      in one pass (:func:`shardfold.operators.merge.merge_all_table`), so a
+      table's plan has the same shuffles for any number of subs.
+
+    Rules that rewrite main for every sub (renumbering K5, declared tables)
+    can't be put off; there each merge is checkpointed before the next sub.
+    ``checkpoint_between=True`` does so for any rules.
     """
     res = JobResult(main, main_accounts)
     exclude = [i["db_table"] for i in rules.get("un_merge") or []]
-    track = len(subs) > 1 and not checkpoint_between
+    stepwise = checkpoint_between or declared_tables or str(rules.get("restructure_state")) == "1"
+    track = len(subs) > 1 and not stepwise
     cols = rule_columns(rules, main) if track else []
     if track and cols:
         res.main = main.with_known_max(K.max_ids([main], cols))
     snapshots: dict = {}
+    rewritten: list[tuple[Tenant, set[str]]] = []
     for k, s in enumerate(subs):
         r = _with_overrides(rules, s)
         rm = remap(res.main, s.tenant, r)
@@ -254,18 +258,28 @@ def run_rules(main: Tenant, subs: Sequence[SubTenant], rules: Mapping, main_acco
             cur_main, sub = apply_declared_tables(cur_main, r), apply_declared_tables(sub, r)
         merged, actions = M.merge_tenant(cur_main, sub, exclude=exclude)
         res.actions.extend((s.tenant.name, t, a) for t, a in actions)
+        done = {t for t, a in actions if a == "merged"}
+        rewritten.append((sub, done))
         ps = r.get("prefix_setting") or {}
         if str(ps.get("account_change")) == "1" and res.accounts is not None and s.accounts is not None:
-            res.accounts = M.merge_accounts(res.accounts, s.accounts, ps.get("account_suffix") or "")
+            # only a suffix of the sub's own is put on its accounts
+            res.accounts = M.merge_accounts(res.accounts, s.accounts, s.account_suffix or "")
         if k < len(subs) - 1:
-            if checkpoint_between:
+            if stepwise:
                 merged = _materialise(merged)
             else:
                 if cols:
-                    merged = _fold_known(res.main, merged, sub, r, set(exclude), cols, declared_tables,
-                                         {t for t, a in actions if a == "merged"})
+                    merged = _fold_known(res.main, merged, sub, r, set(exclude), cols, declared_tables, done)
                 snapshots = _name_snapshots(merged, r, main_accounts)
         res.main = merged
+    if track:
+        final = {}
+        for t in {t for _, done in rewritten for t in done}:
+            base = M.align(main.table(t), res.main.table(t))  # with the widened types
+            sources = [(sub, sub.table(t)) for sub, done in rewritten if t in done]
+            keys = main.spec(t).keys or sources[0][0].spec(t).keys
+            final[t] = M.merge_all_table([base, *[df for _, df in sources]], keys)
+        res.main = res.main.with_tables(final)
     return res
 
 
@@ -300,6 +314,7 @@ def filtered_merge(main: Tenant, subs: Sequence[Tenant], filters: Mapping[str, o
     out = {}
     for t, pred in filters.items():
         if not main.has(t):
+            res.actions.extend((s.name, t, "missing") for s in subs if s.has(t))
             continue
         no_filter = pred is None or (isinstance(pred, str) and not pred.strip())
         frames = [s.table(t) if no_filter else s.table(t).where(as_column(pred)) for s in subs if s.has(t)]
@@ -313,7 +328,7 @@ def filtered_merge(main: Tenant, subs: Sequence[Tenant], filters: Mapping[str, o
             acc = main.table(t)
             for f in frames:
                 acc = M.merge_filtered(acc, f, main.spec(t).keys, F.lit(True), mode)
-            out[t] = acc
+            out[t] = acc if mode != "absent" else M.merge_absent_all(main.table(t), frames, main.spec(t).keys)
     res.main = main.with_tables(out)
     return res
 
@@ -375,12 +390,26 @@ def relabel_merge(main: Tenant, subs: Sequence[Tenant], exclude: Iterable[str] =
     return res
 
 
-#: fixed values: the append modes of the append-and-reconcile job that differ from a plain append
+#: fixed values: the tables that the append-and-reconcile job appends, and how
 APPEND_RECONCILE_TABLES = {
+    **dict.fromkeys(("t_account", "t_active_task"), {"mode": "error"}),
     "t_activity_op": {"mode": "empty"},
+    **dict.fromkeys((
+        "t_activity_op_task", "t_activity_op_task_new", "t_charge_record", "t_counter", "t_dungeon", "t_g_dungeon_hard",
+        "t_account_adventure", "t_account_monopoly", "t_hire", "t_guild", "t_guild_member", "t_item"), {"mode": "error"}),
     "t_jar_record": {"mode": "empty"},
-    "t_player_info_name": {"mode": "absent"},
-    "t_abnormal_transaction": {"mode": "surrogate"},
+    **dict.fromkeys((
+        "t_jaritem_pool", "t_mail", "t_mailitem", "t_mall_gift_pack", "t_offline_event", "t_pk_statistic", "t_player_info",
+        "t_punishment", "t_red_packet", "t_red_packet_receiver", "t_relation", "t_retinue", "t_shop", "t_shopitem",
+        "t_sortlist", "t_sys_record", "t_task", "t_auction_new", "t_pet", "t_guild_storage", "t_guildstorage_oprecord",
+        "t_questionnaire", "t_mastersect_relation", "t_account_shop_role_buy_record", "t_auction_transaction",
+        "t_activity_op_attribute", "t_mall_item", "t_blackmarket_auction", "t_blackmarket_transaction", "t_expedition_map",
+        "t_expedition_member", "t_head_frame", "t_item_deposit", "t_week_sign", "t_activity_account_record",
+        "t_activity_op_account_task", "t_activity_op_record", "t_account_task", "t_new_title_accout", "t_new_title",
+        "t_team_copy", "t_currency_frozen", "t_honor_role", "t_honor_history", "t_shortcut_key", "t_credit_point_record"),
+        {"mode": "error"}),
+    "t_player_info_name": {"mode": "absent", "keys": ["name"]},
+    "t_abnormal_transaction": {"mode": "surrogate", "keys": ["guid"]},
     "t_account_counter": {"mode": "error", "where": "counter_type IN (1, 2, 3, 4, 5, 6, 10)"},
     "t_account_shop_acc_buy_record": {"mode": "error", "where": "shop_id IN (51, 52, 70, 34)"},
 }
@@ -389,6 +418,7 @@ APPEND_RECONCILE_TABLES = {
 def _append_table(main_df: DataFrame, main_zone: int, subs: Sequence[tuple[Tenant, DataFrame]], keys,
                   how: Mapping, zone_col: str | None) -> DataFrame:
     mode = how.get("mode", "error")
+    keys = [tuple(how["keys"])] if how.get("keys") else keys  # keys of the mode itself go before declared ones
     acc = main_df if zone_col is None else P.with_zone(main_df, main_zone, zone_col)
     if mode == "empty":  # the destination is cleared and nothing is appended
         return P.empty(acc)
@@ -398,18 +428,13 @@ def _append_table(main_df: DataFrame, main_zone: int, subs: Sequence[tuple[Tenan
             src = src.where(how["where"])
         if zone_col is not None:
             src = P.with_zone(src, s.zone, zone_col)
-        prepared.append((s, src))
+        prepared.append(src)
     if mode == "error":  # one clash check for every sub, then one union
-        return M.merge_append_all(acc, [src for _, src in prepared], keys)
-    if mode == "absent" and len(prepared) > 1 and len(keys) == 1:  # first source keeps the key: one shuffle
-        return M.merge_all_table([acc] + [src for _, src in prepared], keys, first_wins=True)
-    for s, src in prepared:
-        if mode == "surrogate":
-            acc = M.append_new_surrogate(acc, src, keys[0][0])
-        elif mode == "absent":
-            acc = M.merge_absent(acc, src, keys)
-        else:
-            acc = M.merge_append(acc, src, keys, on_conflict=mode)
+        return M.merge_append_all(acc, prepared, keys)
+    if mode == "absent":  # the first source that holds a key keeps it
+        return M.merge_absent_all(acc, prepared, keys)
+    for src in prepared:
+        acc = M.append_new_surrogate(acc, src, keys[0][0]) if mode == "surrogate" else M.merge_append(acc, src, keys, on_conflict=mode)
     return acc
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..model import Tenant
 from ..operators import identity as I
+from ..operators import merge as M
 from ..operators import names as N
 from ..operators import retention as R
 from ..session import cut_lineage
@@ -31,7 +32,7 @@ ACCOUNT_FOLDS = {
     "point": "sum", "credit_point": "sum", "reg_time": "min", "vipexp": "max", "viplvl": "max",
     "total_charge_num": "sum", "storage_size": "max", "role_delete_time": "max", "role_recover_time": "max",
     "money_manage_status": "max", "gnome_coin_num": "sum", "gnome_coin_refresh_time": "max",
-    "weapon_lease_tickets": ("sum_capped", 200), "unlocked_extensible_role_num": "sum", "offline_time": "max",
+    "weapon_lease_tickets": ("sum_capped", 200), "unlock_extensible_role_num": "sum", "offline_time": "max",
     "mall_point": "sum", "adventure_coin": "sum",
 }
 
@@ -82,7 +83,9 @@ def _ledger(df: DataFrame, guid=None, accid=None) -> DataFrame:
                      "name", F.col("type").cast("int").alias("type"))
 
 
-def _present(df: DataFrame, cols: Mapping) -> dict:
+def _present(res: JobResult, table: str, df: DataFrame, cols: Mapping) -> dict:
+    """The declared columns that are there; a missing one is reported."""
+    res.actions.extend((res.main.name, table, f"no column {c}") for c in cols if c not in df.columns)
     return {c: v for c, v in cols.items() if c in df.columns}
 
 
@@ -91,24 +94,31 @@ def reconcile(main: Tenant, subs: Sequence[Tenant], zid: int | None = None, appe
     """Append all subs into main and reconcile players, accounts and guilds.
 
     ``zid``: the zone the merged server becomes (default main's zone).
-    ``append``: per-table append modes (default :data:`APPEND_RECONCILE_TABLES`;
-    every other shared table is appended).  ``purge_as_of``: run the
+    ``append``: per-table append modes (default :data:`APPEND_RECONCILE_TABLES`);
+    tables outside it stay as main has them.  ``purge_as_of``: run the
     inactive-player purge (off by default, as in the reference).  The
-    compensation ledger is returned as ``t_merge_give_namecard`` rows.
+    compensation ledger is added to main's ``t_merge_give_namecard``.  Each
+    row keeps the zone of the tenant it came from, whatever the number of
+    subs.  ``actions`` tells of every sub table: ``appended``, ``emptied``,
+    ``missing`` (main lacks it) or ``not listed``; and of declared columns
+    that are not there.
     """
     zid = main.zone if zid is None else zid
     modes = dict(APPEND_RECONCILE_TABLES if append is None else append)
-    t = {}
-    for name in main.names():
-        srcs = [(s, s.table(name)) for s in subs if s.has(name)]
-        how = modes.get(name, {"mode": "error"})
+    res = JobResult(main)
+    t = dict(main.tables)
+    for name, how in modes.items():
+        if not main.has(name):
+            continue
         how = {"mode": how} if isinstance(how, str) else how
-        if srcs or how.get("mode") == "empty":
-            zone_col = ZONE if name in ZONED_TABLES else None
-            df = _append_table(main.table(name), main.zone, srcs, main.spec(name).keys, how, zone_col)
-        else:
-            df = main.table(name)
-        t[name] = df
+        srcs = [(s, s.table(name)) for s in subs if s.has(name)]
+        if srcs or how.get("mode") == "empty" or name in ZONED_TABLES:
+            t[name] = _append_table(main.table(name), main.zone, srcs, main.spec(name).keys, how, ZONE if name in ZONED_TABLES else None)
+    for s in subs:
+        for name in s.names():
+            how = modes.get(name)
+            res.actions.append((s.name, name, "not listed" if how is None else "missing" if not main.has(name) else
+                                "emptied" if how == "empty" or not isinstance(how, str) and how.get("mode") == "empty" else "appended"))
     cur = Tenant(main.name, zid, t, main.specs)
     ledgers = []
 
@@ -169,12 +179,12 @@ def reconcile(main: Tenant, subs: Sequence[Tenant], zid: int | None = None, appe
     if has("t_account_monopoly"):
         cur = cur.with_tables({"t_account_monopoly": I.fold(
             cur.table("t_account_monopoly"), "accid", [("vsersion", "desc"), ("roll_times", "desc"), "guid"],
-            _present(cur.table("t_account_monopoly"), {"coin": "sum"}), prefer=F.col(ZONE) == zid)})
+            _present(res, "t_account_monopoly", cur.table("t_account_monopoly"), {"coin": "sum"}), prefer=F.col(ZONE) == zid)})
     # 7. accounts: fold into the survivor, re-point account foreign keys
     if has("t_account"):
         acc = cur.table("t_account")
         order = [(c, "desc") for c in ("adventure_team_level", "adventure_team_exp") if c in acc.columns] + ["guid"]
-        folded = cut_lineage(I.fold(acc, "accid", order, _present(acc, ACCOUNT_FOLDS), prefer=F.col(ZONE) == zid))
+        folded = cut_lineage(I.fold(acc, "accid", order, _present(res, "t_account", acc, ACCOUNT_FOLDS), prefer=F.col(ZONE) == zid))
         keep = I.keep_map(folded, "accid", "guid")
         upd = {"t_account": folded}
         for tb, set_col, on_col in ACCOUNT_REPOINTS:
@@ -202,9 +212,8 @@ def reconcile(main: Tenant, subs: Sequence[Tenant], zid: int | None = None, appe
     if has("t_player_info"):
         cur = cur.with_tables({"t_player_info": R.final_zone(cur.table("t_player_info"), ["zoneid"], zid, drop=())})
     cur = cur.with_tables({tb: cur.table(tb).drop(ZONE) for tb in ZONED_TABLES if cur.has(tb)})
-    if ledgers:
-        led = ledgers[0]
-        for extra in ledgers[1:]:
-            led = led.unionByName(extra)
-        cur = cur.with_tables({"t_merge_give_namecard": led})
-    return JobResult(cur)
+    for led in ledgers:
+        old = cur.tables.get("t_merge_give_namecard")
+        cur = cur.with_tables({"t_merge_give_namecard": led if old is None else old.unionByName(M.align(led, old, allow_missing=True))})
+    res.main = cur
+    return res

@@ -42,7 +42,7 @@ def _widen_cols(t: Tenant, cols) -> Tenant:
     from ..operators.rows import widen
     per = {}
     for tb, c in cols:
-        if t.has(tb):
+        if t.has(tb) and c in t.table(tb).columns and c not in per.get(tb, ()):
             per.setdefault(tb, []).append(c)
     return t.with_tables({tb: widen(t.table(tb), cs) for tb, cs in per.items()})
 
@@ -121,17 +121,20 @@ def remap_type3(main: Tenant, sub: Tenant, rules: Mapping) -> RemapResult:
     sp = rules.get("simple_process") or {}
     res = RemapResult(sub, main)
     deal = [d for d in sp.get("deal_with") or [] if d.get("db_table") and d.get("db_field")]
+    widen_on = _on(sp.get("character_types"))  # widen before shifting: a shifted id may not fit the old type
     if deal:
-        res.sub, plan = K.shift_associated(main, sub, deal)
+        if widen_on:
+            cols = [c for d in deal for c in K.associated_columns(sub, d)]
+            res.main, res.sub = _widen_cols(res.main, cols), _widen_cols(res.sub, cols)
+        res.sub, plan = K.shift_associated(res.main, res.sub, deal)
         res.shifted.update(plan)
-        if _on(sp.get("character_types")):
-            res.main, res.sub = _widen_cols(res.main, plan), _widen_cols(res.sub, plan)
     names = [p["db_field"] for p in sp.get("primary_key") or [] if p.get("db_field")]
     if names:
-        res.sub, offs = K.shift_by_column_name(main, res.sub, names, done=res.shifted)
+        if widen_on:
+            cols = [(t, n) for n in names for t in res.sub.columns_named(n) if (t, n) not in res.shifted]
+            res.main, res.sub = _widen_cols(res.main, cols), _widen_cols(res.sub, cols)
+        res.sub, offs = K.shift_by_column_name(res.main, res.sub, names, done=res.shifted)
         res.shifted.update(offs)
-        if _on(sp.get("character_types")):
-            res.main, res.sub = _widen_cols(res.main, offs), _widen_cols(res.sub, offs)
     if (rules.get("special_option") or {}).get("teshudb_field"):
         res.ignored.append("special_option.teshudb_field")  # H23
     return res

@@ -82,6 +82,9 @@ def main(argv=None, spark=None) -> dict[str, int]:
     else:
         from .reconcile import reconcile
         res = reconcile(main_t, tenants)
+    failed = [(sub, table) for sub, table, action in res.actions if action == "failed"]
+    if failed:
+        raise SystemExit(f"not published, these tables could not be merged: {failed}")
     counts = write_tenant(res.main, args.out, args.version)
     for sub, table, action in res.actions:
         if action != "merged":

@@ -29,10 +29,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder; set a scratch one only when unset.
+    """Return the session's checkpoint folder; make a scratch one only for a local master.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is left
-    alone; only local runs (tests) get a fresh scratch directory.
+    On a cluster ``spark.checkpoint.dir`` must name a folder that all
+    executors share; without it this raises, as a folder on the driver's own
+    disk would lose data.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -40,6 +41,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not (sc.master == "local" or sc.master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="shardfold-ckpt-", dir="/tmp")
     sc.setCheckpointDir(path)
     return path

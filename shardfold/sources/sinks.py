@@ -80,15 +80,15 @@ def read_published(spark: SparkSession, out: str, version: str, name: str, zone:
 
 
 def merge_report(main: Tenant, sub: Tenant, merged: Tenant, actions: Iterable[tuple[str, str]]) -> DataFrame:
-    """S8 report as a DataFrame ``(table_name, action, main_rows, sub_rows, out_rows)``.
+    """S8 report ``(tenant, table_name, action, main_rows, sub_rows, out_rows, rows_replaced)`` of one merged sub.
 
+    ``rows_replaced`` is how many of main's rows the incoming ones displaced.
     Every count is a global aggregate (partial counts per task); they are
     unioned and pivoted by one small grouped aggregate, so the whole report is
-    one job.  (A production run gets the same numbers for free from
-    :func:`write_tenant`'s observed counts.)
+    one job.  A table is counted once, however many actions name it.
     """
     parts = []
-    for name, action in actions:
+    for name, action in dict(actions).items():
         for side, t in (("main", main), ("sub", sub), ("out", merged)):
             if t.has(name):
                 parts.append(t.table(name).agg(F.count(F.lit(1)).cast("bigint").alias("n")).select(
@@ -97,18 +97,21 @@ def merge_report(main: Tenant, sub: Tenant, merged: Tenant, actions: Iterable[tu
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.groupBy("table_name", "action").agg(*[
+    wide = out.groupBy("table_name", "action").agg(*[
         F.coalesce(F.sum(F.when(F.col("side") == s, F.col("n"))), F.lit(0)).cast("bigint").alias(f"{s}_rows")
         for s in ("main", "sub", "out")])
+    replaced = F.when(F.col("action") == "merged", F.col("main_rows") + F.col("sub_rows") - F.col("out_rows")).otherwise(F.lit(0))
+    return wide.select(F.lit(sub.name).alias("tenant"), "*", replaced.cast("bigint").alias("rows_replaced"))
 
 
 def action_summary(spark: SparkSession, actions: Iterable[tuple[str, str, str]]) -> DataFrame:
-    """Per sub: tables merged, skipped (excluded or missing) and total, from a job's actions."""
+    """Per sub: tables merged, skipped (excluded or missing), failed and total, from a job's actions."""
     rows = [(str(sub), str(t), str(a)) for sub, t, a in actions]
     df = spark.createDataFrame(rows, "sub string, table_name string, action string")
     return df.groupBy("sub").agg(
         F.count(F.when(F.col("action").isin("merged", "copied"), 1)).alias("merged"),
         F.count(F.when(F.col("action").isin("excluded", "missing"), 1)).alias("skipped"),
+        F.count(F.when(F.col("action") == "failed", 1)).alias("failed"),
         F.count(F.lit(1)).alias("total"))
 
 

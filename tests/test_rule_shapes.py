@@ -41,14 +41,6 @@ SHAPES = [
 ]
 
 
-CAP = 6  # table counts above this are capped: same structure and features, fewer identical tables
-
-
-def scaled(shape):
-    name, kind, groups, n_other, n_ex, feat = shape
-    return name, kind, [min(g, CAP) for g in groups], min(n_other, CAP), min(n_ex, CAP), feat
-
-
 def build(spark, shape, zone):
     name, kind, groups, n_other, n_ex, feat = shape
     t, specs = {}, {}
@@ -143,7 +135,6 @@ def ids_of(df, c):
 
 @pytest.mark.parametrize("shape", SHAPES, ids=[s[0] for s in SHAPES])
 def test_rule_shape(spark, shape):
-    shape = scaled(shape)
     name, kind, groups, n_other, n_ex, feat = shape
     main, sub = build(spark, shape, 1), build(spark, shape, 2)
     rules = rules_for(shape)
