@@ -8,7 +8,6 @@ Layout:
 * ``operators``   rows (P*), merge (M*), keys (K*), names (N*), identity (I1-I13), retention (I14-I18)
 * ``plans``       rule-driven remap (K10), merge jobs (R1-R5), the account/player/guild
                   reconcile preset, the command line (``python -m shardfold``), the query catalogue
-* ``streaming``   micro-batch application of the merge (see its docstring)
 """
 
 from .model import TableSpec, Tenant

@@ -122,7 +122,7 @@ def _flippable(dtype: DataType) -> bool:
     return isinstance(dtype, (BooleanType, TimestampType, TimestampNTZType, DateType, NumericType))
 
 
-def first_by(df, order, payload: Column) -> Column:
+def first_by(df, order, payload: Column, ties: list[str] | None = None) -> Column:
     """Aggregate picking ``payload`` of the first row in ``order`` within a group.
 
     ``order``: list of ``"col"`` / ``("col", "asc"|"desc")`` / ``(Column, dir)``.
@@ -132,6 +132,8 @@ def first_by(df, order, payload: Column) -> Column:
     sort that key in one task).  Numeric, boolean and time columns are flipped
     to get either direction; string columns cannot be flipped, so they must
     all share one direction (``max`` is used when they are descending).
+    ``ties``: the columns that break ties, where not the whole row (a unique
+    id is enough and keeps the other columns out of the shuffle).
     """
     items = []
     for item in order:
@@ -159,8 +161,9 @@ def first_by(df, order, payload: Column) -> Column:
             parts.append(descending(c, dt).alias(f"o{i}"))
         else:
             parts.append(c.alias(f"o{i}"))
-    # ties are broken by the whole row; maps can't be ordered, so they go by their sorted entries
-    ties = [F.array_sort(F.map_entries(f.name)) if isinstance(f.dataType, MapType) else F.col(f.name) for f in df.schema.fields]
-    key = F.struct(F.struct(*parts), F.struct(*ties))
+    # ties are broken by the whole row (or ``ties``); maps can't be ordered, so they go by their sorted entries
+    rest = [F.array_sort(F.map_entries(f.name)) if isinstance(f.dataType, MapType) else F.col(f.name)
+            for f in df.schema.fields if ties is None or f.name in ties]
+    key = F.struct(F.struct(*parts), F.struct(*rest))
     chosen = F.struct(F.struct(*parts).alias("o"), payload.alias("r"))
     return (F.max_by if use_max else F.min_by)(chosen, key)

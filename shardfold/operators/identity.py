@@ -40,6 +40,12 @@ def survivors(df: DataFrame, key, order, prefer=None) -> DataFrame:
     return best.select("__s.r.*")
 
 
+def survivor_ids(df: DataFrame, key, order, id_col: str, prefer=None, keep_name: str = "keep") -> DataFrame:
+    """``(key columns, keep)``: the ids of :func:`survivors`, without carrying whole rows through the shuffle."""
+    keys = _keys(key)
+    return df.groupBy(*keys).agg(first_by(df, _order(order, prefer), F.col(id_col), ties=[id_col])["r"].alias(keep_name))
+
+
 #: fold kinds: how each column is folded into the survivor
 FOLDS = ("sum", "min", "max", "sum_capped", "first")
 
@@ -103,12 +109,6 @@ def repoint(child: DataFrame, set_col: str, on_col: str, keep: DataFrame,
                         .otherwise(F.col(set_col))).drop("__kk", "__kv").select(*child.columns)
 
 
-def delete_folded(df: DataFrame, key: str, id_col: str, keep: DataFrame,
-                  key_name: str = "key", keep_name: str = "keep") -> DataFrame:
-    """``DELETE a JOIN keep k ON a.key = k.key WHERE a.id <> k.keep``."""
-    return delete_losers(df, key, id_col, keep, None, key_name, keep_name)
-
-
 def delete_orphans(child: DataFrame, fk: str, keep_ids: DataFrame, only=None) -> DataFrame:
     """I9 ``DELETE c LEFT JOIN keep ON c.fk = keep.id WHERE keep.id IS NULL [AND only]``.
 
@@ -185,25 +185,18 @@ def tie_classes(accounts: DataFrame, key: str, attrs: Sequence[str], zone: str,
     ``COUNT(DISTINCT a) = 1`` is computed as ``min(a) = max(a)`` (NULLs ignored
     alike), which keeps the aggregate a plain partial aggregate.
     """
-    a0 = attrs
-    agg = [F.count(F.lit(1)).alias("__n")]
-    for i, a in enumerate(a0):
+    agg = [F.count(F.lit(1)).alias("__n"),
+           first_by(accounts, [(a, "desc") for a in attrs] + [id_col], F.col(id_col), ties=[id_col])["r"].alias("__best")]
+    for i, a in enumerate(attrs):
         agg += [F.min(a).alias(f"__mn{i}"), F.max(a).alias(f"__mx{i}")]
-    agg.append(first_by(accounts, [(a, "desc") for a in a0] + [id_col], F.col(id_col)).alias("__best"))
-    g = accounts.groupBy(key).agg(*agg)
-    one = [(F.col(f"__mn{i}") == F.col(f"__mx{i}")) for i in range(len(a0))]
-    many = [(F.col(f"__mn{i}") < F.col(f"__mx{i}")) for i in range(len(a0))]
-    agree = (F.col("__n") > 1)
-    for c in one:
-        agree = agree & F.coalesce(c, F.lit(False))
-    disagree = F.col("__n") == 1
-    for c in many:
-        disagree = disagree | F.coalesce(c, F.lit(False))
-    class_a = g.where(agree).select(key)
-    keep_a = accounts.where(F.col(zone) == F.lit(main_zone)).join(class_a, key, "left_semi") \
-        .select(F.col(id_col).alias(id_col))
-    keep_b = g.where(disagree).select(F.col("__best.r").alias(id_col))
-    return keep_a.unionByName(keep_b)
+    agree, disagree = F.col("__n") > 1, F.col("__n") == 1
+    for i in range(len(attrs)):
+        agree = agree & F.coalesce(F.col(f"__mn{i}") == F.col(f"__mx{i}"), F.lit(False))
+        disagree = disagree | F.coalesce(F.col(f"__mn{i}") < F.col(f"__mx{i}"), F.lit(False))
+    per_key = accounts.groupBy(F.col(key).alias("__k")).agg(*agg).select("__k", "__best", agree.alias("__same"), disagree.alias("__best_only"))
+    rows = accounts.select(key, id_col, zone).join(per_key, F.col(key).eqNullSafe(F.col("__k")))
+    keep = (F.col("__same") & (F.col(zone) == main_zone)) | (F.col("__best_only") & F.col(id_col).eqNullSafe(F.col("__best")))
+    return rows.where(keep).select(id_col)
 
 
 def keep_richer_side(hire: DataFrame, accounts: DataFrame, records: DataFrame, main_zone: int,
@@ -222,12 +215,12 @@ def keep_richer_side(hire: DataFrame, accounts: DataFrame, records: DataFrame, m
         F.min(F.when(F.col(zone) == main_zone, F.col(guid))).alias("__g1"),
         F.min(F.when(F.col(zone) != main_zone, F.col(guid))).alias("__g2"))
     sides = sides.where(F.col("__g1").isNotNull() & F.col("__g2").isNotNull() & (F.col("__g1") != 0) & (F.col("__g2") != 0))
-    counts = records.groupBy(F.col(acc_guid).alias("__ag")).agg(F.count(F.lit(1)).alias("__c"))
-    c1 = counts.select(F.col("__ag").alias("__g1"), F.col("__c").alias("__n1"))
-    c2 = counts.select(F.col("__ag").alias("__g2"), F.col("__c").alias("__n2"))
-    d = sides.join(c1, "__g1", "left").join(c2, "__g2", "left") \
-        .select(F.col(accid).alias("__acc"),
-                F.when(F.coalesce(F.col("__n1"), F.lit(0)) > F.coalesce(F.col("__n2"), F.lit(0)), F.col("__g2"))
-                .otherwise(F.col("__g1")).alias("__lose"))
+    # only the records of the two guids are counted, once
+    pairs = sides.select(F.col(accid).alias("__acc"), F.posexplode(F.array("__g1", "__g2")).alias("__side", "__g"))
+    counts = records.select(F.col(acc_guid).alias("__g")).join(pairs.select("__g"), "__g", "left_semi").groupBy("__g").agg(F.count(F.lit(1)).alias("__c"))
+    side = lambda c, k: F.max(F.when(F.col("__side") == k, c))
+    n = F.coalesce(F.col("__c"), F.lit(0))
+    d = pairs.join(counts, "__g", "left").groupBy("__acc").agg(
+        F.when(side(n, 0) > side(n, 1), side(F.col("__g"), 1)).otherwise(side(F.col("__g"), 0)).alias("__lose"))
     cond = (records[owner] == d["__acc"]) & (records[acc_guid] == d["__lose"]) & (records[shop_col] == F.lit(shop))
     return records.join(d, cond, "left_anti")

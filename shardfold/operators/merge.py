@@ -255,7 +255,7 @@ def merge_all_table(frames: Sequence[DataFrame], keys, allow_missing: bool = Fal
     one by one, for one source or many.  The owner of a key is one grouped
     ``max`` of the tenant ordinal over the key columns alone (map-side
     partial, so a hot key is reduced before the shuffle); the rows follow by
-    a semi join on key and ordinal.  NULL keys never clash and pass through.
+    a join on key and ordinal.  NULL keys never clash and pass through.
     Several key sets are merged one source after another, as a row can clash
     on each; a keyless table is a union.  ``first_wins``: the earliest source
     keeps the key (insert-if-absent over many subs, M4).
@@ -276,7 +276,8 @@ def merge_all_table(frames: Sequence[DataFrame], keys, allow_missing: bool = Fal
     ks = list(key_sets[0])
     null_key = _any_null(ks)
     owner = tagged.where(~null_key).groupBy(*ks).agg((F.min if first_wins else F.max)("__ord").alias("__ord"))
-    kept = tagged.where(~null_key).join(owner, [*ks, "__ord"], "left_semi")
+    # owner holds each (key, ordinal) once; an inner join stays above the union, so owner is planned once
+    kept = tagged.where(~null_key).join(owner, [*ks, "__ord"])
     return kept.select(*base.columns).unionByName(tagged.where(null_key).select(*base.columns))
 
 

@@ -153,7 +153,7 @@ def reset(tenant: Tenant, rules: Mapping[str, Sequence[tuple]]) -> Tenant:
     return tenant.with_tables(out)
 
 
-#: fixed values: post-merge resets of the append-and-reconcile job, in the order they run
+#: fixed values: post-merge resets of the append-and-reconcile job, table by table
 APPEND_RECONCILE_RESETS = {
     "t_auction_new": [("set", "duetime", 0, None)],
     "t_counter": [

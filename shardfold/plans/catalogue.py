@@ -252,15 +252,20 @@ _COFF = _max_sql("c_custkey", "cm", "cs")
 @query("shift_group", _with(T.CM, T.CS, T.OM, T.OS) + f"""
 SELECT o.o_orderkey, o.o_custkey, c.c_custkey, c.c_name FROM
   (SELECT o_orderkey, {_shift_sql('o_custkey', _COFF)} AS o_custkey FROM os) o
-LEFT JOIN (SELECT {_shift_sql('c_custkey', _COFF)} AS c_custkey, c_name FROM cs) c ON o.o_custkey = c.c_custkey""")
+LEFT JOIN (SELECT {_shift_sql('c_custkey', _COFF)} AS c_custkey, c_name FROM cs) c ON o.o_custkey = c.c_custkey
+UNION ALL
+SELECT o_orderkey, o_custkey, c_custkey, c_name FROM om LEFT JOIN cm ON o_custkey = c_custkey""")
 def shift_group(spark, d):
     """K3: customer key and its FK share the offset of the group's first member."""
     main, sub = T.main_tenant(spark, d), T.sub_tenant(spark, d)
     grp = [("customer", "c_custkey"), ("orders", "o_custkey")]
     sub2 = K.shift_group(sub, grp, K.group_offset(main, sub, grp))
-    o = sub2.table("orders").select("o_orderkey", "o_custkey")
-    c = sub2.table("customer").select("c_custkey", "c_name")
-    return o.join(c, o["o_custkey"] == c["c_custkey"], "left")
+    out = None
+    for t in (sub2, main):
+        o, c = t.table("orders").select("o_orderkey", "o_custkey"), t.table("customer").select("c_custkey", "c_name")
+        part = o.join(c, o["o_custkey"] == c["c_custkey"], "left")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @query("shift_each", _with(T.part_cut_sql("pm", hi=30), T.part_cut_sql("ps", lo=20),
@@ -333,13 +338,15 @@ def shift_tokens(spark, d):
 
 
 @query("shift_associated", _with(T.CM, T.CS, T.OM, T.OS) + f"""
-SELECT o_orderkey, {_shift_sql('o_custkey', _COFF)} AS o_custkey, o_orderstatus FROM os""")
+SELECT o_orderkey, {_shift_sql('o_custkey', _COFF)} AS o_custkey, o_orderstatus FROM os
+UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus FROM om""")
 def shift_associated(spark, d):
     """K8: a declared id and every column named like its associated name share one offset."""
     main, sub = T.main_tenant(spark, d), T.sub_tenant(spark, d)
     sub2, _ = K.shift_associated(main, sub, [{"db_table": "customer", "db_field": "c_custkey",
                                               "associated": "o_custkey"}])
-    return sub2.table("orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    cols = ["o_orderkey", "o_custkey", "o_orderstatus"]
+    return sub2.table("orders").select(*cols).unionByName(main.table("orders").select(*cols))
 
 
 @query("shift_by_name", _with(T.OM, T.OS, T.lines_of_sql("lm", "om"), T.lines_of_sql("ls", "os")) + f"""
@@ -626,9 +633,8 @@ SELECT o_orderkey, COALESCE(m.keep, o_custkey) AS o_custkey FROM orders LEFT JOI
 def repoint_fk(spark, d):
     """I8: orders re-pointed to the surviving customer of their (nation, segment)."""
     c = T.read(spark, d, "customer")
-    surv = I.survivors(c, ["c_nationkey", "c_mktsegment"], [("c_acctbal", "desc"), "c_custkey"])
-    keep = c.join(surv.select("c_nationkey", "c_mktsegment", F.col("c_custkey").alias("keep")),
-                  ["c_nationkey", "c_mktsegment"]).select(F.col("c_custkey").alias("key"), "keep")
+    surv = I.survivor_ids(c, ["c_nationkey", "c_mktsegment"], [("c_acctbal", "desc"), "c_custkey"], "c_custkey")
+    keep = c.select("c_nationkey", "c_mktsegment", "c_custkey").join(surv, ["c_nationkey", "c_mktsegment"]).select(F.col("c_custkey").alias("key"), "keep")
     return I.repoint(T.read(spark, d, "orders"), "o_custkey", "o_custkey", keep).select("o_orderkey", "o_custkey")
 
 
@@ -649,8 +655,8 @@ WHERE NOT (k.user_id IS NOT NULL AND ez.event_type = 'purchase' AND ez.event_id
 def delete_losers(spark, d):
     """Purchase rows not owned by the user's survivor are deleted."""
     e = T.events_zoned(spark, d)
-    keep = I.keep_map(I.survivors(e, "user_id", [("value", "desc"), "event_id"], prefer=F.col("zone") == 1),
-                      "user_id", "event_id")
+    keep = I.survivor_ids(e, "user_id", [("value", "desc"), "event_id"], "event_id", prefer=F.col("zone") == 1)
+    keep = keep.withColumnRenamed("user_id", "key")
     return I.delete_losers(e, "user_id", "event_id", keep, only="event_type = 'purchase'")
 
 

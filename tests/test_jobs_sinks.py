@@ -169,7 +169,7 @@ def test_write_tenant_versioned(spark):
     with pytest.raises(FileNotFoundError):
         read_published(spark, out, "2", "main", 1, ["players"])
     rep = rows(merge_report(main, sub, merged, actions))
-    assert ("players", "merged", 3, 3, 3) in rep and ("log", "excluded", 1, 1, 1) in rep
+    assert ("sub", "players", "merged", 3, 3, 3, 3) in rep and ("sub", "log", "excluded", 1, 1, 1, 0) in rep
     assert has_column(back.table("players"), "friend_data")
 
 
@@ -252,7 +252,7 @@ def test_polymorphic_owner_rules(spark):
     acc_m = Tenant("am", 1, {"account": spark.createDataFrame([(1, "ann")], "id bigint, name string")}, {"account": "id"})
     acc_s = Tenant("as", 2, {"account": spark.createDataFrame([(1, "zed"), (2, "y_s2")], "id bigint, name string")},
                    {"account": "id"})
-    res = J.run_rules(main, [J.SubTenant(sub, accounts=acc_s)], RULES_F2, main_accounts=acc_m, declared_tables=True)
+    res = J.run_rules(main, [J.SubTenant(sub, accounts=acc_s, account_suffix="_s2")], RULES_F2, main_accounts=acc_m, declared_tables=True)
     item = rows(res.main.table("item"))
     # main: guild 300 renumbered to 1 (sentinels untouched); sub serials shifted by 3, owner by role offset 11,
     # account (guild-typed, sentinel owner) renumbered then shifted by the guild offset 1
@@ -263,6 +263,8 @@ def test_polymorphic_owner_rules(spark):
     assert rows(res.main.table("operatoractive")) == [(1, 0), (2, 0)]
     assert res.main.table("chat").count() == 0
     assert rows(res.accounts.table("account")) == [(1, "zed_s2"), (2, "y_s2")]  # suffix only once
+    plain = J.run_rules(main, [J.SubTenant(sub, accounts=acc_s)], RULES_F2, main_accounts=acc_m, declared_tables=True)
+    assert rows(plain.accounts.table("account")) == [(1, "zed"), (2, "y_s2")]  # no suffix of the sub's own
     assert dict(res.main.table("guild_member").dtypes)["RoleID"] == "bigint"
 
 
@@ -272,7 +274,7 @@ def test_action_summary_and_zone_of(spark):
 
     main, sub = f1_tenant(spark, "main", 1), f1_tenant(spark, "sub", 2)
     res = J.run_rules(main, [J.SubTenant(sub)], {"type": "1", "un_merge": [{"db_table": "log"}]})
-    assert rows(action_summary(spark, res.actions)) == [("sub", 3, 1, 4)]
+    assert rows(action_summary(spark, res.actions)) == [("sub", 3, 1, 0, 4)]
     assert zone_of(sub.table("players"), "serverid") == 2
     lin = lineage_rows(spark, [{"from_tenant": "sub", "to_tenant": "main", "zone": 1}])
     assert rows(lin) == [("sub", "main", 1)]
