@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, HEAVY, ascii_lower, fresh, hash128, scratch_table
+from .common import BLANKS, HEAVY, ascii_lower, fresh, hash128, let, scratch_table
 
 MIN_DOCS = 10
 MIN_CHARS = 1
@@ -84,6 +84,5 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def _without(lines: Column, drop: Column) -> Column:
     """The lines at the positions that are not in ``drop``, joined; linear in the number of lines."""
-    from .common import let
     return let(lines, lambda ls: F.array_join(
         F.transform(F.array_except(F.sequence(F.lit(0), F.size(ls) - 1), drop), lambda i: F.get(ls, i)), "\n"))
