@@ -23,7 +23,8 @@ white space and lower-case normalisers.
 
 Defined cases: null text is empty and has no ids; special tokens inside a
 text are found as the library finds them; repeated rows and ties are encoded
-alike; an empty table gives an empty table; other columns pass through.
+alike; an empty table gives an empty table; other columns pass through, but
+for those named like the added one, which takes their place.
 """
 
 from __future__ import annotations
@@ -314,7 +315,7 @@ def decoder(path: str) -> StreamDecoder:
 
 def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """``docs`` with the token ids of ``text_col`` as an array of integers."""
-    fresh(docs, [ids_col])
+    docs = fresh(docs, [ids_col], [text_col])
     prepare_python(docs.sparkSession)
 
     def batches(it):
@@ -333,7 +334,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "i
 
 def decode(encoded: DataFrame, path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """``encoded`` with the text of its token ids; null ids are empty."""
-    fresh(encoded, [out_col])
+    encoded = fresh(encoded, [out_col], [ids_col])
     prepare_python(encoded.sparkSession)
 
     def batches(it):

@@ -77,11 +77,15 @@ def hash128(*cols: Column) -> tuple[Column, Column]:
     return F.xxhash64(*cols), F.xxhash64(F.lit(0x5EED), *cols)
 
 
-def fresh(df: DataFrame, names: Iterable[str]) -> None:
-    """Raise if a column that an operator adds is already there."""
-    have = {c.lower() for c in df.columns}
-    if clash := [n for n in names if n.lower() in have]:
-        raise ValueError(f"the input already has columns {clash}; rename them or choose other output names")
+def fresh(df: DataFrame, names: Iterable[str], needed: Iterable[str] = ()) -> DataFrame:
+    """``df`` without the columns whose names an operator gives to its own; those take their place.
+
+    Raises if one of them is a column that the operator reads.
+    """
+    names = {n.lower() for n in names}
+    if clash := [c for c in needed if c.lower() in names]:
+        raise ValueError(f"the operator reads {clash} and can't write columns of that name")
+    return df.drop(*[c for c in df.columns if c.lower() in names])
 
 
 def sized_slices(sizes: Sequence[int], max_bytes: int) -> Iterable[tuple[int, int]]:

@@ -41,8 +41,8 @@ from pyspark.sql import functions as F
 
 from .common import prepare_python
 
-Q = 10
-RATE = 0.08
+Q = 8
+RATE = 0.1
 BLOCK_CHARS = 8 << 20
 BITS = 22
 

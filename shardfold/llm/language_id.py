@@ -17,7 +17,8 @@ Letters are lower-cased; runs of anything else are one space.  Defined cases:
 a text that is null or has no letter is ``und`` with score 0 and rejected;
 without any labelled row everything is ``und``; rows with a null label aren't
 trained on; repeated rows are predicted each; an empty table gives an empty
-table; other columns pass through.
+table; other columns pass through, but for those named like an added one,
+which takes their place.
 """
 
 from __future__ import annotations
@@ -164,8 +165,8 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", r
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text", lang_col: str = "lang_pred", score_col: str = "score", rejected_col: str = "rejected") -> DataFrame:
     """``docs`` without ``text_col``, with the predicted language, its score and whether it is rejected."""
+    docs = fresh(docs, [lang_col, score_col, rejected_col], [text_col])
     rest = [f for f in docs.schema.fields if f.name != text_col]
-    fresh(docs.drop(text_col), [lang_col, score_col, rejected_col])
     prepare_python(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     added = [T.StructField(lang_col, T.StringType()), T.StructField(score_col, T.DoubleType()), T.StructField(rejected_col, T.BooleanType())]

@@ -20,7 +20,8 @@ inherits nor covers anything; a licence file takes its own licence only from
 its notice; several notices: the highest score, then the first licence by
 name; several licence files in a directory: the same; each row is a file, so
 repeated rows are reported each; an empty table gives an empty table; other
-columns pass through.
+columns pass through, but for those named like an added one, which takes
+their place.
 """
 
 from __future__ import annotations
@@ -139,7 +140,7 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", is_li
          templates: dict[str, list[str]] = TEMPLATES, min_score: float = MIN_SCORE) -> DataFrame:
     """``files`` without ``text_col``, with ``licence``, ``score`` (of its own notice), ``origin``
     (``own``, ``inherited`` or ``none``) and ``from_dir`` (of an inherited licence)."""
-    fresh(files, ["licence", "score", "origin", "from_dir", "__ls_1", "__ls_2", "__ls_dir", "__ls_up", "__ls_own"])
+    files = fresh(files, ["licence", "score", "origin", "from_dir", "__ls_1", "__ls_2", "__ls_dir", "__ls_up", "__ls_own"], [path_col, text_col])
     k1, k2 = hash128(F.col(path_col), F.col(text_col))
     keyed = files.withColumns({"__ls_1": k1, "__ls_2": k2})
     own = scratch_table(own_licences(keyed, text_col, templates=templates, min_score=min_score), "own-licences")

@@ -18,7 +18,8 @@ Native: DataFrame and SQL functions only.
 Defined cases: null text counts as one empty line and stays null if the text
 column is returned; empty keys are never dropped (``min_chars`` >= 1); each
 row is a document, so repeated rows count once each and all get the same
-result; an empty table gives an empty table; other columns pass through.
+result; an empty table gives an empty table; other columns pass through, but for
+those named like a requested count, which takes their place.
 """
 
 from __future__ import annotations
@@ -58,7 +59,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if min_chars < 1:
         raise ValueError("min_chars must be 1 at least: empty lines are never dropped")
     added = ["__ld_k1", "__ld_k2", "__ld_drop", *filter(None, (n_lines, n_dropped))]
-    fresh(docs, added)
+    docs = fresh(docs, added, [id_col, text_col])
     frequent = scratch_table(frequent_lines(docs, text_col, min_docs, min_chars), "frequent-lines")
     heavy = frequent.orderBy(F.desc("n"), "h1", "h2").limit(HEAVY).select("h1", "h2", F.lit(True).alias("hot"))
     k1, k2 = hash128(F.col(id_col), F.col(text_col))

@@ -384,7 +384,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", th
 
     Documents without words are kept.
     """
-    fresh(docs, ["__nj_text", "__nj_key"])
+    docs = fresh(docs, ["__nj_text", "__nj_key"], [id_col, text_col])
     found = classes(docs, id_col, text_col, threshold).where("text IS NOT NULL")
     best = found.groupBy("class_text").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text")).alias("k"))
     best = best.select(F.col("k.text").alias("__nj_text"), F.xxhash64("k.id", "k.text").alias("__nj_key"))

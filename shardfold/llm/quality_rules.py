@@ -19,7 +19,8 @@ Native: DataFrame and SQL functions only.
 
 Defined cases: null text has no words and fails; a null host gets no verdict
 and its documents are judged by their own rules; each row is a document;
-an empty table gives an empty table; other columns pass through.
+an empty table gives an empty table; other columns pass through, but for
+those named like an added one, which takes their place.
 """
 
 from __future__ import annotations
@@ -71,7 +72,7 @@ def _covered(hashes: Column) -> Column:
 
 def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with the measures of the whole text and ``base_failed``."""
-    fresh(docs, [*MEASURES, "base_failed", "__qr_t", "__qr_w", "__qr_h"])
+    docs = fresh(docs, [*MEASURES, "base_failed", "kept", "__qr_t", "__qr_w", "__qr_h"], [text_col])
     t = F.col("__qr_t")
     lines = F.filter(F.split(t, "\n", -1), lambda x: F.btrim(x, F.lit(BLANKS)) != "")
     out = (docs.withColumn("__qr_t", F.coalesce(F.col(text_col), F.lit("")))
@@ -128,7 +129,7 @@ def rejected_hosts(rates: DataFrame, max_rate: float = MAX_RATE) -> DataFrame:
 
 def judge(measured: DataFrame, host_col: str = "source", max_rate: float = MAX_RATE) -> DataFrame:
     """Add ``kept`` to measured documents.  ``measured`` is read twice: pass a written table."""
-    fresh(measured, ["kept", "__qr_host", "__qr_hot", "__qr_bad", "__qr_join", "__qr_rest", "__qr_key"])
+    measured = fresh(measured, ["kept", "__qr_host", "__qr_hot", "__qr_bad", "__qr_join", "__qr_rest", "__qr_key"])
     bad = scratch_table(rejected_hosts(host_rates(measured, host_col), max_rate), "rejected-hosts")
     heavy = bad.orderBy(F.desc("n"), "host").limit(HEAVY).select(F.col("host").alias("__qr_host"), F.lit(True).alias("__qr_hot"))
     rest = bad.select(F.xxhash64("host").alias("__qr_join"), F.col("host").alias("__qr_rest"), F.lit(True).alias("__qr_bad"))

@@ -167,7 +167,7 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The places of all documents that hold a benchmark item with at most 8 edits per 100 characters."""
+    """The places of all documents that hold a benchmark item with at most one edit in ten characters."""
     return decontaminate.find(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 

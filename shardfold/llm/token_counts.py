@@ -16,7 +16,8 @@ Where a boundary is safe depends on the tokenizer file:
 
 Defined cases: null text is empty and has no tokens; special strings inside
 texts are handled as the library does by default; repeated rows are counted
-each; an empty table gives an empty table; other columns pass through.
+each; an empty table gives an empty table; other columns pass through, but for
+those named like an added one, which takes their place.
 """
 
 from __future__ import annotations
@@ -132,8 +133,8 @@ def library(path: str, ids: bool = False) -> Library:
 
 def count_tokens(docs: DataFrame, path: str, text_col: str = "text", bytes_col: str = "n_bytes", tokens_col: str = "n_tokens") -> DataFrame:
     """``docs`` without ``text_col``, with the text's UTF-8 bytes and tokens; texts go to Python, only lengths come back."""
+    docs = fresh(docs, [bytes_col, tokens_col], [text_col])
     rest = [f for f in docs.schema.fields if f.name != text_col]
-    fresh(docs.drop(text_col), [bytes_col, tokens_col])
     prepare_python(docs.sparkSession)
     rows = docs.select(*[f.name for f in rest], text_col)
 

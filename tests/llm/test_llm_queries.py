@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.join(os.path.dirname(__file__), "..", "..", "tools"))
 
@@ -94,7 +95,7 @@ def test_op4_equals_brute_force(spark, con, texts):
     assert {(r.doc_id, r.item_id) for r in got} >= {(d, i) for d, t in plain.items() for i, x in items.items() if x in t}
     for r in got:
         place = decontaminate.normal(texts[r.doc_id][r.start:r.end])
-        assert edits(place, items[r.item_id]) == r.edits <= 0.08 * len(items[r.item_id])
+        assert edits(place, items[r.item_id]) == r.edits <= decontaminate.RATE * len(items[r.item_id])
 
 
 def edits(a, b):
@@ -160,7 +161,13 @@ def test_pipeline_equals_brute_force(spark, con, texts):
         assert list(r.ids) == ids and r.n_tokens == len(ids)
 
 
-def test_stages_keep_the_columns_of_documents(spark):
-    docs = queries.read(spark, SF, "documents")
+def test_stages_keep_all_columns_and_take_odd_rows(spark, docs):
+    real = queries.read(spark, SF, "documents")
+    odd = docs.withColumn("n_chars", F.lit(None).cast("long")).unionByName(real.limit(30))
+    odd = odd.withColumns({"n_words": F.lit("x"), "kept": F.lit(1), "row": F.lit(2), "ids": F.lit(3), "key": F.lit(4), "item_id": F.lit(5)})
     for _, stage in corpus_pipeline.STAGES[:-1]:
-        assert stage(spark, docs, SF).dtypes == docs.dtypes
+        for rows in (odd, odd.limit(0)):
+            out = stage(spark, rows, SF)
+            assert out.columns == odd.columns and out.count() <= rows.count()
+    for rows in (odd, odd.limit(0)):
+        assert corpus_pipeline.STAGES[-1][1](spark, rows, SF).count() == rows.count()
