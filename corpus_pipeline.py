@@ -20,14 +20,17 @@ TOKENIZER = "word_bpe_49k.json"
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality rules: only documents that pass the base rules and whose host isn't rejected."""
-    # a document that fails is counted for its host, but its text is needed no more
-    measured = qr.measure(docs).withColumn("text", F.when(~F.col("base_failed"), F.col("text")))
-    return qr.judge(scratch_table(measured, "measured")).where("kept").select(*docs.columns)
+    # the row travels as one struct, so its columns can have any names; a document that
+    # fails is counted for its host, but its row is needed no more
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "source", "text")
+    measured = qr.measure(rows).withColumn("row", F.when(~F.col("base_failed"), F.col("row"))).drop("text")
+    return qr.judge(scratch_table(measured, "measured")).where("kept").select("row.*")
 
 
 def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Line dedup: all documents, without the lines that ten or more of them share."""
-    return line_dedup.dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    out = line_dedup.dedup_lines(docs)
+    return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns) if "n_chars" in docs.columns else out
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
