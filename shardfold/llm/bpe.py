@@ -63,6 +63,26 @@ def byte_alphabet() -> list[str]:
     return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
 
 
+@lru_cache(maxsize=1)
+def newer_letters() -> frozenset[str]:
+    """Letters and digits of a Unicode version that the pattern module knows and the library's pattern engine doesn't yet."""
+    import regex
+    from tokenizers import Regex, pre_tokenizers
+
+    found = regex.findall(r"[\p{L}\p{N}]", "".join(chr(k) for k in range(0x110000) if not 0xD800 <= k < 0xE000))
+    recent = "".join(c for c in found if unicodedata.category(c)[0] not in "LN")
+    unknown = pre_tokenizers.Split(Regex(r"[\p{L}\p{N}]"), "removed").pre_tokenize_str(recent)
+    return frozenset("".join(part for part, _ in unknown))
+
+
+@lru_cache(maxsize=1)
+def _library_normal():
+    """NFC and lower case by the library, for characters that Python's own tables don't have yet."""
+    from tokenizers import normalizers
+
+    return normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
+
+
 def sufficient_lookahead(merges: list[tuple[str, str]], suffix: str = "") -> int:
     """Bytes behind a token boundary after which no further input can move that boundary."""
     def n_bytes(symbol: str) -> int:
@@ -122,6 +142,7 @@ class Transducer:
         else:
             raise ValueError(f"{path}: these normaliser and word-splitting steps aren't read")
         self.word_pattern = regex.compile(pattern)
+        self.newer = newer_letters()
 
     # words
 
@@ -199,6 +220,8 @@ class Transducer:
     def _normal(self, piece: str) -> str:
         if piece.isascii():
             return piece.lower()
+        if "Cn" in map(unicodedata.category, piece):
+            return _library_normal().normalize_str(piece)
         piece = unicodedata.normalize("NFC", piece)
         return piece.lower() if "Σ" not in piece else "".join(map(str.lower, piece))  # the library lowers each character alone
 
@@ -217,7 +240,11 @@ class Transducer:
         return ids
 
     def _plain(self, text: str) -> Iterator[bytes]:
-        return map(self._word, self.word_pattern.findall(self._normal(text) if self.drops_space else text))
+        text = self._normal(text) if self.drops_space else text
+        if self.newer.isdisjoint(text):
+            return map(self._word, self.word_pattern.findall(text))
+        as_symbols = "".join("☀" if c in self.newer else c for c in text)
+        return (self._word(text[m.start():m.end()]) for m in self.word_pattern.finditer(as_symbols))
 
     def _cut(self, text: str) -> list[str]:
         """Pieces that are encoded alike alone and in ``text``."""

@@ -81,10 +81,10 @@ def test_transducer_equals_library(path, long_text):
 def test_every_character_is_encoded_as_the_library_does():
     from tokenizers import Tokenizer
     lib, t = Tokenizer.from_file(WORD), bpe.Transducer(WORD)
-    texts = [f"a{chr(k)}b {chr(k)}" for k in [*range(0xD800), *range(0xE000, 0x11000), *range(0x1D400, 0x1D800), *range(0x1F300, 0x1F700)]]
+    texts = [f"a{chr(k)}b {chr(k)}" for k in [*range(0xD800), *range(0xE000, 0x18D00), *range(0x1AFF0, 0x20000)]]
     want = lib.encode_batch(texts, add_special_tokens=False)
     bad = [x for x, w in zip(texts, want) if np.frombuffer(b"".join(t.encode(x)), "<u4").tolist() != w.ids]
-    assert len(bad) <= 40, bad[:20]  # letters that only one side's Unicode version has
+    assert not bad
 
 
 def test_lookahead_bounds_every_change():
