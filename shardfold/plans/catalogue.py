@@ -503,6 +503,23 @@ def rename_guilds(spark, d):
     return renamed
 
 
+@query("guild_ledger", _with("g AS (SELECT (CAST(CASE WHEN p_size <= 25 THEN 1 ELSE 2 END AS BIGINT) << 54) "
+                             "+ p_partkey AS guid, p_name AS name, p_partkey FROM part)",
+                             "dup AS (SELECT name FROM g WHERE name IS NOT NULL GROUP BY name HAVING count(name) > 1)",
+                             "lead AS (SELECT l_partkey, min(l_suppkey) AS s FROM lineitem WHERE l_linenumber = 1 GROUP BY l_partkey)") + """
+SELECT CAST(s AS BIGINT) AS guid, 'leader' || CAST(s AS VARCHAR) AS name, CAST(2 AS INTEGER) AS type
+FROM g JOIN lead ON p_partkey = l_partkey
+WHERE name IN (SELECT name FROM dup) AND (guid >> 54) <> 1 AND guid <> 0""")
+def guild_ledger(spark, d):
+    """A compensation row for the leader of every renamed guild; line items stand for members, their first for leaders."""
+    p = T.read(spark, d, "part").withColumn("guid", make_guid(F.when(F.col("p_size") <= 25, 1).otherwise(2), "p_partkey"))
+    _, renames = N.rename_guilds(p.select("guid", F.col("p_name").alias("name")), "name", "guid", 1)
+    members = T.read(spark, d, "lineitem").join(p.select(F.col("p_partkey").alias("l_partkey"), F.col("guid").alias("guildid")), "l_partkey")
+    members = members.select("guildid", F.col("l_suppkey").alias("guid"), F.concat(F.lit("leader"), F.col("l_suppkey").cast("string")).alias("name"),
+                             F.when(F.col("l_linenumber") == 1, 13).otherwise(1).alias("post"))
+    return N.guild_ledger(renames, members)
+
+
 @query("cascade_rename", _with(_PARTS_U, _PARTS_DUP, _PARTS_REN) + """
 SELECT COALESCE(ren.new_name, p.p_name) AS p_name, CAST(count(*) AS BIGINT) AS n_lines,
        CAST(SUM(CAST(l.l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS qty
@@ -804,6 +821,38 @@ def relabel_merge(spark, d):
     return res.main.table("customer")
 
 
+@query("relabel_outputs", _with(T.CM) + """
+SELECT 'login' AS kind, CAST(c_custkey AS BIGINT) AS id, CASE WHEN c_nationkey IN (2, 3) THEN 1 ELSE c_nationkey END AS zone FROM customer
+UNION ALL SELECT 'config', CAST(c_custkey AS BIGINT), CASE WHEN c_custkey % 2 = 0 AND c_nationkey IN (2, 3) THEN 1 ELSE c_nationkey END FROM customer
+UNION ALL SELECT 'record', 2, 1 UNION ALL SELECT 'record', 3, 1""")
+def relabel_outputs(spark, d):
+    """R4's side outputs over two subs: login servers re-pointed to main, server settings, one record per sub."""
+    c = T.read(spark, d, "customer")
+    login = Tenant("login", 0, {"t_login": c})
+    config = Tenant("config", 0, {"t_server": c.select("c_custkey", F.col("c_nationkey").alias("serverId"), (F.col("c_custkey") % 2).alias("serverType"),
+                                                       F.col("c_nationkey").alias("zone"))})
+    subs = [Tenant("a", 2, {"customer": T.cs(spark, d)}, T.SPECS), Tenant("b", 3, {"customer": T.ct(spark, d)}, T.SPECS)]
+    out = J.relabel_merge(T.main_tenant(spark, d, ("customer",)), subs, login=(login, "t_login", "c_nationkey"), merge_record=True,
+                          server_config=(config, "t_server", {"zone": 1})).extra
+    parts = [(out["login"].table("t_login"), "login", "c_custkey", "c_nationkey"), (out["server_config"].table("t_server"), "config", "c_custkey", "zone"),
+             (out["t_merge_record"], "record", "fromServerId", "finalServerId")]
+    rows = [df.select(F.lit(k).alias("kind"), F.col(i).cast("bigint").alias("id"), F.col(z).cast("int").alias("zone")) for df, k, i, z in parts]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
+@query("exclude_merge_rows", _with(*_EXCL_CTES) + """
+SELECT 'customer' AS table_name, CAST(c_custkey AS BIGINT) AS id, c_acctbal AS amount FROM cmerged
+UNION ALL SELECT 'orders', CAST(o_orderkey AS BIGINT), o_totalprice FROM omerged
+UNION ALL SELECT 'part', CAST(p_partkey AS BIGINT), p_retailprice FROM pm""")
+def exclude_merge_rows(spark, d):
+    """R2: the rows of every table after a merge with an exclusion list."""
+    main, sub = _exclusion_setup(spark, d)
+    res = J.exclusion_merge(main, [sub], exclude=["part"]).main
+    cols = {"customer": ("c_custkey", "c_acctbal"), "orders": ("o_orderkey", "o_totalprice"), "part": ("p_partkey", "p_retailprice")}
+    parts = [res.table(t).select(F.lit(t).alias("table_name"), F.col(k).cast("bigint").alias("id"), F.col(v).alias("amount")) for t, (k, v) in cols.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query("append_reconcile", _with(_EF,
                                  "s AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id "
                                  "ORDER BY CASE WHEN zone = 1 THEN 0 ELSE 1 END, value DESC, event_id) rn FROM e) r "
