@@ -92,16 +92,17 @@ def test_reconcile_folds_every_column_and_keeps_main(spark):
     ledger = spark.createDataFrame([(7, None, "old", 1)], "guid bigint, accid bigint, name string, type int")
     names = lambda *x: spark.createDataFrame(x, "name string, v int")
     odd = lambda *x: spark.createDataFrame(x, "guid bigint, v int")
+    statue = lambda guid: spark.createDataFrame([(guid, 9)], "guid bigint, statuetype int")
     player = lambda *x: spark.createDataFrame(x, "guid bigint, name string, zoneid int")
-    main = game(spark, 1, [(1, 9, *[5] * n)], {"t_merge_give_namecard": ledger, "t_figure_statue": odd((1, 1)), "t_player_info_name": names(("m", 1), ("m", 2)),
+    main = game(spark, 1, [(1, 9, *[5] * n)], {"t_merge_give_namecard": ledger, "t_figure_statue": statue(1), "t_player_info_name": names(("m", 1), ("m", 2)),
                                                "t_abnormal_transaction": odd((4, 1)), "t_player_info": player((1, "dup", 1))})
-    subs = [game(spark, z, [(z, 9, *[150] * n)], {"t_figure_statue": odd((2, 2)), "t_player_info_name": names(("b", z), ("b", z + 10), ("m", 3)),
+    subs = [game(spark, z, [(z, 9, *[150] * n)], {"t_figure_statue": statue(2), "t_player_info_name": names(("b", z), ("b", z + 10), ("m", 3)),
                                                   "t_abnormal_transaction": odd((4, z)), "t_only_sub": odd((1, 1)), "t_player_info": player((z, "dup", z))}) for z in (2, 3)]
     res = reconcile(main, subs)
     got = res.main.table("t_account").first().asDict()
     want = {"sum": 305, "min": 5, "max": 150}
     assert {c: got[c] for c in ACCOUNT_FOLDS} == {c: 200 if isinstance(k, tuple) else want[k] for c, k in ACCOUNT_FOLDS.items()}
-    assert rows(res.main.table("t_figure_statue")) == [(1, 1)]
+    assert rows(res.main.table("t_figure_statue")) == [(1, 9)]
     assert rows(res.main.table("t_player_info_name")) == [("b", 2), ("b", 12), ("m", 1), ("m", 2)]
     assert rows(res.main.table("t_abnormal_transaction")) == [(4, 1), (5, 2), (6, 3)]
     assert rows(res.main.table("t_merge_give_namecard"), "guid", "name") == [(2, "s2.dup"), (3, "s3.dup"), (7, "old")]
