@@ -120,19 +120,29 @@ def attach(left: DataFrame, right: DataFrame, key: str, weight: str, spread: Col
 def connected(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, label): the least node that each node of ``edges`` is connected with.
 
-    Each round takes the least label among a node's neighbours and then the
-    label's own label, so the rounds grow with the logarithm of the longest
-    path.  Every round is a written table; nothing is collected but a count.
+    Each round points every node to its least neighbour, follows those
+    pointers twice, and contracts the edges along them; what is left shrinks
+    by a factor each round, down to the paths' ends.  At last the pointers of
+    all rounds are put together.  Every round is a written table; nothing is
+    collected but whether edges are left.
     """
-    both = scratch_table(edges.select(F.col(a).alias("x"), F.col(b).alias("y")).union(edges.select(b, a)).where("x <> y").distinct(), "edges")
-    labels = scratch_table(both.groupBy(F.col("x").alias("node")).agg(F.min("y").alias("m"))
-                           .select("node", F.least("node", "m").alias("label")), "labels")
-    while True:
-        near = both.join(labels.select(F.col("node").alias("y"), "label"), "y").groupBy("x").agg(F.min("label").alias("m"))
-        step = labels.join(near, labels["node"] == near["x"]).select("node", F.col("label").alias("old"), F.least("label", "m").alias("label"))
-        step = scratch_table(step, "labels")
-        up = step.select(F.col("node").alias("u"), F.col("label").alias("top"))
-        jumped = scratch_table(step.join(up, step["label"] == up["u"]).select("node", "old", F.col("top").alias("label")), "labels")
-        if jumped.where("label <> old").isEmpty():
-            return jumped.select("node", "label")
-        labels = jumped.select("node", "label")
+    def pairs(x: Column, y: Column, df: DataFrame) -> DataFrame:
+        return scratch_table(df.where(x != y).select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct(), "edges")
+
+    left = pairs(F.col(a), F.col(b), edges)
+    rounds = []
+    while not rounds or not left.isEmpty():
+        ends = left.select(F.col("a").alias("node"), F.col("b").alias("other")).union(left.select("b", "a"))
+        to = scratch_table(ends.groupBy("node").agg(F.min("other").alias("m")).select("node", F.least("node", "m").alias("label")), "pointers")
+        for _ in range(2):
+            onward = to.select(F.col("node").alias("via"), F.col("label").alias("next"))
+            to = to.join(onward, to["label"] == onward["via"]).select("node", F.col("next").alias("label"))
+        to = scratch_table(to, "pointers")
+        rounds.append(to)
+        at_a, at_b = (to.select(F.col("node").alias(c), F.col("label").alias(f"to_{c}")) for c in ("a", "b"))
+        left = pairs(F.col("to_a"), F.col("to_b"), left.join(at_a, "a").join(at_b, "b"))
+    out = rounds[-1]
+    for to in reversed(rounds[:-1]):
+        later = out.select(F.col("node").alias("via"), F.col("label").alias("end"))
+        out = to.join(later, to["label"] == later["via"], "left").select("node", F.coalesce("end", "label").alias("label"))
+    return out

@@ -248,11 +248,23 @@ def test_lines_on_odd_rows(spark, docs):
     assert [(r.n_lines, r.n_dropped, r.text) for r in got if r.doc_id == 2] == [(1, 0, None)]
     assert [(r.n_lines, r.text) for r in got if r.doc_id is None and r.text] == [(3, "x y z\n\nx")]
     assert line_dedup.dedup_lines(docs.limit(0)).count() == 0
+    assert dict(line_dedup.dedup_lines(docs, n_lines="source").dtypes)["source"] == "bigint"
     with pytest.raises(ValueError):
-        line_dedup.dedup_lines(docs, n_lines="source")
+        line_dedup.dedup_lines(docs, n_lines="text")
 
 
 def test_connected_components(spark):
     chain = [(k, k + 1) for k in range(40)] + [(100, 101), (101, 102), (200, 200)]
     got = dict(common.connected(spark.createDataFrame(chain, "a bigint, b bigint")).collect())
     assert all(got[k] == 0 for k in range(41)) and all(got[k] == 100 for k in (100, 101, 102))
+    rnd = random.Random(9)
+    tree = [(k, rnd.randrange(max(0, k - 3), k)) for k in range(1, 200)] + [(1000 + k, 1000 + k * k % 37) for k in range(60)]
+    want = {}
+    for x, y in tree + tree[::-1]:
+        want.setdefault(x, x), want.setdefault(y, y)
+    for _ in range(200):
+        for x, y in tree:
+            want[x] = want[y] = min(want[x], want[y])
+    got = dict(common.connected(spark.createDataFrame(tree, "a bigint, b bigint")).collect())
+    assert got == {k: v for k, v in want.items() if k in got} and all(v == k for k, v in want.items() if k not in got)
+    assert common.connected(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
