@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
+import os
 import uuid
 import zipfile
 from collections.abc import Callable, Iterable, Sequence
 from pathlib import Path
 
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,7 +52,8 @@ def prepare_python(spark: SparkSession, max_bytes: int = 8 << 20) -> None:
     context = spark.sparkContext
     if context.applicationId not in _SHIPPED:
         top = Path(__file__).resolve().parents[1]
-        folder = tempfile.mkdtemp(prefix="shardfold-ship-")  # the driver's own; Spark's file server hands it out
+        folder = f"{SparkFiles.getRootDirectory()}/package"  # Spark's own folder on the driver, whose files it hands out
+        os.makedirs(folder, exist_ok=True)
         with zipfile.ZipFile(f"{folder}/{top.name}.zip", "w") as z:
             for f in sorted(top.rglob("*.py")):
                 z.write(f, f.relative_to(top.parent))
