@@ -8,7 +8,7 @@ below which a prediction counts as rejected.
 
 Training needs few rows, so it takes a bounded sample: about
 ``rows_per_language`` rows of each language, chosen by a hash of the row (the
-same rows in every run) and never more than twice that many over all
+same rows in every run; copies once) and never more than twice that many over all
 languages.  Executors turn the sampled texts into sparse counts and the
 driver gets those.  Prediction streams all rows, whole texts, through Arrow
 functions with the broadcast model, whose size doesn't grow with the data.
@@ -147,7 +147,8 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", r
     known = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     share = F.element_at(F.create_map(*[F.lit(v) for l, n in known.items() for v in (l, min(1.0, rows_per_language / n))]), F.col("lang")) if known else F.lit(0.0)
     chance = F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = rows.where(chance < share).orderBy(F.xxhash64("text", F.lit("sample"))).limit(2 * rows_per_language * max(1, len(known)))
+    # copies share a hash, so they come all or not at all; one of them is enough
+    sample = rows.where(chance < share).dropDuplicates(["lang", "text"]).orderBy(F.xxhash64("text", F.lit("sample"))).limit(2 * rows_per_language * max(1, len(known)))
 
     def counted(it):
         for batch in it:

@@ -189,5 +189,5 @@ def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     steps = [F.floor(F.col("doc_id") / n).cast("string") for n in (1000, 100, 10, 1)]
     files = docs.select("doc_id", F.concat_ws("/", F.coalesce("source", F.lit("none")), *steps).alias("path"), "text")
     lines = F.filter(F.split("text", "\n", -1), lambda x: F.trim(x) != "")
-    states = let(lines, lambda ls: 10 * F.size(F.filter(ls, lambda x: x.rlike(licence_scan.NOTICE))) >= F.size(ls)) & F.col("text").rlike(licence_scan.NOTICE)
+    states = F.col("text").rlike(licence_scan.NOTICE) & let(lines, lambda ls: 10 * F.size(F.filter(ls, lambda x: x.rlike(licence_scan.NOTICE))) >= F.size(ls))
     return licence_scan.scan(files, is_licence_file=states).drop("path")
