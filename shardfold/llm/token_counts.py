@@ -27,9 +27,9 @@ import os
 import re
 from collections.abc import Iterable
 from functools import lru_cache
-from itertools import chain, islice
+from itertools import islice
+from struct import pack
 
-import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame
@@ -41,7 +41,7 @@ from .common import prepare_python, fresh, sized_slices
 #: characters that one call of the library encodes at most (a longer single piece stands alone)
 CALL_CHARS = 1 << 20
 #: pieces that a worker remembers at most, and the longest that it remembers
-REMEMBERED, LONGEST = 500_000, 64
+REMEMBERED, LONGEST = 1_000_000, 64
 MAX_TOKENS = 2048
 
 #: words and punctuation part here, whatever stands around them
@@ -54,6 +54,7 @@ class Library:
     def __init__(self, path: str, ids: bool = False):
         self.known: dict[str, object] = {}
         self.kind, self.want_ids = "whole", ids
+        self.special: list[str] = []
         if path.endswith(".model"):
             import sentencepiece
 
@@ -67,6 +68,7 @@ class Library:
             model.no_truncation()
             model.no_padding()
             self.batch = lambda texts: [e.ids for e in model.encode_batch_fast(texts, add_special_tokens=False)]
+            self.special = [t.content for t in model.get_added_tokens_decoder().values()]
             self.kind = self._kind(path)
 
     @staticmethod
@@ -93,36 +95,42 @@ class Library:
     def _encoded(self, pieces: list[str]) -> Iterable:
         for a, b in sized_slices([len(p) for p in pieces], CALL_CHARS):
             for ids in self.batch(pieces[a:b]):
-                yield np.asarray(ids, "<u4").tobytes() if self.want_ids else len(ids)
+                yield pack(f"<{len(ids)}I", *ids) if self.want_ids else len(ids)
 
-    def look_up(self, pieces: Iterable[str]) -> dict:
-        """What is known of ``pieces`` after encoding those that aren't known yet."""
+    def learn(self, pieces: set[str], special: bool) -> dict:
+        """The values of pieces that aren't known, of which the short ones are remembered."""
         if len(self.known) > REMEMBERED:
             for k in list(islice(self.known, len(self.known) - REMEMBERED // 2)):
                 del self.known[k]
-        new = set(pieces).difference(self.known)
-        inner = {p: _INNER.split(p) for p in new} if self.kind != "whole" else {p: [p] for p in new}
-        todo = sorted({q for qs in inner.values() for q in qs}.difference(self.known))
+        known, inner, todo = self.known, {}, set()
+        for p in pieces:
+            # a piece that ends in a letter or digit has most often no punctuation or line feed at all
+            if special or self.kind == "whole" or not p or p.isalnum() or (len(qs := _INNER.split(p)) == 1):
+                todo.add(p)
+            else:
+                inner[p] = qs
+                todo.update(q for q in qs if q not in known)
+        todo = list(todo)
         found = dict(zip(todo, self._encoded(todo)))
         for p, qs in inner.items():
-            if len(qs) > 1:
-                parts = [found[q] if q in found else self.known[q] for q in qs]
-                found[p] = b"".join(parts) if self.want_ids else sum(parts)
-        self.known.update((p, v) for p, v in found.items() if len(p) <= LONGEST)
+            parts = [found[q] if q in found else known[q] for q in qs]
+            found[p] = b"".join(parts) if self.want_ids else sum(parts)
+        known.update(found if max(map(len, found), default=0) <= LONGEST else {p: v for p, v in found.items() if len(p) <= LONGEST})
         return found
 
     def texts(self, texts: list[str]) -> list:
         """Lengths, or ids as little-endian unsigned 32-bit integers, of whole texts."""
-        out = []
+        out, get = [], self.known.get
         for a, b in sized_slices([len(t) for t in texts], CALL_CHARS):
-            cut = [self.cut(t) for t in texts[a:b]]
-            found = self.look_up(chain.from_iterable(cut))
-            get = self.known.get
-            for pieces in cut:
-                values = list(map(get, pieces))
-                if None in values:
-                    values = [found[p] if v is None else v for p, v in zip(pieces, values)]
-                out.append(b"".join(values) if self.want_ids else sum(values))
+            some = texts[a:b]
+            cut = [self.cut(t) for t in some]
+            values = [list(map(get, pieces)) for pieces in cut]
+            new = {p for pieces, vs in zip(cut, values) if None in vs for p, v in zip(pieces, vs) if v is None}
+            if new:
+                # special tokens are found in the raw text, so nothing may be cut within them
+                found = self.learn(new, any(s in t for s in self.special for t in some))
+                values = [[found[p] if v is None else v for p, v in zip(pieces, vs)] if None in vs else vs for pieces, vs in zip(cut, values)]
+            out += map(b"".join if self.want_ids else sum, values)
         return out
 
 
