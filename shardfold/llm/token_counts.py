@@ -30,6 +30,7 @@ from functools import lru_cache
 from itertools import islice
 from struct import pack
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame
@@ -42,6 +43,8 @@ from .common import prepare_python, fresh, sized_slices
 CALL_CHARS = 1 << 20
 #: pieces that a worker remembers at most, and the longest that it remembers
 REMEMBERED, LONGEST = 1_000_000, 64
+#: pieces that share one string in a call
+JOINED = 1024
 MAX_TOKENS = 2048
 
 #: words and punctuation part here, whatever stands around them
@@ -68,7 +71,8 @@ class Library:
             model.no_truncation()
             model.no_padding()
             self.batch = lambda texts: [e.ids for e in model.encode_batch_fast(texts, add_special_tokens=False)]
-            self.special = [t.content for t in model.get_added_tokens_decoder().values()]
+            added = model.get_added_tokens_decoder()
+            self.special, self.special_ids = [t.content for t in added.values()], list(added)
             self.kind = self._kind(path)
 
     @staticmethod
@@ -92,10 +96,23 @@ class Library:
             return text.replace("\n", " ").split(" ")
         return cut_before_spaces(text) if self.kind == "bytes" else [text]
 
-    def _encoded(self, pieces: list[str]) -> Iterable:
+    def _encoded(self, pieces: list[str], special: bool) -> Iterable:
+        """Ids or lengths of pieces; short ones share a call, parted by a special token, which the library finds first of all."""
         for a, b in sized_slices([len(p) for p in pieces], CALL_CHARS):
-            for ids in self.batch(pieces[a:b]):
-                yield pack(f"<{len(ids)}I", *ids) if self.want_ids else len(ids)
+            if special or self.kind == "whole" or not self.special:
+                for ids in self.batch(pieces[a:b]):
+                    yield pack(f"<{len(ids)}I", *ids) if self.want_ids else len(ids)
+                continue
+            mark, mark_id = self.special[0], self.special_ids[0]
+            for ids in self.batch([mark.join(pieces[k:min(k + JOINED, b)]) for k in range(a, b, JOINED)]):
+                ids = np.array(ids, "<u4")
+                marks = np.flatnonzero(ids == mark_id)
+                starts, ends = np.append(0, marks + 1), np.append(marks, len(ids))
+                if self.want_ids:
+                    raw = ids.tobytes()
+                    yield from (raw[x:y] for x, y in zip((4 * starts).tolist(), (4 * ends).tolist()))
+                else:
+                    yield from (ends - starts).tolist()
 
     def learn(self, pieces: set[str], special: bool) -> dict:
         """The values of pieces that aren't known, of which the short ones are remembered."""
@@ -111,7 +128,7 @@ class Library:
                 inner[p] = qs
                 todo.update(q for q in qs if q not in known)
         todo = list(todo)
-        found = dict(zip(todo, self._encoded(todo)))
+        found = dict(zip(todo, self._encoded(todo, special)))
         for p, qs in inner.items():
             parts = [found[q] if q in found else known[q] for q in qs]
             found[p] = b"".join(parts) if self.want_ids else sum(parts)
