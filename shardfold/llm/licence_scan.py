@@ -1,10 +1,15 @@
 """Licence scan: notices by TF-IDF cosine to templates, then inheritance along the path.
 
-A file's own licence is read from its notices: the lines that name a licence,
-and the paragraphs around them.  Each is compared with the templates by the
-cosine of sparse TF-IDF vectors; the best template counts from ``min_score``
-on.  Document frequencies of the templates' terms are taken over all files;
-a term that no template has weighs as much as the rarest.
+A file's own licence is read from its lines, its paragraphs and its whole
+text.  Each is compared with the templates by the cosine of sparse TF-IDF
+vectors; the best template counts from ``min_score`` on.  Document frequencies
+of the templates' terms are taken over all files; a term that no template has
+weighs as much as the rarest.
+
+No keyword decides what is compared.  A cosine is at most the norm of the
+template's terms that are shared, so a text is left out only where that norm
+is below ``min_score`` for every template: first by a pattern of the terms
+without which no template comes to ``min_score``, then by the norms.
 
 A licence file covers its directory and what lies below.  A file without a
 notice of its own takes the licence of the nearest ancestor directory that
@@ -18,7 +23,8 @@ broadcast (a fixed number of rows), the others are joined by key.
 Defined cases: null text has no notice and can inherit; a null path neither
 inherits nor covers anything; a licence file takes its own licence only from
 its notice; several notices: the highest score, then the first licence by
-name; several licence files in a directory: the same; each row is a file, so
+name, but reserved rights (which stand above many a grant) only if nothing else
+is declared; several licence files in a directory: the same; each row is a file, so
 repeated rows are reported each; an empty table gives an empty table; other
 columns pass through, but for those named like an added one, which takes
 their place.
@@ -26,6 +32,8 @@ their place.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,8 +42,8 @@ from .common import attach, fresh, hash128, let, scratch_table
 MIN_SCORE = 0.6
 #: names of files that state the licence of their directory
 LICENCE_FILE = r"(?i)(^|/)(licen[cs]e|copying|copyright|unlicense|notice)([-._][^/]*)?$"
-#: what a notice names
-NOTICE = r"(?i)licen[cs]|copyright|public domain|spdx"
+#: grants nothing, so it yields to any licence that is declared beside it
+RESERVED = "Proprietary"
 
 #: fixed values: notices by which the licences are declared
 TEMPLATES = {
@@ -56,7 +64,7 @@ TEMPLATES = {
     "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
     "CC0-1.0": ["Released under CC0 1.0.", "This work is dedicated to the public domain under CC0 1.0 Universal."],
-    "Proprietary": ["All rights reserved. No license is granted."],
+    RESERVED: ["All rights reserved.", "All rights reserved. No license is granted."],
 }
 
 
@@ -86,16 +94,70 @@ def idf(files: DataFrame, words: list[str], text_col: str) -> tuple[DataFrame, f
     return table.select("term", (F.log(rest / (F.col("df") + 1)) + 1).alias("idf")), top
 
 
-def _units(text: Column) -> Column:
-    """The notices of a text: lines, and paragraphs of more than one line, that name a licence."""
-    lines = F.filter(F.split(text, r"\n", -1), lambda x: x.rlike(NOTICE))
-    blocks = F.filter(F.split(text, r"\n[ \t\r]*\n", -1), lambda x: x.rlike(NOTICE) & x.contains("\n"))
-    return F.array_distinct(F.concat(lines, blocks))
+def needed_terms(vectors: dict[int, dict[str, float]], min_score: float) -> list[str]:
+    """Terms of which a text has at least one if its cosine to some template (term to normed weight) is ``min_score`` or more.
+
+    The heaviest of each template, until the norm of the others is lower.
+    """
+    out = set()
+    for weights in vectors.values():
+        left = sum(w * w for w in weights.values())
+        for term, w in sorted(weights.items(), key=lambda x: (-x[1], x[0])):
+            if left < _least(min_score):
+                break
+            out.add(term)
+            left -= w * w
+    return sorted(out)
+
+
+def _least(min_score: float) -> float:
+    """The square of ``min_score``, less what rounding may take from a score."""
+    return max(min_score - 1e-6, 0.0) ** 2
+
+
+def _pattern(words: list[str]) -> str:
+    """Matches any lower-cased text of which one of ``words`` is a term (a number in front of a term may end within a word)."""
+    return "|".join(
+        f"(?<!{start})(?:{'|'.join(re.escape(w) for w in some)})(?!{end})"
+        for start, end, some in (("[a-z]", "[a-z0-9]", [w for w in words if not w[0].isdigit() and "." not in w]),
+                                 ("[a-z]", "[0-9]", [w for w in words if not w[0].isdigit() and "." in w]),
+                                 ("[a-z0-9]", "[a-z0-9]", [w for w in words if w[0].isdigit() and "." not in w]),
+                                 ("[a-z0-9]", "[0-9]", [w for w in words if w[0].isdigit() and "." in w])) if some) or "(?!)"
+
+
+def _near(text: Column, vectors: dict[int, dict[str, float]], min_score: float) -> Column:
+    """Whether the terms that ``text`` shares with some template have the norm ``min_score`` or more."""
+    table = F.array(*[F.array(*[F.struct(F.lit(t).alias("term"), F.lit(w * w).alias("w2")) for t, w in sorted(v.items())]) for v in vectors.values()])
+    words = F.array(*[F.lit(w) for w in sorted({t for v in vectors.values() for t in v})])
+    return let(F.array_intersect(terms(text), words), lambda own: F.exists(table, lambda v: F.aggregate(
+        v, F.lit(0.0), lambda norm, x: norm + F.when(F.array_contains(own, x["term"]), x["w2"]).otherwise(0.0)) >= _least(min_score)))
+
+
+def _lines(text: Column) -> Column:
+    """The lines of a text that aren't blank."""
+    return F.filter(F.split(text, r"\n", -1), lambda x: F.trim(x) != "")
+
+
+def _units(text: Column, vectors: dict[int, dict[str, float]], min_score: float) -> Column:
+    """(t, line, n): the lines of a text, its paragraphs of more than one line and the whole of it, so far as one may come to ``min_score``."""
+    pattern = _pattern(needed_terms(vectors, min_score))
+
+    def near(x):
+        return F.lower(x).rlike(pattern) & _near(x, vectors, min_score)
+
+    lines = F.filter(_lines(text), near)
+    blocks = F.filter(F.array_distinct(F.concat(F.split(text, r"\n[ \t\r]*\n", -1), F.array(text))), lambda x: x.contains("\n") & near(x))
+    return F.concat(F.transform(lines, lambda x: F.struct(x.alias("t"), F.lit(True).alias("line"), F.lit(1).alias("n"))),
+                    F.transform(blocks, lambda x: F.struct(x.alias("t"), F.lit(False).alias("line"), F.size(_lines(x)).alias("n"))))
+
+
+def _best() -> Column:
+    return F.min(F.struct((F.col("licence") == RESERVED).alias("r"), (-F.col("score")).alias("s"), "licence"))
 
 
 def own_licences(files: DataFrame, text_col: str = "text", keys: tuple[str, str] = ("__ls_1", "__ls_2"),
                  templates: dict[str, list[str]] = TEMPLATES, min_score: float = MIN_SCORE) -> DataFrame:
-    """(keys, licence, score) of the files that declare a licence in a notice."""
+    """(keys, licence, score, notices) of the files that declare a licence; ``notices`` is the number of lines that do."""
     spark = files.sparkSession
     vectors = template_terms(spark, templates)
     words = sorted(r.term for r in vectors.select("term").distinct().collect())
@@ -103,15 +165,22 @@ def own_licences(files: DataFrame, text_col: str = "text", keys: tuple[str, str]
     weighted = vectors.join(F.broadcast(weight), "term").withColumn("w", F.col("tf") * F.col("idf"))
     norms = weighted.groupBy("template").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     weighted = weighted.join(norms, "template").select("licence", "template", "term", (F.col("w") / F.col("norm")).alias("tw"))
-    units = (files.where(F.col(text_col).rlike(NOTICE)).select(*keys, F.posexplode(_units(F.col(text_col))).alias("unit", "t"))
-             .select(*keys, "unit", F.explode(terms(F.col("t"))).alias("term")).groupBy(*keys, "unit", "term").agg(F.count("*").alias("tf")))
+    normed: dict[int, dict[str, float]] = {}
+    for r in weighted.collect():  # the templates' terms
+        normed.setdefault(r.template, {})[r.term] = r.tw
+    text = F.col(text_col)
+    units = (files.where(F.lower(text).rlike(_pattern(needed_terms(normed, min_score))))
+             .select(*keys, F.posexplode(_units(text, normed, min_score)).alias("unit", "u")))
+    of = [*keys, "unit", "line", "n"]
+    units = (units.select(*keys, "unit", "u.line", "u.n", F.explode(terms(F.col("u.t"))).alias("term")).groupBy(*of, "term").agg(F.count("*").alias("tf")))
     units = units.join(F.broadcast(weight), "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(other)))
-    units = scratch_table(units.select(*keys, "unit", "term", "w"), "notices")
-    length = units.groupBy(*keys, "unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    dots = units.join(F.broadcast(weighted), "term").groupBy(*keys, "unit", "licence", "template").agg(F.sum(F.col("w") * F.col("tw")).alias("dot"))
-    scores = dots.join(length, [*keys, "unit"]).withColumn("score", F.round(F.col("dot") / F.col("norm"), 9)).where(F.col("score") >= min_score)
-    best = scores.groupBy(*keys).agg(F.min(F.struct((-F.col("score")).alias("s"), "licence")).alias("b"))
-    return best.select(*keys, F.col("b.licence").alias("licence"), (-F.col("b.s")).alias("score"))
+    units = scratch_table(units.select(*of, "term", "w"), "notices")
+    length = units.groupBy(*of).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    dots = units.join(F.broadcast(weighted), "term").groupBy(*of, "licence", "template").agg(F.sum(F.col("w") * F.col("tw")).alias("dot"))
+    scores = dots.join(length, of).withColumn("score", F.round(F.col("dot") / F.col("norm"), 9)).where(F.col("score") >= min_score)
+    best = scores.groupBy(*of).agg(_best().alias("b")).groupBy(*keys).agg(
+        F.min("b").alias("b"), F.greatest(F.sum(F.when(F.col("line"), 1).otherwise(0)), F.max(F.when(F.col("line"), 0).otherwise(F.col("n")))).alias("notices"))
+    return best.select(*keys, F.col("b.licence").alias("licence"), (-F.col("b.s")).alias("score"), "notices")
 
 
 def directory(path: Column) -> Column:
@@ -137,18 +206,24 @@ def nearest(dirs: DataFrame, covering: DataFrame) -> DataFrame:
 
 
 def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", is_licence_file: Column | None = None,
-         templates: dict[str, list[str]] = TEMPLATES, min_score: float = MIN_SCORE) -> DataFrame:
+         templates: dict[str, list[str]] = TEMPLATES, min_score: float = MIN_SCORE, lines_per_notice: int = 0) -> DataFrame:
     """``files`` without ``text_col``, with ``licence``, ``score`` (of its own notice), ``origin``
-    (``own``, ``inherited`` or ``none``) and ``from_dir`` (of an inherited licence)."""
-    files = fresh(files, ["licence", "score", "origin", "from_dir", "__ls_1", "__ls_2", "__ls_dir", "__ls_up", "__ls_own"], [path_col, text_col])
+    (``own``, ``inherited`` or ``none``) and ``from_dir`` (of an inherited licence).
+
+    A licence file is one by ``is_licence_file``, or by having ``lines_per_notice`` lines or fewer for each line of a notice.
+    """
+    files = fresh(files, ["licence", "score", "origin", "from_dir", "__ls_1", "__ls_2", "__ls_dir", "__ls_up", "__ls_own", "__ls_lines", "__ls_notices"], [path_col, text_col])
     k1, k2 = hash128(F.col(path_col), F.col(text_col))
     keyed = files.withColumns({"__ls_1": k1, "__ls_2": k2})
-    own = scratch_table(own_licences(keyed, text_col, templates=templates, min_score=min_score), "own-licences")
+    own = own_licences(keyed, text_col, templates=templates, min_score=min_score).withColumnRenamed("notices", "__ls_notices")
+    own = scratch_table(own, "own-licences")
     is_file = F.col(path_col).rlike(LICENCE_FILE) if is_licence_file is None else is_licence_file
-    listed = keyed.withColumn("__ls_own", F.coalesce(is_file, F.lit(False))).withColumn("__ls_dir", directory(F.col(path_col))).drop(text_col)
-    listed = scratch_table(listed.join(own, ["__ls_1", "__ls_2"], "left"), "files")
+    listed = keyed.withColumn("__ls_own", F.coalesce(is_file, F.lit(False))).withColumn("__ls_dir", directory(F.col(path_col)))
+    listed = listed.withColumn("__ls_lines", F.size(_lines(F.col(text_col))) if lines_per_notice else F.lit(1)).drop(text_col)
+    stated = F.coalesce(lines_per_notice * F.col("__ls_notices") >= F.col("__ls_lines"), F.lit(False))
+    listed = scratch_table(listed.join(own, ["__ls_1", "__ls_2"], "left").withColumn("__ls_own", F.col("__ls_own") | stated).drop("__ls_notices", "__ls_lines"), "files")
     covering = (listed.where("__ls_own AND licence IS NOT NULL AND __ls_dir IS NOT NULL").groupBy(F.col("__ls_dir").alias("dir"))
-                .agg(F.min(F.struct((-F.col("score")).alias("s"), "licence")).alias("b")).select("dir", F.col("b.licence").alias("licence")))
+                .agg(_best().alias("b")).select("dir", F.col("b.licence").alias("licence")))
     dirs = scratch_table(listed.where("__ls_dir IS NOT NULL").groupBy(F.col("__ls_dir").alias("dir")).agg(F.count("*").alias("files")), "directories")
     above = nearest(dirs, covering).join(dirs, "dir").select(F.col("dir").alias("__ls_dir"), "files", F.col("licence").alias("__ls_up"), "from_dir")
     out = attach(listed, scratch_table(above, "inherited"), "__ls_dir", "files", F.xxhash64("__ls_1", "__ls_2"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 from . import bpe, chat_format, decontaminate, language_id, licence_scan, line_dedup, ngram_jaccard, token_counts, token_store
 from . import quality_rules as qr
-from .common import let, read, scratch_folder
+from .common import read, scratch_folder
 
 QUERIES = {}
 ORACLE = {}
@@ -188,6 +188,4 @@ def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
     steps = [F.floor(F.col("doc_id") / n).cast("string") for n in (1000, 100, 10, 1)]
     files = docs.select("doc_id", F.concat_ws("/", F.coalesce("source", F.lit("none")), *steps).alias("path"), "text")
-    lines = F.filter(F.split("text", "\n", -1), lambda x: F.trim(x) != "")
-    states = F.col("text").rlike(licence_scan.NOTICE) & let(lines, lambda ls: 10 * F.size(F.filter(ls, lambda x: x.rlike(licence_scan.NOTICE))) >= F.size(ls))
-    return licence_scan.scan(files, is_licence_file=states).drop("path")
+    return licence_scan.scan(files, is_licence_file=F.lit(False), lines_per_notice=10).drop("path")

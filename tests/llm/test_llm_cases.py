@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
@@ -225,6 +226,36 @@ def test_licences_are_inherited_from_the_nearest_directory(spark):
     assert licence_scan.scan(df.limit(0)).count() == 0
 
 
+def test_every_template_is_found(spark):
+    prose = "Nothing of this is said here.\nThe weather was fine and the road was long."
+    notices = [(l, t) for l, ts in licence_scan.TEMPLATES.items() for t in ts]
+    rows = [(k, f"d{k}/x", f"{prose}\n# {t.upper()}\n{prose}") for k, (_, t) in enumerate(notices)]
+    halves = [(t.split(" ")[:len(t.split(" ")) // 2], t.split(" ")[len(t.split(" ")) // 2:]) for _, t in notices]
+    rows += [(100 + k, f"w{k}/x", f"{prose}\n\n{' '.join(a)}\n{' '.join(b)}\n\n{prose}") for k, (a, b) in enumerate(halves)]
+    rows += [(200 + k, f"l{k}/LICENSE", "\n\n".join(w for w in t.split(" "))) for k, (_, t) in enumerate(notices)]
+    rows += [(300, "n/x", prose), (301, "b/LICENSE", f"{licence_scan.TEMPLATES['Proprietary'][0]}\n{licence_scan.TEMPLATES['BSD-3-Clause'][0]} It is in a file."), (302, "b/x", prose),
+             (303, "p/LICENSE", licence_scan.TEMPLATES["Proprietary"][0]), (304, "p/x", prose)]
+    got = {r.id: (r.licence, r.origin) for r in licence_scan.scan(spark.createDataFrame(rows, "id int, path string, text string")).collect()}
+    for k, (l, _) in enumerate(notices):
+        assert got[k] == got[100 + k] == got[200 + k] == (l, "own")
+    assert got[300] == (None, "none") and got[301] == ("BSD-3-Clause", "own") and got[302] == ("BSD-3-Clause", "inherited")
+    assert got[303] == ("Proprietary", "own") and got[304] == ("Proprietary", "inherited")
+
+
+def test_what_is_left_out_is_below_the_score():
+    rng = random.Random(3)
+    vectors = {k: {f"t{k}x{j}": rng.random() for j in range(rng.randint(1, 9))} for k in range(20)}
+    vectors = {k: {t: w / sum(x * x for x in v.values()) ** 0.5 for t, w in v.items()} for k, v in vectors.items()}
+    needed = set(licence_scan.needed_terms(vectors, 0.6))
+    for v in vectors.values():
+        assert needed & set(v) and sum(w * w for t, w in v.items() if t not in needed) < 0.36
+    pattern = licence_scan._pattern(["3", "2.0", "rights", "v2.0"])
+    for text in ("gpl 3.", "(2.0)", "apache 2.0x", "3.5rights", "rights", "v2.0"):
+        assert re.search(pattern, text)
+    for text in ("13", "copyrights", "12.05", "rightsx"):
+        assert not re.search(pattern, text)
+
+
 # 9
 
 def test_rules_and_host_verdicts(spark, docs):
