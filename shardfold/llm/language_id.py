@@ -7,9 +7,9 @@ calibrated on rows kept apart: one temperature for the scores, and the score
 below which a prediction counts as rejected.
 
 Training needs few rows, so it takes a bounded sample: about
-``rows_per_language`` rows of each language, chosen by a hash of the row (the
-same rows in every run; copies once) and never more than twice that many over all
-languages.  Executors turn the sampled texts into sparse counts and the
+``rows_per_language`` different texts of each language, chosen by a hash of the
+text (the same in every run; copies count once), at least one of each language and
+never more than twice that many over all languages.  Executors turn the sampled texts into sparse counts and the
 driver gets those.  Prediction streams all rows, whole texts, through Arrow
 functions with the broadcast model, whose size doesn't grow with the data.
 
@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh, prepare_python
+from .common import fresh, hash128, prepare_python
 
 BUCKETS = 1 << 15
 WIDTH = 16
@@ -43,6 +43,8 @@ EPOCHS, RATE, BATCH = 25, 20.0, 8
 #: share of the sample that calibrates, and of its right predictions that may be rejected
 APART, REJECTED = 0.25, 0.005
 UNKNOWN = "und"
+#: a text without a match has no letter (Python may know letters that the JVM counts as unassigned)
+SOME_LETTER = r"[\p{L}\p{Cn}]"
 STRETCH = 1 << 18
 
 
@@ -140,15 +142,29 @@ def fit(rows: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) -> Model:
     return model
 
 
+def sampled(rows: DataFrame, rows_per_language: int) -> DataFrame:
+    """(lang, text): about ``rows_per_language`` different texts of each language, one of each that has any."""
+    rows = rows.where("lang IS NOT NULL").where(F.col("text").rlike(SOME_LETTER))
+    chance = F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    # copies share a hash, so they come all or not at all and count once
+    texts = rows.select("lang", chance.alias("chance"), *hash128(F.col("text"))).distinct()
+    known = texts.groupBy("lang").agg(F.count("*").alias("n"), F.min("chance").alias("least")).collect()  # one row per language
+    if not known:
+        return rows.select("lang", "text").limit(0)
+
+    def of_lang(values):
+        return F.element_at(F.create_map(*[F.lit(x) for lang, v in values for x in (lang, v)]), F.col("lang"))
+
+    share = of_lang((r.lang, min(1.0, rows_per_language / r.n)) for r in known)
+    least = of_lang((r.lang, r.least) for r in known)
+    return (rows.where((chance < share) | (chance <= least)).dropDuplicates(["lang", "text"])
+            .orderBy(chance > least, F.xxhash64("text", F.lit("sample"))).limit(max(len(known), 2 * rows_per_language * len(known))))
+
+
 def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", rows_per_language: int = ROWS_PER_LANGUAGE) -> Model:
     """A model of a bounded sample of ``labelled``."""
     prepare_python(labelled.sparkSession)
-    rows = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
-    known = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    share = F.element_at(F.create_map(*[F.lit(v) for l, n in known.items() for v in (l, min(1.0, rows_per_language / n))]), F.col("lang")) if known else F.lit(0.0)
-    chance = F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    # copies share a hash, so they come all or not at all; one of them is enough
-    sample = rows.where(chance < share).dropDuplicates(["lang", "text"]).orderBy(F.xxhash64("text", F.lit("sample"))).limit(2 * rows_per_language * max(1, len(known)))
+    sample = sampled(labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")), rows_per_language)
 
     def counted(it):
         for batch in it:

@@ -211,6 +211,18 @@ def test_languages_on_odd_rows(docs):
     assert dict(language_id.predict(docs.withColumn("score", F.lit(1)), model).dtypes)["score"] == "double"
 
 
+def test_every_language_is_in_the_sample(spark):
+    few = spark.range(5 * 4000).selectExpr("'copied' AS lang", "concat('wort ', repeat(chr(97 + cast(id % 5 AS int)), 9)) AS text")
+    empty = spark.range(5000).selectExpr("'numbers' AS lang", "if(id = 7, 'one text', cast(id AS string)) AS text")
+    many = spark.range(5000).selectExpr("'many' AS lang", "concat('some text ', id) AS text")
+    rows = few.unionByName(empty).unionByName(many)
+    got = {r.lang: r.n for r in language_id.sampled(rows, 40).groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    assert got["copied"] == 5 and got["numbers"] == 1 and 15 <= got["many"] <= 80
+    assert {r.lang for r in language_id.sampled(rows, 1).collect()} == set(got)
+    model = language_id.train(rows, rows_per_language=40)
+    assert model.languages == ["copied", "many", "numbers"]
+
+
 # 8
 
 def test_licences_are_inherited_from_the_nearest_directory(spark):
