@@ -2,7 +2,7 @@
 
 Arrow functions return lengths only.  Texts are split at boundaries where the
 tokenizer always starts anew, so any text is counted piece by piece; pieces
-that a worker has not met are encoded together in batches balanced by bytes,
+that a worker has not met are encoded together in batches balanced by characters,
 and their lengths are remembered (a bounded number of them).  A text's count
 is the sum over its pieces, which is exact because no token crosses a safe
 boundary.
