@@ -11,9 +11,3 @@ def spark():
     from shardfold.session import local_session
     s = local_session("*", shuffle_partitions=8, app="shardfold-tests")
     yield s
-
-
-def rows(df, *cols):
-    """Sorted list of tuples of ``cols`` (all columns when none given)."""
-    cols = cols or tuple(df.columns)
-    return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=lambda t: tuple((x is None, 0 if x is None else x) for x in t))

@@ -5,7 +5,7 @@ from shardfold.operators import keys as K
 from shardfold.operators import merge as M
 from shardfold.operators import names as N
 from shardfold.plans import jobs as J
-from conftest import rows
+from helpers import rows
 
 
 def test_h1_keyless_tables_append(spark):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shardfold.model import Tenant
 from shardfold.operators import identity as I
 from shardfold.operators import retention as R
-from conftest import rows
+from helpers import rows
 
 
 @pytest.fixture

@@ -12,7 +12,7 @@ from shardfold.plans import jobs as J
 from shardfold.plans.remap import remap
 from shardfold.sources.catalog import has_column, list_parquet_tables, parquet_tenant
 from shardfold.sources.sinks import merge_report, read_published, write_tenant
-from conftest import rows
+from helpers import rows
 
 
 def f1_tenant(spark, name, zone, names=("ann", "bob")):

@@ -7,7 +7,7 @@ from shardfold.functions.columns import digits_of, make_guid, zone_of_guid
 from shardfold.model import Tenant
 from shardfold.operators import keys as K
 from shardfold.operators import names as N
-from conftest import rows
+from helpers import rows
 
 
 @pytest.fixture

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import rows
+from helpers import rows
 from shardfold.model import Tenant
 from shardfold.operators import identity as I
 from shardfold.operators import keys as K

@@ -7,7 +7,7 @@ from shardfold.operators import keys as K
 from shardfold.operators import merge as M
 from shardfold.operators import names as N
 from shardfold.plans import catalogue as C
-from conftest import rows
+from helpers import rows
 
 SF = "/root/testdata/sf0.001"
 

@@ -4,7 +4,7 @@ from datetime import datetime
 
 from shardfold.model import Tenant
 from shardfold.plans.reconcile import reconcile
-from conftest import rows
+from helpers import rows
 
 G1 = (1 << 54) + 1
 G2 = (2 << 54) + 5

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from shardfold.model import Tenant
 from shardfold.operators import merge as M
 from shardfold.operators import rows as P
-from conftest import rows
+from helpers import rows
 
 
 @pytest.fixture
