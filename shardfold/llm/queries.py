@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import bpe, chat_format, decontaminate, language_id, licence_scan, line_dedup, ngram_jaccard, token_counts, token_store
+from . import bpe, chat_format, decontaminate, language_id, licence_scan, line_dedup, ngram_jaccard, personal_data, spelling_variants, token_counts
+from . import token_store, whitening
 from . import quality_rules as qr
-from .common import read, scratch_folder
+from .common import read, scratch_folder, scratch_table
 
 QUERIES = {}
 ORACLE = {}
@@ -189,3 +190,81 @@ def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     steps = [F.floor(F.col("doc_id") / n).cast("string") for n in (1000, 100, 10, 1)]
     files = docs.select("doc_id", F.concat_ws("/", F.coalesce("source", F.lit("none")), *steps).alias("path"), "text")
     return licence_scan.scan(files, is_licence_file=F.lit(False), lines_per_notice=10).drop("path")
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents, their near words, forms and roots."""
+    return spelling_variants.group_variants(spelling_variants.words(read(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+@query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight whitened components of every vector, scaled to integers; raises if a deviation is too large for a long."""
+    k = 8
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    vectors = vectors.where(whitening.finite(F.col("embedding"))).select(
+        "vec_id", F.transform("embedding", lambda c: F.floor(1024 * c.cast("double")) + 100000).alias("x"))
+    vectors = whitening.usable(vectors, "x")
+    model = whitening.fit(vectors, "x")
+    rows = scratch_table(whitening.whiten(vectors, model, "x", k), "whitened")
+    error = whitening.identity_error(rows, model, k)
+    sums = F.array(*[F.lit(s).cast("long") for s in model.sums]).cast("array<bigint>")
+    n = F.lit(model.n).cast("long")
+    deviation = F.aggregate(F.zip_with("x", sums, lambda x, s: n * x - s), F.lit(0).cast("long"), lambda acc, d: acc + d * d)
+    shares = F.array(*[F.lit(float(v / model.trace) if model.trace else None).cast("double") for v in model.values[:k]]).cast("array<double>")
+    out = rows.select("vec_id", deviation.alias("deviation"), F.posexplode("whitened").alias("at", "whitened"))
+    return out.select("vec_id", (F.col("at") + 1).cast("int").alias("component"), n.alias("n"), "deviation", "whitened",
+                      F.get(shares, F.col("at")).alias("explained"), F.lit(error).cast("double").alias("identity_error"))
+
+
+@query
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of all documents: counts of the base kinds, their digest, and all spans."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    out = personal_data.find_personal_data(docs)
+    base = [k.name for k in personal_data.KINDS if k.base]
+    count = lambda name: F.size(F.filter("spans", lambda s: s["kind"] == name)).cast("long").alias(f"n_{name}")
+    own = F.filter("spans", lambda s: s["kind"].isin(base))
+    return out.select("doc_id", *[count(b) for b in base], F.sha2(personal_data.as_text(own), 256).alias("base_sha256"),
+                      personal_data.as_text(F.col("spans")).alias("spans"))
+
+
+#: kind, whether it is a base kind, pattern, what a match x must meet (d its digits, own its checksum's remainder), score without and with context, context
+_PERSONAL = [
+    ("email", True, r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true", 0.8, "mail|contact|write to"),
+    ("ip", True, r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+",
+     "len(list_filter(string_split(x, '.'), lambda s: len(ltrim(s, '0')) > 3 OR coalesce(try_cast(ltrim(s, '0') AS INT), 0) > 255)) = 0", 0.6, "address|host|server|login"),
+    ("card", True, r"[0-9](?:[\x20-]?[0-9])+", "len(d) BETWEEN 16 AND 19 AND luhn", 0.7, "card"),
+    ("phone", True, r"\+[0-9][\x20().0-9-]+[0-9]", "len(d) BETWEEN 8 AND 15", 0.6, "phone"),
+    ("iban", False, r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}\b", "len(c) BETWEEN 15 AND 34 AND mod97 = 1", 0.7, "iban"),
+    ("ssn", False, r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b", "NOT regexp_matches(x, '^(?:000|666|9)|-00-|-0000$')", 0.3, r"\bssn\b|social security|tax id"),
+    ("shortcard", False, r"[0-9](?:[\x20-]?[0-9])+", "len(d) BETWEEN 13 AND 15 AND luhn", 0.45, "card|amex|credit|debit|karte|tarjeta|carte"),
+]
+_CUT = " UNION ALL ".join(
+    f"SELECT doc_id, '{kind}' AS kind, {k} AS k, regexp_extract_all(text, '{p}') AS m, string_split_regex(text, '{p}') AS p FROM texts" for k, (kind, _, p, *_) in enumerate(_PERSONAL))
+_TOLD = " ".join(f"WHEN '{kind}' THEN {test} AND ({base} OR {own} + CASE WHEN regexp_matches(near, '{context}') THEN 0.3 ELSE 0 END >= 0.5)"
+                 for kind, base, _, test, own, context in _PERSONAL)
+ORACLE["op13_personal_data"] = rf"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+cut AS ({_CUT}),
+placed AS (SELECT doc_id, kind, k, m, p, unnest(range(1, len(m) + 1)) AS i FROM cut),
+found AS (
+  SELECT doc_id, kind, k, m[i] AS x,
+    list_sum(list_transform(p[1:i], lambda s: length(s))) + coalesce(list_sum(list_transform(m[1:i-1], lambda s: length(s))), 0) AS start,
+    lower(right(p[i], 40) || chr(10) || left(p[i + 1], 40)) AS near, regexp_replace(m[i], '[^0-9]', '', 'g') AS d, replace(m[i], ' ', '') AS c
+  FROM placed),
+checked AS (
+  SELECT *, list_sum(list_transform(range(len(d)), lambda j: CASE WHEN j % 2 = 0 THEN d[len(d) - j]::INT ELSE (2 * d[len(d) - j]::INT) // 10 + (2 * d[len(d) - j]::INT) % 10 END)) % 10 = 0 AS luhn,
+    CASE WHEN kind = 'iban' THEN list_reduce(list_concat([0], list_transform(string_split(c[5:] || c[:4], ''), lambda s: CASE WHEN s BETWEEN '0' AND '9' THEN ascii(s) - 48 ELSE ascii(s) - 55 END)),
+      lambda a, v: CASE WHEN v > 9 THEN (a * 100 + v) % 97 ELSE (a * 10 + v) % 97 END) END AS mod97
+  FROM found),
+spans AS (SELECT doc_id, kind, k, start, kind || ':' || start::BIGINT || ':' || (start + length(x))::BIGINT AS s FROM checked WHERE CASE kind {_TOLD} END),
+told AS (
+  SELECT doc_id, {', '.join(f"count(*) FILTER (WHERE kind = '{kind}') AS n_{kind}" for kind, base, *_ in _PERSONAL if base)},
+    string_agg(s, ',' ORDER BY k, start) FILTER (WHERE k < 4) AS base, string_agg(s, ',' ORDER BY k, start) AS spans
+  FROM spans GROUP BY doc_id)
+SELECT doc_id, {', '.join(f"coalesce(n_{kind}, 0)::BIGINT AS n_{kind}" for kind, base, *_ in _PERSONAL if base)},
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN told USING (doc_id)
+"""
