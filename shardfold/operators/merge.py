@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import as_column
 from ..model import Tenant, TableSpec, _key_sets
+from ..session import cut_lineage
 
 
 class MergeConflict(RuntimeError):
@@ -256,23 +257,25 @@ def merge_all_table(frames: Sequence[DataFrame], keys, allow_missing: bool = Fal
     ``max`` of the tenant ordinal over the key columns alone (map-side
     partial, so a hot key is reduced before the shuffle); the rows follow by
     a join on key and ordinal.  NULL keys never clash and pass through.
-    Several key sets are merged one source after another, as a row can clash
-    on each; a keyless table is a union.  ``first_wins``: the earliest source
+    Several key sets: see :func:`_all_replaced` and :func:`_all_absent`; a
+    keyless table is a union.  ``first_wins``: the earliest source
     keeps the key (insert-if-absent over many subs, M4).
     """
     key_sets = _key_sets(keys)
     base = frames[0]
-    if len(key_sets) > 1:
-        acc = base
-        for f in frames[1:]:
-            acc = merge_absent(acc, f, key_sets, allow_missing) if first_wins else \
-                merge_replace(acc, f, key_sets, allow_missing=allow_missing)
-        return acc
     tagged = base.withColumn("__ord", F.lit(0))
     for i, f in enumerate(frames[1:], start=1):
         tagged = tagged.unionByName(align(f, base, allow_missing).withColumn("__ord", F.lit(i)))
     if not key_sets or len(frames) == 1:
         return tagged.drop("__ord")
+    if len(key_sets) > 1:
+        if not first_wins:
+            kept = _all_replaced(tagged, key_sets)
+        elif len(frames) == 2:  # main's rows all stay, so its keys alone decide
+            kept = _all_replaced(tagged, key_sets, first_wins=True)
+        else:
+            kept = _all_absent(tagged, key_sets)
+        return kept.select(*base.columns)
     ks = list(key_sets[0])
     null_key = _any_null(ks)
     owner = tagged.where(~null_key).groupBy(*ks).agg((F.min if first_wins else F.max)("__ord").alias("__ord"))
@@ -281,6 +284,80 @@ def merge_all_table(frames: Sequence[DataFrame], keys, allow_missing: bool = Fal
     return kept.select(*base.columns).unionByName(tagged.where(null_key).select(*base.columns))
 
 
+def _contested(tagged: DataFrame, ks: Sequence[str], i: int) -> DataFrame:
+    """Keys of one set that several sources hold, as ``__<i>_k*``, with the first and last of them (``__<i>_lo``, ``__<i>_hi``)."""
+    return tagged.where(~_any_null(ks)).groupBy(*[F.col(k).alias(f"__{i}_k{j}") for j, k in enumerate(ks)]) \
+        .agg(F.min("__ord").alias(f"__{i}_lo"), F.max("__ord").alias(f"__{i}_hi")).where(F.col(f"__{i}_lo") < F.col(f"__{i}_hi"))
+
+
+def _same_key(ks: Sequence[str], i: int):
+    out = F.lit(True)
+    for j, k in enumerate(ks):
+        out = out & (F.col(k) == F.col(f"__{i}_k{j}"))
+    return out
+
+
+def _all_replaced(tagged: DataFrame, key_sets: Sequence[Sequence[str]], first_wins: bool = False) -> DataFrame:
+    """Many sources, several key sets, incoming wins: one anti join per key set, for any number of sources.
+
+    Every source's rows go in when their turn comes, whatever happened before,
+    so a row stays exactly if no later source holds any of its keys.  Only
+    keys that several sources hold are joined.
+    """
+    out = tagged
+    for i, ks in enumerate(key_sets):
+        lost = F.col("__ord") > F.col(f"__{i}_lo") if first_wins else F.col("__ord") < F.col(f"__{i}_hi")
+        out = out.join(_contested(tagged, ks, i), _same_key(ks, i) & lost, "left_anti")
+    return out
+
+
+def _all_absent(tagged: DataFrame, key_sets: Sequence[Sequence[str]]) -> DataFrame:
+    """Many sources, several key sets, insert if absent: a fixed point over the contested keys.
+
+    A row keeps others out only if it got in itself, so one pass can't tell.
+    Rows of one source with the same keys share their fate; what is decided is
+    therefore each (source, keys) of which a key is contested.  In each round
+
+    * out: an earlier source's row that is in holds one of its keys;
+    * in: no earlier source's row that is in or open holds any of its keys;
+
+    and the others stay open.  The first source left open is decided in
+    every round, so there are at most as many rounds as sources.  Each round
+    is written, has the same plan, and moves keys only; at the end
+    the rows that are out leave by one anti join.
+    """
+    cols = list(dict.fromkeys(k for ks in key_sets for k in ks))
+    cells = tagged.select("__ord", *cols).distinct()
+    for i, ks in enumerate(key_sets):
+        cells = cells.join(_contested(tagged, ks, i), _same_key(ks, i), "left")
+    some = F.coalesce(*[F.col(f"__{i}_lo") for i in range(len(key_sets))]).isNotNull()
+    cells = cut_lineage(cells.where(some).select("__ord", *cols, (F.col("__ord") == 0).alias("__in")))
+    settled, left, gone = cells.where("__in"), cells.where("NOT __in"), []
+    while True:
+        live = settled.unionByName(left)
+        state, out, blocked = left, F.lit(False), F.lit(False)
+        for i, ks in enumerate(key_sets):
+            first = live.where(~_any_null(ks)).groupBy(*[F.col(k).alias(f"__{i}_k{j}") for j, k in enumerate(ks)]).agg(
+                F.min(F.when(F.col("__in"), F.col("__ord"))).alias(f"__{i}_in"), F.min("__ord").alias(f"__{i}_lo"))
+            state = state.join(first, _same_key(ks, i), "left")
+            out = out | F.coalesce(F.col(f"__{i}_in") < F.col("__ord"), F.lit(False))
+            blocked = blocked | F.coalesce(F.col(f"__{i}_lo") < F.col("__ord"), F.lit(False))
+        decided = cut_lineage(state.select("__ord", *cols, (~blocked).alias("__in"), out.alias("__out")))
+        gone.append(decided.where("__out").select("__ord", *cols))
+        settled = settled.unionByName(decided.where("__in").drop("__out"))
+        left = decided.where("NOT __in AND NOT __out").drop("__out")
+        if left.isEmpty():
+            break
+    losers = gone[0]
+    for g in gone[1:]:
+        losers = losers.unionByName(g)
+    losers = losers.select(F.col("__ord").alias("__lord"), *[F.col(c).alias(f"__l{j}") for j, c in enumerate(cols)])
+    same = F.col("__ord") == F.col("__lord")
+    for j, c in enumerate(cols):
+        same = same & F.col(c).eqNullSafe(F.col(f"__l{j}"))
+    return tagged.join(losers, same, "left_anti")
+
+
 def merge_all(main: Tenant, subs: Sequence[Tenant], exclude: Iterable[str] = (),
               on_missing: str = "skip") -> Tenant:
     """M7 many-tenant merge: subs applied in list order (later overwrites earlier)."""

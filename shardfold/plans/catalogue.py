@@ -89,6 +89,30 @@ def replace_merge_multi(spark, d):
     return M.merge_replace(T.om(spark, d), T.os_(spark, d), [["o_orderkey"], ["o_custkey", "o_orderdate"]])
 
 
+_LATE = T.orders_cut_sql("ol", T.STATUS_MAIN[:1], 3.0)
+
+
+def _four_orders(spark, d):
+    """Main and three subs over all orders; the last sub is a later copy of a part of main."""
+    return [T.om(spark, d), T.os_(spark, d), T.ot(spark, d), T.orders_cut(spark, d, T.STATUS_MAIN[:1], 3.0)]
+
+
+def _held_later(name: str, *later: str) -> str:
+    return " AND ".join(f"NOT EXISTS (SELECT 1 FROM {x} WHERE x.o_orderkey = {name}.o_orderkey) AND "
+                        f"NOT EXISTS (SELECT 1 FROM {x} WHERE x.o_custkey = {name}.o_custkey AND x.o_orderpriority = {name}.o_orderpriority)"
+                        for x in (f"{y} x" for y in later))
+
+
+@query("replace_merge_multi_many", _with(T.OM, T.OS, T.OT, _LATE) + f"""
+SELECT * FROM om WHERE {_held_later('om', 'os', 'ot', 'ol')}
+UNION ALL SELECT * FROM os WHERE {_held_later('os', 'ot', 'ol')}
+UNION ALL SELECT * FROM ot WHERE {_held_later('ot', 'ol')}
+UNION ALL SELECT * FROM ol""")
+def replace_merge_multi_many(spark, d):
+    """M2/M7: three subs on two unique key sets; a row stays if no later tenant holds any of its keys."""
+    return M.merge_all_table(_four_orders(spark, d), [["o_orderkey"], ["o_custkey", "o_orderpriority"]])
+
+
 @query("append_merge", _with(T.orders_cut_sql("oa", ("F",)), T.orders_cut_sql("ob", ("O", "P"), 1.0)) + """
 SELECT * FROM oa UNION ALL SELECT * FROM ob""")
 def append_merge(spark, d):
@@ -126,15 +150,29 @@ def insert_absent_many(spark, d):
     return M.merge_all_table([T.om(spark, d), T.os_(spark, d), T.ot(spark, d)], "o_orderkey", first_wins=True)
 
 
-@query("insert_absent_names", _with(*(T.customer_cut_sql(f"x{k}", (s,)) for k, s in enumerate(("AUTOMOBILE", "BUILDING", "FURNITURE"))),
-                                    *(f"n{k} AS (SELECT c_custkey AS id, CAST(c_nationkey AS BIGINT) * {k + 2} % 11 AS name FROM x{k})" for k in range(3))) + """
+@query("insert_absent_multi_many", _with(
+    T.orders_cut_sql("oa", ("P",)), T.orders_cut_sql("ob", ("O", "P"), 1.0), T.orders_cut_sql("oc", ("F", "O"), 2.0), T.orders_cut_sql("od", ("F",), 3.0),
+    f"ib AS (SELECT * FROM oa UNION ALL SELECT * FROM ob WHERE {_held_later('ob', 'oa')})",
+    f"ic AS (SELECT * FROM ib UNION ALL SELECT * FROM oc WHERE {_held_later('oc', 'ib')})") + f"""
+SELECT * FROM ic UNION ALL SELECT * FROM od WHERE {_held_later('od', 'ic')}""")
+def insert_absent_multi_many(spark, d):
+    """M4 over three subs on two unique key sets: a row that was not inserted keeps no later one out."""
+    frames = [T.orders_cut(spark, d, s, float(k)) for k, s in enumerate((("P",), ("O", "P"), ("F", "O"), ("F",)))]
+    return M.merge_absent_all(frames[0], frames[1:], [["o_orderkey"], ["o_custkey", "o_orderpriority"]])
+
+
+_NAMED = _with(T.CM, T.CS, T.CT, *(f"n{k} AS (SELECT c_custkey AS id, CAST(c_nationkey AS BIGINT) * {k + 2} % {m} AS name FROM {t})"
+                                   for k, (t, m) in enumerate((("cm", 11), ("cs", 29), ("ct", 53)))))
+
+
+@query("insert_absent_names", _NAMED + """
 SELECT id, name FROM n0
 UNION ALL SELECT id, name FROM n1 WHERE name NOT IN (SELECT name FROM n0)
 UNION ALL SELECT id, name FROM n2 WHERE name NOT IN (SELECT name FROM n0) AND name NOT IN (SELECT name FROM n1)""")
 def insert_absent_names(spark, d):
     """M4 over two subs whose names repeat: all rows of the first tenant that holds a name stay."""
-    frames = [T.customer_cut(spark, d, (s,)).select(F.col("c_custkey").alias("id"), (F.col("c_nationkey").cast("long") * (k + 2) % 11).alias("name"))
-              for k, s in enumerate(("AUTOMOBILE", "BUILDING", "FURNITURE"))]
+    frames = [t.select(F.col("c_custkey").alias("id"), (F.col("c_nationkey").cast("long") * (k + 2) % m).alias("name"))
+              for k, (t, m) in enumerate(((T.cm(spark, d), 11), (T.cs(spark, d), 29), (T.ct(spark, d), 53)))]
     return M.merge_absent_all(frames[0], frames[1:], "name")
 
 

@@ -1,6 +1,7 @@
 """Several sources merge as they would one by one, and their plans grow with the sources alone."""
 
 import itertools
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -35,6 +36,49 @@ def test_together_equals_one_by_one(spark, keys, first_wins):
         assert rows(M.merge_all_table(some, keys, first_wins=first_wins)) == rows(acc)
 
 
+@pytest.mark.parametrize("first_wins", [False, True])
+def test_several_keys_equal_the_fold_on_random_sources(spark, first_wins):
+    """Chains of blocked rows, NULL keys, a column in two key sets, repeated rows; draws of up to five sources."""
+    rnd = random.Random(11)
+    for draw in range(8):
+        sources, keys = rnd.randint(2, 5), rnd.choice([[["k"], ["u"]], [["k"], ["u"], ["k", "w"]], [["k", "u"], ["u", "w"]]])
+        span = rnd.choice([4, 12, 40])
+        data = [[tuple(rnd.choice([None, *range(span)]) for _ in range(3)) + (f"{i}.{j}",) for j in range(rnd.randint(0, 12))] for i in range(sources)]
+        data = [d + d[:1] for d in data]
+        frames = [spark.createDataFrame(d, "k int, u int, w int, v string").coalesce(1) for d in data]
+        acc = []
+        for d in data:
+            keyed = lambda r: [(i, tuple(r["kuw".index(c)] for c in ks)) for i, ks in enumerate(keys) if None not in [r["kuw".index(c)] for c in ks]]
+            if first_wins:
+                there = {x for r in acc for x in keyed(r)}
+                acc = acc + [r for r in d if not there & set(keyed(r))]
+            else:
+                there = {x for r in d for x in keyed(r)}
+                acc = [r for r in acc if not there & set(keyed(r))] + d
+        assert sorted(map(str, acc)) == sorted(str(tuple(r)) for r in M.merge_all_table(frames, keys, first_wins=first_wins).collect()), (draw, keys)
+
+
+def test_a_chain_of_blocked_rows(spark):
+    """Each source shares a key with the one before it alone, so every second one gets in."""
+    frames = [spark.createDataFrame([((i + 1) // 2, i // 2, str(i))], "k int, u int, v string") for i in range(7)]
+    assert sorted(r.v for r in M.merge_absent_all(frames[0], frames[1:], [["k"], ["u"]]).collect()) == ["0", "2", "4", "6"]
+
+
+def test_shuffles_of_several_keys_do_not_grow(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        source = lambda k: spark.range(k, 200, 3).select("id", (F.col("id") % 40).alias("u"), F.lit(k).alias("v"))
+        n, scans = {}, {}
+        for subs in (1, 2, 4, 8):
+            out = M.merge_all_table([source(k) for k in range(subs + 1)], [["id"], ["u"]])
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            n[subs], scans[subs] = plan.count("Exchange hashpartitioning"), plan.count("Range (")
+        assert len(set(n.values())) == 1 and n[8] <= 4
+        assert scans[8] == 9 * scans[1] // 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def shuffles(df):
     return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
 
