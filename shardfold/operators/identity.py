@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import as_column, first_by, is_true
+from .lookup import lookup
 
 
 def _keys(key) -> list[str]:
@@ -103,10 +104,9 @@ def repoint(child: DataFrame, set_col: str, on_col: str, keep: DataFrame,
     """I8 ``UPDATE c JOIN keep k ON c.on = k.key SET c.set_col = k.keep``."""
     if set_col not in child.columns or on_col not in child.columns:
         return child
-    k = keep.select(F.col(key_name).alias("__kk"), F.col(keep_name).alias("__kv"))
-    j = child.join(k, child[on_col] == k["__kk"], "left")
+    j = lookup(child, on_col, keep, key_name, {"__kk": key_name, "__kv": keep_name})
     return j.withColumn(set_col, F.when(F.col("__kk").isNotNull(), F.col("__kv").cast(child.schema[set_col].dataType))
-                        .otherwise(F.col(set_col))).drop("__kk", "__kv").select(*child.columns)
+                        .otherwise(F.col(set_col))).select(*child.columns)
 
 
 def delete_orphans(child: DataFrame, fk: str, keep_ids: DataFrame, only=None) -> DataFrame:
@@ -128,8 +128,7 @@ def delete_losers(child: DataFrame, on_col: str, fk: str, keep: DataFrame, only=
 
     A NULL ``fk`` compares as unknown and the row stays, as in SQL.
     """
-    k = keep.select(F.col(key_name).alias("__kk"), F.col(keep_name).alias("__kv"))
-    j = child.join(k, child[on_col] == k["__kk"], "left")
+    j = lookup(child, on_col, keep, key_name, {"__kk": key_name, "__kv": keep_name})
     lose = F.col("__kk").isNotNull() & F.coalesce(F.col(fk) != F.col("__kv"), F.lit(False))
     if only is not None:
         lose = lose & is_true(only)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import is_true, shifted
 from ..model import Tenant
 from ..session import cut_lineage
+from .lookup import lookup
 
 Col = tuple[str, str]  # (table, column)
 
@@ -166,13 +167,11 @@ def apply_mapping(df: DataFrame, c: str, mapping: DataFrame, pred=None) -> DataF
     """Replace ``c`` by ``mapping.new_id`` where mapped (and ``pred`` holds)."""
     if c not in df.columns:
         return df
-    m = mapping.select(F.col(mapping.columns[0]).alias("__old"), F.col("new_id").alias("__new"))
-    j = df.join(m, df[c] == m["__old"], "left")
+    j = lookup(df, c, mapping, mapping.columns[0], {"__new": "new_id"})
     cond = F.col("__new").isNotNull()
     if pred is not None and pred != "":
         cond = cond & is_true(pred)
-    return j.withColumn(c, F.when(cond, F.col("__new").cast(df.schema[c].dataType)).otherwise(F.col(c))) \
-        .drop("__old", "__new")
+    return j.withColumn(c, F.when(cond, F.col("__new").cast(df.schema[c].dataType)).otherwise(F.col(c))).select(*df.columns)
 
 
 def dense_ids_many(frames: Sequence[DataFrame], c: str, partitions: int | None = None) -> list[DataFrame]:
@@ -197,30 +196,42 @@ def dense_ids_many(frames: Sequence[DataFrame], c: str, partitions: int | None =
     return out
 
 
-def renumber_many(tenants: Sequence[Tenant], group: Sequence, partitions: int | None = None) -> list[Tenant]:
-    """K5 over several tenants (each renumbered 1..n on its own) with one numbering pass."""
-    first = group[0]
-    t0, c0 = first[0], first[1]
-    cond0 = first[2] if len(first) > 2 else None
+Text = tuple[str, str, str]  # (table, column, delimiter): ids written inside a text
+
+
+def renumber_maps(tenants: Sequence[Tenant], group: Sequence, partitions: int | None = None) -> list[DataFrame | None]:
+    """The K5 mapping ``(id, new_id)`` of each tenant's own ids, in one numbering pass; None where the first member's table is missing."""
+    t0, c0 = group[0][0], group[0][1]
+    cond0 = group[0][2] if len(group[0]) > 2 else None
     live = [i for i, t in enumerate(tenants) if t.has(t0)]
     srcs = []
     for i in live:
         src = tenants[i].table(t0)
         srcs.append((src.where(is_true(cond0)) if cond0 else src).select(c0))
     maps = dict(zip(live, dense_ids_many(srcs, c0, partitions))) if live else {}
-    out = []
-    for i, t in enumerate(tenants):
-        if i not in maps:
-            out.append(t)
-            continue
-        upd = {}
-        for m in group:
-            tb, col = m[0], m[1]
-            cond = m[2] if len(m) > 2 else None
-            if t.has(tb):
-                upd[tb] = apply_mapping(upd.get(tb, t.table(tb)), col, maps[i], cond)
-        out.append(t.with_tables(upd))
-    return out
+    return [maps.get(i) for i in range(len(tenants))]
+
+
+def apply_group(tenant: Tenant, group: Sequence, mapping: DataFrame | None, texts: Sequence[Text] = ()) -> Tenant:
+    """One mapping on every member of a group (with that member's condition) and on the ids inside ``texts``."""
+    if mapping is None:
+        return tenant
+    upd = {}
+    for m in group:
+        t, c = m[0], m[1]
+        if tenant.has(t):
+            upd[t] = apply_mapping(upd.get(t, tenant.table(t)), c, mapping, m[2] if len(m) > 2 else None)
+    for t, c, delimiter in texts:
+        if tenant.has(t):
+            upd[t] = map_tokens(upd.get(t, tenant.table(t)), c, mapping, delimiter, tenant.spec(t).primary or None)
+    return tenant.with_tables(upd)
+
+
+def renumber_many(tenants: Sequence[Tenant], group: Sequence, partitions: int | None = None,
+                  texts: Sequence[Text] = ()) -> list[Tenant]:
+    """K5 over several tenants (each renumbered 1..n on its own) with one numbering pass."""
+    maps = renumber_maps(tenants, group, partitions)
+    return [apply_group(t, group, m, texts) for t, m in zip(tenants, maps)]
 
 
 def renumber(tenant: Tenant, group: Sequence, partitions: int | None = None) -> Tenant:
@@ -231,22 +242,7 @@ def renumber(tenant: Tenant, group: Sequence, partitions: int | None = None) ->
     to **every** member with that member's condition (H7; the reference
     updates only the first member, row by row).
     """
-    first = group[0]
-    t0, c0 = first[0], first[1]
-    cond0 = first[2] if len(first) > 2 else None
-    if not tenant.has(t0):
-        return tenant
-    src = tenant.table(t0)
-    if cond0:
-        src = src.where(is_true(cond0))
-    mapping = dense_ids(src.select(c0), c0, partitions)
-    out = {}
-    for m in group:
-        t, c = m[0], m[1]
-        cond = m[2] if len(m) > 2 else None
-        if tenant.has(t):
-            out[t] = apply_mapping(out.get(t, tenant.table(t)), c, mapping, cond)
-    return tenant.with_tables(out)
+    return renumber_many([tenant], group, partitions)[0]
 
 
 # ------------------------------------------------------- K7 ids inside text
@@ -277,21 +273,31 @@ def shift_tokens(df: DataFrame, c: str, offset: int, delimiter: str = ",",
     if valid_ids is None:
         return df.withColumn(c, F.array_join(F.transform(_split(F.col(c), delimiter),
                                                          lambda x: _shift_token(x, offset)), delimiter))
+    ids = valid_ids.select(F.col(valid_ids.columns[0]).cast("bigint").alias("id")).where(F.col("id") > 0).distinct()
+    return map_tokens(df, c, ids.withColumn("new_id", F.col("id") + F.lit(offset)), delimiter, row_key)
+
+
+def map_tokens(df: DataFrame, c: str, mapping: DataFrame, delimiter: str = ",",
+               row_key: Sequence[str] | str | None = None) -> DataFrame:
+    """K7 through a mapping: tokens that name an id of ``mapping`` (first column -> ``new_id``) become its new id.
+
+    Tokens are exploded with their position and looked up like any foreign
+    key (a token on half of all rows meets no single task); the others stay
+    as they are written.  Rows are put together again by ``row_key`` (a
+    unique key of ``df``); without one, rows are numbered and the numbered
+    table is checkpointed so both uses see the same numbers.
+    """
+    if c not in df.columns:
+        return df
     if row_key:
         keys = [row_key] if isinstance(row_key, str) else list(row_key)
         base = df.withColumn("__rid", F.struct(*[F.col(k) for k in keys]))
     else:
         base = cut_lineage(df.withColumn("__rid", F.monotonically_increasing_id()))
     toks = base.where(F.col(c).isNotNull()) \
-        .select("__rid", F.posexplode(_split(F.col(c), delimiter)).alias("__pos", "__tok")) \
-        .withColumn("__num", F.col("__tok").try_cast("bigint"))
-    ids = valid_ids.select(F.col(valid_ids.columns[0]).cast("bigint").alias("__num")) \
-        .where(F.col("__num") > 0).distinct().withColumn("__hit", F.lit(True))
-    # only positive numbers can name an id; the other tokens need no join (their NULL key would gather them)
-    moved = toks.where("__num > 0").join(ids, "__num", "left").withColumn(
-        "__new", F.when(F.col("__hit"), (F.col("__num") + F.lit(offset)).cast("string")).otherwise(F.col("__tok")))
-    rest = toks.where("__num IS NULL OR __num <= 0").withColumn("__new", F.col("__tok"))
-    toks = moved.select("__rid", "__pos", "__new").unionByName(rest.select("__rid", "__pos", "__new"))
+        .select("__rid", F.posexplode(_split(F.col(c), delimiter)).alias("__pos", "__tok"))
+    toks = lookup(toks, F.col("__tok").try_cast("bigint"), mapping, mapping.columns[0], {"__id": "new_id"}) \
+        .withColumn("__new", F.coalesce(F.col("__id").cast("string"), F.col("__tok")))
     rebuilt = toks.groupBy("__rid").agg(F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct("__pos", "__new"))), lambda x: x["__new"]), delimiter).alias("__txt"))
     return base.join(rebuilt, "__rid", "left") \

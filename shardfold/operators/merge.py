@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import as_column
 from ..model import Tenant, TableSpec, _key_sets
 from ..session import cut_lineage
+from .lookup import spread
 
 
 class MergeConflict(RuntimeError):
@@ -298,7 +299,7 @@ def _same_key(ks: Sequence[str], i: int):
 
 
 def _all_replaced(tagged: DataFrame, key_sets: Sequence[Sequence[str]], first_wins: bool = False) -> DataFrame:
-    """Many sources, several key sets, incoming wins: one anti join per key set, for any number of sources.
+    """Many sources, several key sets, incoming wins: one join per key set, for any number of sources.
 
     Every source's rows go in when their turn comes, whatever happened before,
     so a row stays exactly if no later source holds any of its keys.  Only
@@ -307,10 +308,25 @@ def _all_replaced(tagged: DataFrame, key_sets: Sequence[Sequence[str]], first_wi
     out = tagged
     for i, ks in enumerate(key_sets):
         lost = F.col("__ord") > F.col(f"__{i}_lo") if first_wins else F.col("__ord") < F.col(f"__{i}_hi")
-        out = out.join(_contested(tagged, ks, i), _same_key(ks, i) & lost, "left_anti")
+        out = _by_hash(out, _contested(tagged, ks, i), ks, [f"__{i}_k{j}" for j in range(len(ks))]).where(~F.coalesce(lost, F.lit(False)))
     return out
 
 
+def _by_hash(left: DataFrame, right: DataFrame, ks: Sequence[str], right_ks: Sequence[str], null_safe: bool = False) -> DataFrame:
+    """Left join on keys that ``right`` holds once each; rows with a NULL key are dealt by their content.
+
+    (A left anti join would be pushed below the union of the sources, and the
+    right side planned again for each of them.)
+    """
+    hashed = F.xxhash64(*ks) if null_safe else F.when(_any_null(ks), spread(left)).otherwise(F.xxhash64(*ks))
+    left = left.withColumn("__h", hashed)
+    right = right.withColumn("__rh", F.xxhash64(*right_ks))
+    same = F.col("__h") == F.col("__rh")
+    for k, r in zip(ks, right_ks):
+        same = same & (F.col(k).eqNullSafe(F.col(r)) if null_safe else F.col(k) == F.col(r))
+    return left.join(right, same, "left").drop("__h", "__rh")
+
+
 def _all_absent(tagged: DataFrame, key_sets: Sequence[Sequence[str]]) -> DataFrame:
     """Many sources, several key sets, insert if absent: a fixed point over the contested keys.
 
@@ -324,7 +340,7 @@ def _all_absent(tagged: DataFrame, key_sets: Sequence[Sequence[str]]) -> DataFra
     and the others stay open.  The first source left open is decided in
     every round, so there are at most as many rounds as sources.  Each round
     is written, has the same plan, and moves keys only; at the end
-    the rows that are out leave by one anti join.
+    the rows that are out leave by one join.
     """
     cols = list(dict.fromkeys(k for ks in key_sets for k in ks))
     cells = tagged.select("__ord", *cols).distinct()
@@ -352,10 +368,8 @@ def _all_absent(tagged: DataFrame, key_sets: Sequence[Sequence[str]]) -> DataFra
     for g in gone[1:]:
         losers = losers.unionByName(g)
     losers = losers.select(F.col("__ord").alias("__lord"), *[F.col(c).alias(f"__l{j}") for j, c in enumerate(cols)])
-    same = F.col("__ord") == F.col("__lord")
-    for j, c in enumerate(cols):
-        same = same & F.col(c).eqNullSafe(F.col(f"__l{j}"))
-    return tagged.join(losers, same, "left_anti")
+    out = _by_hash(tagged, losers, ["__ord", *cols], losers.columns, null_safe=True)
+    return out.where(F.col("__lord").isNull())
 
 
 def merge_all(main: Tenant, subs: Sequence[Tenant], exclude: Iterable[str] = (),

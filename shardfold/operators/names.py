@@ -3,8 +3,9 @@ duplicates after an append, cascading renames and the compensation ledger.
 
 Duplicate detection is a grouped count (map-side partial aggregation) joined
 back on the name, not a ``count() OVER (PARTITION BY name)`` window: a name
-held by a third of all rows would put that third into one window task,
-while the join side is one row per name and AQE splits a skewed probe side.
+held by a third of all rows would put that third into one window task.
+Joins on a name go through :func:`shardfold.operators.lookup.lookup`, so a
+common name or NULL doesn't gather in one task.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import affixed, as_column, zone_of_guid
+from .lookup import lookup
 
 
 def affix(df: DataFrame, c: str, text: str, side: str = "prefix", skip: str | None = None,
@@ -35,20 +37,7 @@ def name_marker(df: DataFrame, c: str, names: DataFrame, marker: str = "__hit",
     fold = F.lower if case_insensitive else F.col
     n = names.select(fold(names.columns[0]).alias("__name")).where(F.col("__name").isNotNull()) \
         .distinct().withColumn(marker, F.lit(True))
-    return _spread_join(df, fold(c), n, "__name")
-
-
-def _spread_join(df: DataFrame, key: Column, names: DataFrame, name_col: str) -> DataFrame:
-    """Left join on a name; rows whose ``key`` is NULL are dealt by a hash of the row instead of one NULL key."""
-    h = F.coalesce(F.xxhash64(F.when(key.isNotNull(), F.struct(key))), F.lit(0))
-    left = df.withColumn("__nk", key).withColumn("__nh", F.when(key.isNotNull(), h).otherwise(_row_hash(df)))
-    right = names.withColumn("__rh", F.coalesce(F.xxhash64(F.struct(F.col(name_col))), F.lit(0)))
-    return left.join(right, (left["__nh"] == right["__rh"]) & (left["__nk"] == right[name_col]), "left") \
-        .drop("__nk", "__nh", "__rh", name_col)
-
-
-def _row_hash(df: DataFrame) -> Column:
-    return F.xxhash64(F.to_json(F.struct(*[F.col(c) for c in df.columns])))
+    return lookup(df, fold(c), n, "__name", {marker: marker})
 
 
 def affix_conflicts(sub: DataFrame, main: DataFrame, c: str, text: str, side: str = "prefix",
@@ -88,7 +77,7 @@ def rename_duplicates(df: DataFrame, c: str, zone: str | Column, main_zone: int,
     dups = duplicate_names(df, c, where, case_insensitive).withColumn("__dup", F.lit(True)).withColumnRenamed(c, "__dname")
     # rows that can't be renamed (no name, outside ``where``) never meet a name
     name = F.lower(c) if case_insensitive else F.col(c)
-    j = _spread_join(df, name if where is None else F.when(where, name), dups, "__dname")
+    j = lookup(df, name if where is None else F.when(where, name), dups, "__dname", {"__dup": "__dup"})
     hit = F.coalesce(F.col("__dup"), F.lit(False)) & (zone_c != F.lit(main_zone))
     if where is not None:
         hit = hit & F.coalesce(where, F.lit(False))
@@ -112,10 +101,8 @@ def cascade(df: DataFrame, on_col: str, name_col: str, renames: DataFrame,
     """Copy the new name into a table that stores it by id (member, relation, ranking)."""
     if name_col not in df.columns or on_col not in df.columns:
         return df
-    r = renames.select(F.col(id_col).alias("__rid"), F.col(new_col).alias("__rname"))
-    j = df.join(r, df[on_col] == r["__rid"], "left")
-    return j.withColumn(name_col, F.coalesce(F.col("__rname"), F.col(name_col))).drop("__rid", "__rname") \
-        .select(*df.columns)
+    j = lookup(df, on_col, renames, id_col, {"__rname": new_col})
+    return j.withColumn(name_col, F.coalesce(F.col("__rname"), F.col(name_col))).select(*df.columns)
 
 
 def rename_ledger(renames: DataFrame, kind: int, id_col: str = "id", id_name: str = "guid") -> DataFrame:

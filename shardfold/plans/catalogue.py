@@ -1126,6 +1126,89 @@ def _rule2_sql() -> str:
 SELECT ou.o_orderkey, ou.o_custkey, cu.c_name, ou.o_totalprice FROM ou LEFT JOIN cu ON cu.c_custkey = ou.o_custkey"""
 
 
+RULES_RENUMBER = {
+    "type": "2", "restructure_state": "1",
+    "restructure_tool": [{"group": [{"db_table": "customer", "db_field": "c_custkey"}, {"db_table": "orders", "db_field": "o_custkey"}]}],
+    "same": [{"group": [{"db_table": "customer", "db_field": "c_custkey"}, {"db_table": "orders", "db_field": "o_custkey"}]}],
+    "other_identity": [{"db_table": "orders", "db_field": "o_orderkey"}],
+}
+_RENUMBER_SEGMENTS = (("BUILDING",), T.SEG_SUB, T.SEG_THIRD, T.SEG_MAIN)
+_RENUMBER_STATUS = (T.STATUS_MAIN, T.STATUS_SUB, T.STATUS_THIRD, T.STATUS_SUB)
+
+
+def _renumber_three_sql() -> str:
+    """The subs one by one: main and sub renumbered, the sub shifted past both, merged."""
+    ren = lambda n, src: f"{n} AS MATERIALIZED (SELECT c_custkey AS old, dense_rank() OVER (ORDER BY c_custkey) AS nid FROM {src})"
+    c_cols, o_cols = "c_name, c_nationkey, c_acctbal, c_mktsegment", "o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
+    ctes = []
+    for k in range(4):
+        ctes += [T.customer_cut_sql(f"c{k}", _RENUMBER_SEGMENTS[k], float(k)), T.orders_cut_sql(f"o{k}", _RENUMBER_STATUS[k], float(k))]
+    mc, mo = "c0", "o0"
+    for k in (1, 2, 3):
+        mapped = lambda t, m: (f"SELECT COALESCE(nid, c_custkey) AS c_custkey, {c_cols} FROM {t} LEFT JOIN {m} ON old = c_custkey")
+        mapped_o = lambda t, m: (f"SELECT o_orderkey, COALESCE(nid, o_custkey) AS o_custkey, {o_cols} FROM {t} LEFT JOIN {m} ON old = o_custkey")
+        ctes += [ren(f"rm{k}", mc), ren(f"rs{k}", f"c{k}"), f"mc{k} AS ({mapped(mc, f'rm{k}')})", f"sc{k} AS ({mapped(f'c{k}', f'rs{k}')})",
+                 f"mo{k} AS ({mapped_o(mo, f'rm{k}')})", f"so{k} AS ({mapped_o(f'o{k}', f'rs{k}')})",
+                 f"g{k} AS (SELECT {_max_sql('c_custkey', f'mc{k}', f'sc{k}')} AS v)", f"x{k} AS (SELECT {_max_sql('o_orderkey', f'mo{k}', f'so{k}')} AS v)",
+                 f"tc{k} AS (SELECT {_shift_sql('c_custkey', f'(SELECT v FROM g{k})')} AS c_custkey, {c_cols} FROM sc{k})",
+                 f"to{k} AS (SELECT {_shift_sql('o_orderkey', f'(SELECT v FROM x{k})')} AS o_orderkey, {_shift_sql('o_custkey', f'(SELECT v FROM g{k})')} AS o_custkey, {o_cols} FROM so{k})",
+                 f"nc{k} AS MATERIALIZED (SELECT * FROM mc{k} WHERE c_custkey NOT IN (SELECT c_custkey FROM tc{k}) UNION ALL SELECT * FROM tc{k})",
+                 f"no{k} AS MATERIALIZED (SELECT * FROM mo{k} WHERE o_orderkey NOT IN (SELECT o_orderkey FROM to{k}) UNION ALL SELECT * FROM to{k})"]
+        mc, mo = f"nc{k}", f"no{k}"
+    return _with(*ctes) + f"SELECT o_orderkey, CAST(o_custkey AS BIGINT) AS o_custkey, c_name, o_totalprice FROM {mo} LEFT JOIN {mc} ON c_custkey = o_custkey"
+
+
+@query("rule_renumber_three_subs", _renumber_three_sql())
+def rule_renumber_three_subs(spark, d):
+    """K5 in R1 over three subs: main's renumberings are composed, each table is rewritten once."""
+    ten = [Tenant(f"t{k}", k + 1, {"customer": T.customer_cut(spark, d, _RENUMBER_SEGMENTS[k], float(k)), "orders": T.orders_cut(spark, d, _RENUMBER_STATUS[k], float(k))}, T.SPECS)
+           for k in range(4)]
+    out = J.run_rules(ten[0], [J.SubTenant(t) for t in ten[1:]], RULES_RENUMBER).main
+    c = out.table("customer").select(F.col("c_custkey").alias("o_custkey"), "c_name")
+    return out.table("orders").join(c, "o_custkey", "left").select("o_orderkey", F.col("o_custkey").cast("long"), "c_name", "o_totalprice")
+
+
+RULES_TEXT_IDS = {
+    "type": "2", "restructure_state": "1",
+    "restructure_tool": [{"group": [{"db_table": "part", "db_field": "p_partkey"}]}],
+    "same": [{"group": [{"db_table": "part", "db_field": "p_partkey"}]}],
+    "other_identity": [{"db_table": "basket", "db_field": "b_id"}],
+    "special_option": {"teshudb_field_open": "1", "teshudb_field": [
+        {"db_table": "basket", "db_field": "b_parts", "db_table_attribution": "part", "db_field_attribution": "p_partkey", "group": "1", "type": "1", "delimiter": ","}]},
+}
+
+
+def _text_tenant(spark, d, name, zone, statuses, lo, hi):
+    """Parts by size, and each order's parts as a text of ids."""
+    lines = T.lines_of(spark, d, T.orders_cut(spark, d, statuses))
+    parts = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))), lambda x: x["l_partkey"].cast("string")), ",")
+    return Tenant(name, zone, {"part": T.part_cut(spark, d, lo, hi), "basket": lines.groupBy(F.col("l_orderkey").alias("b_id")).agg(parts.alias("b_parts"))},
+                  {"part": "p_partkey", "basket": "b_id"})
+
+
+def _text_ids_sql() -> str:
+    ctes = [T.orders_cut_sql("om", T.STATUS_MAIN), T.orders_cut_sql("os", T.STATUS_SUB), T.part_cut_sql("pm", hi=30), T.part_cut_sql("ps", lo=20)]
+    for t in "ms":
+        ctes.append(f"r{t} AS (SELECT p_partkey AS old, dense_rank() OVER (ORDER BY p_partkey) AS nid FROM p{t})")
+    ctes.append("v AS (SELECT greatest((SELECT max(nid) FROM rm), (SELECT max(nid) FROM rs)) AS off, "
+                "greatest((SELECT max(o_orderkey) FROM om WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)), "
+                "(SELECT max(o_orderkey) FROM os WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem))) AS base)")
+    basket = lambda t, key, new: (f"SELECT {key} AS b_id, string_agg(COALESCE({new}, l_partkey)::VARCHAR, ',' ORDER BY l_linenumber, l_partkey) AS b_parts "
+                                  f"FROM lineitem JOIN o{t} ON o_orderkey = l_orderkey LEFT JOIN r{t} ON old = l_partkey CROSS JOIN v GROUP BY {key}")
+    shifted = "CASE WHEN l_orderkey > 0 THEN l_orderkey + base ELSE l_orderkey END"
+    # a token that names no part of the sub isn't renumbered; it is shifted if it happens to be a renumbered part's id
+    moved = "COALESCE(nid + off, CASE WHEN l_partkey BETWEEN 1 AND (SELECT max(nid) FROM rs) THEN l_partkey + off END)"
+    ctes += [f"bm AS ({basket('m', 'l_orderkey', 'nid')})", f"bs AS ({basket('s', shifted, moved)})"]
+    return _with(*ctes) + "SELECT b_id, b_parts FROM bm WHERE b_id NOT IN (SELECT b_id FROM bs) UNION ALL SELECT b_id, b_parts FROM bs"
+
+
+@query("rule_text_ids", _text_ids_sql())
+def rule_text_ids(spark, d):
+    """K5 + K7: ids inside a text follow the renumbering of the rows that they name, then the shift."""
+    main, sub = _text_tenant(spark, d, "main", 1, T.STATUS_MAIN, None, 30), _text_tenant(spark, d, "sub", 2, T.STATUS_SUB, 20, None)
+    return J.run_rules(main, [J.SubTenant(sub)], RULES_TEXT_IDS).main.table("basket")
+
+
 @query("rule_type2", _rule2_sql())
 def rule_type2(spark, d):
     """K10/R1 type 2: dense renumber, group shift, independent shift,

@@ -26,7 +26,8 @@ from ..operators import names as N
 from ..operators import retention as R
 from ..operators import rows as P
 from ..session import cut_lineage
-from .remap import remap
+from .compose import Composition, composable
+from .remap import remap, renumber_groups
 
 
 @dataclass
@@ -140,8 +141,9 @@ def apply_declared_tables(t: Tenant, rules: Mapping) -> Tenant:
     return t.with_tables(out)
 
 
-def _materialise(t: Tenant) -> Tenant:
-    return t.with_tables({n: cut_lineage(df) for n, df in t.tables.items()})
+def _materialise(t: Tenant, before: Tenant) -> Tenant:
+    """``t`` with the tables that differ from ``before``'s checkpointed; the others are never copied."""
+    return t.with_tables({n: cut_lineage(df) for n, df in t.tables.items() if df is not before.tables.get(n)})
 
 
 def rule_columns(rules: Mapping, tenant: Tenant) -> list[tuple[str, str]]:
@@ -194,6 +196,17 @@ def _fold_known(prev: Tenant, merged: Tenant, sub: Tenant, rules: Mapping, exclu
     return merged.with_known_max(known)
 
 
+def name_tables(rules: Mapping, main_accounts: Tenant | None) -> list[str]:
+    """Main's tables that the name rules of the next sub read."""
+    ps = rules.get("prefix_setting") or {}
+    out = []
+    if str(ps.get("repeat_modify")) == "1" and str(ps.get("role_is")) in ("1", "2"):
+        out += [item["db_table"] for item in ps.get("role_name") or []]
+    if str(ps.get("account_change")) == "999" and main_accounts is None:
+        out += [conf["db_table_user"] for conf in ps.get("account_change_new") or []]
+    return list(dict.fromkeys(out))
+
+
 def _name_snapshots(merged: Tenant, rules: Mapping, main_accounts: Tenant | None) -> dict:
     """Checkpointed projections of main that the next sub's name rules read.
 
@@ -233,22 +246,28 @@ def run_rules(main: Tenant, subs: Sequence[SubTenant], rules: Mapping, main_acco
       in one pass (:func:`shardfold.operators.merge.merge_all_table`), so a
       table's plan has the same shuffles for any number of subs.
 
-    Rules that rewrite main for every sub (renumbering K5, declared tables)
-    can't be put off; there each merge is checkpointed before the next sub.
-    ``checkpoint_between=True`` does so for any rules.
+    Renumbering (K5) rewrites main before every sub; its mappings are
+    composed (:mod:`shardfold.plans.compose`) and each table is rewritten once
+    at the end.  Declared tables, and groups whose ids can't be followed that
+    way, are merged step by step; there the tables that a sub changed are
+    checkpointed before the next one.  ``checkpoint_between=True`` does so for
+    any rules.
     """
     res = JobResult(main, main_accounts)
     exclude = [i["db_table"] for i in rules.get("un_merge") or []]
-    stepwise = checkpoint_between or declared_tables or str(rules.get("restructure_state")) == "1"
+    renumbers = bool(renumber_groups(rules))
+    cols = rule_columns(rules, main) if len(subs) > 1 else []
+    stepwise = checkpoint_between or declared_tables or renumbers and not composable(rules, main, [s.tenant for s in subs], cols)
     track = len(subs) > 1 and not stepwise
-    cols = rule_columns(rules, main) if track else []
+    composition = Composition(main, rules) if track and renumbers else None
     if track and cols:
-        res.main = main.with_known_max(K.max_ids([main], cols))
+        firsts = composition.known() if composition else {}
+        res.main = main.with_known_max({**K.max_ids([main], [c for c in cols if c not in firsts]), **firsts})
     snapshots: dict = {}
     rewritten: list[tuple[Tenant, set[str]]] = []
     for k, s in enumerate(subs):
         r = _with_overrides(rules, s)
-        rm = remap(res.main, s.tenant, r)
+        rm = remap(res.main, s.tenant, r, renumber_main=composition is None)
         res.ignored.extend(rm.ignored)
         cur_main, sub = rm.main, rm.sub
         sub = apply_names(cur_main, sub, r, res.accounts, snapshots)
@@ -266,23 +285,42 @@ def run_rules(main: Tenant, subs: Sequence[SubTenant], rules: Mapping, main_acco
             res.accounts = M.merge_accounts(res.accounts, s.accounts, s.account_suffix or "")
         if k < len(subs) - 1:
             if stepwise:
-                merged = _materialise(merged)
+                merged = _materialise(merged, res.main)
             else:
                 if cols:
                     merged = _fold_known(res.main, merged, sub, r, set(exclude), cols, declared_tables, done)
-                snapshots = _name_snapshots(merged, r, main_accounts)
+                named = merged
+                if composition:
+                    composition.take(sub, done)
+                    merged = merged.with_known_max({**merged.known_max, **composition.known()})
+                    tables = [t for t in name_tables(r, main_accounts) if t in done]
+                    if tables:  # the rows, and so the names, that main has after this sub
+                        named = merged.with_tables(_merged_tables(main, merged, rewritten, tables, composition))
+                snapshots = _name_snapshots(named, r, main_accounts)
         res.main = merged
     if track:
-        final = {}
-        for t in {t for _, done in rewritten for t in done}:
-            base = M.align(main.table(t), res.main.table(t))  # with the widened types
-            sources = [(sub, sub.table(t)) for sub, done in rewritten if t in done]
-            keys = main.spec(t).keys or sources[0][0].spec(t).keys
-            final[t] = M.merge_all_table([base, *[df for _, df in sources]], keys)
-        res.main = res.main.with_tables(final)
+        tables = {t for _, done in rewritten for t in done}
+        if composition:  # also what no sub has, but main's own numbering changed
+            tables |= {t for group, texts in composition.groups for t, *_ in [*group, *texts] if main.has(t)}
+        res.main = res.main.with_tables(_merged_tables(main, res.main, rewritten, sorted(tables), composition))
     return res
 
 
+def _merged_tables(main: Tenant, typed: Tenant, rewritten: Sequence[tuple[Tenant, set[str]]], tables: Sequence[str],
+                   composition: Composition | None) -> dict[str, DataFrame]:
+    """``tables`` of main and all rewritten subs so far in one merge each, with ``typed``'s (widened) column types."""
+    base = main.with_tables({t: M.align(main.table(t), typed.table(t)) for t in tables})
+    sources = [base, *[sub for sub, _ in rewritten]]
+    if composition:
+        sources = composition.sources(sources, tables)
+    out = {}
+    for t in tables:
+        subs = [new for new, (_, done) in zip(sources[1:], rewritten) if t in done]
+        keys = main.spec(t).keys or (subs[0].spec(t).keys if subs else ())
+        out[t] = M.merge_all_table([sources[0].table(t), *[s.table(t) for s in subs]], keys)
+    return out
+
+
 def exclusion_merge(main: Tenant, subs: Sequence[Tenant], exclude: Iterable[str] = (),
                     on_missing: str = "skip") -> JobResult:
     """R2: every table but ``exclude``, subs in order (M6/M7).

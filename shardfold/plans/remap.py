@@ -54,15 +54,37 @@ def remap_type1(main: Tenant, sub: Tenant, rules: Mapping) -> RemapResult:
     return RemapResult(new_sub, main, other_offsets=[offs[c] for c in cols], shifted=dict(offs))
 
 
-def remap_type2(main: Tenant, sub: Tenant, rules: Mapping) -> RemapResult:
-    """Type 2: K5 (both sides) -> K3 -> K4 -> K6 -> K7."""
+def renumber_groups(rules: Mapping) -> list[tuple[list[tuple], list[K.Text]]]:
+    """The declared K5 groups: members ``(table, column, condition)`` and the text columns that write a member's ids (H7)."""
+    if not _on(rules.get("restructure_state")):
+        return []
+    opt = rules.get("special_option") or {}
+    texts = (opt.get("teshudb_field") or []) if _on(opt.get("teshudb_field_open")) else []
+    out = []
+    for tool in rules.get("restructure_tool") or []:
+        grp = [(g["db_table"], g["db_field"], g.get("conditions") or None) for g in tool.get("group") or []]
+        grp = [g for g in grp if g[0] and g[1]]
+        ids = {g[:2] for g in grp}
+        own = [(x["db_table"], x["db_field"], x.get("delimiter", ",")) for x in texts
+               if (x.get("db_table_attribution"), x.get("db_field_attribution")) in ids]
+        if grp:
+            out.append((grp, list(dict.fromkeys(own))))
+    return out
+
+
+def remap_type2(main: Tenant, sub: Tenant, rules: Mapping, renumber_main: bool = True) -> RemapResult:
+    """Type 2: K5 (both sides) -> K3 -> K4 -> K6 -> K7.
+
+    Ids inside text follow the renumbering of the ids they name, then the
+    shift.  ``renumber_main=False`` leaves main's tables as they are: the
+    caller composes main's mappings and knows its maxima.
+    """
     res = RemapResult(sub, main)
-    if _on(rules.get("restructure_state")):
-        for tool in rules.get("restructure_tool") or []:
-            grp = [(g["db_table"], g["db_field"], g.get("conditions") or None) for g in tool.get("group") or []]
-            grp = [g for g in grp if g[0] and g[1]]
-            if grp:  # main and sub each renumbered 1..n, in one numbering pass
-                res.main, res.sub = K.renumber_many([res.main, res.sub], grp)
+    for grp, texts in renumber_groups(rules):
+        if renumber_main:  # main and sub each renumbered 1..n, in one numbering pass
+            res.main, res.sub = K.renumber_many([res.main, res.sub], grp, texts=texts)
+        else:
+            res.sub = K.renumber_many([res.sub], grp, texts=texts)[0]
     original_sub = res.sub
     groups = [[(g["db_table"], g["db_field"]) for g in grp.get("group") or []] for grp in rules.get("same") or []]
     groups = [g for g in groups if g]
@@ -140,13 +162,13 @@ def remap_type3(main: Tenant, sub: Tenant, rules: Mapping) -> RemapResult:
     return res
 
 
-def remap(main: Tenant, sub: Tenant, rules: Mapping) -> RemapResult:
+def remap(main: Tenant, sub: Tenant, rules: Mapping, renumber_main: bool = True) -> RemapResult:
     """K10 dispatch on ``rules["type"]``; an unknown type raises."""
     kind = str(rules.get("type"))
     if kind == "1":
         return remap_type1(main, sub, rules)
     if kind == "2":
-        return remap_type2(main, sub, rules)
+        return remap_type2(main, sub, rules, renumber_main)
     if kind == "3":
         return remap_type3(main, sub, rules)
     raise ValueError(f"unknown rule type {rules.get('type')!r}")
