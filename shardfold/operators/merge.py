@@ -78,17 +78,35 @@ def last_per_key(df: DataFrame, keys: Sequence[str], order_by) -> DataFrame:
     return last.unionByName(df.where(null_key))
 
 
+def split_by_range(main: DataFrame, key: str, upto: int) -> tuple[DataFrame, DataFrame]:
+    """Main's rows with ``0 < key <= upto`` and the others (NULL keys among them).
+
+    A key column that was shifted by ``upto`` (K2-K4, K8, K9) holds no value in
+    that range, so the first part can't clash with it.  Both filters reach
+    the scan, and the second skips every file and row group inside the range.
+    """
+    k = F.col(key)
+    return main.where((k > 0) & (k <= F.lit(upto))), main.where((k <= 0) | (k > F.lit(upto)) | k.isNull())
+
+
 def merge_replace(main: DataFrame, sub: DataFrame, keys, order_by=None,
-                  allow_missing: bool = False) -> DataFrame:
+                  allow_missing: bool = False, shifted_by: Mapping[str, int] | None = None) -> DataFrame:
     """M1/M2 ``REPLACE INTO main SELECT * FROM sub``.
 
     Every main row that clashes with an incoming row on **any** unique key set
     is removed, then all incoming rows are added.  No keys = plain append
     (H1).  NULL key values never clash (as in a unique index).  ``order_by``
-    resolves duplicate incoming keys to the last row.
+    resolves duplicate incoming keys to the last row.  ``shifted_by`` (column
+    -> offset that the sub's positive values were shifted by): where the only
+    key is such a column, main's rows that the shift has passed
+    (:func:`split_by_range`) go around the join and its shuffle.
     """
     sub = align(sub, main, allow_missing)
     key_sets = _key_sets(keys)
+    upto = (shifted_by or {}).get(key_sets[0][0], 0) if len(key_sets) == 1 and len(key_sets[0]) == 1 else 0
+    if upto > 0:
+        clear, main = split_by_range(main, key_sets[0][0], upto)
+        return clear.unionByName(merge_replace(main, sub, key_sets, order_by))
     if order_by is not None:
         for ks in key_sets:
             sub = last_per_key(sub, list(ks), order_by)
@@ -193,11 +211,11 @@ def merge_filtered(main: DataFrame, sub: DataFrame, keys, where, mode: str = "re
 
 
 def merge_table(main: DataFrame, sub: DataFrame, spec: TableSpec, mode: str = "replace",
-                where=None, allow_missing: bool = False) -> DataFrame:
+                where=None, allow_missing: bool = False, shifted_by: Mapping[str, int] | None = None) -> DataFrame:
     if where is not None:
         return merge_filtered(main, sub, spec.keys, where, mode, allow_missing)
     if mode == "replace":
-        return merge_replace(main, sub, spec.keys, allow_missing=allow_missing)
+        return merge_replace(main, sub, spec.keys, allow_missing=allow_missing, shifted_by=shifted_by)
     if mode == "append":
         return merge_append(main, sub, spec.keys, allow_missing=allow_missing)
     if mode == "absent":
@@ -207,7 +225,8 @@ def merge_table(main: DataFrame, sub: DataFrame, spec: TableSpec, mode: str = "r
 
 def merge_tenant(main: Tenant, sub: Tenant, exclude: Iterable[str] = (), on_missing: str = "skip",
                  where: Mapping[str, object] | None = None, mode: str = "replace",
-                 allow_missing: bool = False, on_error: str = "raise") -> tuple[Tenant, list[tuple[str, str]]]:
+                 allow_missing: bool = False, on_error: str = "raise",
+                 shifted: Mapping[tuple[str, str], int] | None = None) -> tuple[Tenant, list[tuple[str, str]]]:
     """M6 whole-tenant merge: every sub table except ``exclude``.
 
     Returns the merged tenant (lazy) and the action per table: ``merged``,
@@ -215,10 +234,14 @@ def merge_tenant(main: Tenant, sub: Tenant, exclude: Iterable[str] = (), on_miss
     ``skip`` | ``copy`` | ``error``), ``failed`` (only with ``on_error="skip"``:
     the table cannot be merged, e.g. its column set differs; main's rows are
     kept, it is logged and the rest goes on; by default it raises).  Tables
-    only in main pass through.
+    only in main pass through.  ``shifted``: offset of each of the sub's
+    shifted (table, column); see :func:`merge_replace`.
     """
     exclude = set(exclude)
     where = dict(where or {})
+    by_table: dict[str, dict[str, int]] = {}
+    for (t, c), off in (shifted or {}).items():
+        by_table.setdefault(t, {})[c] = off
     out, actions = dict(main.tables), []
     for t in sub.names():
         if t in exclude:
@@ -236,7 +259,7 @@ def merge_tenant(main: Tenant, sub: Tenant, exclude: Iterable[str] = (), on_miss
             continue
         spec = main.spec(t) if main.spec(t).keys else sub.spec(t)
         try:
-            out[t] = merge_table(main.table(t), sub.table(t), spec, mode, where.get(t), allow_missing)
+            out[t] = merge_table(main.table(t), sub.table(t), spec, mode, where.get(t), allow_missing, by_table.get(t))
         except (ValueError, AnalysisException) as e:
             if on_error != "skip":
                 raise

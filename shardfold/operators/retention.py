@@ -1,9 +1,11 @@
 """Retention and post-merge resets (I14-I18): inactive-entity purge with cascade,
 the declarative purge spec, reset rules and the final zone stamp.
 
-A purge is a filter giving the purged ids, then one ``left_anti`` join per
-child column: no id ever reaches the driver and there is no 5,000-id
-``IN`` batching.
+A purge is a filter giving the purged ids, which are written once with
+their count and read by every child: as a broadcast where the count allows
+it (a child is then streamed without a shuffle, whatever its number of id
+columns), else by a join that splits frequent ids.  No id ever reaches the
+driver and there is no 5,000-id ``IN`` batching.
 """
 
 from __future__ import annotations
@@ -16,6 +18,8 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import is_true
 from ..model import Tenant
+from ..session import cut_lineage
+from .lookup import lookup
 from .rows import apply_rules, delete_where
 
 
@@ -25,32 +29,50 @@ INACTIVE_MAX_LEVEL = 30
 INACTIVE_MAX_ONLINE_SECONDS = 24 * 3600
 
 
-def purge_children(df: DataFrame, cols: Sequence[str], purged: DataFrame) -> DataFrame:
-    """Drop rows whose value in **any** of ``cols`` is a purged id.
+#: purged ids up to this many bytes are broadcast to the children's scans
+BROADCAST_BYTES = 8 << 20
 
-    Several columns (owner **or** id) become anti joins in a row; NULLs are
-    never purged.
+
+def purge_set(ids: DataFrame) -> tuple[DataFrame, bool]:
+    """Distinct non-null ids of a one-column frame, written once, and whether they may be broadcast."""
+    c = ids.columns[0]
+    written = cut_lineage(ids.select(F.col(c).alias("__pid")).where(F.col("__pid").isNotNull()).distinct())
+    width = F.octet_length(F.col("__pid").cast("string")) + 8
+    size = written.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
+    return written, int(size) <= BROADCAST_BYTES
+
+
+def purge_children(df: DataFrame, cols: Sequence[str], purged: DataFrame, small: bool = False) -> DataFrame:
+    """Drop rows whose value in **any** of ``cols`` is a purged id; NULLs are never purged.
+
+    ``small``: ``purged`` is the written result of :func:`purge_set` and may
+    be broadcast, so all columns are checked in one pass over ``df``.
     """
     ids = purged.select(F.col(purged.columns[0]).alias("__pid"))
-    for c in cols:
-        if c in df.columns:
-            df = df.join(ids, df[c] == ids["__pid"], "left_anti")
+    present = [c for c in cols if c in df.columns]
+    if small:
+        for c in present:
+            df = df.join(F.broadcast(ids), df[c] == ids["__pid"], "left_anti")
+        return df
+    ids = ids.distinct()
+    for k, c in enumerate(present):
+        df = lookup(df, c, ids, "__pid", {f"__p{k}": "__pid"}).where(F.col(f"__p{k}").isNull()).drop(f"__p{k}")
     return df
 
 
 def purge(tenant: Tenant, table: str, id_col: str, predicate, cascade: Mapping[str, Sequence[str] | str]) -> Tenant:
     """Delete the entities of ``table`` matching ``predicate`` and cascade.
 
-    ``cascade``: child table -> column(s) holding the entity id.  The entity
-    table itself is filtered by the predicate (``delete_where``).
+    ``cascade``: child table -> column(s) holding the entity id.  The purged
+    ids are worked out once for all children; the entity table itself is
+    filtered by the predicate (``delete_where``).
     """
     ent = tenant.table(table)
-    purged = ent.where(is_true(predicate)).select(F.col(id_col))
     out = {table: delete_where(ent, predicate)}
-    for t, cols in cascade.items():
-        if t == table or not tenant.has(t):
-            continue
-        out[t] = purge_children(tenant.table(t), [cols] if isinstance(cols, str) else list(cols), purged)
+    children = {t: [cols] if isinstance(cols, str) else list(cols) for t, cols in cascade.items() if t != table and tenant.has(t)}
+    if children:
+        purged, small = purge_set(ent.where(is_true(predicate)).select(id_col))
+        out |= {t: purge_children(tenant.table(t), cols, purged, small) for t, cols in children.items()}
     return tenant.with_tables(out)
 
 
@@ -119,7 +141,8 @@ def purge_from_spec(tenant: Tenant, spec: Mapping, as_of: datetime) -> Tenant:
             cascade.setdefault(item["db_table"], []).append(item["db_field"])
         for cnd in conds:
             cascade.setdefault(cnd["db_table"], []).append(cnd["common"])
-        out = out.with_tables({t: purge_children(out.table(t), sorted(set(cs), key=cs.index), purged)
+        purged, small = purge_set(purged)
+        out = out.with_tables({t: purge_children(out.table(t), sorted(set(cs), key=cs.index), purged, small)
                                for t, cs in cascade.items() if out.has(t)})
     for item in spec.get("all_clear") or []:
         t = item["db_table"]

@@ -960,8 +960,8 @@ def reconcile_accounts(spark, d):
     return reconcile(tenants[0], tenants[1:]).main.table("t_account")
 
 
-def _slice(spark, d) -> tuple[Tenant, Tenant]:
-    """Minimum slice: two tenants of customer/orders/lineitem remapped, renamed, stamped."""
+def _slice(spark, d) -> tuple[Tenant, Tenant, dict]:
+    """Minimum slice: two tenants of customer/orders/lineitem remapped, renamed, stamped; and the shifted columns' offsets."""
     main = T.main_tenant(spark, d, ("customer", "orders", "lineitem"))
     sub = T.sub_tenant(spark, d, ("customer", "orders", "lineitem"))
     groups = [[("customer", "c_custkey"), ("orders", "o_custkey")], [("orders", "o_orderkey"), ("lineitem", "l_orderkey")]]
@@ -971,7 +971,7 @@ def _slice(spark, d) -> tuple[Tenant, Tenant]:
     sub = sub.replace(customer=N.affix_conflicts(sub.table("customer"), main.table("customer"), "c_name", "s2.", "prefix"))
     main = main.replace(orders=P.with_zone(main.table("orders"), 1))
     sub = sub.replace(orders=P.with_zone(sub.table("orders"), 2))
-    return main, sub
+    return main, sub, {c: offs[g[0]] for g in groups for c in g}
 
 
 _SLICE = (T.CM, T.CS, T.OM, T.OS, T.lines_of_sql("lm", "om"), T.lines_of_sql("ls", "os"),
@@ -998,8 +998,8 @@ GROUP BY ou.zone_id, cu.c_mktsegment"""
 def zone_revenue(spark, d):
     """Flagship: remap two tenants (K1-K3), rename conflicting names (N2), stamp
     lineage (P5), merge (M1/M6), then revenue per zone and segment."""
-    main, sub = _slice(spark, d)
-    merged, _ = M.merge_tenant(main, sub)
+    main, sub, shifted = _slice(spark, d)
+    merged, _ = M.merge_tenant(main, sub, shifted=shifted)
     li = merged.table("lineitem").select("l_orderkey", "l_extendedprice", "l_discount")
     o = merged.table("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "zone_id")
     c = merged.table("customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")

@@ -265,6 +265,7 @@ def run_rules(main: Tenant, subs: Sequence[SubTenant], rules: Mapping, main_acco
         res.main = main.with_known_max({**K.max_ids([main], [c for c in cols if c not in firsts]), **firsts})
     snapshots: dict = {}
     rewritten: list[tuple[Tenant, set[str]]] = []
+    offsets: list[dict[tuple[str, str], int]] = []
     for k, s in enumerate(subs):
         r = _with_overrides(rules, s)
         rm = remap(res.main, s.tenant, r, renumber_main=composition is None)
@@ -275,10 +276,13 @@ def run_rules(main: Tenant, subs: Sequence[SubTenant], rules: Mapping, main_acco
         sub = apply_server_info(sub, r, s.server_id if s.server_id is not None else r.get("slave_server"))
         if declared_tables:
             cur_main, sub = apply_declared_tables(cur_main, r), apply_declared_tables(sub, r)
-        merged, actions = M.merge_tenant(cur_main, sub, exclude=exclude)
+        # a modified table's keys need not be where the shift put them
+        passed = {} if declared_tables else {c: off for c, off in rm.passed().items() if c not in rewritten_keys(r)}
+        merged, actions = M.merge_tenant(cur_main, sub, exclude=exclude, shifted=passed)
         res.actions.extend((s.tenant.name, t, a) for t, a in actions)
         done = {t for t, a in actions if a == "merged"}
         rewritten.append((sub, done))
+        offsets.append(passed)
         ps = r.get("prefix_setting") or {}
         if str(ps.get("account_change")) == "1" and res.accounts is not None and s.accounts is not None:
             # only a suffix of the sub's own is put on its accounts
@@ -302,13 +306,25 @@ def run_rules(main: Tenant, subs: Sequence[SubTenant], rules: Mapping, main_acco
         tables = {t for _, done in rewritten for t in done}
         if composition:  # also what no sub has, but main's own numbering changed
             tables |= {t for group, texts in composition.groups for t, *_ in [*group, *texts] if main.has(t)}
-        res.main = res.main.with_tables(_merged_tables(main, res.main, rewritten, sorted(tables), composition))
+        res.main = res.main.with_tables(_merged_tables(main, res.main, rewritten, sorted(tables), composition, offsets))
     return res
 
 
+def rewritten_keys(rules: Mapping) -> set[tuple[str, str]]:
+    """Columns that name, account and server rules may write after the shift."""
+    ps, si = rules.get("prefix_setting") or {}, rules.get("server_info") or {}
+    items = [*(ps.get("role_name") or []), *(ps.get("guild_name") or []), *(ps.get("account_table") or []), *(si.get("server_sql") or [])]
+    out = {(i["db_table"], i["db_field"]) for i in items}
+    return out | {(c["db_table_player"], c["db_field_player_user_id"]) for c in ps.get("account_change_new") or []}
+
+
 def _merged_tables(main: Tenant, typed: Tenant, rewritten: Sequence[tuple[Tenant, set[str]]], tables: Sequence[str],
-                   composition: Composition | None) -> dict[str, DataFrame]:
-    """``tables`` of main and all rewritten subs so far in one merge each, with ``typed``'s (widened) column types."""
+                   composition: Composition | None, offsets: Sequence[Mapping[tuple[str, str], int]] = ()) -> dict[str, DataFrame]:
+    """``tables`` of main and all rewritten subs so far in one merge each, with ``typed``'s (widened) column types.
+
+    ``offsets`` of the subs' shifted columns: where every sub's only key was
+    shifted, main's rows below the least offset go around the merge.
+    """
     base = main.with_tables({t: M.align(main.table(t), typed.table(t)) for t in tables})
     sources = [base, *[sub for sub, _ in rewritten]]
     if composition:
@@ -317,7 +333,15 @@ def _merged_tables(main: Tenant, typed: Tenant, rewritten: Sequence[tuple[Tenant
     for t in tables:
         subs = [new for new, (_, done) in zip(sources[1:], rewritten) if t in done]
         keys = main.spec(t).keys or (subs[0].spec(t).keys if subs else ())
-        out[t] = M.merge_all_table([sources[0].table(t), *[s.table(t) for s in subs]], keys)
+        top = sources[0].table(t)
+        passed = [off for off, (_, done) in zip(offsets, rewritten) if t in done]
+        key = keys[0][0] if len(keys) == 1 and len(keys[0]) == 1 else None
+        upto = min((off.get((t, key), 0) for off in passed), default=0) if passed and not composition else 0
+        if upto > 0:
+            clear, top = M.split_by_range(top, key, upto)
+        out[t] = M.merge_all_table([top, *[s.table(t) for s in subs]], keys)
+        if upto > 0:
+            out[t] = clear.unionByName(out[t])
     return out
 
 

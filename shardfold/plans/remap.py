@@ -26,6 +26,11 @@ class RemapResult:
     other_offsets: list[int] = field(default_factory=list)
     shifted: dict[Col, int] = field(default_factory=dict)
     ignored: list[str] = field(default_factory=list)
+    touched: set[Col] = field(default_factory=set)  # changed again after the shift
+
+    def passed(self) -> dict[Col, int]:
+        """Shifted columns whose positive values all lie above the offset."""
+        return {c: off for c, off in self.shifted.items() if c not in self.touched and off > 0}
 
 
 def _on(value) -> bool:
@@ -117,6 +122,7 @@ def remap_type2(main: Tenant, sub: Tenant, rules: Mapping, renumber_main: bool =
             off = _pick(res.group_offsets if str(item.get("group")) == "1" else res.other_offsets, idx,
                         "same" if str(item.get("group")) == "1" else "other_identity")
             t = item["db_table"]
+            res.touched.add((t, item["db_field"]))
             if res.sub.has(t):
                 res.sub = res.sub.replace(**{t: K.shift_when(res.sub.table(t), item["db_field"], off,
                                                              item.get("conditions") or None)})

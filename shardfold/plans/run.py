@@ -7,7 +7,7 @@
 ``--job``: ``rules`` (default, R1, needs ``--rules``), ``exclusion`` (R2,
 ``--exclude t``), ``filtered`` (R3, ``--filter table=predicate``), ``relabel``
 (R4, ``--name-col table.col``, ``--zone-col table.col``, ``--exclude``) or
-``reconcile`` (R5 account/player/guild preset).  ``--sub`` is
+``reconcile`` (R5 account/player/guild preset, ``--zone``, ``--purge-as-of``).  ``--sub`` is
 ``path:zone[:prefix[:account_suffix]]`` and may repeat (applied in order);
 ``--keys`` declares a table's unique key (``table=col[,col]``; tables
 without keys are appended).  A rule file is a JSON rule document (its
@@ -20,6 +20,7 @@ from __future__ import annotations
 import argparse
 import json
 import sys
+from datetime import datetime
 
 from ..session import ensure_checkpoint_dir
 from ..sources.catalog import parquet_tenant
@@ -41,7 +42,10 @@ def parse_args(argv=None):
     p.add_argument("--sub", action="append", required=True, help="path:zone[:prefix[:account_suffix]]")
     p.add_argument("--keys", action="append", default=[], help="table=col[,col]")
     p.add_argument("--out", required=True, help="output folder (a shared folder on a cluster)")
-    p.add_argument("--version", required=True, help="new version name under --out")
+    p.add_argument("--version", required=True, help="version name under --out; an unpublished one is taken up where it stopped")
+    p.add_argument("--publish", default="complete", choices=["complete", "partial"], help="partial: publish although tables failed")
+    p.add_argument("--zone", type=int, help="zone that the merged tenant becomes (job reconcile; default main's)")
+    p.add_argument("--purge-as-of", help="purge inactive players as of this UTC time, YYYY-MM-DD[THH:MM:SS] (job reconcile)")
     return p.parse_args(argv)
 
 
@@ -81,11 +85,12 @@ def main(argv=None, spark=None) -> dict[str, int]:
                               zone_cols=split(args.zone_col))
     else:
         from .reconcile import reconcile
-        res = reconcile(main_t, tenants)
+        as_of = datetime.fromisoformat(args.purge_as_of) if args.purge_as_of else None
+        res = reconcile(main_t, tenants, zid=args.zone, purge_as_of=as_of)
     failed = [(sub, table) for sub, table, action in res.actions if action == "failed"]
     if failed:
         raise SystemExit(f"not published, these tables could not be merged: {failed}")
-    counts = write_tenant(res.main, args.out, args.version)
+    counts = write_tenant(res.main, args.out, args.version, publish=args.publish)
     for sub, table, action in res.actions:
         if action != "merged":
             print(f"{sub}: {table} {action}", file=sys.stderr)

@@ -5,14 +5,16 @@ The reference updates the destination in place with no transaction (H20);
 here every table of the result goes to ``<out>/v=<version>/<table>`` and a
 ``_PUBLISHED`` marker is written last, so a failed run never leaves a
 half-merged destination and a path is never overwritten while it is read.
-Row counts come from ``DataFrame.observe`` on the write itself: no second
-pass over the data.
+Rows written are counted by ``DataFrame.observe`` on the write itself;
+:func:`merge_report` counts its inputs by a job of its own.
 """
 
 from __future__ import annotations
 
+import logging
+import time
 from collections.abc import Iterable, Mapping
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import ThreadPoolExecutor, as_completed
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -27,22 +29,82 @@ def write_table(df: DataFrame, path: str, mode: str = "errorifexists") -> int:
     return int(obs.get["rows"])
 
 
-def write_tenant(tenant: Tenant, out: str, version: str, threads: int = 4,
-                 tables: Iterable[str] | None = None) -> dict[str, int]:
+class TablesFailed(RuntimeError):
+    """Some tables failed while they were written; ``failed`` tells which and why.  The others are written."""
+
+    def __init__(self, version: str, failed: Mapping[str, str]):
+        super().__init__(f"version {version} is not published, tables failed: {dict(failed)}")
+        self.failed = dict(failed)
+
+
+def manifest(spark: SparkSession, out: str, version: str) -> dict[str, dict]:
+    """The latest entry of each table of a version: ``{table: {"status": "written" | "failed", "rows": n, "error": text}}``."""
+    from .catalog import path_exists
+
+    base = f"{out.rstrip('/')}/v={version}/_manifest"
+    if not path_exists(spark, base):
+        return {}
+    rows = spark.read.schema(_ENTRY).json(base).groupBy("table").agg(F.max_by(F.struct("status", "rows", "error"), "at").alias("e"))
+    return {r["table"]: r["e"].asDict() for r in rows.collect()}  # one row per table
+
+
+_ENTRY = "table string, status string, rows bigint, error string, at double"
+
+
+def write_tenant(tenant: Tenant, out: str, version: str, threads: int = 4, tables: Iterable[str] | None = None,
+                 publish: str = "complete") -> dict[str, int]:
     """Write every table (independent jobs, a few at a time) then publish.
 
     Returns ``{table: rows_written}``.  ``out`` is a shared folder (HDFS/S3/…)
-    on a cluster; ``version`` must be new.
+    on a cluster.  Each table that is done adds an entry to the version's
+    manifest; one that fails while it runs does too, and the rest goes on.
+    With failures nothing is published and :class:`TablesFailed` is raised,
+    unless ``publish="partial"`` publishes what is there.  A rerun of an
+    unpublished version writes the tables without a ``written`` entry
+    and reads no other; a published version can't be written again.
     """
+    from .catalog import path_exists
+
+    if publish not in ("complete", "partial"):
+        raise ValueError(f"publish must be complete|partial, not {publish!r}")
     base = f"{out.rstrip('/')}/v={version}"
     names = list(tables) if tables is not None else tenant.names()
+    if not tenant.tables:
+        return {}
+    spark = next(iter(tenant.tables.values())).sparkSession
+    if path_exists(spark, f"{base}/_PUBLISHED"):
+        raise FileExistsError(f"version {version} under {out} is already published")
+    done = {t: e["rows"] for t, e in manifest(spark, out, version).items() if e["status"] == "written"}
+
+    def note(table: str, status: str, rows: int | None = None, error: str | None = None) -> None:
+        entry = spark.createDataFrame([(table, status, rows, error, time.time())], _ENTRY)
+        entry.coalesce(1).write.mode("append").json(f"{base}/_manifest")
+
+    def one(table: str) -> tuple[str, int | None, str | None]:
+        if table in done:
+            return table, done[table], None
+        try:
+            n = write_table(tenant.table(table), f"{base}/{table}", "overwrite")  # what a failed run left
+        except Exception as e:  # noqa: BLE001  whatever a table's own data or plan raises is that table's failure
+            logging.getLogger(__name__).warning("table %s not written: %s", table, e)
+            return table, None, str(e).split("\n")[0][:500]
+        return table, n, None
+
+    counts, failed = {}, {}
     with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
-        counts = dict(zip(names, pool.map(lambda t: write_table(tenant.table(t), f"{base}/{t}"), names)))
-    spark = next(iter(tenant.tables.values())).sparkSession if tenant.tables else None
-    if spark is not None:
-        spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite") \
-            .text(f"{base}/_PUBLISHED")
-    return counts
+        for work in as_completed([pool.submit(one, t) for t in names]):
+            table, n, error = work.result()
+            if error is None:
+                counts[table] = n
+                if table not in done:
+                    note(table, "written", n)
+            else:
+                failed[table] = error
+                note(table, "failed", error=error)
+    if failed and publish != "partial":
+        raise TablesFailed(version, failed)
+    spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").text(f"{base}/_PUBLISHED")
+    return {t: counts[t] for t in names if t in counts}
 
 
 def save_bucketed(tenant: Tenant, database: str, buckets: int, tables: Iterable[str] | None = None,
@@ -105,12 +167,15 @@ def merge_report(main: Tenant, sub: Tenant, merged: Tenant, actions: Iterable[tu
 
 
 def action_summary(spark: SparkSession, actions: Iterable[tuple[str, str, str]]) -> DataFrame:
-    """Per sub: tables merged, skipped (excluded or missing), failed and total, from a job's actions."""
-    rows = [(str(sub), str(t), str(a)) for sub, t, a in actions]
+    """Per sub: tables merged (also appended, copied, emptied), skipped (excluded, missing, not listed), failed and total.
+
+    Notes on columns ("no column x") aren't tables and aren't counted.
+    """
+    rows = [(str(sub), str(t), str(a)) for sub, t, a in actions if not str(a).startswith("no column ")]
     df = spark.createDataFrame(rows, "sub string, table_name string, action string")
     return df.groupBy("sub").agg(
-        F.count(F.when(F.col("action").isin("merged", "copied"), 1)).alias("merged"),
-        F.count(F.when(F.col("action").isin("excluded", "missing"), 1)).alias("skipped"),
+        F.count(F.when(F.col("action").isin("merged", "appended", "copied", "emptied"), 1)).alias("merged"),
+        F.count(F.when(F.col("action").isin("excluded", "missing", "not listed"), 1)).alias("skipped"),
         F.count(F.when(F.col("action") == "failed", 1)).alias("failed"),
         F.count(F.lit(1)).alias("total"))
 

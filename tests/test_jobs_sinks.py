@@ -11,6 +11,7 @@ from shardfold.model import Tenant
 from shardfold.plans import jobs as J
 from shardfold.plans.remap import remap
 from shardfold.sources.catalog import has_column, list_parquet_tables, parquet_tenant
+from shardfold.sources import sinks
 from shardfold.sources.sinks import merge_report, read_published, write_tenant
 from helpers import rows
 
@@ -173,6 +174,41 @@ def test_write_tenant_versioned(spark):
     assert has_column(back.table("players"), "friend_data")
 
 
+def test_a_table_that_fails_while_it_runs_is_named_and_taken_up_again(spark):
+    from pyspark.sql import functions as F
+
+    out = tempfile.mkdtemp(prefix="shardfold-out-", dir="/tmp")
+    good = spark.range(10)
+    bad = spark.range(1, 5).select((F.lit(2147483647) + F.col("id").cast("int")).cast("int").alias("v"))  # overflows when it runs
+    tenant = Tenant("m", 1, {"a": good, "b": bad, "c": good.limit(3)})
+    with pytest.raises(sinks.TablesFailed) as told:
+        write_tenant(tenant, out, "1")
+    assert list(told.value.failed) == ["b"]
+    entries = sinks.manifest(spark, out, "1")
+    assert {t: (e["status"], e["rows"]) for t, e in entries.items()} == {"a": ("written", 10), "b": ("failed", None), "c": ("written", 3)}
+    with pytest.raises(FileNotFoundError):
+        read_published(spark, out, "1", "m", 1, ["a"])
+    read = []
+    def seen(name):
+        def note(batches):
+            read.append(name)
+            raise AssertionError(f"{name} is read again")
+            yield from batches
+        return spark.range(1).mapInPandas(note, "id bigint")
+    counts = write_tenant(Tenant("m", 1, {"a": seen("a"), "b": spark.range(2), "c": seen("c")}), out, "1")
+    assert counts == {"a": 10, "b": 2, "c": 3} and not read
+    assert rows(read_published(spark, out, "1", "m", 1, ["a", "b"]).table("b")) == [(0,), (1,)]
+    with pytest.raises(FileExistsError):
+        write_tenant(tenant, out, "1")
+    assert write_tenant(tenant, out, "2", publish="partial") == {"a": 10, "c": 3}
+    assert rows(read_published(spark, out, "2", "m", 1, ["c"]).table("c")) == [(0,), (1,), (2,)]
+
+
+def test_action_summary_counts_appends(spark):
+    told = [("s", "a", "appended"), ("s", "b", "emptied"), ("s", "c", "not listed"), ("s", "d", "missing"), ("s", "a", "no column x"), ("t", "a", "copied"), ("t", "b", "failed")]
+    assert rows(sinks.action_summary(spark, told)) == [("s", 2, 2, 0, 4), ("t", 1, 0, 1, 2)]
+
+
 def test_parquet_tenant_reads_driver_tables(spark):
     d = "/root/testdata/sf0.001"
     names = list_parquet_tables(spark, d)
