@@ -10,18 +10,22 @@ them lie within k diagonals (text position minus item position) of the
 alignment's start.  So
 
 1. a document's q-grams are looked up among the items' (a bit table first,
-   then the sorted hashes),
+   then the sorted hashes), and items with fewer hits than their bound leave,
 2. hits are counted by item in diagonal bands of 2 * (2k + 1) diagonals that
-   overlap by half, so any alignment's hits lie within one band,
-3. bands that reach the item's bound are verified by an alignment of the
-   whole item against that band.
+   overlap by half, so any alignment's hits lie within one band; each of the
+   item's grams counts once in a band, however often the text repeats it,
+3. bands that reach the item's bound are verified by a bit-parallel alignment
+   of the whole item against the text under that band.
+
+An item too short for its edits at this q is looked for with shorter grams:
+of length m // (k + 1), at which one gram at least stays whole.
 
 Documents stream through Arrow functions and are never shuffled.  The items
 are the stated query set: they are dealt into blocks of about BLOCK_CHARS
 characters, and each block is broadcast and held against all documents in its
 turn, so what a worker holds does not grow with the benchmark.
 
-Defined cases: null texts and items hold nothing; an item of fewer than q
+Defined cases: null texts and items hold nothing; an item of fewer than Q
 characters is looked for exactly, between spaces; items of no letter or digit
 are never found; repeated rows and items are reported each; an empty table
 gives no rows; other columns pass through :func:`remove_contaminated`.
@@ -94,6 +98,57 @@ def gram_hashes(codes: np.ndarray, q: int) -> np.ndarray:
     return (out ^ (out >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
 
 
+class Grams:
+    """The q-grams of those items of a block that are looked for at one ``q``."""
+
+    def __init__(self, q: int, which: list[int], texts: list[str], edits: list[int]):
+        self.q = q
+        self.edits = np.zeros(max(which) + 1, np.int64)
+        self.bounds = np.zeros(max(which) + 1, np.int64)
+        for k in which:
+            self.edits[k], self.bounds[k] = edits[k], len(texts[k]) - q + 1 - edits[k] * q
+        grams = [gram_hashes(_codes(texts[k]), q) for k in which]
+        flat = np.concatenate(grams)
+        item = np.repeat(np.array(which), [len(g) for g in grams])
+        at = np.concatenate([np.arange(len(g)) for g in grams])
+        order = np.argsort(flat, kind="stable")
+        self.item, self.at = item[order].astype(np.int32), at[order].astype(np.int32)
+        self.hashes, self.first, self.count = np.unique(flat[order], return_index=True, return_counts=True)
+        self.table = np.zeros(1 << BITS, bool)
+        self.table[(self.hashes >> np.uint64(64 - BITS)).astype(np.int64)] = True
+
+    def bands(self, codes: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(item, first diagonal) of the bands that hold as many of the item's grams as an alignment leaves whole."""
+        hashes = gram_hashes(codes, self.q)
+        maybe = np.flatnonzero(self.table[(hashes >> np.uint64(64 - BITS)).astype(np.int64)])
+        if not len(maybe):
+            return
+        found = np.minimum(np.searchsorted(self.hashes, hashes[maybe]), len(self.hashes) - 1)
+        hit = self.hashes[found] == hashes[maybe]
+        places, found = maybe[hit], found[hit]
+        if not len(places):
+            return
+        n = self.count[found]
+        entry = np.repeat(self.first[found] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
+        item = self.item[entry].astype(np.int64)
+        enough = np.bincount(item, minlength=len(self.bounds)) >= self.bounds
+        kept = enough[item]
+        if not kept.any():
+            return
+        entry, item, at = entry[kept], item[kept], self.at[entry[kept]].astype(np.int64)
+        band = (np.repeat(places, n)[kept] - at) // (2 * self.edits[item] + 1)
+        # distinct (item, band, place in the item), each hit in its two bands
+        item, band, at = np.concatenate((item, item)), np.concatenate((band, band - 1)), np.concatenate((at, at))
+        order = np.lexsort((at, band, item))
+        item, band, at = item[order], band[order], at[order]
+        new_band = np.append(True, (item[1:] != item[:-1]) | (band[1:] != band[:-1]))
+        new_gram = new_band | np.append(True, at[1:] != at[:-1])
+        starts = np.flatnonzero(new_band)
+        grams = np.add.reduceat(new_gram.astype(np.int64), starts)
+        for k in starts[grams >= self.bounds[item[starts]]]:
+            yield int(item[k]), int(band[k]) * (2 * int(self.edits[item[k]]) + 1)
+
+
 @dataclass
 class Items:
     """A block of benchmark items with their q-grams."""
@@ -102,22 +157,16 @@ class Items:
     texts: list[str]
     q: int
     rate: float
-    edits: np.ndarray = field(init=False)
-    bounds: np.ndarray = field(init=False)
+    edits: list[int] = field(init=False)
 
     def __post_init__(self):
-        m = np.array([len(t) for t in self.texts], np.int64)
-        self.edits = np.maximum(np.minimum((m * self.rate).astype(np.int64), (m - self.q) // self.q), 0)
-        self.bounds = m - self.q + 1 - self.edits * self.q
-        grams = [gram_hashes(_codes(t), self.q) for t in self.texts]
-        flat = np.concatenate([*grams, np.zeros(0, np.uint64)])
-        item = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
-        at = np.concatenate([*[np.arange(len(g)) for g in grams], np.zeros(0, int)])
-        order = np.argsort(flat, kind="stable")
-        self.item, self.at = item[order].astype(np.int32), at[order].astype(np.int32)
-        self.hashes, self.first, self.count = np.unique(flat[order], return_index=True, return_counts=True)
-        self.table = np.zeros(1 << BITS, bool)
-        self.table[(self.hashes >> np.uint64(64 - BITS)).astype(np.int64)] = True
+        self.edits = [int(len(t) * self.rate) for t in self.texts]
+        by_q = defaultdict(list)
+        for k, t in enumerate(self.texts):
+            if len(t) >= self.q:
+                by_q[max(1, min(self.q, len(t) // (self.edits[k] + 1)))].append(k)
+        self.grams = [Grams(q, which, self.texts, self.edits) for q, which in by_q.items()]
+        # so short that one edit in ``1 / rate`` characters is none, or that there is nothing to count grams of
         self.short = [k for k, t in enumerate(self.texts) if 0 < len(t) < self.q]
 
     def regions(self, text: str) -> Iterator[tuple[int, int, int, int]]:
@@ -128,75 +177,53 @@ class Items:
                 yield k, 0, at, at + len(self.texts[k])
                 at = f" {text} ".find(f" {self.texts[k]} ", at + 1)
         codes = _codes(text)
-        hashes = gram_hashes(codes, self.q)
-        maybe = np.flatnonzero(self.table[(hashes >> np.uint64(64 - BITS)).astype(np.int64)])
-        if not len(maybe) or not len(self.hashes):
-            return
-        found = np.minimum(np.searchsorted(self.hashes, hashes[maybe]), len(self.hashes) - 1)
-        hit = self.hashes[found] == hashes[maybe]
-        places, found = maybe[hit], found[hit]
-        if not len(places):
-            return
-        n = self.count[found]
-        entry = np.repeat(self.first[found] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-        item = self.item[entry].astype(np.int64)
-        diagonal = np.repeat(places, n) - self.at[entry]
-        width = 2 * self.edits[item] + 1
-        band = diagonal // width
-        span = 2 * len(text) + 4  # bands per item, negative ones included
-        keys, counts = np.unique(np.concatenate((item * span + band, item * span + band - 1)) + len(text), return_counts=True)
-        who = keys // span
-        # a hit may stand in a band once for each of its grams' repeats, so the bound is only passed too easily
-        for key, k in zip(keys[counts >= self.bounds[who]], who[counts >= self.bounds[who]]):
-            at = (int(key) - len(text) - int(k) * span) * (2 * int(self.edits[k]) + 1)
-            yield from self._verified(text, codes, int(k), at)
-
-    def _verified(self, text: str, codes: np.ndarray, k: int, diagonal: int) -> Iterator[tuple[int, int, int, int]]:
-        item, edits = self.texts[k], int(self.edits[k])
-        low, high = diagonal - edits, diagonal + 2 * (2 * edits + 1) + edits
-        start = max(0, low)
-        exact = text.find(item, start, max(0, high) + len(item) + 1)
+        for grams in self.grams:
+            for k, diagonal in grams.bands(codes):
+                yield from self._verified(text, k, diagonal)
+
+    def _verified(self, text: str, k: int, diagonal: int) -> Iterator[tuple[int, int, int, int]]:
+        item, edits = self.texts[k], self.edits[k]
+        # all diagonals of the band and as many more on either side as edits can lead to
+        start, end = max(0, diagonal - edits), max(0, diagonal + 2 * (2 * edits + 1) + edits) + len(item) + 1
+        exact = text.find(item, start, end)
         if exact >= 0:
             yield k, 0, exact, exact + len(item)
-            return
-        if edits and (found := banded(_codes(item), codes, low, high, edits)):
-            yield k, *found
+        elif edits and (found := aligned(item, text[start:end], edits)):
+            yield k, found[0], start + found[1], start + found[2]
 
 
-def banded(item: np.ndarray, text: np.ndarray, low: int, high: int, most: int) -> tuple[int, int, int] | None:
-    """(edits, start, end) of the best alignment of the whole ``item`` that stays on the diagonals from ``low`` to ``high``.
+def _ends(item: str, text: str, free: bool) -> Iterator[int]:
+    """Least edits of the whole ``item`` against texts that end behind each character of ``text``, column by column in one integer's bits.
 
-    Row i holds, per diagonal d, the edits of item[:i] against text up to
-    i + d, and where that alignment starts.  None if it takes more than ``most``.
+    ``free``: the text counted may begin anywhere; otherwise it begins with ``text``.
     """
-    d = np.arange(low, high + 1)
-    far = most + 1 + len(item)
-    cost = np.where((d >= 0) & (d <= len(text)), 0, far)
-    origin = d.copy()
-    steps = np.arange(len(d))
-    for i in range(1, len(item) + 1):
-        end = i + d  # text[:end]
-        inside = (end >= 1) & (end <= len(text))
-        same = np.zeros(len(d), bool)
-        same[inside] = text[end[inside] - 1] == item[i - 1]
-        new = np.where(inside, cost + ~same, far)
-        start = origin
-        gap = np.concatenate((cost[1:] + 1, [far]))  # item character without a counterpart: from the next diagonal
-        take = (gap < new) & (end >= 0) & (end <= len(text))
-        new = np.where(take, gap, new)
-        start = np.where(take, np.concatenate((origin[1:], [0])), start)
-        # text characters without a counterpart: along the row, from the left
-        run = new - steps
-        best = np.minimum.accumulate(run)
-        at = np.maximum.accumulate(np.where(run == best, steps, 0))
-        along = best + steps
-        take = (along < new) & (end >= 0) & (end <= len(text))
-        start = np.where(take, start[at], start)
-        cost, origin = np.where(take, along, new), start
-        if cost.min() > most:
-            return None
-    k = int(np.argmin(cost))
-    return (int(cost[k]), max(0, int(origin[k])), int(d[k]) + len(item)) if cost[k] <= most else None
+    masks: dict[str, int] = defaultdict(int)
+    for i, c in enumerate(item):
+        masks[c] |= 1 << i
+    every, top = (1 << len(item)) - 1, 1 << len(item) - 1
+    plus, minus, score = every, 0, len(item)
+    for c in text:
+        eq = masks[c] if c in masks else 0
+        diagonal = (((eq & plus) + plus) ^ plus) | eq | minus
+        up, down = minus | ~(diagonal | plus) & every, plus & diagonal
+        score += bool(up & top) - bool(down & top)
+        up = (up << 1 | (not free)) & every
+        down = down << 1 & every
+        plus, minus = down | ~(diagonal | up) & every, up & diagonal
+        yield score
+
+
+def aligned(item: str, text: str, most: int) -> tuple[int, int, int] | None:
+    """(edits, start, end) of the shortest of the best places of ``item`` in ``text``; None if it takes more than ``most`` edits."""
+    best, end = most + 1, 0
+    for k, score in enumerate(_ends(item, text, True), 1):
+        if score < best:
+            best, end = score, k
+    if best > most:
+        return None
+    back = text[max(0, end - len(item) - most):end][::-1]
+    size = next(k for k, score in enumerate(_ends(item[::-1], back, False), 1) if score == best)
+    return best, end - size, end
 
 
 def best_places(found: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
