@@ -2,7 +2,7 @@
 
 Arrow functions return lengths only.  Texts are split at boundaries where the
 tokenizer always starts anew, so any text is counted piece by piece; pieces
-that a worker has not met are encoded together in batches balanced by characters,
+that a worker has not met are encoded together in batches balanced by UTF-8 bytes,
 and their lengths are remembered (a bounded number of them).  A text's count
 is the sum over its pieces, which is exact because no token crosses a safe
 boundary.
@@ -39,8 +39,8 @@ from pyspark.sql import types as T
 from .bpe import cut_before_spaces
 from .common import prepare_python, fresh, sized_slices
 
-#: characters that one call of the library encodes at most (a longer single piece stands alone)
-CALL_CHARS = 1 << 20
+#: UTF-8 bytes that one call of the library encodes at most (a longer single piece stands alone)
+CALL_BYTES = 1 << 20
 #: pieces that a worker remembers at most, and the longest that it remembers
 REMEMBERED, LONGEST = 1_000_000, 64
 #: pieces that share one string in a call
@@ -51,6 +51,10 @@ MAX_TOKENS = 2048
 _INNER = re.compile(r"(?<=[A-Za-z0-9])(?=[.,;:!?|\n])|(?<=[A-Za-z0-9.,;:!?|]\n)(?=[^\W\d_])")
 
 
+def n_bytes(text: str) -> int:
+    return len(text) if text.isascii() else len(text.encode("utf-8", "surrogatepass"))
+
+
 class Library:
     """A tokenizer file in its library, with its lengths or ids per piece."""
 
@@ -98,7 +102,7 @@ class Library:
 
     def _encoded(self, pieces: list[str], special: bool) -> Iterable:
         """Ids or lengths of pieces; short ones share a call, parted by a special token, which the library finds first of all."""
-        for a, b in sized_slices([len(p) for p in pieces], CALL_CHARS):
+        for a, b in sized_slices(list(map(n_bytes, pieces)), CALL_BYTES):
             if special or self.kind == "whole" or not self.special:
                 for ids in self.batch(pieces[a:b]):
                     yield pack(f"<{len(ids)}I", *ids) if self.want_ids else len(ids)
@@ -135,10 +139,10 @@ class Library:
         known.update(found if max(map(len, found), default=0) <= LONGEST else {p: v for p, v in found.items() if len(p) <= LONGEST})
         return found
 
-    def texts(self, texts: list[str]) -> list:
-        """Lengths, or ids as little-endian unsigned 32-bit integers, of whole texts."""
+    def texts(self, texts: list[str], sizes: list[int]) -> list:
+        """Lengths, or ids as little-endian unsigned 32-bit integers, of whole texts of these UTF-8 sizes."""
         out, get = [], self.known.get
-        for a, b in sized_slices([len(t) for t in texts], CALL_CHARS):
+        for a, b in sized_slices(sizes, CALL_BYTES):
             some = texts[a:b]
             cut = [self.cut(t) for t in some]
             values = [list(map(get, pieces)) for pieces in cut]
@@ -168,7 +172,7 @@ def count_tokens(docs: DataFrame, path: str, text_col: str = "text", bytes_col:
         for batch in it:
             texts = batch.column(len(rest)).fill_null("")
             sizes = pa.compute.binary_length(texts).cast(pa.int64())
-            counts = pa.array(lib.texts(texts.to_pylist()), pa.int64())
+            counts = pa.array(lib.texts(texts.to_pylist(), sizes.to_pylist()), pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], sizes, counts], [*batch.schema.names[:-1], bytes_col, tokens_col])
 
     return rows.mapInArrow(batches, T.StructType([*rest, T.StructField(bytes_col, T.LongType()), T.StructField(tokens_col, T.LongType())]))

@@ -32,11 +32,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import prepare_python
-from .token_counts import library
+from .common import prepare_python, sized_slices
+from .token_counts import CALL_BYTES, library
 
 BLOCK = 1 << 14
 #: ids of a segment before the next document starts another one
@@ -95,10 +96,11 @@ def _segments(it: Iterator[pa.RecordBatch], path: str, end_id: int | None) -> It
         return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema)], schema=schema)
 
     for batch in it:
-        # a few texts at a time, so that what is held stays near one segment
-        ids_col, texts = batch.column(0).to_pylist(), batch.column(1)
-        for k in range(0, len(ids_col), 64):
-            for name, ids in zip(ids_col[k:k + 64], lib.texts(texts.slice(k, 64).fill_null("").to_pylist())):
+        # a call's texts at a time, so that what is held stays near one segment
+        ids_col, texts = batch.column(0).to_pylist(), batch.column(1).fill_null("")
+        sizes = pa.compute.binary_length(texts).to_pylist()
+        for a, b in sized_slices(sizes, CALL_BYTES):
+            for name, ids in zip(ids_col[a:b], lib.texts(texts.slice(a, b - a).to_pylist(), sizes[a:b])):
                 names.append(name)
                 parts.append(ids + end)
                 lens.append(len(parts[-1]) // 4)
