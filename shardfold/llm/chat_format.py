@@ -106,6 +106,10 @@ def read_turns(formatted: Column) -> Column:
 
 
 def read_loss(formatted: Column, loss_runs: Column) -> Column:
-    """All text under the loss mask, unescaped and in order."""
-    texts = F.zip_with(read_turns(formatted), loss_runs, lambda t, r: F.when(r["loss"], t["text"]).otherwise(F.lit("")))
-    return F.array_join(texts, "")
+    """All text under the loss mask, cut out of ``formatted`` by the mask's code points, unescaped and in order."""
+    def step(acc, run):
+        text = _unescape(F.substr(formatted, acc["at"] + run["lead"] + 1, run["text"]), _TEXT_CODES)
+        return F.struct((acc["at"] + run["lead"] + run["text"] + run["tail"]).alias("at"),
+                        F.when(run["loss"], F.array_append(acc["texts"], text)).otherwise(acc["texts"]).alias("texts"))
+    none = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("texts"))
+    return F.aggregate(loss_runs, none, step, lambda acc: F.array_join(acc["texts"], ""))

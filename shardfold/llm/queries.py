@@ -40,7 +40,7 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.range(0, 1, 1, 1).select(F.inline(turns))
     rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
     out = chat_format.format_chats(rows).withColumn("turns", chat_format.read_turns(F.col("formatted")))
-    loss = F.array_join(F.zip_with("turns", "loss_runs", lambda t, r: F.when(r["loss"], t["text"]).otherwise(F.lit(""))), "")
+    loss = chat_format.read_loss(F.col("formatted"), F.col("loss_runs"))
     told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return out.withColumn("loss", loss).select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(told, 256).alias("turns_sha256"),
