@@ -50,8 +50,10 @@ from .common import prepare_python, fresh
 
 #: texts are read in stretches of so many characters, cut at spaces
 STRETCH = 1 << 16
+#: words of more characters give their ids token by token
+LONG_WORD = 4096
 #: remembered words and pieces a worker keeps at most
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 #: fixed values: the word pattern of byte-level files that name none
 BYTE_LEVEL_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -246,15 +248,55 @@ class Transducer:
         as_symbols = "".join("☀" if c in self.newer else c for c in text)
         return (self._word(text[m.start():m.end()]) for m in self.word_pattern.finditer(as_symbols))
 
+    def _next_cut(self, text: str, at: int) -> int:
+        """The first place from ``at`` on where pieces part, or the text's end."""
+        if self.drops_space:
+            return min(k if k >= 0 else len(text) for k in (text.find(" ", at), text.find("\n", at)))
+        m = _SAFE.search(text, at)
+        return m.start() if m else len(text)
+
     def _cut(self, text: str) -> list[str]:
         """Pieces that are encoded alike alone and in ``text``."""
         if self.drops_space:
             return text.replace("\n", " ").split(" ")
         return cut_before_spaces(text)
 
+    def _long(self, piece: str) -> Iterator[bytes]:
+        """Ids of a long piece a few at a time: word by word, and a long word token by token."""
+        at, held, size = 0, [], 0
+        for m in [*(self.special_pattern.finditer(piece) if self.special_pattern else ()), None]:
+            text = piece[at:m.start() if m else len(piece)]
+            text = self._normal(text) if self.drops_space else text
+            as_symbols = text if self.newer.isdisjoint(text) else "".join("☀" if c in self.newer else c for c in text)
+            for w in self.word_pattern.finditer(as_symbols):
+                if w.end() - w.start() <= LONG_WORD:
+                    held.append(self._word(text[w.start():w.end()]))
+                    size += len(held[-1])
+                else:
+                    for token in self.stream_word(self.alphabet[b] for c in range(w.start(), w.end()) for b in text[c].encode("utf-8", "replace")):
+                        held.append(struct.pack("<I", self.vocab[token]))
+                        size += 4
+                        if size >= STRETCH:
+                            yield b"".join(held)
+                            held, size = [], 0
+                if size >= STRETCH:
+                    yield b"".join(held)
+                    held, size = [], 0
+            if m:
+                held.append(struct.pack("<I", self.special[m[0]]))
+                at = m.end()
+        yield b"".join(held)
+
     def encode(self, text: str | None) -> Iterator[bytes]:
-        """Ids of ``text`` in order, stretch by stretch."""
+        """Ids of ``text`` in order, stretch by stretch; what is held beside the text doesn't grow with it."""
         for stretch in stretches(text or ""):
+            if len(stretch) > 2 * STRETCH:  # no safe space for long
+                at = 0
+                while at < len(stretch):
+                    end = self._next_cut(stretch, at + STRETCH)
+                    yield from self._long(stretch[at:end])
+                    at = end + (self.drops_space and end < len(stretch))
+                continue
             pieces = self._cut(stretch)
             ids = list(map(self.pieces.get, pieces))
             if None in ids:
