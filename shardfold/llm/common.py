@@ -71,7 +71,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z and nothing else."""
-    return F.when(text.rlike(r"[^\x00-\x7F]"), F.translate(text, UPPER, LOWER)).otherwise(F.lower(text))
+    return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
 def hash128(*cols: Column) -> tuple[Column, Column]:

@@ -16,9 +16,9 @@ Native: DataFrame and SQL functions only.
 * Only the positions to drop travel per document; the text moves once.
 
 Defined cases: null text counts as one empty line and stays null if the text
-column is returned; empty keys are never dropped (``min_chars`` >= 1); each
-row is a document, so repeated rows count once each and all get the same
-result; an empty table gives an empty table; other columns pass through, but for
+column is returned; empty keys are never dropped (``min_chars`` >= 1); rows
+of one id count as one document, rows without an id as one each, and repeated
+rows all get the same result; an empty table gives an empty table; other columns pass through, but for
 those named like a requested count, which takes their place.
 """
 
@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, HEAVY, ascii_lower, fresh, hash128, let, scratch_table
+from .common import BLANKS, HEAVY, ascii_lower, attach, fresh, hash128, let, scratch_table
 
 MIN_DOCS = 10
 MIN_CHARS = 1
@@ -46,11 +46,25 @@ def _keys(text: Column, min_chars: int) -> Column:
     return F.filter(F.transform(_lines(text), entry), lambda x: x.isNotNull())
 
 
-def frequent_lines(docs: DataFrame, text_col: str = "text", min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(h1, h2, n): keys that stand in at least ``min_docs`` documents."""
-    own = F.array_distinct(F.transform(_keys(F.col(text_col), min_chars), lambda x: F.struct(x["h1"].alias("h1"), x["h2"].alias("h2"))))
-    return (docs.select(F.explode(own).alias("k")).groupBy(F.col("k.h1").alias("h1"), F.col("k.h2").alias("h2"))
-            .agg(F.count("*").alias("n")).where(F.col("n") >= min_docs))
+def frequent_lines(docs: DataFrame, text_col: str = "text", min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS,
+                   id_col: str = "doc_id") -> DataFrame:
+    """(h1, h2, n): keys that stand in at least ``min_docs`` documents, rows of one id being one document.
+
+    Rows whose id no other row has, which are most, are counted as they are.
+    Of the others each (key, id) is counted once; ids are few bytes, and one
+    that a third of all rows share is taken together in each task first.
+    """
+    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    ids = docs.where("id IS NOT NULL").groupBy("id").agg(F.count("*").alias("rows")).where("rows > 1").withColumn("again", F.lit(True))
+    ids = scratch_table(ids, "repeated-ids")
+    own = F.array_distinct(F.transform(_keys(F.col("text"), min_chars), lambda x: F.struct(x["h1"].alias("h1"), x["h2"].alias("h2"))))
+    if ids.isEmpty():
+        keys = docs.select(F.explode(own).alias("k"))
+    else:
+        spread = F.xxhash64("id", "text")
+        marked = attach(docs.withColumn("deal", spread), ids, "id", "rows", F.col("deal")).withColumn("k", F.explode(own))
+        keys = marked.where("again IS NULL").select("k").unionByName(marked.where("again").select("id", "k").distinct().select("k"))
+    return keys.groupBy(F.col("k.h1").alias("h1"), F.col("k.h2").alias("h2")).agg(F.count("*").alias("n")).where(F.col("n") >= min_docs)
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS,
@@ -60,7 +74,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         raise ValueError("min_chars must be 1 at least: empty lines are never dropped")
     added = ["__ld_k1", "__ld_k2", "__ld_drop", *filter(None, (n_lines, n_dropped))]
     docs = fresh(docs, added, [id_col, text_col])
-    frequent = scratch_table(frequent_lines(docs, text_col, min_docs, min_chars), "frequent-lines")
+    frequent = scratch_table(frequent_lines(docs, text_col, min_docs, min_chars, id_col), "frequent-lines")
     heavy = frequent.orderBy(F.desc("n"), "h1", "h2").limit(HEAVY).select("h1", "h2", F.lit(True).alias("hot"))
     k1, k2 = hash128(F.col(id_col), F.col(text_col))
     lines = (docs.select(k1.alias("k1"), k2.alias("k2"), F.explode(_keys(F.col(text_col), min_chars)).alias("x"))
