@@ -96,10 +96,10 @@ def _segments(it: Iterator[pa.RecordBatch], path: str, end_id: int | None) -> It
         return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema)], schema=schema)
 
     for batch in it:
-        # a call's texts at a time, so that what is held stays near one segment
+        # a part of a call's texts at a time, so that what is held stays near one segment
         ids_col, texts = batch.column(0).to_pylist(), batch.column(1).fill_null("")
         sizes = pa.compute.binary_length(texts).to_pylist()
-        for a, b in sized_slices(sizes, CALL_BYTES):
+        for a, b in sized_slices(sizes, CALL_BYTES >> 2):
             for name, ids in zip(ids_col[a:b], lib.texts(texts.slice(a, b - a).to_pylist(), sizes[a:b])):
                 names.append(name)
                 parts.append(ids + end)
