@@ -27,7 +27,7 @@ import os
 import re
 from collections.abc import Iterable
 from functools import lru_cache
-from itertools import islice
+from itertools import chain, islice
 from struct import pack
 
 import numpy as np
@@ -43,8 +43,8 @@ from .common import prepare_python, fresh, sized_slices
 CALL_BYTES = 1 << 20
 #: pieces that a worker remembers at most, and the longest that it remembers
 REMEMBERED, LONGEST = 1_000_000, 64
-#: pieces that share one string in a call
-JOINED = 1024
+#: pieces that share one string in a call, parted by a special token, and such as need nothing between them
+JOINED, RUN_ON = 1024, 64
 MAX_TOKENS = 2048
 
 #: words and punctuation part here, whatever stands around them
@@ -62,6 +62,7 @@ class Library:
         self.known: dict[str, object] = {}
         self.kind, self.want_ids = "whole", ids
         self.special: list[str] = []
+        self.widths: np.ndarray | None = None
         if path.endswith(".model"):
             import sentencepiece
 
@@ -78,6 +79,11 @@ class Library:
             added = model.get_added_tokens_decoder()
             self.special, self.special_ids = [t.content for t in added.values()], list(added)
             self.kind = self._kind(path)
+            if self.kind == "bytes":
+                # a character of a byte-level token stands for one byte
+                vocab = model.get_vocab(with_added_tokens=False)
+                self.widths = np.zeros(max(vocab.values()) + 1, np.int64)
+                self.widths[list(vocab.values())] = list(map(len, vocab))
 
     @staticmethod
     def _kind(path: str) -> str:
@@ -118,21 +124,47 @@ class Library:
                 else:
                     yield from (ends - starts).tolist()
 
+    def _run_on(self, pieces: list[str]) -> Iterable:
+        """Ids or lengths of pieces that begin with a space and end in a character that isn't white space.
+
+        One behind the other they part by themselves.  Byte-level tokens keep
+        every byte, so their widths tell where a piece's tokens end.
+        """
+        sizes = list(map(n_bytes, pieces))
+        for a, b in sized_slices(sizes, CALL_BYTES):
+            ids = np.array(list(chain.from_iterable(self.batch(["".join(pieces[k:min(k + RUN_ON, b)]) for k in range(a, b, RUN_ON)]))), "<u4")
+            at, ends = np.cumsum(self.widths[ids]), np.cumsum(sizes[a:b])
+            last = np.searchsorted(at, ends)
+            if at[-1] != ends[-1] or (at[last] != ends).any():
+                yield from self._encoded(pieces[a:b], False)  # a tokenizer that drops bytes
+            elif self.want_ids:
+                raw, cuts = ids.tobytes(), [0, *(4 * last + 4).tolist()]
+                yield from (raw[x:y] for x, y in zip(cuts, cuts[1:]))
+            else:
+                yield from np.diff(last, prepend=-1).tolist()
+
     def learn(self, pieces: set[str], special: bool) -> dict:
         """The values of pieces that aren't known, of which the short ones are remembered."""
         if len(self.known) > REMEMBERED:
             for k in list(islice(self.known, len(self.known) - REMEMBERED // 2)):
                 del self.known[k]
         known, inner, todo = self.known, {}, set()
-        for p in pieces:
-            # a piece that ends in a letter or digit has most often no punctuation or line feed at all
-            if special or self.kind == "whole" or not p or p.isalnum() or (len(qs := _INNER.split(p)) == 1):
-                todo.add(p)
-            else:
-                inner[p] = qs
-                todo.update(q for q in qs if q not in known)
-        todo = list(todo)
-        found = dict(zip(todo, self._encoded(todo, special)))
+        if special or self.kind == "whole":
+            todo.update(pieces)
+        else:
+            for p in pieces:
+                # behind its first character most pieces have letters and digits only, and nothing to part
+                if p[1:].isalnum() or len(qs := _INNER.split(p)) == 1:
+                    todo.add(p)
+                else:
+                    inner[p] = qs
+                    for q in qs:
+                        if q not in known:
+                            todo.add(q)
+        spaced = [] if special or self.widths is None else [p for p in todo if p[:1] == " " != p[-1] and p[-1].isprintable()]
+        todo = list(todo.difference(spaced))
+        found = dict(zip(spaced, self._run_on(spaced)))
+        found.update(zip(todo, self._encoded(todo, special)))
         for p, qs in inner.items():
             parts = [found[q] if q in found else known[q] for q in qs]
             found[p] = b"".join(parts) if self.want_ids else sum(parts)
