@@ -27,7 +27,7 @@ import os
 import re
 from collections.abc import Iterable
 from functools import lru_cache
-from itertools import chain, islice
+from itertools import chain
 from struct import pack
 
 import numpy as np
@@ -59,7 +59,9 @@ class Library:
     """A tokenizer file in its library, with its lengths or ids per piece."""
 
     def __init__(self, path: str, ids: bool = False):
+        # two generations: what is asked for again moves from the old one to the young one
         self.known: dict[str, object] = {}
+        self.older: dict[str, object] = {}
         self.kind, self.want_ids = "whole", ids
         self.special: list[str] = []
         self.widths: np.ndarray | None = None
@@ -145,10 +147,12 @@ class Library:
 
     def learn(self, pieces: set[str], special: bool) -> dict:
         """The values of pieces that aren't known, of which the short ones are remembered."""
-        if len(self.known) > REMEMBERED:
-            for k in list(islice(self.known, len(self.known) - REMEMBERED // 2)):
-                del self.known[k]
-        known, inner, todo = self.known, {}, set()
+        if len(self.known) > REMEMBERED // 2:
+            self.older, self.known = self.known, {}
+        known, older, inner, todo = self.known, self.older, {}, set()
+        again = {p: older[p] for p in pieces if p in older} if older else {}
+        known.update(again)
+        pieces = pieces.difference(again)
         if special or self.kind == "whole":
             todo.update(pieces)
         else:
@@ -159,7 +163,11 @@ class Library:
                 else:
                     inner[p] = qs
                     for q in qs:
-                        if q not in known:
+                        if q in known:
+                            continue
+                        if q in older:
+                            known[q] = older[q]
+                        else:
                             todo.add(q)
         spaced = [] if special or self.widths is None else [p for p in todo if p[:1] == " " != p[-1] and p[-1].isprintable()]
         todo = list(todo.difference(spaced))
@@ -169,15 +177,16 @@ class Library:
             parts = [found[q] if q in found else known[q] for q in qs]
             found[p] = b"".join(parts) if self.want_ids else sum(parts)
         known.update(found if max(map(len, found), default=0) <= LONGEST else {p: v for p, v in found.items() if len(p) <= LONGEST})
+        found.update(again)
         return found
 
     def texts(self, texts: list[str], sizes: list[int]) -> list:
         """Lengths, or ids as little-endian unsigned 32-bit integers, of whole texts of these UTF-8 sizes."""
-        out, get = [], self.known.get
+        out = []
         for a, b in sized_slices(sizes, CALL_BYTES):
             some = texts[a:b]
             cut = [self.cut(t) for t in some]
-            values = [list(map(get, pieces)) for pieces in cut]
+            values = [list(map(self.known.get, pieces)) for pieces in cut]
             new = {p for pieces, vs in zip(cut, values) if None in vs for p, v in zip(pieces, vs) if v is None}
             if new:
                 # special tokens are found in the raw text, so nothing may be cut within them

@@ -152,7 +152,7 @@ def read_digests(spark: SparkSession, folder: str) -> DataFrame:
 
     def batches(it):
         for d in _documents(it):
-            rows = [(i, s, len(x), zlib.crc32(x.astype("<u4").tobytes())) for i, s, x in d]
+            rows = [(i, s, len(x), zlib.crc32(x)) for i, s, x in d]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return _located(spark, folder).mapInArrow(batches, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
