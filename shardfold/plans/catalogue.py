@@ -960,6 +960,81 @@ def reconcile_accounts(spark, d):
     return reconcile(tenants[0], tenants[1:]).main.table("t_account")
 
 
+_GUILD_BITS = 1 << 54
+#: an event as a player, as a guild (zone in the top bits of its id) and as the player's membership in it
+_PLAYER_EXPRS = ["event_id AS guid", "user_id AS friend", "event_type || '-' || CAST(CAST(floor(value * 100) AS BIGINT) AS VARCHAR(20)) AS name",
+                 "'g' || CAST(CAST(floor(value * 100) AS BIGINT) AS VARCHAR(20)) AS gname"]
+
+
+@query("reconcile_players_guilds", _with(
+    f"e AS (SELECT {', '.join(_PLAYER_EXPRS)}, {T.EVENT_ZONE_SQL} AS zone FROM events)",
+    f"p AS (SELECT *, CAST(zone AS BIGINT) * {_GUILD_BITS} + guid AS gid, count(*) OVER (PARTITION BY name) AS n, count(*) OVER (PARTITION BY gname) AS gn FROM e)",
+    "r AS (SELECT guid, 's' || CAST(zone AS VARCHAR) || '.' || name AS new_name FROM p WHERE name IS NOT NULL AND n > 1 AND zone <> 1 AND guid <> 0)",
+    "gr AS (SELECT gid, guid, 's' || CAST(zone AS VARCHAR) || '.' || gname AS new_name FROM p WHERE gname IS NOT NULL AND gn > 1 AND zone <> 1)",
+    "now AS (SELECT p.*, COALESCE(r.new_name, p.name) AS pname, COALESCE(gr.new_name, p.gname) AS gnow, COALESCE(o.new_name, 'o' || CAST(friend AS VARCHAR)) AS oname "
+    "FROM p LEFT JOIN r ON r.guid = p.guid LEFT JOIN gr ON gr.gid = p.gid LEFT JOIN r o ON o.guid = p.guid + p.friend)") + """
+SELECT 'player' AS kind, guid AS id, pname AS name, CAST(1 AS BIGINT) AS other FROM now
+UNION ALL SELECT 'member', guid, pname, gid FROM now
+UNION ALL SELECT 'rank', guid, pname || '/' || oname, guid + friend FROM now WHERE guid % 20 <> 17
+UNION ALL SELECT 'rank', gid, gnow || '/' || pname, guid FROM now WHERE guid % 20 <> 17
+UNION ALL SELECT 'guild', gid, gnow, CAST(0 AS BIGINT) FROM now
+UNION ALL SELECT 'ledger', guid, new_name, CAST(1 AS BIGINT) FROM r
+UNION ALL SELECT 'ledger', gr.guid, now.pname, CAST(2 AS BIGINT) FROM gr JOIN now ON now.gid = gr.gid WHERE gr.guid % 3 <> 0""")
+def reconcile_players_guilds(spark, d):
+    """R5 on three servers' players and guilds: duplicate names renamed outside the main zone, the copies in members and
+    rankings with them, a ledger for players and for guild leaders, rankings of one type reset, and the final zone."""
+    from .reconcile import reconcile
+
+    e = T.events_zoned(spark, d).selectExpr(*_PLAYER_EXPRS, "zone").withColumn("gid", F.col("zone").cast("bigint") * _GUILD_BITS + F.col("guid"))
+    post = F.when(F.col("guid") % 3 == 0, 1).otherwise(13).alias("post")  # some guilds have no leader
+    rank = e.select(F.col("guid").alias("id"), "name", (F.col("guid") + F.col("friend")).alias("ownerid"), F.concat(F.lit("o"), F.col("friend").cast("string")).alias("ownername"), "zone")
+    rank = rank.unionByName(e.select(F.col("gid").alias("id"), F.col("gname").alias("name"), F.col("guid").alias("ownerid"), F.col("name").alias("ownername"), "zone"))
+    rank = rank.withColumn("sorttype", F.col("id") % _GUILD_BITS % 20)
+    tables = {"t_player_info": e.select("guid", "name", F.col("zone").alias("zoneid"), "zone"), "t_guild_member": e.select("guid", "name", F.col("gid").alias("guildid"), post, "zone"),
+              "t_sortlist": rank, "t_guild": e.select(F.col("gid").alias("guid"), F.col("gname").alias("name"), "zone")}
+    keys = {"t_player_info": "guid", "t_guild_member": "guid", "t_sortlist": "id", "t_guild": "guid"}
+    tenants = [Tenant(f"z{z}", z, {t: df.where(F.col("zone") == z).drop("zone") for t, df in tables.items()}, keys) for z in (1, 2, 3)]
+    out = reconcile(tenants[0], tenants[1:]).main
+    def rows(kind, table, key, name, other):
+        return out.table(table).select(F.lit(kind).alias("kind"), F.col(key).cast("bigint").alias("id"), name.alias("name"), other.cast("bigint").alias("other"))
+    name = F.col("name")
+    parts = [rows("member", "t_guild_member", "guid", name, F.col("guildid")), rows("rank", "t_sortlist", "id", F.concat("name", F.lit("/"), "ownername"), F.col("ownerid")),
+             rows("guild", "t_guild", "guid", name, F.lit(0)), rows("ledger", "t_merge_give_namecard", "guid", name, F.col("type"))]
+    first = rows("player", "t_player_info", "guid", name, F.col("zoneid"))
+    for part in parts:
+        first = first.unionByName(part)
+    return first
+
+
+_SIDE_EXPRS = ["event_id AS guid", "user_id AS accid", "CAST(day(ts) % 3 AS BIGINT) AS season", "CAST(floor(value / 100) AS BIGINT) AS level",
+               "CAST(floor(value) AS BIGINT) AS points", "event_id % 7 AS dungeon_id"]
+
+
+@query("reconcile_side_tables", _with(
+    f"e AS (SELECT {', '.join(_SIDE_EXPRS)}, {T.EVENT_ZONE_SQL} AS zone FROM events)",
+    "s AS (SELECT *, row_number() OVER (PARTITION BY accid ORDER BY CASE WHEN zone = 1 THEN 0 ELSE 1 END, season DESC, level DESC, points DESC, guid) AS adv, "
+    "row_number() OVER (PARTITION BY accid ORDER BY CASE WHEN zone = 1 THEN 0 ELSE 1 END, season DESC, level DESC, guid) AS mono, "
+    "count(*) OVER (PARTITION BY accid) AS n, SUM(points) OVER (PARTITION BY accid) AS coins, "
+    "row_number() OVER (PARTITION BY accid, dungeon_id ORDER BY guid) AS dung, MAX(level) OVER (PARTITION BY accid, dungeon_id) AS hard FROM e)") + """
+SELECT 'adventure' AS kind, accid, guid, points AS amount FROM s WHERE adv = 1
+UNION ALL SELECT 'monopoly', accid, guid, CAST(CASE WHEN n > 1 THEN COALESCE(coins, 0) ELSE points END AS BIGINT) FROM s WHERE mono = 1
+UNION ALL SELECT 'dungeon', accid, guid, hard FROM s WHERE dung = 1""")
+def reconcile_side_tables(spark, d):
+    """R5 on three servers' adventure, monopoly and dungeon rows: one row per account (and dungeon), coins summed,
+    the hardest level kept."""
+    from .reconcile import reconcile
+
+    e = T.events_zoned(spark, d).selectExpr(*_SIDE_EXPRS, "zone")
+    tables = {"t_account_adventure": e.select("guid", "accid", F.col("season").alias("seasonid"), "level", F.col("points").alias("exp"), "zone"),
+              "t_account_monopoly": e.select("guid", "accid", F.col("season").alias("vsersion"), F.col("level").alias("roll_times"), F.col("points").alias("coin"), "zone"),
+              "t_g_dungeon_hard": e.select("guid", F.col("accid").alias("account"), "dungeon_id", F.col("level").alias("unlocked_hard_type"), "zone")}
+    tenants = [Tenant(f"z{z}", z, {t: df.where(F.col("zone") == z).drop("zone") for t, df in tables.items()}, dict.fromkeys(tables, "guid")) for z in (1, 2, 3)]
+    out = reconcile(tenants[0], tenants[1:]).main
+    parts = [("adventure", "t_account_adventure", "accid", "exp"), ("monopoly", "t_account_monopoly", "accid", "coin"), ("dungeon", "t_g_dungeon_hard", "account", "unlocked_hard_type")]
+    rows = [out.table(t).select(F.lit(k).alias("kind"), F.col(a).alias("accid"), "guid", F.col(v).alias("amount")) for k, t, a, v in parts]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
 def _slice(spark, d) -> tuple[Tenant, Tenant, dict]:
     """Minimum slice: two tenants of customer/orders/lineitem remapped, renamed, stamped; and the shifted columns' offsets."""
     main = T.main_tenant(spark, d, ("customer", "orders", "lineitem"))
