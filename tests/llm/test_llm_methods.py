@@ -127,3 +127,24 @@ def test_a_line_of_repeated_rows_counts_its_documents(spark):
     assert kept(3) == {1: "shared\nown", 2: "shared\nother", None: "", 10: "", 11: "", 12: ""}
     assert kept(2) == {1: "own", 2: "other", None: "", 10: "", 11: "", 12: ""}
     assert kept(4) == {1: "shared\nown", 2: "shared\nother", None: "nobody's", 10: "common", 11: "common", 12: "common"}
+
+
+def test_pieces_behind_one_another_and_two_generations_equal_the_library(monkeypatch):
+    """Run-on pieces are parted by the tokens' widths; a memory of a few pieces changes generations all the time."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from shardfold.llm import token_counts as tc
+
+    monkeypatch.setattr(tc, "REMEMBERED", 40)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    plain = Tokenizer.from_file(path)
+    texts = [" ".join(f"word{k % 7}{'.,!$'[k % 4]} über{k * j} it's{k}\n\n  日本{k}" for k in range(60)) for j in range(1, 8)]
+    texts += ["", " ", "  a  b ", "a <|endoftext|> b", "x᠎ y\x85 z  w", " a  b"]
+    want = [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+    lib, counts = tc.Library(path, True), tc.Library(path)
+    for text, ids in [*zip(texts, want)] * 2:
+        size = [tc.n_bytes(text)]
+        assert lib.texts([text], size) == [b"".join(i.to_bytes(4, "little") for i in ids)]
+        assert counts.texts([text], size) == [len(ids)]
+    assert lib.older
