@@ -1,10 +1,13 @@
 """Licence scan: notices by TF-IDF cosine to templates, then inheritance along the path.
 
-A file's own licence is read from its lines, its paragraphs and its whole
-text.  Each is compared with the templates by the cosine of sparse TF-IDF
-vectors; the best template counts from ``min_score`` on.  Document frequencies
-of the templates' terms are taken over all files; a term that no template has
-weighs as much as the rarest.
+Templates are titles, notices, paragraphs and short licences as a whole
+(:mod:`.licence_texts`).  A file's own licence is read from its lines, its
+paragraphs and its whole text.  Each is compared with the templates by the
+cosine of sparse TF-IDF vectors; the best template counts from ``min_score``
+on.  A term that occurs tf times counts 1 + log(tf) times, so that a long text
+isn't judged by its articles.  Document frequencies of the templates' terms
+are taken over all files; a term that no template has weighs as much as the
+rarest.
 
 No keyword decides what is compared.  A cosine is at most the norm of the
 template's terms that are shared, so a text is left out only where that norm
@@ -24,10 +27,11 @@ Defined cases: null text has no notice and can inherit; a null path neither
 inherits nor covers anything; a licence file takes its own licence only from
 its notice; several notices: the highest score, then the first licence by
 name, but reserved rights (which stand above many a grant) only if nothing else
-is declared; several licence files in a directory: the same; each row is a file, so
-repeated rows are reported each; an empty table gives an empty table; other
-columns pass through, but for those named like an added one, which takes
-their place.
+is declared, and a licence whose paragraphs stand in a longer one (two and
+three clauses of BSD) only if that isn't declared too; several licence files in
+a directory: the same; each row is a file, so repeated rows are reported each;
+an empty table gives an empty table; other columns pass through, but for
+those named like an added one, which takes their place.
 """
 
 from __future__ import annotations
@@ -38,34 +42,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import attach, fresh, hash128, let, scratch_table
+from .licence_texts import EXTENDS, RESERVED, TEMPLATES
 
 MIN_SCORE = 0.6
 #: names of files that state the licence of their directory
 LICENCE_FILE = r"(?i)(^|/)(licen[cs]e|copying|copyright|unlicense|notice)([-._][^/]*)?$"
-#: grants nothing, so it yields to any licence that is declared beside it
-RESERVED = "Proprietary"
-
-#: fixed values: notices by which the licences are declared
-TEMPLATES = {
-    "Apache-2.0": ["Licensed under the Apache License, Version 2.0.",
-                   "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.",
-                   "SPDX-License-Identifier: Apache-2.0"],
-    "MIT": ["Released under the MIT License.",
-            "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files.",
-            "SPDX-License-Identifier: MIT"],
-    "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3.",
-                "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License, either version 3 of the License, or any later version.",
-                "SPDX-License-Identifier: GPL-3.0-or-later"],
-    "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2.", "SPDX-License-Identifier: GPL-2.0"],
-    "LGPL-3.0": ["This work is licensed under the GNU Lesser General Public License, version 3.", "SPDX-License-Identifier: LGPL-3.0"],
-    "BSD-3-Clause": ["Use of this source code is governed by a BSD-style license.", "Released under the BSD 3-Clause License.", "SPDX-License-Identifier: BSD-3-Clause"],
-    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "SPDX-License-Identifier: MPL-2.0"],
-    "CC-BY-4.0": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
-    "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
-    "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
-    "CC0-1.0": ["Released under CC0 1.0.", "This work is dedicated to the public domain under CC0 1.0 Universal."],
-    RESERVED: ["All rights reserved.", "All rights reserved. No license is granted."],
-}
 
 
 def terms(text: Column) -> Column:
@@ -73,36 +54,41 @@ def terms(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(r"([a-z0-9]+(?:[.][0-9]+)*)"), F.lit(1))
 
 
+def _tf() -> Column:
+    return (1 + F.log(F.count("*"))).alias("tf")
+
+
 def template_terms(spark, templates: dict[str, list[str]]) -> DataFrame:
     """(template, licence, term, tf): a fixed, small table."""
     rows = [(k, licence, text) for k, (licence, text) in enumerate((l, t) for l, ts in templates.items() for t in ts)]
-    table = spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(k).alias("template"), F.lit(l).alias("licence"), F.lit(t).alias("t")) for k, l, t in rows])))
-    return table.select("template", "licence", F.explode(terms(F.col("t"))).alias("term")).groupBy("template", "licence", "term").agg(F.count("*").alias("tf"))
+    table = spark.createDataFrame(rows, "template int, licence string, t string")
+    return table.select("template", "licence", F.explode(terms(F.col("t"))).alias("term")).groupBy("template", "licence", "term").agg(_tf())
 
 
-def idf(files: DataFrame, words: list[str], text_col: str) -> tuple[DataFrame, float]:
-    """(term, idf) of the templates' terms over all files, and the weight of any other term."""
-    vocabulary = F.array(*[F.lit(w) for w in words])
+def idf(files: DataFrame, words: list[str], text_col: str) -> tuple[DataFrame, float, dict[str, int]]:
+    """(term, idf) of the templates' terms over all files, the weight of any other term, and the files that hold each."""
+    vocabulary = F.split(F.lit(" ".join(words)), " ")
     own = F.array_append(F.array_intersect(terms(F.coalesce(F.col(text_col), F.lit(""))), vocabulary), F.lit(""))
     seen = files.select(F.explode(own).alias("term")).groupBy("term").agg(F.count("*").alias("df")).collect()  # one row per term of the templates
     df = {r.term: r.df for r in seen}
     n = df.pop("", 0)
     rest = F.lit(float(n + 1))
     spark = files.sparkSession
-    table = spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(w).alias("term"), F.lit(df.get(w, 0)).alias("df")) for w in words])))
+    table = spark.createDataFrame([(w, df.get(w, 0)) for w in words], "term string, df bigint")
     top = spark.range(1).select((F.log(rest) + 1).alias("x")).first().x
-    return table.select("term", (F.log(rest / (F.col("df") + 1)) + 1).alias("idf")), top
+    return table.select("term", (F.log(rest / (F.col("df") + 1)) + 1).alias("idf")), top, df
 
 
-def needed_terms(vectors: dict[int, dict[str, float]], min_score: float) -> list[str]:
+def needed_terms(vectors: dict[int, dict[str, float]], min_score: float, common: dict[str, int] | None = None) -> list[str]:
     """Terms of which a text has at least one if its cosine to some template (term to normed weight) is ``min_score`` or more.
 
-    The heaviest of each template, until the norm of the others is lower.
+    Of each template those that the fewest files hold (``common``), the
+    heaviest first, until the norm of the others is lower.
     """
     out = set()
     for weights in vectors.values():
         left = sum(w * w for w in weights.values())
-        for term, w in sorted(weights.items(), key=lambda x: (-x[1], x[0])):
+        for term, w in sorted(weights.items(), key=lambda x: ((common or {}).get(x[0], 0), -x[1], x[0])):
             if left < _least(min_score):
                 break
             out.add(term)
@@ -115,10 +101,20 @@ def _least(min_score: float) -> float:
     return max(min_score - 1e-6, 0.0) ** 2
 
 
+def _any_of(words: list[str]) -> str:
+    """A pattern of ``words`` that parts after each character, so that a text is not held against one word after the other."""
+    by: dict[str, list[str]] = {}
+    for w in words:
+        by.setdefault(w[:1], []).append(w[1:])
+    end = by.pop("", None)
+    parts = [re.escape(c) + (re.escape(rest[0]) if len(rest) == 1 else _any_of(rest)) for c, rest in sorted(by.items())]
+    return f"(?:{'|'.join(parts)})" + ("?" if end else "") if parts else ""
+
+
 def _pattern(words: list[str]) -> str:
     """Matches any lower-cased text of which one of ``words`` is a term (a number in front of a term may end within a word)."""
     return "|".join(
-        f"(?<!{start})(?:{'|'.join(re.escape(w) for w in some)})(?!{end})"
+        f"(?<!{start}){_any_of(some)}(?!{end})"
         for start, end, some in (("[a-z]", "[a-z0-9]", [w for w in words if not w[0].isdigit() and "." not in w]),
                                  ("[a-z]", "[0-9]", [w for w in words if not w[0].isdigit() and "." in w]),
                                  ("[a-z0-9]", "[a-z0-9]", [w for w in words if w[0].isdigit() and "." not in w]),
@@ -127,8 +123,9 @@ def _pattern(words: list[str]) -> str:
 
 def _near(text: Column, vectors: dict[int, dict[str, float]], min_score: float) -> Column:
     """Whether the terms that ``text`` shares with some template have the norm ``min_score`` or more."""
-    table = F.array(*[F.array(*[F.struct(F.lit(t).alias("term"), F.lit(w * w).alias("w2")) for t, w in sorted(v.items())]) for v in vectors.values()])
-    words = F.array(*[F.lit(w) for w in sorted({t for v in vectors.values() for t in v})])
+    # as one SQL text: folded to a literal, and one call for all terms (which are words and numbers, so need no quoting)
+    table = F.expr("array(" + ", ".join("array(" + ", ".join(f"named_struct('term', '{t}', 'w2', {w * w!r}D)" for t, w in sorted(v.items())) + ")" for v in vectors.values()) + ")")
+    words = F.split(F.lit(" ".join(sorted({t for v in vectors.values() for t in v}))), " ")
     return let(F.array_intersect(terms(text), words), lambda own: F.exists(table, lambda v: F.aggregate(
         v, F.lit(0.0), lambda norm, x: norm + F.when(F.array_contains(own, x["term"]), x["w2"]).otherwise(0.0)) >= _least(min_score)))
 
@@ -138,9 +135,8 @@ def _lines(text: Column) -> Column:
     return F.filter(F.split(text, r"\n", -1), lambda x: F.trim(x) != "")
 
 
-def _units(text: Column, vectors: dict[int, dict[str, float]], min_score: float) -> Column:
+def _units(text: Column, vectors: dict[int, dict[str, float]], pattern: str, min_score: float) -> Column:
     """(t, line, n): the lines of a text, its paragraphs of more than one line and the whole of it, so far as one may come to ``min_score``."""
-    pattern = _pattern(needed_terms(vectors, min_score))
 
     def near(x):
         return F.lower(x).rlike(pattern) & _near(x, vectors, min_score)
@@ -151,8 +147,19 @@ def _units(text: Column, vectors: dict[int, dict[str, float]], min_score: float)
                     F.transform(blocks, lambda x: F.struct(x.alias("t"), F.lit(False).alias("line"), F.size(_lines(x)).alias("n"))))
 
 
+def _rank() -> Column:
+    return F.struct((F.col("licence") == RESERVED).alias("r"), (-F.col("score")).alias("s"), "licence")
+
+
 def _best() -> Column:
-    return F.min(F.struct((F.col("licence") == RESERVED).alias("r"), (-F.col("score")).alias("s"), "licence"))
+    return F.min(_rank())
+
+
+def _chosen(told: Column) -> Column:
+    """The best of a file's licences (an array of ranks, one for each licence), without those that another one extends."""
+    names = F.transform(told, lambda x: x["licence"])
+    extended = F.array_compact(F.array(*[F.when(F.array_contains(names, longer), shorter) for longer, shorter in EXTENDS.items()], F.lit(None).cast("string")))
+    return F.array_min(F.filter(told, lambda x: ~F.array_contains(extended, x["licence"])))
 
 
 def own_licences(files: DataFrame, text_col: str = "text", keys: tuple[str, str] = ("__ls_1", "__ls_2"),
@@ -161,7 +168,7 @@ def own_licences(files: DataFrame, text_col: str = "text", keys: tuple[str, str]
     spark = files.sparkSession
     vectors = template_terms(spark, templates)
     words = sorted(r.term for r in vectors.select("term").distinct().collect())
-    weight, other = idf(files, words, text_col)
+    weight, other, common = idf(files, words, text_col)
     weighted = vectors.join(F.broadcast(weight), "term").withColumn("w", F.col("tf") * F.col("idf"))
     norms = weighted.groupBy("template").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     weighted = weighted.join(norms, "template").select("licence", "template", "term", (F.col("w") / F.col("norm")).alias("tw"))
@@ -169,17 +176,20 @@ def own_licences(files: DataFrame, text_col: str = "text", keys: tuple[str, str]
     for r in weighted.collect():  # the templates' terms
         normed.setdefault(r.template, {})[r.term] = r.tw
     text = F.col(text_col)
-    units = (files.where(F.lower(text).rlike(_pattern(needed_terms(normed, min_score))))
-             .select(*keys, F.posexplode(_units(text, normed, min_score)).alias("unit", "u")))
+    pattern = _pattern(needed_terms(normed, min_score, common))
+    units = (files.where(F.lower(text).rlike(pattern))
+             .select(*keys, F.posexplode(_units(text, normed, pattern, min_score)).alias("unit", "u")))
     of = [*keys, "unit", "line", "n"]
-    units = (units.select(*keys, "unit", "u.line", "u.n", F.explode(terms(F.col("u.t"))).alias("term")).groupBy(*of, "term").agg(F.count("*").alias("tf")))
+    units = (units.select(*keys, "unit", "u.line", "u.n", F.explode(terms(F.col("u.t"))).alias("term")).groupBy(*of, "term").agg(_tf()))
     units = units.join(F.broadcast(weight), "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(other)))
     units = scratch_table(units.select(*of, "term", "w"), "notices")
     length = units.groupBy(*of).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     dots = units.join(F.broadcast(weighted), "term").groupBy(*of, "licence", "template").agg(F.sum(F.col("w") * F.col("tw")).alias("dot"))
     scores = dots.join(length, of).withColumn("score", F.round(F.col("dot") / F.col("norm"), 9)).where(F.col("score") >= min_score)
-    best = scores.groupBy(*of).agg(_best().alias("b")).groupBy(*keys).agg(
-        F.min("b").alias("b"), F.greatest(F.sum(F.when(F.col("line"), 1).otherwise(0)), F.max(F.when(F.col("line"), 0).otherwise(F.col("n")))).alias("notices"))
+    # the licence of each unit, then of each licence the best unit (few rows for a file), then the file's
+    told = scores.groupBy(*of).agg(_best().alias("b")).groupBy(*keys, "b.licence").agg(
+        F.min("b").alias("b"), F.sum(F.when(F.col("line"), 1).otherwise(0)).alias("lines"), F.max(F.when(F.col("line"), 0).otherwise(F.col("n"))).alias("block"))
+    best = told.groupBy(*keys).agg(F.collect_list("b").alias("told"), F.greatest(F.sum("lines"), F.max("block")).alias("notices")).withColumn("b", _chosen(F.col("told")))
     return best.select(*keys, F.col("b.licence").alias("licence"), (-F.col("b.s")).alias("score"), "notices")
 
 
