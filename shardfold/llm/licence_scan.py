@@ -9,10 +9,10 @@ isn't judged by its articles.  Document frequencies of the templates' terms
 are taken over all files; a term that no template has weighs as much as the
 rarest.
 
-No keyword decides what is compared.  A cosine is at most the norm of the
-template's terms that are shared, so a text is left out only where that norm
-is below ``min_score`` for every template: first by a pattern of the terms
-without which no template comes to ``min_score``, then by the norms.
+No keyword decides what is compared.  A unit is left out only where its
+cosine can't come to ``min_score`` for any template: first by a pattern of the
+terms without which no template comes to it, then by a bound from the norm of
+the template's shared terms and the weight of the unit's other terms.
 
 A licence file covers its directory and what lies below.  A file without a
 notice of its own takes the licence of the nearest ancestor directory that
@@ -121,13 +121,33 @@ def _pattern(words: list[str]) -> str:
                                  ("[a-z0-9]", "[0-9]", [w for w in words if w[0].isdigit() and "." in w])) if some) or "(?!)"
 
 
-def _near(text: Column, vectors: dict[int, dict[str, float]], min_score: float) -> Column:
-    """Whether the terms that ``text`` shares with some template have the norm ``min_score`` or more."""
-    # as one SQL text: folded to a literal, and one call for all terms (which are words and numbers, so need no quoting)
-    table = F.expr("array(" + ", ".join("array(" + ", ".join(f"named_struct('term', '{t}', 'w2', {w * w!r}D)" for t, w in sorted(v.items())) + ")" for v in vectors.values()) + ")")
-    words = F.split(F.lit(" ".join(sorted({t for v in vectors.values() for t in v}))), " ")
-    return let(F.array_intersect(terms(text), words), lambda own: F.exists(table, lambda v: F.aggregate(
-        v, F.lit(0.0), lambda norm, x: norm + F.when(F.array_contains(own, x["term"]), x["w2"]).otherwise(0.0)) >= _least(min_score)))
+def _sql_terms(weights: dict[str, float]) -> str:
+    # terms are words and numbers, so need no quoting; SQL text is folded to a literal and takes one call
+    return "array(" + ", ".join(f"named_struct('term', '{t}', 'w2', {w * w!r}D)" for t, w in sorted(weights.items())) + ")"
+
+
+def _near(text: Column, vectors: dict[int, dict[str, float]], weight: dict[str, float], other: float, min_score: float) -> Column:
+    """Whether ``text`` may come to ``min_score``.
+
+    The cosine is at most the norm of the template's shared terms, times the
+    share of the text's own norm that terms of any template can have: each of
+    them occurs at most as often as the text repeats terms, and each other
+    term weighs ``other`` or more.
+    """
+    table = F.expr(f"array({', '.join(_sql_terms(v) for v in vectors.values())})")
+    known = F.expr(_sql_terms(weight))
+    words = F.split(F.lit(" ".join(sorted(weight))), " ")
+
+    def norm2(terms_of, own):
+        return F.aggregate(terms_of, F.lit(0.0), lambda norm, x: norm + F.when(F.array_contains(own, x["term"]), x["w2"]).otherwise(0.0))
+
+    def test(found, own):
+        distinct = F.size(F.array_distinct(found))
+        mine = F.pow(1 + F.log(F.size(found) - distinct + 1.0), 2) * norm2(known, own)
+        rest = (distinct - F.size(own)) * other ** 2
+        return let(mine / (mine + rest), lambda share: F.exists(table, lambda v: norm2(v, own) * share >= _least(min_score)))
+
+    return let(terms(text), lambda found: let(F.array_intersect(found, words), lambda own: (F.size(own) > 0) & test(found, own)))
 
 
 def _lines(text: Column) -> Column:
@@ -135,12 +155,8 @@ def _lines(text: Column) -> Column:
     return F.filter(F.split(text, r"\n", -1), lambda x: F.trim(x) != "")
 
 
-def _units(text: Column, vectors: dict[int, dict[str, float]], pattern: str, min_score: float) -> Column:
-    """(t, line, n): the lines of a text, its paragraphs of more than one line and the whole of it, so far as one may come to ``min_score``."""
-
-    def near(x):
-        return F.lower(x).rlike(pattern) & _near(x, vectors, min_score)
-
+def _units(text: Column, near) -> Column:
+    """(t, line, n): the lines of a text, its paragraphs of more than one line and the whole of it, so far as ``near`` says that they may declare a licence."""
     lines = F.filter(_lines(text), near)
     blocks = F.filter(F.array_distinct(F.concat(F.split(text, r"\n[ \t\r]*\n", -1), F.array(text))), lambda x: x.contains("\n") & near(x))
     return F.concat(F.transform(lines, lambda x: F.struct(x.alias("t"), F.lit(True).alias("line"), F.lit(1).alias("n"))),
@@ -177,8 +193,12 @@ def own_licences(files: DataFrame, text_col: str = "text", keys: tuple[str, str]
         normed.setdefault(r.template, {})[r.term] = r.tw
     text = F.col(text_col)
     pattern = _pattern(needed_terms(normed, min_score, common))
-    units = (files.where(F.lower(text).rlike(pattern))
-             .select(*keys, F.posexplode(_units(text, normed, pattern, min_score)).alias("unit", "u")))
+    weights = {r.term: r.idf for r in weight.collect()}  # the templates' terms
+
+    def near(x):
+        return F.lower(x).rlike(pattern) & _near(x, normed, weights, other, min_score)
+
+    units = (files.where(F.lower(text).rlike(pattern)).select(*keys, F.posexplode(_units(text, near)).alias("unit", "u")))
     of = [*keys, "unit", "line", "n"]
     units = (units.select(*keys, "unit", "u.line", "u.n", F.explode(terms(F.col("u.t"))).alias("term")).groupBy(*of, "term").agg(_tf()))
     units = units.join(F.broadcast(weight), "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(other)))
