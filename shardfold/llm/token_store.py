@@ -37,11 +37,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import prepare_python, sized_slices
-from .token_counts import CALL_BYTES, library
+from .token_counts import library
 
 BLOCK = 1 << 14
 #: ids of a segment before the next document starts another one
 SEGMENT = 1 << 17
+#: UTF-8 bytes of texts encoded together (a longer single text stands alone)
+SLICE_BYTES = 1 << 22
 PLANES = 4
 LEVEL = 1
 
@@ -96,11 +98,11 @@ def _segments(it: Iterator[pa.RecordBatch], path: str, end_id: int | None) -> It
         return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema)], schema=schema)
 
     for batch in it:
-        # a part of a call's texts at a time, so that what is held stays near one segment
+        # some megabytes of texts at a time: the larger the slice, the fewer of its pieces are different
         ids_col, texts = batch.column(0).to_pylist(), batch.column(1).fill_null("")
         sizes = pa.compute.binary_length(texts).to_pylist()
-        for a, b in sized_slices(sizes, CALL_BYTES >> 2):
-            for name, ids in zip(ids_col[a:b], lib.texts(texts.slice(a, b - a).to_pylist(), sizes[a:b])):
+        for a, b in sized_slices(sizes, SLICE_BYTES):
+            for name, ids in zip(ids_col[a:b], lib.ids(texts.slice(a, b - a))):
                 names.append(name)
                 parts.append(ids + end)
                 lens.append(len(parts[-1]) // 4)
