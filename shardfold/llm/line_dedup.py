@@ -38,12 +38,25 @@ def _lines(text: Column) -> Column:
 
 
 def _keys(text: Column, min_chars: int) -> Column:
-    """One struct per line: position and 128-bit key, without the lines whose key is too short."""
+    """One struct per line: position and 128-bit key, without the lines whose key is too short.
+
+    The text is lower-cased as a whole, as no letter makes or takes a line
+    feed, and a line's key is computed once for its length and both hashes.
+    """
     def entry(line, pos):
-        key = ascii_lower(F.btrim(line, F.lit(BLANKS)))
-        h1, h2 = hash128(key)
-        return F.when(F.length(key) >= min_chars, F.struct(pos.alias("pos"), h1.alias("h1"), h2.alias("h2")))
-    return F.filter(F.transform(_lines(text), entry), lambda x: x.isNotNull())
+        return let(F.btrim(line, F.lit(BLANKS)), lambda key: F.when(F.length(key) >= min_chars, _place(key, pos)))
+    return F.filter(F.transform(F.split(ascii_lower(F.coalesce(text, F.lit(""))), "\n", -1), entry), lambda x: x.isNotNull())
+
+
+def _place(key: Column, pos: Column) -> Column:
+    h1, h2 = hash128(key)
+    return F.struct(pos.alias("pos"), h1.alias("h1"), h2.alias("h2"))
+
+
+def _different(keys: Column) -> Column:
+    """The different (h1, h2) of ``keys``; sorted, since Spark compares all pairs of an array's structs to find the distinct ones."""
+    hashes = F.sort_array(F.transform(keys, lambda x: F.struct(x["h1"].alias("h1"), x["h2"].alias("h2"))))
+    return let(hashes, lambda hs: F.filter(hs, lambda x, i: (i == 0) | (x != F.get(hs, i - 1))))
 
 
 def frequent_lines(docs: DataFrame, text_col: str = "text", min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS,
@@ -57,7 +70,7 @@ def frequent_lines(docs: DataFrame, text_col: str = "text", min_docs: int = MIN_
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     ids = docs.where("id IS NOT NULL").groupBy("id").agg(F.count("*").alias("rows")).where("rows > 1").withColumn("again", F.lit(True))
     ids = scratch_table(ids, "repeated-ids")
-    own = F.array_distinct(F.transform(_keys(F.col("text"), min_chars), lambda x: F.struct(x["h1"].alias("h1"), x["h2"].alias("h2"))))
+    own = _different(_keys(F.col("text"), min_chars))
     if ids.isEmpty():
         keys = docs.select(F.explode(own).alias("k"))
     else:
